@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from panelwise.models.linear import LinearFit
 from panelwise.models.registry import build_model, default_variants
 from panelwise.prep.pipeline import build_preprocessor, feature_names, fit_prepare
+from panelwise.prep.stages import fill_from_sums, period_sums
 from panelwise.runtime import col, stage_table
 from panelwise.sources import store as storage
 
@@ -76,19 +77,28 @@ def walk_forward(
     frames = []
     if any(todo.values()):
         wanted = list(dict.fromkeys(["permno", "date", label, *continuous, *discrete]))
-        laid_out = panel.select(*[col(c) for c in wanted], F.year("date").alias("_year"))
+        laid_out = panel.filter(col(label).isNotNull()).select(*[col(c) for c in wanted], F.year("date").alias("_year"))
         staged = stage_table(laid_out.filter(F.col("_year") <= max(years)), "_year")
+        # Filling by period learns nothing from other periods, so one pass over the panel serves all windows.
+        sums, small = period_sums(staged, continuous, "date", impute_by) if continuous else (None, False)
+        year_of = F.col("_period") if impute_by == "year" else F.year("_period")
+
+        def filled(rows: DataFrame, which) -> DataFrame:
+            return fill_from_sums(rows, continuous, sums.filter(which(year_of)), small, "date", impute_by) if continuous else rows
+
         for year, left in todo.items():
             if not left:
                 continue
-            train = staged.filter(F.col("_year") < year).filter(F.col(label).isNotNull())
-            if window_years is not None:
-                train = train.filter(F.col("_year") >= year - window_years)
-            test = staged.filter(F.col("_year") == year).withColumn("ret", F.col(label).cast("double"))
-            stages = build_preprocessor(continuous, discrete, by=impute_by, exact=exact_quantiles)
-            pre, prepared = fit_prepare(stages, train)
+            first = -10_000 if window_years is None else year - window_years
+
+            def in_training(y, first=first, year=year):
+                return (y >= first) & (y < year)
+
+            train = filled(staged.filter(in_training(F.col("_year"))), in_training)
+            test = filled(staged.filter(F.col("_year") == year), lambda y, year=year: y == year)
+            pre, prepared = fit_prepare(build_preprocessor(continuous, discrete, exact=exact_quantiles, impute=False), train)
             fitted = fit_variants(prepared, feature_names(pre), left, label)
-            scored = score_variants(pre.transform(test), fitted, keys)
+            scored = score_variants(pre.transform(test.withColumn("ret", F.col(label).cast("double"))), fitted, keys)
             if store:
                 storage.write_predictions(scored, store)
             else:

@@ -155,7 +155,9 @@ def predicted_only(df: DataFrame, condition: Column, value: Column, out: str = "
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first in the given order. Copies are merged before the shuffle, so many copies of one key do no harm."""
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in order]))
-    return df.groupBy(*keys).agg(first.alias("_r")).select(*keys, "_r.*").select(*df.columns)
+    """One row per key, the first in the given order.
+
+    Spark keeps only the first row per key and task before it shuffles, so many copies of one key do no harm.
+    """
+    w = Window.partitionBy(*[col(c) for c in keys]).orderBy(*[col(c) for c in order])
+    return df.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") == 1).drop("_nth")

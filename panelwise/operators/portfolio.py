@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from panelwise.functions.columns import ratio, to_long
-from panelwise.operators.order_stats import order_statistics
+from panelwise.operators.order_stats import order_statistics, profile
 from panelwise.runtime import lookup_join
 
 LONG_SHORT = "LS"
@@ -45,7 +45,8 @@ def assign_bins(
     so a group needs only ``nport - 1`` cut values; the rows themselves are then neither shuffled nor
     sorted but compared with the cuts of their group.
     """
-    largest = predictions.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    profiled = profile(predictions, by, pred)
+    largest = profiled[0].agg(F.max("n")).first()[0] or 0
     if largest <= (WINDOW_ROWS if window_rows is None else window_rows):
         group = Window.partitionBy(*by)
         rank = F.rank().over(group.orderBy(F.col(pred).asc_nulls_last()))
@@ -57,7 +58,7 @@ def assign_bins(
     def ranks(n: Column, m: Column) -> list[Column]:
         return [F.floor(F.lit(b - 1) * (n + 1) / F.lit(nport)) for b in range(2, nport + 1)]
 
-    found = order_statistics(predictions, by, pred, ranks, direct_rows)
+    found = order_statistics(predictions, by, pred, ranks, direct_rows, profiled=profiled)
     cuts = found.select(*by, "ranks", F.col("stats").alias("_cuts"))
     # A rank of 0 is exceeded by every value, a rank above m by none.
     cuts = cuts.withColumn(

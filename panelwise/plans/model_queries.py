@@ -6,6 +6,8 @@ steps, so it shares nothing with the implementation.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import functions as F
 
 from panelwise.models.interpret import coefficients, importances
@@ -16,31 +18,52 @@ from panelwise.operators.panel import join_factors
 from panelwise.plans import oracle_parts as sql
 from panelwise.plans import tables
 from panelwise.plans.registry import day, num, nums, query, shown
+from panelwise.runtime import settle
 
 YEARS = (1999, 2000, 2001)
 _THREE = ("sig_qty", "sig_tax", "sig_price")
 _CONTINUOUS = ["sig_qty", "sig_tax", "sig_price", "sig_rare", "mkt_excess", "SMB", "HML", "RMW", "CMA", "Mom"]
 _DISCRETE = ["disc_flag", "disc_line"]
-_LINEAR = [(n, n, {}) for n in ("OLS", "Lasso", "Ridge", "LassoCV", "RidgeCV")]
 
 
-def prepared_sql(features: tuple[str, ...]) -> list[str]:
-    """``ready(y, train, permno, date, ret, x1..xk)``: imputed, clipped and scaled per prediction year."""
-    xs = list(enumerate(features, 1))
+_WITH_FACTORS = (
+    'full_panel as (select p.*, f.mkt_excess, f."SMB", f."HML", f."RMW", f."CMA", f."Mom" '
+    "from panel p left join factors f on cast(f.date + interval 1 month as date) = p.date)"
+)
+
+
+def prepared_sql(features: Sequence[str], discrete: Mapping[str, Sequence[str]] | None = None) -> list[str]:
+    """``ready(y, train, permno, date, ret, x1..xk)``: imputed, clipped and scaled per prediction year.
+
+    The levels of discrete columns, filled with the training mode, follow as further x columns.
+    """
+    xs = [(i, c if c.islower() else f'"{c}"') for i, c in enumerate(features, 1)]
+    hot = [(c, v) for c, levels in (discrete or {}).items() for v in levels]
+    names = "".join(f", {c}" for c in discrete or {})
     fill = ", ".join(f"coalesce({c}, avg({c}) over (partition by y, train, year(date)), avg({c}) over (partition by y, train), 0.0e0) as x{i}" for i, c in xs)
     bounds = ", ".join(f"quantile_cont(x{i}, 0.0025) as lo{i}, quantile_cont(x{i}, 0.9975) as hi{i}" for i, _ in xs)
     clipped = ", ".join(f"least(greatest(x{i}, lo{i}), hi{i}) as x{i}" for i, _ in xs)
     moments = ", ".join(f"avg(x{i}) as m{i}, stddev_pop(x{i}) as d{i}" for i, _ in xs)
     scaled = ", ".join(f"(x{i} - m{i}) / case when d{i} = 0 then 1 else d{i} end as x{i}" for i, _ in xs)
+    levels = "".join(f", case when coalesce({c}, {c}_mode) = {v} then 1.0e0 else 0.0e0 end as x{i}" for i, (c, v) in enumerate(hot, len(xs) + 1))
+    modes = [
+        f"mode_{c} as (select y, {c} as {c}_mode from rows_of where train and {c} is not null group by 1, 2 "
+        f"qualify row_number() over (partition by y order by count(*) desc, {c}) = 1)"
+        for c in discrete or {}
+    ]
+    joins = "".join(f" join mode_{c} on mode_{c}.y = c.y" for c in discrete or {})
     return [
         sql.PANEL,
+        sql.FACTORS,
+        _WITH_FACTORS,
         f"windows as (select unnest([{', '.join(map(str, YEARS))}]) as y)",
-        "rows_of as (select w.y, year(p.date) < w.y as train, p.* from panel p join windows w on year(p.date) <= w.y)",
-        f"filled as (select y, train, permno, date, ret, {fill} from rows_of)",
+        "rows_of as (select w.y, year(p.date) < w.y as train, p.* from full_panel p join windows w on year(p.date) <= w.y)",
+        f"filled as (select y, train, permno, date, ret{names}, {fill} from rows_of)",
         f"bounds as (select y, {bounds} from filled where train group by y)",
-        f"clipped as (select f.y, train, permno, date, ret, {clipped} from filled f join bounds b on b.y = f.y)",
+        f"clipped as (select f.y, train, permno, date, ret{names}, {clipped} from filled f join bounds b on b.y = f.y)",
         f"moments as (select y, {moments} from clipped where train group by y)",
-        f"ready as (select c.y, train, permno, date, ret, {scaled} from clipped c join moments m on m.y = c.y)",
+        *modes,
+        f"ready as (select c.y, train, permno, date, ret, {scaled}{levels} from clipped c join moments m on m.y = c.y{joins})",
     ]
 
 
@@ -145,10 +168,30 @@ def _full_panel(spark, sf_dir):
     return join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir))
 
 
+_ONE_LESS = {"disc_flag": ("'N'", "'R'"), "disc_line": ("1.0e0",)}
+_EVERY_LEVEL = {"disc_flag": ("'A'", "'N'", "'R'"), "disc_line": ("0.0e0", "1.0e0")}
+
+
+def _all_features(spark, sf_dir, names):
+    variants = [(n, n, {}) for n in names]
+    return shown(walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS, variants), 6)
+
+
+@query("walk_forward_ols_all", _predictions_sql([*prepared_sql(_CONTINUOUS, _ONE_LESS), *orthogonal_sql(13)], "OLS"))
+def walk_forward_ols_all(spark, sf_dir):
+    """All features; with every one-hot level present the coefficients are not unique but the predictions are."""
+    return _all_features(spark, sf_dir, ["OLS"])
+
+
+@query("walk_forward_ridge_all", _predictions_sql([*prepared_sql(_CONTINUOUS, _EVERY_LEVEL), *orthogonal_sql(15, 1.0)], "Ridge"))
+def walk_forward_ridge_all(spark, sf_dir):
+    return _all_features(spark, sf_dir, ["Ridge"])
+
+
 @query("walk_forward_linear_all")
 def walk_forward_linear_all(spark, sf_dir):
     """All five linear models on all features; one pass per window serves them all."""
-    return shown(walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS, _LINEAR), 6)
+    return _all_features(spark, sf_dir, ["OLS", "Lasso", "Ridge", "LassoCV", "RidgeCV"])
 
 
 @query("walk_forward_gbt")
@@ -163,12 +206,31 @@ def walk_forward_mlp(spark, sf_dir):
     return shown(walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS[-1:], variants), 6)
 
 
-@query("walk_forward_portfolios")
+_CHAIN = [
+    *prepared_sql(_CONTINUOUS, _EVERY_LEVEL),
+    *orthogonal_sql(15, 1.0),
+    "ridge_predictions as (select permno, date, ret / 100 as ret, 'Ridge' as model, pred / 100 as pred from predicted)",
+    sql.bins("ridge_predictions", "bins"),
+    sql.stats("bins", "stats"),
+    sql.long_short("stats", "ls"),
+    "path as (select *, 1 - value / max(value) over (partition by model order by date) as drawdown "
+    "from (select *, product(1 + ret) over (partition by model order by date) as value from ls))",
+]
+
+
+@query(
+    "walk_forward_portfolios",
+    sql.statement(
+        _CHAIN,
+        f"select model, {num('avg(ret) * 100', 'mean_pct', 6)}, {num('stddev_samp(ret) * 100', 'std_pct', 6)}, "
+        f"{num('avg(ret) / stddev_samp(ret) * sqrt(12.0e0)', 'sharpe', 6)}, {num('max(drawdown) * 100', 'max_drawdown', 6)} from path group by model",
+    ),
+)
 def walk_forward_portfolios(spark, sf_dir):
     """The whole chain: features, out-of-sample predictions, bins, long-short returns and their metrics."""
-    found = walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS, [v for v in _LINEAR if v[0] in ("OLS", "Ridge")])
+    found = walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS, [("Ridge", "Ridge", {})])
     decimal = found.withColumns({"ret": F.col("ret") / 100, "pred": F.col("pred") / 100})
-    rets = portfolio.portfolio_returns(portfolio.portfolio_stats(portfolio.assign_bins(decimal)))
+    rets = portfolio.portfolio_returns(portfolio.portfolio_stats(portfolio.assign_bins(settle(decimal))))
     return shown(series.model_metrics(rets), 6)
 
 

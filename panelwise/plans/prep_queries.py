@@ -105,13 +105,31 @@ def one_hot_ignore(spark, sf_dir):
 
 
 def _doc(spark, sf_dir):
-    """The form of each signal, as a documentation table would give it, from the distinct return flags and panel columns."""
+    """The form of each signal, as a documentation table would give it."""
     columns = tables.panel(spark, sf_dir).columns
     rows = [(c, "continuous" if c.startswith("sig_") else "discrete") for c in columns if c.startswith(("sig_", "disc_"))]
     return spark.createDataFrame(rows, "Acronym string, `Cat.Form` string")
 
 
-@query("feature_matrix_columns")
+_NUMBERS = ("sig_qty", "sig_tax", "sig_price", "sig_step", "sig_rare", "mkt_excess", "SMB", "HML", "RMW", "CMA", "Mom")
+_FILLED = {"disc_flag": ("A", "N", "R"), "disc_line": ("0", "1")}
+_FILLED_TRAIN = "filled_train as (select coalesce(disc_flag, disc_flag_mode) as disc_flag, coalesce(disc_line, disc_line_mode) as disc_line from panel cross join modes where date < date '2000-01-01')"
+
+
+@query(
+    "feature_matrix_columns",
+    sql.statement(
+        [sql.PANEL, _MODES, _FILLED_TRAIN],
+        " union all ".join(
+            [f"select '{c}' as feature, count(*) as n, 0.0e0 as mean, 1.0e0 as std from filled_train" for c in _NUMBERS]
+            + [
+                f"select '{c}_{v}', count(*), {num(f'avg(({c} = {v!r})::int)', 'mean', 6)}, {num(f'stddev_pop(({c} = {v!r})::int)', 'std', 6)} from filled_train"
+                for c, levels in _FILLED.items()
+                for v in levels
+            ]
+        ),
+    ),
+)
 def feature_matrix_columns(spark, sf_dir):
     """Which feature columns the fitted preprocessing produces, and how each is distributed in training."""
     p = join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir))
@@ -119,10 +137,14 @@ def feature_matrix_columns(spark, sf_dir):
     fitted, prepared = fit_prepare(build_preprocessor(continuous, discrete), _train(p))
     names = feature_names(fitted)
     values = to_long(prepared.select(*[F.col(c).cast("double").alias(c) for c in names]), [], names, "feature", "value")
-    return values.groupBy("feature").agg(F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_pop("value"), 6).alias("std"))
+    return shown(values.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")), 6)
 
 
-@query("column_routes")
+@query(
+    "column_routes",
+    " union all ".join(f"select 'numbers' as transformer, '{c}' as \"column\"" for c in _NUMBERS)
+    + "".join(f" union all select 'categoricals', '{c}'" for c in _FILLED),
+)
 def routed_columns(spark, sf_dir):
     p = join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir))
     fitted, _ = fit_prepare(build_preprocessor(*route_columns(p, _doc(spark, sf_dir))), _train(p))

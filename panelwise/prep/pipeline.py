@@ -38,13 +38,17 @@ def build_preprocessor(
     by: str = "year",
     date: str = "date",
     exact: bool = True,
+    impute: bool = True,
 ) -> Pipeline:
-    """Impute, winsorize and scale continuous columns; impute and one-hot encode discrete ones."""
+    """Impute, winsorize and scale continuous columns; impute and one-hot encode discrete ones.
+
+    ``impute=False`` leaves out the continuous imputation, for frames that were filled before.
+    """
     stages = []
     if continuous:
         numbers = list(continuous)
+        stages += [CrossSectionalImputer(inputCols=numbers, dateCol=date, by=by)] if impute else []
         stages += [
-            CrossSectionalImputer(inputCols=numbers, dateCol=date, by=by),
             Winsorizer(inputCols=numbers, lower=lower, upper=upper, exact=exact),
             PopScaler(inputCols=numbers),
         ]

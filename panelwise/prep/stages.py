@@ -28,6 +28,29 @@ class _Stage(HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**{k: v for k, v in values.items() if v is not None})
 
 
+def period_of(date: str, by: str) -> Column:
+    if by not in ("year", "date"):
+        raise ValueError(f"impute by 'year' or 'date', not {by!r}")
+    return F.year(date) if by == "year" else F.col(date)
+
+
+def period_sums(df: DataFrame, columns: Sequence[str], date: str = "date", by: str = "year") -> tuple[DataFrame, bool]:
+    """Sum and count of every column per period: one pass, one small row per period."""
+    sums = [e for i, c in enumerate(columns) for e in (F.sum(col(c).cast("double")).alias(f"_s{i}"), F.count(col(c)).alias(f"_c{i}"))]
+    return pocket(df.groupBy(period_of(date, by).alias("_period")).agg(*sums))
+
+
+def fill_from_sums(df: DataFrame, columns: Sequence[str], sums: DataFrame, small: bool, date: str = "date", by: str = "year") -> DataFrame:
+    """Fill missing values with the mean of their period, else the mean over all periods of ``sums``, else 0."""
+    slots = range(len(columns))
+    totals = sums.agg(*[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(f"_m{i}") for i in slots]).first()
+    fallback = [0.0 if m is None else m for m in totals]
+    means = [F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col(f"_c{i}").cast("double")), F.lit(fallback[i])).alias(f"_f{i}") for i in slots]
+    joined = lookup_join(df.withColumn("_period", period_of(date, by)), sums.select("_period", *means), ["_period"], "left", pocketed=small)
+    filled = joined.withColumns({c: F.coalesce(col(c), F.col(f"_f{i}")) for i, c in enumerate(columns)})
+    return filled.select(*[col(c) for c in df.columns])
+
+
 class CrossSectionalImputer(_Stage, Transformer):
     """Fill a missing value with its column's mean in the same year (or month) of the frame at hand.
 
@@ -51,22 +74,10 @@ class CrossSectionalImputer(_Stage, Transformer):
         missing = [c for c in [date, *names] if c not in df.columns]
         if missing:
             raise ValueError(f"cannot impute: no column {missing}")
-        if by not in ("year", "date"):
-            raise ValueError(f"impute by 'year' or 'date', not {by!r}")
         if not names:
             return df
-        frame = df.withColumn("_period", F.year(date) if by == "year" else F.col(date))
-        sums = [e for i, c in enumerate(names) for e in (F.sum(col(c).cast("double")).alias(f"_s{i}"), F.count(col(c)).alias(f"_c{i}"))]
-        periods, small = pocket(frame.groupBy("_period").agg(*sums))
-        totals = periods.agg(*[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}")).alias(f"_m{i}") for i in range(len(names))]).first()
-        fallback = [0.0 if m is None else m for m in totals]
-        fills = periods.select(
-            "_period",
-            *[F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col(f"_c{i}").cast("double")), F.lit(fallback[i])).alias(f"_f{i}") for i in range(len(names))],
-        )
-        joined = lookup_join(frame, fills, ["_period"], "left", pocketed=small)
-        filled = joined.withColumns({c: F.coalesce(col(c), F.col(f"_f{i}")) for i, c in enumerate(names)})
-        return filled.select(*[col(c) for c in df.columns])
+        sums, small = period_sums(df, names, date, by)
+        return fill_from_sums(df, names, sums, small, date, by)
 
 
 class Winsorizer(_Stage, Estimator):

@@ -50,10 +50,11 @@ def stage_table(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    if partition_by is None:
+        df.write.parquet(path)
+    else:
+        # Even out the files: few per folder, and a folder holding much of the data is split over many tasks.
+        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
     return spark.read.parquet(path)
 
 
@@ -70,14 +71,14 @@ def row_bytes(schema: T.StructType) -> int:
     return 32 + width(schema)
 
 
-def pocket(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+def pocket(df: DataFrame, max_bytes: int | None = None, row_size: int | None = None) -> tuple[DataFrame, bool]:
     """``df`` computed once, and whether it is small.
 
     At most one row more than the broadcast bound is fetched. If that suffices, the result is a local
     table without lineage, ready to be broadcast; otherwise the table is settled on the shared folder.
     """
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    rows = max(limit // row_bytes(df.schema), 1)
+    rows = max(limit // (row_size or row_bytes(df.schema)), 1)
     head = df.limit(rows + 1).toArrow()
     if head.num_rows <= rows:
         return df.sparkSession.createDataFrame(head, df.schema), True
