@@ -24,7 +24,7 @@ def returns_panel(raw: DataFrame, from_year: int = 1975) -> DataFrame:
 
 def lag_signals(signals: DataFrame, months: int = 1) -> DataFrame:
     """Date signals one month after they were measured; the measuring month stays as ``yyyymm_signals``."""
-    named = check_case_collisions(nan_to_null(signals)).withColumnRenamed("yyyymm", "yyyymm_signals")
+    named = nan_to_null(check_case_collisions(signals)).withColumnRenamed("yyyymm", "yyyymm_signals")
     named = named.withColumn("yyyymm_signals", F.col("yyyymm_signals").cast("string"))
     dated = named.withColumn("date", F.add_months(yyyymm_anchor(F.col("yyyymm_signals")), months))
     return move_to_front(dated, ["permno", "date"])

@@ -79,11 +79,11 @@ def read_returns(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd"
 def read_signals(spark: SparkSession, path: str, keys: Sequence[str] = ("permno", "yyyymm")) -> DataFrame:
     """The wide signal table: the keys as numbers, whatever else the header names as doubles."""
     if ".csv" not in path.rsplit("/", 1)[-1]:
-        return check_case_collisions(nan_to_null(spark.read.parquet(path)))
+        return nan_to_null(check_case_collisions(spark.read.parquet(path)))
     types = {"permno": T.LongType(), "yyyymm": T.IntegerType()}
-    names = csv_columns(spark, path)
+    names = check_case_collisions(spark.read.option("header", True).csv(path)).columns
     schema = T.StructType([T.StructField(c, types.get(c, T.LongType()) if c in keys else T.DoubleType()) for c in names])
-    return check_case_collisions(read_table(spark, path, schema))
+    return read_table(spark, path, schema)
 
 
 def read_factors(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
@@ -152,9 +152,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 def percent_text(value: Column, digits: int = 2) -> Column:
     """Display text such as ``12.34%``; a dash where there is no value."""
-    return F.coalesce(F.format_string(f"%.{digits}f%%", value * 100), F.lit("-"))
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f%%", value * 100)).otherwise("-")
 
 
 def number_text(value: Column, digits: int = 3, brackets: bool = False) -> Column:
     """Display text such as ``0.123`` or, for t-statistics, ``(1.23)``."""
-    return F.format_string(f"(%.{digits}f)" if brackets else f"%.{digits}f", value)
+    return F.when(value.isNotNull(), F.format_string(f"(%.{digits}f)" if brackets else f"%.{digits}f", value)).otherwise("-")
