@@ -39,19 +39,23 @@ def solve_lasso(m: Moments, alpha: float, start: np.ndarray | None = None, sweep
     xx, xy = m.xx / m.n, m.xy / m.n
     coef = np.zeros(len(xy)) if start is None else start.copy()
     slope = xy - xx @ coef
+    movable = np.flatnonzero(np.diag(xx) > 0)
+    among, everything = movable, True
     for _ in range(sweeps):
         largest = 0.0
-        for j, curvature in enumerate(np.diag(xx)):
-            if curvature <= 0:
-                continue
-            pull = slope[j] + curvature * coef[j]
-            moved = np.sign(pull) * max(abs(pull) - alpha, 0.0) / curvature - coef[j]
+        for j in among:
+            pull = slope[j] + xx[j, j] * coef[j]
+            moved = np.sign(pull) * max(abs(pull) - alpha, 0.0) / xx[j, j] - coef[j]
             if moved:
                 coef[j] += moved
                 slope -= moved * xx[:, j]
                 largest = max(largest, abs(moved))
-        if largest <= tol * max(1.0, np.abs(coef).max(initial=0.0)):
+        settled = largest <= tol * max(1.0, np.abs(coef).max(initial=0.0))
+        if settled and everything:
             break
+        # Only the coefficients in use are moved until they settle; then all are looked at again.
+        everything = settled
+        among = movable if everything else np.flatnonzero(coef)
     return coef
 
 

@@ -114,31 +114,42 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         rows = df.select(*[col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(names)], col(self.getOrDefault("labelCol")).cast("double").alias("_y"))
         # A row's own content decides whether it validates, so a lost task is redone with the same split.
         draw = F.pmod(F.xxhash64(F.lit(self.getOrDefault("seed")), *rows.columns), F.lit(1_000_000)) / F.lit(1_000_000.0)
-        share = self.getOrDefault("validation")
-        train, held = rows.filter(draw >= share), rows.filter(draw < share)
+        rows = rows.withColumn("_held", (draw < self.getOrDefault("validation")).cast("double"))
         flat, best, best_flat, idle = start_weights(sizes, self.getOrDefault("seed")), -np.inf, None, 0
-        for epoch in range(self.getOrDefault("maxIter")):
-            flat = self._epoch(train, sizes, flat, epoch)
-            score = self._fit_quality(held, sizes, flat)
-            if score is None:
-                best_flat = flat
-                continue
-            idle = 0 if score > best + MIN_GAIN else idle + 1
-            if score > best:
-                best, best_flat = score, flat
-            if idle > self.getOrDefault("patience"):
-                break
+        epochs = self.getOrDefault("maxIter")
+        # One pass judges the weights an epoch starts from and takes the next epoch's steps.
+        for epoch in range(epochs + 1):
+            after, score = self._epoch(rows, sizes, flat, epoch, epoch < epochs)
+            if epoch:
+                if score is None:
+                    best_flat = flat
+                else:
+                    idle = 0 if score > best + MIN_GAIN else idle + 1
+                    if score > best:
+                        best, best_flat = score, flat
+                    if idle > self.getOrDefault("patience"):
+                        break
+            flat = after
         return NetworkModel(inputCols=names, hidden=hidden, weights=best_flat.tolist())
 
-    def _epoch(self, train: DataFrame, sizes: list[int], flat: np.ndarray, epoch: int) -> np.ndarray:
+    def _epoch(self, rows: DataFrame, sizes: list[int], flat: np.ndarray, epoch: int, train: bool) -> tuple[np.ndarray, float | None]:
+        """The averaged weights after one epoch, and the share of variance that ``flat`` explains on the held-out rows."""
         size, rate, penalty = self.getOrDefault("batchSize"), self.getOrDefault("learningRate"), self.getOrDefault("alpha")
         seed = self.getOrDefault("seed") + epoch
 
         def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rng, w = np.random.default_rng(seed), flat.copy()
+            rng, w, held = np.random.default_rng(seed), flat.copy(), np.zeros(4)
             first, second, step, seen = np.zeros_like(w), np.zeros_like(w), 0, 0
             for batch in batches:
-                table = rng.permutation(matrix_of(batch))
+                table = matrix_of(batch)
+                out, table = table[table[:, -1] > 0, :-1], table[table[:, -1] == 0, :-1]
+                if len(out):
+                    y = out[:, -1]
+                    e = y - forward(flat, sizes, out[:, :-1])[-1][:, 0]
+                    held += [len(y), y.sum(), (y * y).sum(), (e * e).sum()]
+                if not train:
+                    continue
+                table = rng.permutation(table)
                 seen += len(table)
                 for at in range(0, len(table), size):
                     part = table[at : at + size]
@@ -147,40 +158,21 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
                     first = BETA1 * first + (1 - BETA1) * g
                     second = BETA2 * second + (1 - BETA2) * g * g
                     w -= rate * (first / (1 - BETA1**step)) / (np.sqrt(second / (1 - BETA2**step)) + EPSILON)
-            if seen:
-                starts = range(0, len(w), CHUNK)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "chunk": pa.array(list(starts), pa.int32()),
-                        "rows": pa.array([float(seen)] * len(starts)),
-                        "w": pa.array([w[s : s + CHUNK] for s in starts], pa.list_(pa.float64())),
-                    }
-                )
-
-        parts = train.mapInArrow(run_task, "chunk int, rows double, w array<double>")
-        mean = parts.groupBy("chunk").agg(Summarizer.mean(array_to_vector("w"), F.col("rows")).alias("w"))
-        out = flat.copy()
-        for r in mean.select("chunk", vector_to_array("w").alias("w")).collect():
-            out[r["chunk"] : r["chunk"] + len(r["w"])] = r["w"]
-        return out
-
-    def _fit_quality(self, held: DataFrame, sizes: list[int], flat: np.ndarray) -> float | None:
-        """Share of variance explained on the held-out rows."""
-
-        def reduce_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(4)
-            for batch in batches:
-                table = matrix_of(batch)
-                y = table[:, -1]
-                e = y - forward(flat, sizes, table[:, :-1])[-1][:, 0]
-                sums += [len(y), y.sum(), (y * y).sum(), (e * e).sum()]
-            yield pa.RecordBatch.from_pydict({k: pa.array([v]) for k, v in zip(("n", "y", "yy", "ee"), sums)})
-
-        s = held.mapInArrow(reduce_task, "n double, y double, yy double, ee double").agg(*[F.sum(c).alias(c) for c in ("n", "y", "yy", "ee")]).first()
-        if not s["n"]:
-            return None
-        spread = s["yy"] - s["y"] ** 2 / s["n"]
-        return 1.0 - s["ee"] / spread if spread > 0 else 0.0
+            parts = [(-1, 0.0, held)] + [(s, float(seen), w[s : s + CHUNK] * seen) for s in range(0, len(w), CHUNK) if seen]
+            chunk, count, v = zip(*parts)
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunk, pa.int32()), "seen": pa.array(count), "v": pa.array(list(v), pa.list_(pa.float64()))})
+
+        parts = rows.mapInArrow(run_task, "chunk int, seen double, v array<double>")
+        added = parts.groupBy("chunk").agg(F.sum("seen").alias("seen"), Summarizer.sum(array_to_vector("v")).alias("v"))
+        after, score = flat.copy(), None
+        for r in added.select("chunk", "seen", vector_to_array("v").alias("v")).collect():
+            if r["chunk"] >= 0:
+                after[r["chunk"] : r["chunk"] + len(r["v"])] = np.array(r["v"]) / r["seen"]
+            elif r["v"][0]:
+                n, y, yy, ee = r["v"]
+                spread = yy - y * y / n
+                score = 1.0 - ee / spread if spread > 0 else 0.0
+        return after, score
 
 
 class NetworkModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):

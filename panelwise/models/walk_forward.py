@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.models.linear import LinearFit
@@ -17,9 +20,22 @@ from panelwise.runtime import col, stage_table
 from panelwise.sources import store as storage
 
 Variant = tuple[str, str, dict]
+T = TypeVar("T")
+R = TypeVar("R")
 
 
-def fit_variants(train: DataFrame, features: Sequence[str], variants: Iterable[Variant], label: str = "ret") -> list[tuple[str, Model]]:
+def side_by_side(work: Callable[[T], R], items: Sequence[T], parallelism: int) -> Iterator[R]:
+    """Results in the order of ``items``, up to ``parallelism`` at a time, so that small jobs fill the cluster together."""
+    if parallelism < 2 or len(items) < 2:
+        yield from map(work, items)
+        return
+    with ThreadPool(min(parallelism, len(items))) as pool:
+        yield from pool.imap(inheritable_thread_target(SparkSession.active())(work), items)
+
+
+def fit_variants(
+    train: DataFrame, features: Sequence[str], variants: Iterable[Variant], label: str = "ret", parallelism: int = 1
+) -> list[tuple[str, Model]]:
     """Fit every variant on one prepared training frame; linear models share one pass over it."""
     estimators: list[tuple[str, Estimator]] = [(v, build_model(name, features, label, **params)) for v, name, params in variants]
     linear = [e for _, e in estimators if isinstance(e, LinearFit)]
@@ -27,13 +43,11 @@ def fit_variants(train: DataFrame, features: Sequence[str], variants: Iterable[V
     if linear:
         folded = [e for e in linear if e.getOrDefault("kind") == "lasso_cv"]
         shared = (folded or linear)[0].moments(train, bool(folded))
-    fitted = []
-    for variant, estimator in estimators:
-        if isinstance(estimator, LinearFit):
-            fitted.append((variant, estimator.fit_moments(train, shared)))
-        else:
-            fitted.append((variant, estimator.fit(train)))
-    return fitted
+
+    def fit(estimator: Estimator) -> Model:
+        return estimator.fit_moments(train, shared) if isinstance(estimator, LinearFit) else estimator.fit(train)
+
+    return list(zip([v for v, _ in estimators], side_by_side(fit, [e for _, e in estimators], parallelism)))
 
 
 def score_variants(test: DataFrame, fitted: Sequence[tuple[str, Model]], keys: Sequence[str]) -> DataFrame:
@@ -61,13 +75,15 @@ def walk_forward(
     skip_done: bool = True,
     impute_by: str = "year",
     exact_quantiles: bool = True,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Out-of-sample predictions ``(permno, date, ret, model, pred)``.
 
     For each year the preprocessing is fitted once on the years before (all of them, or the last
     ``window_years``) and shared by all variants. The panel is staged once, laid out by year, so a
     window reads only its own folders. With ``store`` every finished (model, year) is written there and,
-    unless ``skip_done`` is off, not fitted again by a later run.
+    unless ``skip_done`` is off, not fitted again by a later run. Windows do not depend on each other;
+    ``parallelism`` of them are fitted at the same time.
     """
     variants = default_variants() if variants is None else list(variants)
     spark = panel.sparkSession
@@ -86,23 +102,23 @@ def walk_forward(
         def filled(rows: DataFrame, which) -> DataFrame:
             return fill_from_sums(rows, continuous, sums.filter(which(year_of)), small, "date", impute_by) if continuous else rows
 
-        for year, left in todo.items():
-            if not left:
-                continue
+        def scored(year: int) -> DataFrame:
             first = -10_000 if window_years is None else year - window_years
 
-            def in_training(y, first=first, year=year):
+            def in_training(y):
                 return (y >= first) & (y < year)
 
             train = filled(staged.filter(in_training(F.col("_year"))), in_training)
-            test = filled(staged.filter(F.col("_year") == year), lambda y, year=year: y == year)
+            test = filled(staged.filter(F.col("_year") == year), lambda y: y == year)
             pre, prepared = fit_prepare(build_preprocessor(continuous, discrete, exact=exact_quantiles, impute=False), train)
-            fitted = fit_variants(prepared, feature_names(pre), left, label)
-            scored = score_variants(pre.transform(test.withColumn("ret", F.col(label).cast("double"))), fitted, keys)
+            fitted = fit_variants(prepared, feature_names(pre), todo[year], label, parallelism)
+            return score_variants(pre.transform(test.withColumn("ret", F.col(label).cast("double"))), fitted, keys)
+
+        for frame in side_by_side(scored, [y for y, left in todo.items() if left], parallelism):
             if store:
-                storage.write_predictions(scored, store)
+                storage.write_predictions(frame, store)
             else:
-                frames.append(scored)
+                frames.append(frame)
     if store:
         return storage.read_predictions(spark, store)
     return reduce(DataFrame.unionByName, frames)
@@ -125,6 +141,7 @@ def final_fit(
     label: str = "ret",
     folder: str | None = None,
     skip_saved: bool = True,
+    parallelism: int = 4,
 ) -> dict[str, PipelineModel]:
     """One pipeline per variant, fitted afresh on all rows before ``before_year``; saved if a folder is given."""
     variants = default_variants() if variants is None else list(variants)
@@ -136,7 +153,7 @@ def final_fit(
         rows = panel.filter(F.year("date") < before_year).filter(F.col(label).isNotNull())
         train = stage_table(rows.select(*dict.fromkeys(["permno", "date", label, *continuous, *discrete])))
         pre, prepared = fit_prepare(build_preprocessor(continuous, discrete), train)
-        for name, model in fit_variants(prepared, feature_names(pre), left, label):
+        for name, model in fit_variants(prepared, feature_names(pre), left, label, parallelism):
             parts = model.stages if isinstance(model, PipelineModel) else [model]
             models[name] = PipelineModel(stages=[*pre.stages, *parts])
             if folder:

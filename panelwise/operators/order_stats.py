@@ -26,14 +26,9 @@ ACCURACY = 10_000
 Ranks = Callable[[Column, Column], Sequence[Column]]
 
 
-def profile(values: DataFrame, by: Sequence[str], value: str, grid: int = GRID) -> tuple[DataFrame, bool]:
-    """Per group the number of rows ``n`` and of values ``m`` and a sketch of the distribution, in one pass."""
-    points = [i / grid for i in range(grid + 1)]
-    v = F.col(value).cast("double")
-    cells = values.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.count(v).alias("m"), F.percentile_approx(v, points, ACCURACY).alias("_grid")
-    )
-    return pocket(cells, row_size=64 + 16 * (grid + 2))
+def group_sizes(values: DataFrame, by: Sequence[str], value: str) -> tuple[DataFrame, bool]:
+    """Rows ``n`` and non-missing values ``m`` per group."""
+    return pocket(values.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("m")))
 
 
 def order_statistics(
@@ -43,7 +38,7 @@ def order_statistics(
     ranks: Ranks,
     direct_rows: int | None = None,
     grid: int = GRID,
-    profiled: tuple[DataFrame, bool] | None = None,
+    sizes: tuple[DataFrame, bool] | None = None,
 ) -> DataFrame:
     """The values at the wanted ranks of every group.
 
@@ -53,14 +48,16 @@ def order_statistics(
     """
     by = list(by)
     narrow = values.select(*by, F.col(value).cast("double").alias("_v"))
-    cells, small = profile(narrow, by, "_v", grid) if profiled is None else profiled
+    cells, small = group_sizes(narrow, by, "_v") if sizes is None else sizes
     wanted = [r.cast("long") for r in ranks(F.col("n"), F.col("m"))]
     slots = range(len(wanted))
     cells = cells.withColumn("ranks", F.array(*wanted))
     total = cells.agg(F.sum("n")).first()[0] or 0
     if total <= (DIRECT_ROWS if direct_rows is None else direct_rows):
         return pocket(_pick_directly(narrow, cells, small, by, slots))[0]
-    cells = _with_brackets(cells, grid)
+    points = [i / grid for i in range(grid + 1)]
+    sketch = narrow.groupBy(*by).agg(F.percentile_approx("_v", points, ACCURACY).alias("_grid"))
+    cells, small = pocket(_with_brackets(cells.join(sketch, by), grid))
     found = pocket(_pick_in_brackets(narrow, cells, small, by, slots))[0]
     if found.filter(F.exists("_hit", lambda h: ~h)).limit(1).count():
         return pocket(_pick_directly(narrow, cells, small, by, slots))[0]

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from panelwise.functions.columns import ratio, to_long
-from panelwise.operators.order_stats import order_statistics, profile
-from panelwise.runtime import lookup_join
+from panelwise.operators.order_stats import group_sizes, order_statistics
+from panelwise.runtime import lookup_join, pocket
 
 LONG_SHORT = "LS"
 # The largest group that may be ranked by one task.
@@ -45,8 +45,8 @@ def assign_bins(
     so a group needs only ``nport - 1`` cut values; the rows themselves are then neither shuffled nor
     sorted but compared with the cuts of their group.
     """
-    profiled = profile(predictions, by, pred)
-    largest = profiled[0].agg(F.max("n")).first()[0] or 0
+    sizes = group_sizes(predictions, by, pred)
+    largest = sizes[0].agg(F.max("n")).first()[0] or 0
     if largest <= (WINDOW_ROWS if window_rows is None else window_rows):
         group = Window.partitionBy(*by)
         rank = F.rank().over(group.orderBy(F.col(pred).asc_nulls_last()))
@@ -58,7 +58,7 @@ def assign_bins(
     def ranks(n: Column, m: Column) -> list[Column]:
         return [F.floor(F.lit(b - 1) * (n + 1) / F.lit(nport)) for b in range(2, nport + 1)]
 
-    found = order_statistics(predictions, by, pred, ranks, direct_rows, profiled=profiled)
+    found = order_statistics(predictions, by, pred, ranks, direct_rows, sizes=sizes)
     cuts = found.select(*by, "ranks", F.col("stats").alias("_cuts"))
     # A rank of 0 is exceeded by every value, a rank above m by none.
     cuts = cuts.withColumn(
@@ -109,7 +109,11 @@ def long_short(stats: DataFrame, strict: bool = False, nport: int = 5) -> DataFr
 
 
 def portfolio_returns(stats: DataFrame, strict: bool = False, nport: int = 5) -> DataFrame:
-    """All portfolio return series in one long table, the long-short series as ``bin = 'LS'``."""
+    """All portfolio return series in one long table, the long-short series as ``bin = 'LS'``.
+
+    The statistics are computed here, once: the series tables built from the result read them many times.
+    """
+    stats, _ = pocket(stats)
     each = stats.select("model", F.col("bin").cast("string").alias("bin"), "date", "ret")
     spread = long_short(stats, strict, nport).select("model", F.lit(LONG_SHORT).alias("bin"), "date", "ret")
     return each.unionByName(spread)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from panelwise.functions.dates import month_anchor
 from panelwise.operators import portfolio, series
 from panelwise.operators.portfolio import predictions_long
+from panelwise.runtime import stage_table
 
 # Which signal stands in for which model's prediction.
 MODEL_SIGNALS = {"Ridge": "sig_qty", "Lasso": "sig_step", "LassoCV": "sig_tax", "mlp-64-32": "sig_price"}
@@ -100,8 +101,11 @@ def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(permno, date, ret, model, pred)`` in decimals, one signal standing in for each model."""
-    p = panel(spark, sf_dir)
+    """``(permno, date, ret, model, pred)`` in decimals, one signal standing in for each model.
+
+    Sorting reads its input more than once, so the aggregated panel is staged.
+    """
+    p = stage_table(panel(spark, sf_dir).select("permno", "date", "ret", *MODEL_SIGNALS.values()))
     wide = p.select("permno", "date", (F.col("ret") / 100).alias("ret"), *[(F.col(s) / 100).alias(f"pred_{m}") for m, s in MODEL_SIGNALS.items()])
     return predictions_long(wide)
 
@@ -120,7 +124,7 @@ def portfolio_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zoo_portfolios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(signalname, port, date, ret)`` in percent: portfolios sorted on each single signal."""
-    p = panel(spark, sf_dir)
+    p = stage_table(panel(spark, sf_dir).select("permno", "date", "ret", *SIGNALS))
     wide = p.select("permno", "date", "ret", *[F.col(s).alias(f"pred_{s}") for s in SIGNALS])
     sorted_on = portfolio.assign_bins(predictions_long(wide))
     rets = portfolio.portfolio_returns(portfolio.portfolio_stats(sorted_on))
