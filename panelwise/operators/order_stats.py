@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panelwise.runtime import lookup_join, pocket, settle
+from panelwise.runtime import lookup_join, pocket, stage_table
 
 # Up to this many rows in total, all distinct values are sorted directly: one shuffle, no sketch.
 DIRECT_ROWS = 20_000_000
-GRID = 1000
-ACCURACY = 10_000
+GRID = 500
+ACCURACY = 2_500
 
 Ranks = Callable[[Column, Column], Sequence[Column]]
 
@@ -118,7 +118,7 @@ def _pick_in_brackets(narrow: DataFrame, cells: DataFrame, small: bool, by: list
         seg = seg + (F.col("_v") > high).cast("int")
     # Values outside every bracket share one NULL row per segment, below the segment's kept values.
     present = present.select(*by, seg.alias("_seg"), F.when(inside, F.col("_v")).alias("_w"))
-    running = settle(_running(present, [*by, "_seg"]))
+    running = stage_table(_running(present, [*by, "_seg"]))
     sizes = running.groupBy(*by, "_seg").agg(F.sum("_c").alias("_size"))
     before = Window.partitionBy(*by).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*by, "_seg", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))

@@ -18,7 +18,7 @@ from panelwise.operators.panel import join_factors
 from panelwise.plans import oracle_parts as sql
 from panelwise.plans import tables
 from panelwise.plans.registry import day, num, nums, query, shown
-from panelwise.runtime import settle
+from panelwise.runtime import stage_table
 
 YEARS = (1999, 2000, 2001)
 _THREE = ("sig_qty", "sig_tax", "sig_price")
@@ -230,7 +230,7 @@ def walk_forward_portfolios(spark, sf_dir):
     """The whole chain: features, out-of-sample predictions, bins, long-short returns and their metrics."""
     found = walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS, [("Ridge", "Ridge", {})])
     decimal = found.withColumns({"ret": F.col("ret") / 100, "pred": F.col("pred") / 100})
-    rets = portfolio.portfolio_returns(portfolio.portfolio_stats(portfolio.assign_bins(settle(decimal))))
+    rets = portfolio.portfolio_returns(portfolio.portfolio_stats(portfolio.assign_bins(stage_table(decimal))))
     return shown(series.model_metrics(rets), 6)
 
 

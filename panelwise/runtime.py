@@ -37,16 +37,11 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into a reliable checkpoint, so later uses neither recompute nor drift."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage_table(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back, optionally laid out by a column.
+    """Compute ``df`` once into a Parquet table on the shared folder, optionally laid out by a column.
 
-    Preferred over :func:`settle` for row-level tables: later scans prune columns and partitions.
+    Cuts the lineage like a checkpoint, but computes the rows only once and lets later reads prune
+    columns and folders.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
@@ -75,14 +70,14 @@ def pocket(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool
     """``df`` computed once, and whether it is small.
 
     At most one row more than the broadcast bound is fetched. If that suffices, the result is a local
-    table without lineage, ready to be broadcast; otherwise the table is settled on the shared folder.
+    table without lineage, ready to be broadcast; otherwise the table is staged on the shared folder.
     """
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     rows = max(limit // row_bytes(df.schema), 1)
     head = df.limit(rows + 1).toArrow()
     if head.num_rows <= rows:
         return df.sparkSession.createDataFrame(head, df.schema), True
-    return settle(df), False
+    return stage_table(df), False
 
 
 def lookup_join(
