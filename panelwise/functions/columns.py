@@ -84,3 +84,12 @@ def check_case_collisions(df: DataFrame) -> DataFrame:
 def to_long(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
     """Melt the named columns into (name, value) rows."""
     return df.unpivot([col(c) for c in ids], [col(c) for c in columns], name, value)
+
+
+def by_position(df: DataFrame, values: Sequence[Column], position: str = "position", value: str = "value") -> DataFrame:
+    """One row per value and row: the position of the value in the list, and the value.
+
+    For statistics over hundreds of columns: a plan with two narrow columns stays in compiled code,
+    where one aggregate per wide column would not.
+    """
+    return df.select(F.posexplode(F.array(*values)).alias(position, value))

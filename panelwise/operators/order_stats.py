@@ -43,7 +43,7 @@ def order_statistics(
     """The values at the wanted ranks of every group.
 
     ``ranks(n, m)`` returns rank columns (1-based, ascending order of rank) from the number of rows
-    ``n`` and of non-missing values ``m``. The result has the columns ``by``, ``n``, ``m``, ``ranks``
+    ``n`` and of non-missing values ``m``; pass ``sizes`` if these are known already. The result has the columns ``by``, ``n``, ``m``, ``ranks``
     (array) and ``stats`` (array; NULL where a rank lies outside 1..m) and is already computed.
     """
     by = list(by)
@@ -141,6 +141,7 @@ def exact_quantiles(
     probs: Sequence[float],
     direct_rows: int | None = None,
     grid: int = GRID,
+    sizes: tuple[DataFrame, bool] | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group: ``by``, ``n``, ``m``, ``quantiles`` (array in the order of ``probs``)."""
     ordered = sorted(range(len(probs)), key=lambda i: probs[i])
@@ -152,7 +153,7 @@ def exact_quantiles(
             out += [below + 1, F.least(below + 2, m)]
         return out
 
-    found = order_statistics(values, by, value, ranks, direct_rows, grid)
+    found = order_statistics(values, by, value, ranks, direct_rows, grid, sizes)
     quantiles: list[Column | None] = [None] * len(probs)
     for slot, i in enumerate(ordered):
         spot = (F.col("m") - 1) * F.lit(float(probs[i]))

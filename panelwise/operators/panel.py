@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panelwise.functions.columns import check_case_collisions, move_to_front, nan_to_null, to_long
+from panelwise.functions.columns import by_position, check_case_collisions, move_to_front, nan_to_null
 from panelwise.functions.dates import anchor_month, shift_period, yyyymm_anchor
 from panelwise.runtime import col, guard_unique, key_duplicates, lookup_join
 
@@ -51,10 +51,11 @@ def kept_rows(df: DataFrame, min_share: float = 0.1) -> DataFrame:
 
 
 def null_shares(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(column, null_share)`` of the named columns from one aggregate over the table."""
+    """``(column, null_share)`` of the named columns, from one pass over the table."""
     names = df.columns if columns is None else list(columns)
-    one = df.agg(*[F.avg(col(c).isNull().cast("int")).alias(c) for c in names])
-    return to_long(one, [], names, "column", "null_share")
+    marks = by_position(df, [col(c).isNull().cast("int") for c in names])
+    shares = marks.groupBy("position").agg(F.avg("value").alias("null_share"))
+    return shares.select(F.get(F.array(*[F.lit(c) for c in names]), F.col("position")).alias("column"), "null_share")
 
 
 def sparse_columns(df: DataFrame, max_null_share: float = 0.9, columns: Sequence[str] | None = None) -> list[str]:

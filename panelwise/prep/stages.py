@@ -16,11 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwise.functions.columns import clip, to_long
+from panelwise.functions.columns import by_position, clip, to_long
+from panelwise.functions.dates import ANCHOR_DAY
 from panelwise.operators.order_stats import exact_quantiles
 from panelwise.runtime import col, lookup_join, pocket
 
 MAX_LEVELS = 10_000
+# The most period means that may travel inside the plan instead of being joined.
+MAX_CONSTANTS = 50_000
 
 
 class _Stage(HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -45,12 +48,44 @@ def fill_from_sums(df: DataFrame, columns: Sequence[str], sums: DataFrame, small
     slots = range(len(columns))
     totals = sums.agg(*[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(f"_m{i}") for i in slots]).first()
     fallback = [0.0 if m is None else m for m in totals]
+    if small:
+        filled = _fill_from_constants(df, columns, sums, fallback, date, by)
+        if filled is not None:
+            return filled
     means = [F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col(f"_c{i}").cast("double")), F.lit(fallback[i])).alias(f"_f{i}") for i in slots]
     joined = lookup_join(df.withColumn("_period", period_of(date, by)), sums.select("_period", *means), ["_period"], "left", pocketed=small)
     filled = joined.withColumns({c: F.coalesce(col(c), F.col(f"_f{i}")) for i, c in enumerate(columns)})
     return filled.select(*[col(c) for c in df.columns])
 
 
+def _fill_from_constants(
+    df: DataFrame, columns: Sequence[str], sums: DataFrame, fallback: Sequence[float], date: str, by: str
+) -> DataFrame | None:
+    """The same fill with the means as constant arrays indexed by year or day, or nothing if there would be too many.
+
+    Joining the means would drag a second copy of every wide column through the join.
+    """
+    known = sums.filter(F.col("_period").isNotNull())
+    position = F.col("_period") if by == "year" else F.year("_period") * 12 + F.month("_period") - 1
+    placed = known.withColumn("_at", position)
+    if by == "date" and known.filter(F.dayofmonth("_period") != ANCHOR_DAY).limit(1).count():
+        return None
+    rows = placed.orderBy("_at").collect()
+    if not rows or (rows[-1]["_at"] - rows[0]["_at"] + 1) * len(columns) > MAX_CONSTANTS:
+        return None
+    start = rows[0]["_at"]
+    period = F.year(date) if by == "year" else F.when(F.dayofmonth(date) == ANCHOR_DAY, F.year(date) * 12 + F.month(date) - 1)
+    fills = {}
+    for i, c in enumerate(columns):
+        means = [fallback[i]] * (rows[-1]["_at"] - start + 1)
+        for r in rows:
+            if r[f"_c{i}"]:
+                means[r["_at"] - start] = r[f"_s{i}"] / r[f"_c{i}"]
+        constants = F.split(F.lit(",".join(map(repr, means))), ",").cast("array<double>")
+        fills[c] = F.coalesce(col(c), F.get(constants, period - F.lit(start)))
+    return df.withColumns(fills)
+
+
 class CrossSectionalImputer(_Stage, Transformer):
     """Fill a missing value with its column's mean in the same year (or month) of the frame at hand.
 
@@ -100,9 +135,13 @@ class Winsorizer(_Stage, Estimator):
         names = self.getInputCols()
         probs = [self.getOrDefault("lower"), self.getOrDefault("upper")]
         if self.getOrDefault("exact"):
-            values = to_long(df.select(*[col(c).cast("double").alias(c) for c in names]), [], names, "_column", "_value")
-            found = {r["_column"]: r["quantiles"] for r in exact_quantiles(values, ["_column"], "_value", probs).collect()}
-            bounds = [found.get(c, [None, None]) for c in names]
+            values = by_position(df, [col(c).cast("double") for c in names])
+            # Counting the wide columns is cheaper than counting their long form.
+            counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(col(c)).alias(f"_c{i}") for i, c in enumerate(names)]).first()
+            rows = [(i, counts["n"], counts[f"_c{i}"]) for i in range(len(names))]
+            sizes = df.sparkSession.createDataFrame(rows, "position int, n long, m long"), True
+            found = {r["position"]: r["quantiles"] for r in exact_quantiles(values, ["position"], "value", probs, sizes=sizes).collect()}
+            bounds = [found[i] for i in range(len(names))]
         else:
             one = df.agg(*[F.percentile_approx(col(c).cast("double"), probs, 100_000).alias(f"_q{i}") for i, c in enumerate(names)]).first()
             bounds = [q or [None, None] for q in one]
@@ -135,10 +174,11 @@ class PopScaler(_Stage, Estimator):
 
     def _fit(self, df: DataFrame) -> PopScalerModel:
         names = self.getInputCols()
-        moments = [e for i, c in enumerate(names) for e in (F.avg(col(c)).alias(f"_m{i}"), F.stddev_pop(col(c)).alias(f"_d{i}"))]
-        one = df.agg(*moments).first()
-        means = [one[f"_m{i}"] or 0.0 for i in range(len(names))]
-        spreads = [one[f"_d{i}"] or 0.0 for i in range(len(names))]
+        values = by_position(df, [col(c).cast("double") for c in names])
+        moments = values.groupBy("position").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("spread"))
+        found = {r["position"]: r for r in moments.collect()}
+        means = [found[i]["mean"] or 0.0 if i in found else 0.0 for i in range(len(names))]
+        spreads = [found[i]["spread"] or 0.0 if i in found else 0.0 for i in range(len(names))]
         # Filling a constant column with its own mean can leave rounding dust.
         scales = [d if d > 1e-12 * abs(m) else 1.0 for m, d in zip(means, spreads)]
         return PopScalerModel(inputCols=names, means=means, scales=scales)

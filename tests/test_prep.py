@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from panelwise.prep import stages
 from panelwise.prep.pipeline import build_preprocessor, column_routes, feature_names, fit_prepare, route_columns
 from panelwise.prep.stages import CrossSectionalImputer, ModeImputer, OneHot, PopScaler, Winsorizer
 
@@ -38,6 +39,17 @@ def test_imputer_fallbacks(frame):
         CrossSectionalImputer(inputCols=["q"]).transform(frame)
 
 
+@pytest.mark.parametrize("by", ["year", "date"])
+def test_constants_and_join_fill_alike(frame, monkeypatch, by):
+    ways = []
+    for limit in (50_000, 0):
+        monkeypatch.setattr(stages, "MAX_CONSTANTS", limit)
+        ways.append(CrossSectionalImputer(inputCols=["x", "y", "z"], by=by).transform(frame).orderBy("id").collect())
+    assert ways[0] == ways[1]
+    daily = frame.withColumn("date", F.date_add("date", 1))
+    assert CrossSectionalImputer(inputCols=["x"], by="date").transform(daily).filter("x is null").count() == 0
+
+
 @pytest.mark.parametrize("exact", [True, False])
 def test_winsorizer(spark, exact):
     values = [float(v) for v in range(1000)]
@@ -80,8 +92,7 @@ def test_routes_follow_the_documentation(spark):
 
 def test_pipeline_learns_from_training_only_and_survives_saving(spark, frame, tmp_path):
     train = frame.withColumn("k", F.when(F.col("id") < 3, "p").otherwise("q"))
-    stages = build_preprocessor(["x", "y"], ["k"])
-    fitted, prepared = fit_prepare(stages, train)
+    fitted, prepared = fit_prepare(build_preprocessor(["x", "y"], ["k"]), train)
     names = feature_names(fitted)
     assert names == ["x", "y", "k_p", "k_q"]
     assert {tuple(r) for r in column_routes(fitted).collect()} == {("numbers", "x"), ("numbers", "y"), ("categoricals", "k")}
