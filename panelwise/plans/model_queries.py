@@ -67,31 +67,45 @@ def prepared_sql(features: Sequence[str], discrete: Mapping[str, Sequence[str]]
     ]
 
 
-def orthogonal_sql(k: int, ridge: float = 0.0) -> list[str]:
-    """``predicted(permno, date, ret, pred)`` of least squares, or of ridge as least squares with k extra training rows."""
-    xs = [f"x{i}" for i in range(1, k + 1)]
+def orthogonal_sql(columns: Sequence[int], penalties: Sequence[float] = (0.0,), tag: str = "s") -> list[str]:
+    """``<tag>_solved(y, a, train, permno, date, ret, pred, t, h)``: fit, training residual and leverage per penalty a.
+
+    Ridge is least squares with one extra training row per feature, of size sqrt(a).
+    """
+    xs = [f"x{i}" for i in columns]
     centred = ", ".join(f"r.{x} - m.{x} as {x}" for x in xs)
+    extra = "".join(
+        f" union all select y, {a!r}, true, -1, null, null, 0.0e0, 0.0e0, 0.0e0, {', '.join(f'sqrt({a!r})' if x == e else '0.0e0' for x in xs)} from windows"
+        for a in penalties
+        if a
+        for e in xs
+    )
     steps = [
-        f"centre as (select y, avg(ret) as my, {', '.join(f'avg({x}) as {x}' for x in xs)} from ready where train group by y)",
-        f"s0 as (select r.y, r.train, r.permno, r.date, r.ret, m.my as pred, case when r.train then r.ret - m.my end as t, {centred} from ready r join centre m on m.y = r.y"
-        + "".join(
-            f" union all select y, true, -1, null, null, 0.0e0, 0.0e0, {', '.join('sqrt(' + repr(ridge) + ')' if x == e else '0.0e0' for x in xs)} from windows"
-            for e in (xs if ridge else [])
-        )
-        + ")",
+        f"{tag}_centre as (select y, avg(ret) as my, 1.0e0 / count(*) as h, {', '.join(f'avg({x}) as {x}' for x in xs)} from ready where train group by y)",
+        f"{tag}0 as (select r.y, p.a, r.train, r.permno, r.date, r.ret, m.my as pred, case when r.train then r.ret - m.my end as t, m.h, {centred} "
+        f"from ready r join {tag}_centre m on m.y = r.y cross join (select unnest([{', '.join(f'{a!r}e0' for a in penalties)}]) as a) p{extra})",
     ]
-    for j in range(1, k + 1):
-        x = f"x{j}"
-        norm = f"sum({x} * {x}) filter (train) over (partition by y)"
-        later = "".join(f", {v} - {x} * (sum({v} * {x}) filter (train) over (partition by y)) / {norm} as {v}" for v in xs[j:])
-        steps.append(
-            f"s{j} as (select y, train, permno, date, ret, pred + {x} * (sum(t * {x}) filter (train) over (partition by y)) / {norm} as pred, "
-            f"t - {x} * (sum(t * {x}) filter (train) over (partition by y)) / {norm} as t{later} from s{j - 1})"
-        )
-    steps.append(f"predicted as (select permno, date, ret, pred from s{k} where not train)")
+    for j, x in enumerate(xs, 1):
+        over = "over (partition by y, a)"
+        norm = f"sum({x} * {x}) filter (train) {over}"
+        later = "".join(f", {v} - {x} * (sum({v} * {x}) filter (train) {over}) / {norm} as {v}" for v in xs[j:])
+        slope = f"{x} * (sum(t * {x}) filter (train) {over}) / {norm}"
+        steps.append(f"{tag}{j} as (select y, a, train, permno, date, ret, pred + {slope} as pred, t - {slope} as t, h + {x} * {x} / {norm} as h{later} from {tag}{j - 1})")
+    steps.append(f"{tag}_solved as (select * from {tag}{len(xs)} where permno >= 0)")
     return steps
 
 
+def leave_one_out_sql(tag: str) -> list[str]:
+    """``<tag>_chosen(y, a)``: the penalty with the smallest leave-one-out error."""
+    return [
+        f"{tag}_errors as (select y, a, avg((t / (1 - h)) ^ 2) as e from {tag}_solved where train group by 1, 2)",
+        f"{tag}_chosen as (select y, a from {tag}_errors qualify row_number() over (partition by y order by e, a) = 1)",
+    ]
+
+
+_PREDICTED = "predicted as (select permno, date, ret, pred from s_solved where not train)"
+
+
 def _predictions_sql(parts: list[str], model: str) -> str:
     return sql.statement(parts, f"select permno, {day('date')}, {nums('ret', 'pred', digits=6)}, '{model}' as model from predicted")
 
@@ -100,12 +114,12 @@ def _forward(spark, sf_dir, variants, features=_THREE):
     return shown(walk_forward(tables.panel(spark, sf_dir), list(features), years=YEARS, variants=variants), 6)
 
 
-@query("walk_forward_ols", _predictions_sql([*prepared_sql(_THREE), *orthogonal_sql(3)], "OLS"))
+@query("walk_forward_ols", _predictions_sql([*prepared_sql(_THREE), *orthogonal_sql((1, 2, 3)), _PREDICTED], "OLS"))
 def walk_forward_ols(spark, sf_dir):
     return _forward(spark, sf_dir, [("OLS", "OLS", {})])
 
 
-@query("walk_forward_ridge", _predictions_sql([*prepared_sql(_THREE), *orthogonal_sql(3, 1.0)], "Ridge"))
+@query("walk_forward_ridge", _predictions_sql([*prepared_sql(_THREE), *orthogonal_sql((1, 2, 3), (1.0,)), _PREDICTED], "Ridge"))
 def walk_forward_ridge(spark, sf_dir):
     return _forward(spark, sf_dir, [("Ridge", "Ridge", {})])
 
@@ -168,8 +182,14 @@ def _full_panel(spark, sf_dir):
     return join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir))
 
 
-_ONE_LESS = {"disc_flag": ("'N'", "'R'"), "disc_line": ("1.0e0",)}
 _EVERY_LEVEL = {"disc_flag": ("'A'", "'N'", "'R'"), "disc_line": ("0.0e0", "1.0e0")}
+_READY = prepared_sql(_CONTINUOUS, _EVERY_LEVEL)
+_EVERY_X = tuple(range(1, 16))
+# Least squares cannot orthogonalise a full set of levels: the first level of each column (x11, x14) is left out.
+_SOLVABLE_X = tuple(x for x in _EVERY_X if x not in (11, 14))
+_OLS = orthogonal_sql(_SOLVABLE_X, tag="o")
+_RIDGE = orthogonal_sql(_EVERY_X, (1.0,), "r")
+_RIDGE_CV = [*orthogonal_sql(_EVERY_X, (0.1, 1.0, 10.0), "c"), *leave_one_out_sql("c")]
 
 
 def _all_features(spark, sf_dir, names):
@@ -177,21 +197,42 @@ def _all_features(spark, sf_dir, names):
     return shown(walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS, variants), 6)
 
 
-@query("walk_forward_ols_all", _predictions_sql([*prepared_sql(_CONTINUOUS, _ONE_LESS), *orthogonal_sql(13)], "OLS"))
+@query("walk_forward_ols_all", _predictions_sql([*_READY, *_OLS, _PREDICTED.replace("s_solved", "o_solved")], "OLS"))
 def walk_forward_ols_all(spark, sf_dir):
     """All features; with every one-hot level present the coefficients are not unique but the predictions are."""
     return _all_features(spark, sf_dir, ["OLS"])
 
 
-@query("walk_forward_ridge_all", _predictions_sql([*prepared_sql(_CONTINUOUS, _EVERY_LEVEL), *orthogonal_sql(15, 1.0)], "Ridge"))
+@query("walk_forward_ridge_all", _predictions_sql([*_READY, *_RIDGE, _PREDICTED.replace("s_solved", "r_solved")], "Ridge"))
 def walk_forward_ridge_all(spark, sf_dir):
     return _all_features(spark, sf_dir, ["Ridge"])
 
 
-@query("walk_forward_linear_all")
+@query(
+    "walk_forward_linear_all",
+    sql.statement(
+        [
+            *_READY,
+            *_OLS,
+            *_RIDGE,
+            *_RIDGE_CV,
+            "flat as (select y, avg(ret) as pred from ready where train group by y)",
+            "predicted as (select permno, date, ret, 'OLS' as model, pred from o_solved where not train "
+            "union all select permno, date, ret, 'Ridge', pred from r_solved where not train "
+            "union all select permno, date, ret, 'RidgeCV', pred from c_solved s join c_chosen c on c.y = s.y and c.a = s.a where not train "
+            "union all select permno, date, ret, 'Lasso', f.pred from ready r join flat f on f.y = r.y where not train)",
+        ],
+        f"select permno, {day('date')}, {nums('ret', 'pred', digits=6)}, model from predicted",
+    ),
+)
 def walk_forward_linear_all(spark, sf_dir):
-    """All five linear models on all features; one pass per window serves them all."""
-    return _all_features(spark, sf_dir, ["OLS", "Lasso", "Ridge", "LassoCV", "RidgeCV"])
+    """Four linear models on all features from one pass per window; the default lasso penalty leaves the mean."""
+    return _all_features(spark, sf_dir, ["OLS", "Lasso", "Ridge", "RidgeCV"])
+
+
+@query("walk_forward_lasso_cv_all")
+def walk_forward_lasso_cv_all(spark, sf_dir):
+    return _all_features(spark, sf_dir, ["LassoCV"])
 
 
 @query("walk_forward_gbt")
@@ -207,8 +248,9 @@ def walk_forward_mlp(spark, sf_dir):
 
 
 _CHAIN = [
-    *prepared_sql(_CONTINUOUS, _EVERY_LEVEL),
-    *orthogonal_sql(15, 1.0),
+    *_READY,
+    *_RIDGE,
+    _PREDICTED.replace("s_solved", "r_solved"),
     "ridge_predictions as (select permno, date, ret / 100 as ret, 'Ridge' as model, pred / 100 as pred from predicted)",
     sql.bins("ridge_predictions", "bins"),
     sql.stats("bins", "stats"),
