@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.models.gram import matrix_of
-from panelwise.runtime import col
+from panelwise.runtime import col, fewer_tasks
 
 CHUNK = 4096
 # Adam's decay rates and the smallest gain that counts as progress.
@@ -162,7 +162,7 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
             chunk, count, v = zip(*parts)
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunk, pa.int32()), "seen": pa.array(count), "v": pa.array(list(v), pa.list_(pa.float64()))})
 
-        parts = rows.mapInArrow(run_task, "chunk int, seen double, v array<double>")
+        parts = fewer_tasks(rows).mapInArrow(run_task, "chunk int, seen double, v array<double>")
         added = parts.groupBy("chunk").agg(F.sum("seen").alias("seen"), Summarizer.sum(array_to_vector("v")).alias("v"))
         after, score = flat.copy(), None
         for r in added.select("chunk", "seen", vector_to_array("v").alias("v")).collect():

@@ -12,6 +12,7 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwise.functions.columns import narrow_floats
 from panelwise.models.linear import LinearFit
 from panelwise.models.registry import build_model, default_variants
 from panelwise.prep.pipeline import build_preprocessor, feature_names, fit_prepare
@@ -76,6 +77,7 @@ def walk_forward(
     impute_by: str = "year",
     exact_quantiles: bool = True,
     parallelism: int = 4,
+    single_precision: bool = False,
 ) -> DataFrame:
     """Out-of-sample predictions ``(permno, date, ret, model, pred)``.
 
@@ -83,7 +85,7 @@ def walk_forward(
     ``window_years``) and shared by all variants. The panel is staged once, laid out by year, so a
     window reads only its own folders. With ``store`` every finished (model, year) is written there and,
     unless ``skip_done`` is off, not fitted again by a later run. Windows do not depend on each other;
-    ``parallelism`` of them are fitted at the same time.
+    ``parallelism`` of them are fitted at the same time. ``single_precision`` rounds the panel's doubles first.
     """
     variants = default_variants() if variants is None else list(variants)
     spark = panel.sparkSession
@@ -94,6 +96,7 @@ def walk_forward(
     if any(todo.values()):
         wanted = list(dict.fromkeys(["permno", "date", label, *continuous, *discrete]))
         laid_out = panel.filter(col(label).isNotNull()).select(*[col(c) for c in wanted], F.year("date").alias("_year"))
+        laid_out = narrow_floats(laid_out) if single_precision else laid_out
         staged = stage_table(laid_out.filter(F.col("_year") <= max(years)), "_year")
         # Filling by period learns nothing from other periods, so one pass over the panel serves all windows.
         sums, small = period_sums(staged, continuous, "date", impute_by) if continuous else (None, False)

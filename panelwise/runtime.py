@@ -80,6 +80,14 @@ def pocket(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool
     return stage_table(df), False
 
 
+def fewer_tasks(df: DataFrame, at_least: int = 2000) -> DataFrame:
+    """Let a task read several splits where every task hands back a whole matrix, so that fewer matrices are shuffled.
+
+    Four tasks per core known now, but never fewer than ``at_least``: executors may still be joining.
+    """
+    return df.coalesce(max(4 * df.sparkSession.sparkContext.defaultParallelism, at_least))
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,

@@ -103,3 +103,10 @@ def test_upsert_prefers_new_and_rejects_repeats(spark):
         store.upsert_predictions(new.unionByName(new), old).collect()
     wide = store.predictions_wide(old.unionByName(new.withColumn("model", F.lit("mlp-64-32"))), ["m", "mlp-64-32"])
     assert wide.columns == ["permno", "date", "ret", "pred_m", "pred_mlp-64-32"]
+
+
+def test_single_precision_changes_little(panel):
+    ridge = [("Ridge", "Ridge", {})]
+    a = as_dict(wf.walk_forward(panel, ["a", "b"], ["k"], [2003], ridge))
+    b = as_dict(wf.walk_forward(panel, ["a", "b"], ["k"], [2003], ridge, single_precision=True))
+    assert a != b and all(a[k] == pytest.approx(b[k], abs=1e-5) for k in a)
