@@ -114,7 +114,7 @@ def portfolio_returns(stats: DataFrame, strict: bool = False, nport: int = 5) ->
     The statistics are computed here, once: the series tables built from the result read them many times.
     """
     stats, _ = pocket(stats)
-    each = stats.select("model", F.col("bin").cast("string").alias("bin"), "date", "ret")
+    each = stats.filter(F.col("ret").isNotNull()).select("model", F.col("bin").cast("string").alias("bin"), "date", "ret")
     spread = long_short(stats, strict, nport).select("model", F.lit(LONG_SHORT).alias("bin"), "date", "ret")
     return each.unionByName(spread)
 

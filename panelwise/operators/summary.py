@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.functions.columns import numeric_columns, to_long
+from panelwise.functions.columns import by_position, numeric_columns
 from panelwise.operators.order_stats import exact_quantiles
 from panelwise.runtime import col
 
@@ -54,9 +54,10 @@ def column_moments(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 def describe_columns(df: DataFrame, columns: Sequence[str] | None = None, direct_rows: int | None = None) -> DataFrame:
     """``(column, count, mean, std, min, q25, q50, q75, max)`` with exact quartiles."""
     names = numeric_columns(df) if columns is None else list(columns)
-    values = to_long(df.select(*[col(c).cast("double").alias(c) for c in names]), [], names, "column", "_value")
-    quartiles = exact_quantiles(values, ["column"], "_value", [0.25, 0.5, 0.75], direct_rows)
-    quartiles = quartiles.select("column", *[F.get("quantiles", F.lit(i)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))])
+    values = by_position(df, [col(c).cast("double") for c in names])
+    quartiles = exact_quantiles(values, ["position"], "value", [0.25, 0.5, 0.75], direct_rows)
+    name = F.get(F.array(*[F.lit(c) for c in names]), F.col("position")).alias("column")
+    quartiles = quartiles.select(name, *[F.get("quantiles", F.lit(i)).alias(q) for i, q in enumerate(("q25", "q50", "q75"))])
     joined = column_moments(df, names).join(quartiles, "column", "left")
     return joined.select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 

@@ -11,7 +11,7 @@ from panelwise.operators import panel, portfolio, series, summary
 from panelwise.plans import oracle_parts as sql
 from panelwise.plans import tables
 from panelwise.plans.registry import day, num, nums, query, shown
-from panelwise.runtime import key_duplicates
+from panelwise.runtime import key_duplicates, stage_table
 from panelwise.sources import store
 
 _SIG = ("sig_qty", "sig_tax", "sig_price", "sig_rare")
@@ -207,7 +207,7 @@ def _describe_sql(c: str) -> str:
 
 @query("describe_predictions", sql.statement([sql.PANEL], " union all ".join(_describe_sql(c) for c in _DESCRIBED)))
 def describe_predictions(spark, sf_dir):
-    return shown(summary.describe_columns(tables.panel(spark, sf_dir), _DESCRIBED), 7)
+    return shown(summary.describe_columns(stage_table(tables.panel(spark, sf_dir).select(*_DESCRIBED)), _DESCRIBED), 7)
 
 
 @query(

@@ -14,13 +14,15 @@ from panelwise.plans import tables
 from panelwise.plans.registry import day, num, nums, query, shown
 from panelwise.prep.pipeline import build_preprocessor, column_routes, feature_names, fit_prepare, route_columns
 from panelwise.prep.stages import CrossSectionalImputer, ModeImputer, OneHot, PopScaler, Winsorizer
+from panelwise.runtime import stage_table
 
 _SIGNALS = ["sig_qty", "sig_tax", "sig_price", "sig_rare"]
 TRAIN_BEFORE = Date(2000, 1, 1)
 
 
 def _panel(spark, sf_dir, *more):
-    return tables.panel(spark, sf_dir).select("permno", "date", *_SIGNALS, *more)
+    """Fitting and applying a stage read the panel several times, so it is staged."""
+    return stage_table(tables.panel(spark, sf_dir).select("permno", "date", *(more or _SIGNALS)))
 
 
 def _train(df):
@@ -86,7 +88,7 @@ _MODES = "modes as (select " + ", ".join(
 
 @query("mode_impute", sql.statement([sql.PANEL, _MODES], f"select permno, {day('date')}, coalesce(disc_flag, disc_flag_mode) as disc_flag, coalesce(disc_line, disc_line_mode) as disc_line from panel cross join modes"))
 def mode_impute(spark, sf_dir):
-    p = tables.panel(spark, sf_dir).select("permno", "date", *_DISCRETE)
+    p = _panel(spark, sf_dir, *_DISCRETE)
     return shown(ModeImputer(inputCols=_DISCRETE).fit(_train(p)).transform(p))
 
 
@@ -99,7 +101,7 @@ _HOT = ", ".join(
 @query("one_hot_ignore", sql.statement([sql.PANEL], f"select permno, {day('date')}, {_HOT} from panel"))
 def one_hot_ignore(spark, sf_dir):
     """Learned without flag R, whose rows then get zeros in every flag column."""
-    p = tables.panel(spark, sf_dir).select("permno", "date", *_DISCRETE)
+    p = _panel(spark, sf_dir, *_DISCRETE)
     learned = p.withColumn("disc_flag", F.when(F.col("disc_flag") != "R", F.col("disc_flag")))
     return shown(OneHot(inputCols=_DISCRETE).fit(learned).transform(p).drop(*_DISCRETE))
 
@@ -132,7 +134,7 @@ _FILLED_TRAIN = "filled_train as (select coalesce(disc_flag, disc_flag_mode) as
 )
 def feature_matrix_columns(spark, sf_dir):
     """Which feature columns the fitted preprocessing produces, and how each is distributed in training."""
-    p = join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir))
+    p = stage_table(join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir)))
     continuous, discrete = route_columns(p, _doc(spark, sf_dir))
     fitted, prepared = fit_prepare(build_preprocessor(continuous, discrete), _train(p))
     names = feature_names(fitted)
@@ -146,6 +148,6 @@ def feature_matrix_columns(spark, sf_dir):
     + "".join(f" union all select 'categoricals', '{c}'" for c in _FILLED),
 )
 def routed_columns(spark, sf_dir):
-    p = join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir))
+    p = stage_table(join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir)))
     fitted, _ = fit_prepare(build_preprocessor(*route_columns(p, _doc(spark, sf_dir))), _train(p))
     return column_routes(fitted)

@@ -8,16 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwise.functions.columns import check_case_collisions, nan_to_null
+from panelwise.functions.columns import check_case_collisions, nan_to_null, to_long
 from panelwise.functions.dates import anchor_month
 from panelwise.operators.panel import merge_factors
+from panelwise.operators.portfolio import LONG_SHORT, predictions_long
 from panelwise.runtime import col
 
 # Names and units of the monthly factor table (percent).
 FACTOR_NAMES = ("mkt_excess", "SMB", "HML", "RMW", "CMA", "RF", "Mom")
 FACTOR_RENAMES = {"Mkt-RF": "mkt_excess", "Date": "date"}
-LONG_SHORT = "LS"
-
 RETURNS = T.StructType([T.StructField("permno", T.LongType()), T.StructField("date", T.DateType()), T.StructField("ret", T.DoubleType())])
 PORT_STATS = T.StructType(
     [
@@ -50,6 +49,10 @@ ZOO = T.StructType(
 SHOWN_TURNOVER = {"buy": "% buy", "sell": "% sell", "hold": "% hold"}
 
 
+def is_csv(path: str) -> bool:
+    return ".csv" in path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Parquet, or CSV with a header. A CSV needs a schema: nothing is inferred from data.
 
@@ -57,7 +60,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """
     if path.endswith(".zip"):
         raise ValueError(f"{path}: unpack zip archives before reading")
-    if ".csv" in path.rsplit("/", 1)[-1]:
+    if is_csv(path):
         if schema is None:
             raise ValueError(f"{path}: a CSV needs a schema")
         df = spark.read.csv(path, header=True, schema=schema, enforceSchema=False, nullValue="", dateFormat=date_format, mode="FAILFAST")
@@ -78,7 +81,7 @@ def read_returns(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd"
 
 def read_signals(spark: SparkSession, path: str, keys: Sequence[str] = ("permno", "yyyymm")) -> DataFrame:
     """The wide signal table: the keys as numbers, whatever else the header names as doubles."""
-    if ".csv" not in path.rsplit("/", 1)[-1]:
+    if not is_csv(path):
         return nan_to_null(check_case_collisions(spark.read.parquet(path)))
     types = {"permno": T.LongType(), "yyyymm": T.IntegerType()}
     names = check_case_collisions(spark.read.option("header", True).csv(path)).columns
@@ -89,7 +92,7 @@ def read_signals(spark: SparkSession, path: str, keys: Sequence[str] = ("permno"
 def read_factors(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Monthly factors, anchored to the month."""
     schema = None
-    if ".csv" in path.rsplit("/", 1)[-1]:
+    if is_csv(path):
         types = {"date": T.DateType(), "Date": T.DateType(), "_merge": T.StringType()}
         schema = T.StructType([T.StructField(c, types.get(c, T.DoubleType())) for c in csv_columns(spark, path)])
     return anchor_month(read_table(spark, path, schema, date_format).withColumnsRenamed(FACTOR_RENAMES))
@@ -105,7 +108,7 @@ def combine_factors(five: DataFrame, momentum: DataFrame, provenance: bool = Fal
 
 def read_signal_doc(spark: SparkSession, path: str) -> DataFrame:
     """``(Acronym, Cat.Form)``, distinct."""
-    if ".csv" in path.rsplit("/", 1)[-1]:
+    if is_csv(path):
         names = csv_columns(spark, path)
         doc = spark.read.csv(path, header=True, schema=T.StructType([T.StructField(c, T.StringType()) for c in names]), multiLine=True, escape='"')
     else:
@@ -127,16 +130,40 @@ def zoo_returns_wide(portfolios: DataFrame, signals: Sequence[str] | None = None
     return pivot.agg(F.first("ret"))
 
 
-def read_portfolio_outputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def read_wide(spark: SparkSession, path: str, whole: Sequence[str] = ("permno",)) -> DataFrame:
+    """A wide table of series or predictions: a ``date``, whole-number keys, and doubles for whatever else the header names."""
+    schema = None
+    if is_csv(path):
+        types = {"date": T.DateType(), **{c: T.LongType() for c in whole}}
+        schema = T.StructType([T.StructField(c, types.get(c, T.DoubleType())) for c in csv_columns(spark, path)])
+    return read_table(spark, path, schema)
+
+
+def read_predictions_wide(spark: SparkSession, path: str) -> DataFrame:
+    """``(permno, date, ret, model, pred)`` from a table with one ``pred_<model>`` column per model."""
+    return predictions_long(read_wide(spark, path))
+
+
+def read_zoo_wide(spark: SparkSession, path: str) -> DataFrame:
+    """``(signalname, date, ret)`` from a table with one column per signal."""
+    wide = anchor_month(read_wide(spark, path))
+    return to_long(wide, ["date"], [c for c in wide.columns if c != "date"], "signalname", "ret").select("signalname", "date", "ret")
+
+
+def read_portfolio_outputs(spark: SparkSession, folder: str, csv: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(returns_wide, port_stats_tall, turnover)`` as written by :func:`write_portfolio_outputs`."""
-    wide, stats, moves = (spark.read.parquet(f"{folder}/{n}") for n in ("returns_wide", "port_stats_tall", "turnover"))
+    end = ".csv" if csv else ""
+    wide = read_wide(spark, f"{folder}/returns_wide{end}")
+    stats = read_table(spark, f"{folder}/port_stats_tall{end}", PORT_STATS if csv else None)
+    moves = read_table(spark, f"{folder}/turnover{end}", TURNOVER if csv else None)
     return wide, stats, moves.withColumnsRenamed({shown: c for c, shown in SHOWN_TURNOVER.items()})
 
 
-def write_portfolio_outputs(folder: str, returns_wide: DataFrame, stats: DataFrame, moves: DataFrame) -> None:
-    write_table(returns_wide, f"{folder}/returns_wide")
-    write_table(stats, f"{folder}/port_stats_tall")
-    write_table(moves.withColumnsRenamed(SHOWN_TURNOVER), f"{folder}/turnover")
+def write_portfolio_outputs(folder: str, returns_wide: DataFrame, stats: DataFrame, moves: DataFrame, csv: bool = False) -> None:
+    end = ".csv" if csv else ""
+    write_table(returns_wide, f"{folder}/returns_wide{end}")
+    write_table(stats, f"{folder}/port_stats_tall{end}")
+    write_table(moves.withColumnsRenamed(SHOWN_TURNOVER), f"{folder}/turnover{end}")
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -144,7 +171,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path.rstrip("/").endswith(".csv"):
+    if is_csv(path):
         writer.csv(path, header=True)
     else:
         writer.parquet(path)

@@ -52,6 +52,7 @@ def test_wide_and_back(moves):
     wide = portfolio.returns_wide(rets)
     assert set(wide.columns) == {"date", "ret_m_bin1", "ret_m_bin2", "ret_m_binLS", "ret_flat_bin1", "ret_flat_binLS"}
     back = {(r["model"], r["bin"], r["date"]): r["ret"] for r in portfolio.returns_long(wide).collect()}
+    assert not rets.filter("ret is null and bin <> 'LS'").count()
     for r in rets.collect():
         assert back[r["model"], r["bin"], r["date"]] == r["ret"]
 

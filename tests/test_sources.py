@@ -52,6 +52,8 @@ def test_outputs_round_trip(spark, tmp_path):
     tables.write_portfolio_outputs(folder, wide, stats, moves)
     back = tables.read_portfolio_outputs(spark, folder)
     assert [b.collect() for b in back] == [wide.collect(), stats.collect(), moves.collect()]
+    tables.write_portfolio_outputs(folder + "-csv", wide, stats, moves, csv=True)
+    assert [b.collect() for b in tables.read_portfolio_outputs(spark, folder + "-csv", csv=True)] == [b.collect() for b in back]
     assert "% buy" in spark.read.parquet(f"{folder}/turnover").columns
     tables.write_table(stats, f"{folder}/stats.csv")
     assert tables.read_table(spark, f"{folder}/stats.csv", tables.PORT_STATS).collect() == stats.collect()
@@ -66,6 +68,13 @@ def test_prediction_store_replaces_only_what_it_gets(spark, tmp_path):
     assert store.finished_models(spark, path) == ["a", "b"] and store.finished_models(spark, path + "-none") == []
 
 
+def test_wide_files(spark, tmp_path):
+    preds = tables.read_predictions_wide(spark, write(tmp_path / "p.csv", "permno,date,ret,pred_Ridge,pred_mlp-64-32\n1,2000-01-28,0.5,0.1,\n"))
+    assert sorted(map(tuple, preds.collect()), key=str) == [(1, date(2000, 1, 28), 0.5, "Ridge", 0.1), (1, date(2000, 1, 28), 0.5, "mlp-64-32", None)]
+    zoo = tables.read_zoo_wide(spark, write(tmp_path / "z.csv", "date,BM,Size\n2000-01-31,1.5,\n"))
+    assert {tuple(r) for r in zoo.collect()} == {("BM", date(2000, 1, 28), 1.5), ("Size", date(2000, 1, 28), None)}
+
+
 def test_display_text(spark):
     one = spark.createDataFrame([(0.1234, None)], "a double, b double")
     got = one.select(tables.percent_text(F.col("a")), tables.percent_text(F.col("b")), tables.number_text(F.col("a"), 2, True)).first()
