@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from panelwise.functions.columns import ratio, to_long
+from panelwise.functions.columns import float_columns, nan_to_null, ratio, to_long
 from panelwise.operators.order_stats import group_sizes, order_statistics
 from panelwise.runtime import lookup_join, pocket
 
@@ -45,6 +45,7 @@ def assign_bins(
     so a group needs only ``nport - 1`` cut values; the rows themselves are then neither shuffled nor
     sorted but compared with the cuts of their group.
     """
+    predictions = nan_to_null(predictions, [pred]) if pred in float_columns(predictions) else predictions
     sizes = group_sizes(predictions, by, pred)
     largest = sizes[0].agg(F.max("n")).first()[0] or 0
     if largest <= (WINDOW_ROWS if window_rows is None else window_rows):
@@ -146,13 +147,15 @@ def previous_in_entity(
 ) -> DataFrame:
     """The value of the entity's previous row; with ``calendar=True`` only if that row is last month's.
 
-    (entity, date) must be a key: an entity's window then holds one row per month at most.
+    (entity, date) must be a key, else the job fails: an entity's window then holds one row per month at most.
     """
     w = Window.partitionBy(*entity).orderBy(date)
+    day_before = F.lag(date, 1).over(w)
     before = F.lag(column, 1).over(w)
     if calendar:
-        before = F.when(F.lag(date, 1).over(w) == F.add_months(date, -1), before)
-    return df.withColumn(out, before)
+        before = F.when(day_before == F.add_months(date, -1), before)
+    repeated = F.raise_error(F.lit(f"duplicate key ({', '.join([*entity, date])})")).cast(df.schema[column].dataType)
+    return df.withColumn(out, F.when(day_before == F.col(date), repeated).otherwise(before))
 
 
 def turnover(bins: DataFrame, nport: int = 5, entity: str = "permno", calendar: bool = False) -> DataFrame:

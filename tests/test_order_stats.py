@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelwise import runtime
 from panelwise.operators import order_stats
 from panelwise.operators.order_stats import exact_quantiles, order_statistics
 from panelwise.operators.portfolio import assign_bins
@@ -88,3 +89,20 @@ def test_bins_by_definition(spark, window_rows, direct_rows, nport):
     got = {r["id"]: r["bin"] for r in assign_bins(df, nport, ["date"], "pred", window_rows, direct_rows).collect()}
     want = {i: b for p in groups.values() for i, b in expected_bins(p, nport).items()}
     assert got == want
+
+
+def test_not_a_number_is_missing(spark):
+    df = spark.createDataFrame([("d", 1, 1.0), ("d", 2, float("nan")), ("d", 3, 2.0)], "date string, id long, pred double")
+    got = {r["id"]: r["bin"] for r in assign_bins(df, 2, ["date"]).collect()}
+    assert got == {1: 1, 2: None, 3: 1}
+
+
+@pytest.mark.parametrize("direct_rows", [None, 0])
+def test_nothing_small_enough_to_broadcast(spark, monkeypatch, direct_rows):
+    """Every lookup exceeds the bound: staged tables and salted joins give the same bins."""
+    rows = [(f"d{i % 40}" if i % 3 else "hot", i, float((i * 37) % 101)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "date string, id long, pred double")
+    want = {r["id"]: r["bin"] for r in assign_bins(df, 5, ["date"]).collect()}
+    monkeypatch.setattr(runtime, "MAX_BROADCAST_BYTES", 500)
+    got = {r["id"]: r["bin"] for r in assign_bins(df, 5, ["date"], window_rows=0, direct_rows=direct_rows).collect()}
+    assert got == want

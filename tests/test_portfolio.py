@@ -99,6 +99,11 @@ def test_turnover_rejects_bins_beyond_nport(moves):
         portfolio.turnover(moves, 1).collect()
 
 
+def test_turnover_rejects_repeated_firms(moves):
+    with pytest.raises(Exception, match="duplicate key"):
+        portfolio.turnover(moves.unionByName(moves.limit(1)), 2).collect()
+
+
 def test_average_turnover(moves):
     t = portfolio.turnover(moves, 2)
     means = {(r["model"], r["bin"]): r["hold"] for r in portfolio.average_turnover(t, 2).collect()}
