@@ -4,8 +4,8 @@ Ranking a month's predictions or taking a column's quantile by a window would pu
 executor. Here a first pass takes a mergeable sketch per group; it only says *where to look*. A
 second pass keeps the values inside the narrow brackets around the wanted ranks and merely counts
 all others, so a group of any size shrinks to a few thousandths before it is sorted, and equal values
-have been merged into one row by then. The result is exact; the sketch's error only widens the
-brackets, and a bracket that misses is detected and answered without brackets.
+have been merged into one row by then. The result is exact: whether a bracket holds the wanted rank is
+checked by the counts, and the groups of brackets that missed are done again.
 """
 
 from __future__ import annotations
@@ -39,12 +39,15 @@ def order_statistics(
     direct_rows: int | None = None,
     grid: int = GRID,
     sizes: tuple[DataFrame, bool] | None = None,
+    guide: DataFrame | None = None,
 ) -> DataFrame:
     """The values at the wanted ranks of every group.
 
     ``ranks(n, m)`` returns rank columns (1-based, ascending order of rank) from the number of rows
-    ``n`` and of non-missing values ``m``; pass ``sizes`` if these are known already. The result has the columns ``by``, ``n``, ``m``, ``ranks``
-    (array) and ``stats`` (array; NULL where a rank lies outside 1..m) and is already computed.
+    ``n`` and of non-missing values ``m``; pass ``sizes`` if these are known already. ``guide`` may be
+    a sample of ``values`` to take the sketch from; it affects the time taken, never the result. The
+    result has the columns ``by``, ``n``, ``m``, ``ranks`` (array) and ``stats`` (array; NULL where a
+    rank lies outside 1..m) and is already computed.
     """
     by = list(by)
     narrow = values.select(*by, F.col(value).cast("double").alias("_v"))
@@ -56,12 +59,22 @@ def order_statistics(
     if total <= (DIRECT_ROWS if direct_rows is None else direct_rows):
         return pocket(_pick_directly(narrow, cells, small, by, slots))[0]
     points = [i / grid for i in range(grid + 1)]
-    sketch = narrow.groupBy(*by).agg(F.percentile_approx("_v", points, ACCURACY).alias("_grid"))
-    cells, small = pocket(_with_brackets(cells.join(sketch, by), grid))
-    found = pocket(_pick_in_brackets(narrow, cells, small, by, slots))[0]
-    if found.filter(F.exists("_hit", lambda h: ~h)).limit(1).count():
-        return pocket(_pick_directly(narrow, cells, small, by, slots))[0]
-    return found.drop("_hit")
+    seen = narrow if guide is None else guide.select(*by, F.col(value).cast("double").alias("_v"))
+    sketch = seen.groupBy(*by).agg(F.percentile_approx("_v", points, ACCURACY).alias("_grid"))
+    bracketed, small = pocket(_with_brackets(cells.join(sketch, by, "left"), grid))
+    found = pocket(_pick_in_brackets(narrow, bracketed, small, by, slots))[0]
+    missed = F.exists("_hit", lambda h: ~h)
+    if not found.filter(missed).limit(1).count():
+        return found.drop("_hit")
+    # The few groups whose brackets missed are done again: with a full sketch, and at last without brackets.
+    groups, few = pocket(found.filter(missed).select(*by))
+    rest = lookup_join(narrow, groups, by, "left_semi", pocketed=few)
+    left, few = pocket(cells.join(groups, by, "left_semi"))
+    if guide is not None:
+        again = order_statistics(rest, by, "_v", ranks, direct_rows, grid, (left.drop("ranks"), few))
+    else:
+        again = _pick_directly(rest, left, few, by, slots)
+    return pocket(found.filter(~missed).drop("_hit").unionByName(again))[0]
 
 
 def _with_brackets(cells: DataFrame, grid: int) -> DataFrame:
@@ -70,12 +83,15 @@ def _with_brackets(cells: DataFrame, grid: int) -> DataFrame:
     def at(step: Column) -> Column:
         return F.get("_grid", F.greatest(F.lit(0), F.least(F.lit(grid), step)).cast("int"))
 
+    # A group the sketch has not seen keeps all its values.
+    lowest, highest = F.lit(float("-inf")), F.lit(float("inf"))
+
     def position(r: Column) -> Column:
         return F.try_divide(r * F.lit(float(grid)), F.col("m"))
 
     return (
-        cells.withColumn("_lo", F.transform("ranks", lambda r: at(F.floor(position(r)) - 2)))
-        .withColumn("_hi", F.transform("ranks", lambda r: at(F.ceil(position(r)) + 2)))
+        cells.withColumn("_lo", F.transform("ranks", lambda r: F.coalesce(at(F.floor(position(r)) - 2), lowest)))
+        .withColumn("_hi", F.transform("ranks", lambda r: F.coalesce(at(F.ceil(position(r)) + 2), highest)))
         .drop("_grid")
     )
 
@@ -142,6 +158,7 @@ def exact_quantiles(
     direct_rows: int | None = None,
     grid: int = GRID,
     sizes: tuple[DataFrame, bool] | None = None,
+    guide: DataFrame | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group: ``by``, ``n``, ``m``, ``quantiles`` (array in the order of ``probs``)."""
     ordered = sorted(range(len(probs)), key=lambda i: probs[i])
@@ -153,7 +170,7 @@ def exact_quantiles(
             out += [below + 1, F.least(below + 2, m)]
         return out
 
-    found = order_statistics(values, by, value, ranks, direct_rows, grid, sizes)
+    found = order_statistics(values, by, value, ranks, direct_rows, grid, sizes, guide)
     quantiles: list[Column | None] = [None] * len(probs)
     for slot, i in enumerate(ordered):
         spot = (F.col("m") - 1) * F.lit(float(probs[i]))

@@ -22,6 +22,8 @@ from panelwise.operators.order_stats import exact_quantiles
 from panelwise.runtime import col, lookup_join, pocket
 
 MAX_LEVELS = 10_000
+# Rows from which the place of a quantile is guessed before it is found exactly.
+GUIDE_ROWS = 1_000_000
 # The most period means that may travel inside the plan instead of being joined.
 MAX_CONSTANTS = 50_000
 
@@ -140,7 +142,11 @@ class Winsorizer(_Stage, Estimator):
             counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(col(c)).alias(f"_c{i}") for i, c in enumerate(names)]).first()
             rows = [(i, counts["n"], counts[f"_c{i}"]) for i in range(len(names))]
             sizes = df.sparkSession.createDataFrame(rows, "position int, n long, m long"), True
-            found = {r["position"]: r["quantiles"] for r in exact_quantiles(values, ["position"], "value", probs, sizes=sizes).collect()}
+            # Some rows tell well enough where the quantiles lie; all rows decide what they are.
+            share = GUIDE_ROWS / max(counts["n"], 1)
+            guide = by_position(df.sample(share, seed=1), [col(c).cast("double") for c in names]) if share < 0.5 else None
+            quantiles = exact_quantiles(values, ["position"], "value", probs, sizes=sizes, guide=guide)
+            found = {r["position"]: r["quantiles"] for r in quantiles.collect()}
             bounds = [found[i] for i in range(len(names))]
         else:
             one = df.agg(*[F.percentile_approx(col(c).cast("double"), probs, 100_000).alias(f"_q{i}") for i, c in enumerate(names)]).first()

@@ -69,6 +69,17 @@ def test_a_bad_sketch_is_answered_without_brackets(skewed, monkeypatch):
             assert np.allclose(r["quantiles"], np.quantile(want, [0.1, 0.7]), atol=1e-12)
 
 
+@pytest.mark.parametrize("share", [0.5, 0.01])
+def test_a_guide_never_changes_the_result(skewed, share):
+    """Half the rows, or so few that brackets miss and a small group is not seen at all."""
+    df, rows = skewed
+    guide = df.filter("g <> 'one'").sample(share, seed=3)
+    for r in exact_quantiles(df, ["g"], "v", [0.05, 0.5, 0.99], direct_rows=0, grid=100, guide=guide).collect():
+        want = values_of(rows, r["g"])
+        if want:
+            assert np.allclose(r["quantiles"], np.quantile(want, [0.05, 0.5, 0.99]), atol=1e-12)
+
+
 def expected_bins(pairs, nport):
     """ceil(rank_min * nport / (n + 1)) by counting smaller values."""
     n = len(pairs)
