@@ -16,7 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.operators.order_stats import order_statistics
+from panelwise.operators.order_stats import GUIDE_ROWS, order_statistics
 from panelwise.runtime import col, fewer_tasks
 
 
@@ -112,7 +112,11 @@ def row_order_folds(df: DataFrame, k: int, entity: str = "permno", date: str = "
     def ends(n: Column, m: Column) -> list[Column]:
         return [F.floor(n / F.lit(k)) * i + F.least(F.lit(i), F.pmod(n, F.lit(k))) for i in range(1, k)]
 
-    found = order_statistics(df.select(F.lit(0).alias("_all"), key.alias("_key")), ["_all"], "_key", ends).first()
+    keys, n = df.select(F.lit(0).alias("_all"), key.alias("_key")), df.count()
+    sizes = df.sparkSession.createDataFrame([(0, n, n)], "_all int, n long, m long"), True
+    share = GUIDE_ROWS / max(n, 1)
+    guide = keys.sample(share, seed=1) if share < 0.5 else None
+    found = order_statistics(keys, ["_all"], "_key", ends, sizes=sizes, guide=guide).first()
     fold = F.lit(0)
     for last in found["stats"]:
         if last is not None:

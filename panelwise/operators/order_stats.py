@@ -18,10 +18,13 @@ from pyspark.sql.window import Window
 
 from panelwise.runtime import lookup_join, pocket, stage_table
 
-# Up to this many rows in total, all distinct values are sorted directly: one shuffle, no sketch.
+# Up to this many rows in total and per group, all distinct values are sorted directly: one shuffle, no sketch.
 DIRECT_ROWS = 20_000_000
+GROUP_ROWS = 2_000_000
 GRID = 500
 ACCURACY = 2_500
+# Rows from which the place of a rank may be guessed before it is found exactly.
+GUIDE_ROWS = 1_000_000
 
 Ranks = Callable[[Column, Column], Sequence[Column]]
 
@@ -55,8 +58,8 @@ def order_statistics(
     wanted = [r.cast("long") for r in ranks(F.col("n"), F.col("m"))]
     slots = range(len(wanted))
     cells = cells.withColumn("ranks", F.array(*wanted))
-    total = cells.agg(F.sum("n")).first()[0] or 0
-    if total <= (DIRECT_ROWS if direct_rows is None else direct_rows):
+    total, largest = cells.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if largest <= GROUP_ROWS and total <= (DIRECT_ROWS if direct_rows is None else direct_rows):
         return pocket(_pick_directly(narrow, cells, small, by, slots))[0]
     points = [i / grid for i in range(grid + 1)]
     seen = narrow if guide is None else guide.select(*by, F.col(value).cast("double").alias("_v"))

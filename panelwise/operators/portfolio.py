@@ -13,12 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from panelwise.functions.columns import float_columns, nan_to_null, ratio, to_long
-from panelwise.operators.order_stats import group_sizes, order_statistics
+from panelwise.operators.order_stats import GROUP_ROWS, group_sizes, order_statistics
 from panelwise.runtime import lookup_join, pocket
 
 LONG_SHORT = "LS"
-# The largest group that may be ranked by one task.
-WINDOW_ROWS = 2_000_000
 
 
 def predictions_long(wide: DataFrame, models: Sequence[str] | None = None, ids: Sequence[str] = ("permno", "date", "ret")) -> DataFrame:
@@ -48,7 +46,7 @@ def assign_bins(
     predictions = nan_to_null(predictions, [pred]) if pred in float_columns(predictions) else predictions
     sizes = group_sizes(predictions, by, pred)
     largest = sizes[0].agg(F.max("n")).first()[0] or 0
-    if largest <= (WINDOW_ROWS if window_rows is None else window_rows):
+    if largest <= (GROUP_ROWS if window_rows is None else window_rows):
         group = Window.partitionBy(*by)
         rank = F.rank().over(group.orderBy(F.col(pred).asc_nulls_last()))
         spread = F.ceil(rank * F.lit(nport) / (F.count(F.lit(1)).over(group) + 1))

@@ -18,12 +18,10 @@ from pyspark.sql import types as T
 
 from panelwise.functions.columns import by_position, clip, to_long
 from panelwise.functions.dates import ANCHOR_DAY
-from panelwise.operators.order_stats import exact_quantiles
+from panelwise.operators.order_stats import GUIDE_ROWS, exact_quantiles
 from panelwise.runtime import col, lookup_join, pocket
 
 MAX_LEVELS = 10_000
-# Rows from which the place of a quantile is guessed before it is found exactly.
-GUIDE_ROWS = 1_000_000
 # The most period means that may travel inside the plan instead of being joined.
 MAX_CONSTANTS = 50_000
 
