@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from itertools import product
 
-from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml import Estimator
 
+from panelwise.models.boosting import boosted_trees
 from panelwise.models.linear import LinearFit
 from panelwise.models.network import NetworkRegressor
 
@@ -22,12 +21,6 @@ def _linear(kind: str) -> Factory:
     return build
 
 
-def _boosted(features: Sequence[str], label: str = "ret", **params) -> Estimator:
-    settings = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "maxBins": 255, "minInstancesPerNode": 20, "seed": 42, **params}
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, GBTRegressor(featuresCol="features", labelCol=label, **settings)])
-
-
 def _network(features: Sequence[str], label: str = "ret", **params) -> Estimator:
     return NetworkRegressor(inputCols=list(features), labelCol=label, **params)
 
@@ -39,7 +32,7 @@ MODEL_REGISTRY: dict[str, Factory] = {
     "Ridge": _linear("ridge"),
     "LassoCV": _linear("lasso_cv"),
     "RidgeCV": _linear("ridge_cv"),
-    "hgbr": _boosted,
+    "hgbr": boosted_trees,
     "mlp": _network,
 }
 PARAM_GRIDS: dict[str, dict[str, list]] = {"mlp": {"hidden": [(64, 32), (32, 16, 8), (128, 64, 32)]}}

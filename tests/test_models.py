@@ -2,9 +2,11 @@ from datetime import date
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from panelwise.models.gram import entity_folds, moments_by_fold, row_order_folds
+from panelwise.models.interpret import importances
 from panelwise.models.linear import LinearFit, choose_lasso, lasso_alphas, solve_lasso, sum_moments
 from panelwise.models.network import NetworkRegressor, forward, gradient, layer_slices, start_weights
 from panelwise.models.registry import build_model, default_variants, expand_grid
@@ -156,6 +158,17 @@ def test_network_and_trees_beat_the_mean(spark):
         assert 1 - mse / y.var() > 0.7, name
 
 
+def test_trees_stop_when_held_out_rows_gain_nothing(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in rng.normal(size=(1500, 3))], "a double, b double, ret double")
+    model = build_model("hgbr", ["a", "b"], validation=0.2, maxIter=12, maxDepth=4).fit(df)
+    assert model.stages[-1].getNumTrees < 12
+    assert {r["feature"] for r in importances(model).collect()} == {"a", "b"}
+    model.write().save(str(tmp_path / "trees"))
+    again = PipelineModel.load(str(tmp_path / "trees"))
+    assert again.transform(df).agg(F.sum("prediction")).first() == model.transform(df).agg(F.sum("prediction")).first()
+
+
 def test_network_repeats_itself(data):
     df, _, _ = data
     fits = [NetworkRegressor(inputCols=NAMES, hidden=[4], maxIter=2).fit(df).getOrDefault("weights") for _ in range(2)]

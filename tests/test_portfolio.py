@@ -62,7 +62,7 @@ def test_names_with_signs_and_underscores_survive(spark):
     assert {r["model"] for r in portfolio.predictions_long(wide).collect()} == {"mlp-64-32", "my_model"}
 
 
-def by_hand(pdf, lag_months=False):
+def by_hand(pdf):
     out = {}
     for model, rows in pdf.groupby("model"):
         rows = rows.sort_values("date").copy()
