@@ -140,6 +140,26 @@ class WordHasher:
         np.cumsum(self.code[data] * self.power[: len(data)], out=total[1:])
         return starts, mix((total[ends] - total[starts]) * self.inverse[starts])
 
+    def stems(self, texts: list[memoryview], lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of every word and of its first so many bytes, and for each text where its rows begin: (words x (1 + lengths)).
+
+        A word that is not longer than a stem has no stem of that length: the whole word's hash stands in its place.
+        """
+        data = np.frombuffer(self.gap.join(texts), np.uint8)
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+        space = self.space[data]
+        edge = np.diff(space.astype(np.int8), prepend=np.int8(1), append=np.int8(1))
+        starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        self._powers(len(data) + 1)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.code[data] * self.power[: len(data)], out=total[1:])
+        whole = (total[ends] - total[starts]) * self.inverse[starts]
+        out = [mix(whole)]
+        for n in lengths:
+            stem = (total[np.minimum(starts + n, ends)] - total[starts]) * self.inverse[starts]
+            out.append(np.where(ends - starts > n, mix(stem + np.uint64(n)), out[0]))
+        return np.stack(out, 1), np.searchsorted(starts, begins)
+
     def words(self, texts: list[memoryview]) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of all words in order, and for each text where its words begin (one entry more than texts)."""
         if len(texts) == 1 and len(texts[0]) > 2 * SLICE_BYTES:
@@ -198,3 +218,24 @@ def shingles(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray,
         own = words[bounds[i] : bounds[i + 1]]
         out[out_bounds[i]] = mix(np.array([(own * PLACE[: len(own)]).sum(dtype=np.uint64) + np.uint64(len(own))], np.uint64))[0]
     return out, out_bounds
+
+
+def row_key(doc_id, text):
+    """Identifies a row by id and text, null or not."""
+    return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("~")), F.lit("|"), F.coalesce(text.cast("string"), F.lit("")))))
+
+
+def keep_rows(docs: DataFrame, doc_id: str, text: str, decisions: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``docs`` that ``decisions(key, kept)`` keeps; ``key`` is :func:`row_key`, one decision per row.
+
+    Rows that share a key (repeated rows) are told apart only if some stay: then as many as should stay, the
+    first by a hash over all columns. Other rows are not shuffled while the keys to act on fit a broadcast.
+    """
+    key, fate, best = fresh(docs, "_key", "_stay", "_best")
+    acts = scratch.stage(decisions.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("long")).alias("stay")).filter("stay < n").select(F.col("key").alias(key), F.col("stay").alias(fate)))
+    joined = docs.withColumn(key, row_key(col(doc_id), col(text))).join(broadcast_if_small(acts, acts.count(), 96), key, "left")
+    names = [col(c) for c in docs.columns]
+    hashable = [col(c) for c, t in docs.dtypes if "map<" not in t and "variant" not in t]
+    untouched = joined.filter(col(fate).isNull()).select(*names)
+    one = joined.filter(col(fate) > 0).groupBy(key).agg(F.min_by(F.struct(*names), F.xxhash64(*hashable)).alias(best)).select(f"{best}.*")
+    return untouched.unionByName(one)

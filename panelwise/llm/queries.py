@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from panelwise.llm import toxicity
 from panelwise.llm.exact_dedup import exact_groups
+from panelwise.llm.near_dedup import near_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +44,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op6_near_dedup",
+    r"""
+    with recursive
+    worded as (
+        select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+        from documents
+    ),
+    sets as (
+        select doc_id, case when len(w) >= 3 then list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s
+        from worded
+    ),
+    members as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+    links as (
+        select a.doc_id as u, b.doc_id as v from members a join members b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+        group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ),
+    reach(u, v) as (select doc_id, doc_id from sets union select r.u, l.v from reach r join links l on r.v = l.u)
+    select s.doc_id, cast(len(s.s) as bigint) as n_shingles, min(r.v) as component_id, s.doc_id = min(r.v) as kept
+    from sets s join reach r on s.doc_id = r.u group by s.doc_id, len(s.s)
+    """,
+)
+def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+@query("op8_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
