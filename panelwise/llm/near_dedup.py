@@ -11,7 +11,8 @@ first, so copies never meet each other pairwise.
    others are confirmed on their full sets. The links' components are found by large-star and small-star.
 3. Buckets that still hold several components are searched in full: their members go to tasks in blocks, each pair of
    blocks to one task, and a task skips what is already connected. So no link is lost to step 2's shortcut.
-   Buckets with the same members are searched once.
+   Blocks of the bucket's largest component do not meet each other, so the work is the members times those left
+   outside of it. Buckets with the same members are searched once.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from panelwise.llm.components import components
 
 BANDS, ROWS = 40, 5
 #: Members of a block in step 3; a task holds two blocks.
-BLOCK = 256
+BLOCK = 512
 
 
 def minima(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -254,19 +255,21 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
 
     # What the stars left open: buckets of three or more members that still hold several components.
     named = crowds.select("bucket", "node").join(labels, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("label"))
+    parts = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64(F.lit(7), "node").cast("decimal(38,0)")).alias("y"))
     is_open = (
-        named.groupBy("bucket")
-        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64(F.lit(7), "node").cast("decimal(38,0)")).alias("y"))
-        .filter("least != most")
+        parts.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size"), F.bit_xor("x").alias("x"), F.sum("y").alias("y"), F.max(F.struct("n", "label")).alias("main"))
+        .filter("parts > 1")
         .groupBy("size", "x", "y")
-        .agg(F.min("bucket").alias("bucket"))
+        .agg(F.min(F.struct("bucket", "main")).alias("one"))
+        .select("one.bucket", F.col("one.main.label").alias("main"), F.ceil((F.col("size") - F.col("one.main.n")) / BLOCK).cast("int").alias("few"), F.ceil(F.col("one.main.n") / BLOCK).cast("int").alias("many"))
     )
-    open_members = scratch.stage(named.join(scratch.stage(is_open.select("bucket", "size")), "bucket"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    # Members of a bucket's largest component need not meet each other: its blocks only meet those of the rest.
+    place = F.pmod(F.xxhash64("node"), F.when(F.col("label") == F.col("main"), F.col("many")).otherwise(F.col("few"))).cast("int")
     dealt = (
-        open_members.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        named.join(scratch.stage(is_open), "bucket")
+        .withColumn("block", F.when(F.col("label") == F.col("main"), F.col("few") + place).otherwise(place))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("label") == F.col("main"), F.col("few")).otherwise(F.col("few") + F.col("many")) - 1)))
         .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "label")
         .join(sets, "node")
         .repartition("bucket", "i", "j")
