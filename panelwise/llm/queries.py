@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.llm import toxicity
+from panelwise.llm.chat import format_conversations, read_back
 from panelwise.llm.decontaminate import contamination
 from panelwise.llm.exact_dedup import exact_groups
 from panelwise.llm.near_dedup import near_groups
 from panelwise.llm.packing import pack_documents
+from panelwise.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +40,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rules of the URL query.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query(
+    "op1_url_filter",
+    r"""
+    with rules(rule_host, rule_path, verdict) as (
+        values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+    ),
+    parts as (
+        select page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+            coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path, row_number() over () as n
+        from pages
+    ),
+    fits as (
+        select p.page_id, p.host, p.path, p.n, r.rule_host || r.rule_path as rule, r.verdict,
+            row_number() over (partition by p.n order by length(r.rule_host) + length(r.rule_path) desc, length(r.rule_host) desc) as k
+        from parts p left join rules r on (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path)
+    )
+    select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from fits where k = 1
+    """,
+)
+def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query(
     "op2_exact_dedup",
     r"""
@@ -97,3 +127,34 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+#: Fixed value: the conversation that holds control strings.
+CONTROL_TURN = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op9_chat",
+    r"""
+    with turns as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+    ),
+    sized as (
+        select *, length(text) + length(text) - length(replace(text, '\', '')) + list_sum(list_transform(
+                ['<s>', '</s>', '[SYS]', '[/SYS]', '[INST]', '[/INST]', '[ANS]', '[/ANS]', '[ROLE]', '[TEXT]', '[/TEXT]'],
+                lambda c: (length(text) - length(replace(text, c, ''))) // length(c)))
+            + case role when 'system' then 20 when 'user' then 22 when 'assistant' then 20 else 30 + length(role) end as chars
+        from turns
+    )
+    select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+        cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+        sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+        cast(sum(chars) as bigint) as formatted_chars
+    from sized group by conv_id
+    """,
+)
+def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", CONTROL_TURN), (-1, 1, "assistant", CONTROL_TURN)], "conv_id long, turn long, role string, text string")
+    return read_back(format_conversations(turns.unionByName(more)))
