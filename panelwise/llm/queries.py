@@ -11,6 +11,7 @@ from panelwise.llm import toxicity
 from panelwise.llm.chat import format_conversations, read_back
 from panelwise.llm.decontaminate import contamination
 from panelwise.llm.exact_dedup import exact_groups
+from panelwise.llm.html_extract import extract_text
 from panelwise.llm.near_dedup import near_groups
 from panelwise.llm.packing import pack_documents
 from panelwise.llm.url_filter import judge_urls
@@ -158,3 +159,8 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-1, 0, "user", CONTROL_TURN), (-1, 1, "assistant", CONTROL_TURN)], "conv_id long, turn long, role string, text string")
     return read_back(format_conversations(turns.unionByName(more)))
+
+
+@query("op10_html")
+def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
