@@ -14,6 +14,7 @@ from panelwise.llm.exact_dedup import exact_groups
 from panelwise.llm.html_extract import extract_text
 from panelwise.llm.near_dedup import near_groups
 from panelwise.llm.packing import pack_documents
+from panelwise.llm.pii import KINDS, find_personal_data
 from panelwise.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +165,9 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html")
 def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op4_personal_data")
+def personal_data_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
