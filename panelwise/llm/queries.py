@@ -15,6 +15,7 @@ from panelwise.llm.html_extract import extract_text
 from panelwise.llm.near_dedup import near_groups
 from panelwise.llm.packing import pack_documents
 from panelwise.llm.pii import KINDS, find_personal_data
+from panelwise.llm.suffix_dedup import remove_repeats
 from panelwise.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +88,11 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op3_suffix_dedup")
+def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op5_decontaminate")
 def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
