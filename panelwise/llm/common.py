@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -110,6 +112,15 @@ BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 NO_LETTERS = bytes(b for b in range(128) if not chr(b).isalnum())
 
 
+def kept_in_process(key: tuple, make):
+    """What ``make`` returns, kept for the life of this Python process: a worker serves many tasks one after the other."""
+    store = vars(sys.modules.setdefault("panelwise_kept_in_process", types.ModuleType("panelwise_kept_in_process")))
+    name = repr(key)
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 class WordHasher:
     """64-bit hashes of all words of many texts by numpy; A-Z count as a-z. ``parting`` holds the bytes between words."""
 
