@@ -37,7 +37,14 @@ TEMPLATE = {
 SEGMENTS = "segment long, turn long, role string, text string, loss boolean, error string"
 
 
+def check_template(template: dict) -> None:
+    """A control string must be two characters at least and hold no backslash: escaping puts one after its first."""
+    if any(len(c) < 2 or "\\" in c for c in template["control"]):
+        raise ValueError("control strings need two characters or more, and no backslash")
+
+
 def escaper(template: dict):
+    check_template(template)
     starts = re.compile("(?=" + "|".join(map(re.escape, template["control"])) + ")(.)", re.S)
 
     def escape(text: str) -> str:
