@@ -27,11 +27,11 @@ class Scratch:
         self.count = 0
         self.paths: dict[int, str] = {}
 
-    def stage(self, df: DataFrame) -> DataFrame:
+    def stage(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         """``df``, computed once and read back: cuts the lineage and fixes every value in it."""
         path = f"{self.root}/{self.count}"
         self.count += 1
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(back)] = path
         back._scratch = (self, path)

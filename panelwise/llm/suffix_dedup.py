@@ -8,8 +8,9 @@ those that can matter are sorted, and this selection is exact:
    Equal windows have equal anchors at equal places, and neighbouring windows mostly share theirs, so an anchor stands
    for some 35 windows. Anchor hashes are counted, and a bit table of those that occur twice goes to all tasks (its size
    is fixed; a wrong alarm costs work, never a result).
-2. Copies. Anchors with the same context (all bytes of their windows) are folded: the earliest stays, the
-   windows of the others are repeats. Where every occurrence of an anchor has one context, nothing is left to do.
+2. Copies. Documents that are whole copies are set aside. Anchors with the same context (all bytes of their windows) are
+   folded: the earliest stays, the windows of the others are repeats. Where every occurrence of an anchor has one context,
+   nothing is left to do.
 3. The suffixes that begin at the remaining anchors are sorted. Each task sorts its own into runs, cuts them into ranges and front-codes
    them (a suffix is the number of bytes it shares with the one before, and its other bytes). The runs of a range meet in
    one task, where a loser tree merges them: it remembers how much of each loser agrees with the winner and never
@@ -30,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.llm.common import SLICE_BYTES, Scratch, broadcast_if_small, byte_views, col, mix, numbered
+from panelwise.runtime import MAX_BROADCAST_BYTES
 
 LENGTH = 100
 ANCHOR = 32
 TABLE_BITS = 1 << 28
 #: Suffixes of one run in a task, of a range, and contexts of an anchor beyond which its windows are grouped by hash.
-RUN, RANGE, MANY = 200_000, 50_000, 100_000
+RUN, RANGE, MANY = 50_000, 50_000, 100_000
 
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -125,8 +127,12 @@ def _count_anchors(length: int):
     return run
 
 
+#: What is known of a run of windows: hashes of anchor and context, first window, number of windows, and how far before the anchor it begins.
+RECORD = np.dtype([("anchor", "<i8"), ("context", "<i8"), ("start", "<i4"), ("windows", "u1"), ("reach", "u1")])
+
+
 def _contexts(length: int, table):
-    """Anchors that may occur twice: hash, hash of the context, where the windows begin and how many there are."""
+    """Packed records of all anchors that may occur twice, a row for each (part of a) text that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, bits = _code(), table.value
@@ -139,19 +145,75 @@ def _contexts(length: int, table):
                 first, count, place, hashes = first[hit], count[hit], place[hit], hashes[hit]
                 shape = mix((place - first).astype(np.uint64) * np.uint64(1000) + count.astype(np.uint64))
                 owner = np.searchsorted(begins, first, "right") - 1
-                move = offset[owner] - begins[owner]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes.view(np.int64)),
-                        pa.array(mix(whole + shape).view(np.int64)),
-                        batch.column("id").take(pa.array(text[owner])),
-                        batch.column("row").take(pa.array(text[owner])),
-                        pa.array(first + move),
-                        pa.array(count.astype(np.int32)),
-                        pa.array((place - first).astype(np.int32)),
-                    ],
-                    names=["anchor", "context", "id", "row", "start", "windows", "reach"],
-                )
+                records = np.empty(len(first), RECORD)
+                records["anchor"], records["context"] = hashes.view(np.int64), mix(whole + shape).view(np.int64)
+                records["start"], records["windows"], records["reach"] = first + (offset - begins)[owner], count, place - first
+                cuts = np.flatnonzero(np.diff(owner, prepend=-1))
+                packed = [x.tobytes() for x in np.split(records, cuts[1:])] if len(cuts) else []
+                which = pa.array(text[owner[cuts]])
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(which), batch.column("row").take(which), pa.array(packed, pa.binary())], names=["id", "row", "records"])
+
+    return run
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for at in range(0, len(whole), 1000):
+            batch = whole.slice(at, 1000)
+            raw = batch.column("records").to_pylist()
+            records = np.frombuffer(b"".join(raw), RECORD)
+            owner = pa.array(np.repeat(np.arange(len(raw)), [len(x) // RECORD.itemsize for x in raw]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(records[n])) for n in ("anchor", "context")]
+                + [batch.column("id").take(owner), batch.column("row").take(owner)]
+                + [pa.array(records[n].astype(np.int32)) for n in ("start", "windows", "reach")],
+                names=["anchor", "context", "id", "row", "start", "windows", "reach"],
+            )
+
+
+def _pack_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row's earliest contexts: where their windows begin, and the records of those whose anchor has several contexts."""
+    for whole in batches:
+        for at in range(0, len(whole), 500):
+            batch = whole.slice(at, 500)
+            lists = batch.column("firsts")
+            flat = lists.flatten()
+            ends = np.cumsum([0, *(len(x) for x in lists)])
+            records = np.zeros(len(flat), RECORD)
+            for n in ("anchor", "start", "windows", "reach"):
+                records[n] = flat.field(n).to_numpy(zero_copy_only=False)
+            several = flat.field("several").to_numpy(zero_copy_only=False)
+            starts, marks = [], []
+            for i, j in zip(ends, ends[1:]):
+                starts.append(np.sort(records["start"][i:j]).tobytes())
+                own = records[i:j][several[i:j]]
+                marks.append(own.tobytes() if len(own) else None)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(starts, pa.binary()), pa.array(marks, pa.binary())], names=["row", "starts", "marks"])
+
+
+def _join_spans(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Spans sorted, and joined where they touch: (n, 2)."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order])
+    fresh = np.ones(len(start), bool)
+    fresh[1:] = start[1:] > end[:-1]
+    at = np.flatnonzero(fresh)
+    return np.stack([start[at], end[np.append(at[1:], len(start)) - 1]], 1).astype(np.int64) if len(start) else np.zeros((0, 2), np.int64)
+
+
+def _copy_spans(length: int):
+    """What the windows of all records cover that are not the earliest of their context."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = []
+            for raw, starts in zip(batch.column("records"), batch.column("starts")):
+                records = np.frombuffer(raw.as_buffer(), RECORD)
+                if starts.is_valid:
+                    records = records[~np.isin(records["start"], np.frombuffer(starts.as_buffer(), np.int32))]
+                start = records["start"].astype(np.int64)
+                spans.append(_join_spans(start, start + records["windows"] - 1 + length).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(spans, pa.binary())], names=["row", "spans"])
 
     return run
 
@@ -269,12 +331,11 @@ def _sorted_runs(length: int, parts: int):
             held.clear()
 
         for batch in batches:
-            for number, row, text, marks in zip(batch.column("id").to_pylist(), batch.column("row").to_pylist(), byte_views(batch.column("text")), batch.column("marks").to_pylist()):
-                for m in marks:
-                    place, most = m["start"] + m["reach"], m["reach"]
-                    least = most - m["windows"] + 1
+            for number, row, text, raw in zip(batch.column("id").to_pylist(), batch.column("row").to_pylist(), byte_views(batch.column("text")), batch.column("marks")):
+                for anchor, _, start, windows, reach in np.frombuffer(raw.as_buffer(), RECORD).tolist():
+                    place, least = start + reach, reach - windows + 1
                     right = bytes(text[place + ANCHOR : place + length - least])
-                    held.append(((m["anchor"] & (1 << 64) - 1).to_bytes(8, "big") + right, bytes(text[place - most : place])[::-1], (number, row, place, least, most)))
+                    held.append(((anchor & (1 << 64) - 1).to_bytes(8, "big") + right, bytes(text[start:place])[::-1], (number, row, place, least, reach)))
                 if len(held) >= RUN:
                     yield from out()
         yield from out()
@@ -327,8 +388,12 @@ def _merge_ranges(length: int):
         shared = np.array([s for _, _, s in merged], np.int64)
         shared[:1] = 0
         every = np.concatenate(numbers)[order]
-        columns = repeated_windows(shared, [lefts[r][i] for r, i, _ in merged], every, length)
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["row", "start", "end"])
+        row, start, end = repeated_windows(shared, [lefts[r][i] for r, i, _ in merged], every, length)
+        order = np.argsort(row, kind="stable")
+        row, start, end = row[order], start[order], end[order]
+        cuts = np.flatnonzero(np.diff(row, prepend=-1))
+        spans = [_join_spans(start[i:j], end[i:j]).tobytes() for i, j in zip(cuts, np.append(cuts[1:], len(row)))]
+        return pa.RecordBatch.from_arrays([pa.array(row[cuts]), pa.array(spans, pa.binary())], names=["row", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, rows = None, []
@@ -351,13 +416,21 @@ def _window_hashes(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = _code()
         for batch in batches:
-            for number, row, text, marks in zip(batch.column("id").to_pylist(), batch.column("row").to_pylist(), byte_views(batch.column("text")), batch.column("marks").to_pylist()):
-                for m in marks:
-                    data = np.frombuffer(text[m["start"] : m["start"] + m["windows"] - 1 + length], np.uint8)
-                    at = np.arange(m["windows"])
+            for number, row, text, raw in zip(batch.column("id").to_pylist(), batch.column("row").to_pylist(), byte_views(batch.column("text")), batch.column("marks")):
+                for _, _, start, n, _ in np.frombuffer(raw.as_buffer(), RECORD).tolist():
+                    data = np.frombuffer(text[start : start + n - 1 + length], np.uint8)
+                    at = np.arange(n)
                     a, b = (_spans_hash(data, at, at + length, code, base) for base in (_WIDE, _BASE))
-                    n = len(at)
-                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.full(n, number)), pa.array(np.full(n, row)), pa.array(at + m["start"])], names=["a", "b", "id", "row", "start"])
+                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(np.full(n, number)), pa.array(np.full(n, row)), pa.array((at + start).astype(np.int32))], names=["a", "b", "id", "row", "start"])
+
+    return run
+
+
+def _single_spans(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start = batch.column("start").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([x.tobytes() for x in np.stack([start, start + length], 1).astype(np.int64)], pa.binary())], names=["row", "spans"])
 
     return run
 
@@ -366,10 +439,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Maximal removed runs of a document from its spans, and what is left."""
     for batch in batches:
         removed, runs, digests, kept = [], [], [], []
-        for text, spans in zip(byte_views(batch.column("text")), batch.column("spans")):
+        for text, spans, is_copy in zip(byte_views(batch.column("text")), batch.column("spans"), batch.column("is_copy").to_pylist()):
             at, left, n, total = 0, [], 0, 0
             digest = hashlib.sha256()
-            marks = np.frombuffer(spans.as_buffer(), np.int64).reshape(-1, 2).tolist() if spans.is_valid else []
+            marks = [(0, len(text))] if is_copy else np.frombuffer(spans.as_buffer(), np.int64).reshape(-1, 2).tolist() if spans.is_valid else []
             for a, b in marks:
                 left.append(text[at:a])
                 at, n, total = b, n + 1, total + b - a
@@ -384,17 +457,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _union_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of each row, sorted and joined where they touch."""
     for batch in batches:
         out = []
-        for spans in batch.column("spans").to_pylist():
-            joined: list[list[int]] = []
-            for s in sorted((s["start"], s["end"]) for s in spans):
-                if joined and s[0] <= joined[-1][1]:
-                    joined[-1][1] = max(joined[-1][1], s[1])
-                else:
-                    joined.append(list(s))
-            out.append(np.array(joined, np.int64).tobytes())
+        for lists in batch.column("spans"):
+            spans = np.frombuffer(b"".join(x.as_py() for x in lists.values), np.int64).reshape(-1, 2)
+            out.append(_join_spans(spans[:, 0], spans[:, 1]).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], names=["row", "spans"])
 
 
@@ -407,10 +474,19 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix")
     last = (1 << 63) - 1
-    source = scratch.stage(docs.select(F.monotonically_increasing_id().alias("row"), col(doc_id).alias("doc_id"), F.coalesce(col(doc_id).cast("long"), F.lit(last)).alias("id"), F.coalesce(col(text).cast("string"), F.lit("")).alias("text")))
-    long_enough = source.filter(F.octet_length("text") >= length)
-
-    counted = long_enough.select("text").mapInArrow(_count_anchors(length), "anchor long, n int").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
+    plain = F.coalesce(col(text).cast("string"), F.lit(""))
+    source = scratch.stage(docs.select(F.monotonically_increasing_id().alias("row"), col(doc_id).alias("doc_id"), F.coalesce(col(doc_id).cast("long"), F.lit(last)).alias("id"), plain.alias("text"), F.unhex(F.md5(plain)).alias("digest")), "zstd")
+
+    # Whole copies of an earlier document are repeats from end to end. While they are few enough to be broadcast, they are not looked at again.
+    whole = source.filter(F.octet_length("text") >= length)
+    same = whole.groupBy("digest").agg(F.min(F.struct("id", "row")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", F.col("first.row").alias("first_row"))
+    same = scratch.stage(same)
+    copies = scratch.stage(whole.select("row", "digest").join(broadcast_if_small(same, same.count(), 96), "digest").filter("row != first_row").select("row"))
+    n_copies = copies.count()
+    if 0 < n_copies * 48 <= MAX_BROADCAST_BYTES:
+        whole = whole.join(F.broadcast(copies), "row", "left_anti")
+
+    counted = whole.select("text").mapInArrow(_count_anchors(length), "anchor long, n int").groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
     spot = F.col("anchor").bitwiseAND(F.lit(TABLE_BITS - 1))
     blocks = counted.select(spot.alias("spot")).groupBy(F.shiftright("spot", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("spot").bitwiseAND(F.lit(32767))).alias("bits"))
     bits = np.zeros(TABLE_BITS // 8, np.uint8)
@@ -418,35 +494,42 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         bits[r["block"] * 4096 : r["block"] * 4096 + 4096] = np.frombuffer(r["bits"], np.uint8)
     table = spark.sparkContext.broadcast(bits)
 
-    found = scratch.stage(long_enough.select("id", "row", "text").mapInArrow(_contexts(length, table), "anchor long, context long, id long, row long, start long, windows int, reach int"))
-    earliest = F.min(F.struct("id", "row", "start")).alias("first")
-    folded = scratch.stage(found.groupBy("anchor", "context").agg(earliest, F.first("windows").alias("windows"), F.first("reach").alias("reach"), F.count(F.lit(1)).alias("n")).select("anchor", "context", "first.*", "windows", "reach", "n"))
-    firsts = folded.filter("n > 1").select("anchor", "context", F.col("row").alias("first_row"), F.col("start").alias("first_start"))
-    copies = found.join(firsts, ["anchor", "context"]).filter("row != first_row or start != first_start")
-    span = lambda df: df.select("row", "start", (F.col("start") + F.col("windows") - 1 + length).alias("end"))
-    spans = [span(copies)]
-
+    found = scratch.stage(whole.select("id", "row", "text").mapInArrow(_contexts(length, table), "id long, row long, records binary"))
+    each = found.mapInArrow(_unpack, "anchor long, context long, id long, row long, start int, windows int, reach int")
+    folded = scratch.stage(each.groupBy("anchor", "context").agg(F.min(F.struct("id", "row", "start", "windows", "reach")).alias("first")).select("anchor", "first.row", "first.start", "first.windows", "first.reach"))
     several = scratch.stage(folded.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1"))
-    marked = scratch.stage(folded.join(several, "anchor").select("row", "contexts", F.struct("anchor", "start", "windows", "reach").alias("mark")))
-    total, hot = marked.agg(F.count(F.lit(1)), F.coalesce(F.max("contexts"), F.lit(0))).first()
-
-    def texts_of(marks: DataFrame) -> DataFrame:
-        by_row = marks.groupBy("row").agg(F.collect_list("mark").alias("marks"))
-        return source.select("id", "row", "text").join(broadcast_if_small(by_row, total, 64), "row")
-
+    marked = folded.join(several, "anchor", "left").withColumn("contexts", F.coalesce("contexts", F.lit(1)))
+    firsts = marked.groupBy("row").agg(F.collect_list(F.struct("anchor", "start", "windows", "reach", (F.col("contexts").between(2, many)).alias("several"))).alias("firsts"))
+    by_row = scratch.stage(firsts.mapInArrow(_pack_firsts, "row long, starts binary, marks binary"))
+    scratch.drop(folded)
+
+    def sized(df: DataFrame, *columns: str) -> DataFrame:
+        """``df`` for broadcasting if its measured bytes allow it."""
+        sizes = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in columns]
+        rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes, F.lit(0))), F.lit(0))).first()
+        return broadcast_if_small(df, total + 64 * rows, 1)
+
+    spans = [found.join(sized(by_row.select("row", "starts"), "starts"), "row", "left").select("row", "records", "starts").mapInArrow(_copy_spans(length), "row long, spans binary")]
+    marks = by_row.filter("marks is not null").select("row", "marks")
+    total = several.filter(F.col("contexts") <= many).agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]
     parts = max(1, min(-(-total // RANGE), 65536))
-    runs = texts_of(marked.filter(F.col("contexts") <= many)).mapInArrow(_sorted_runs(length, parts), RUN_TYPE)
-    merged = runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merge_ranges(length), "row long, start long, end long")
-    spans.append(merged)
-    if hot > many:
-        windows = scratch.stage(texts_of(marked.filter(F.col("contexts") > many)).mapInArrow(_window_hashes(length), "a long, b long, id long, row long, start long"))
-        first = scratch.stage(windows.groupBy("a", "b").agg(earliest, F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "b", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")))
-        spans.append(windows.join(first, ["a", "b"]).filter("row != first_row or start != first_start").select("row", "start", (F.col("start") + length).alias("end")))
+    texts = source.select("id", "row", "text")
+    runs = texts.join(sized(marks, "marks"), "row").mapInArrow(_sorted_runs(length, parts), RUN_TYPE)
+    spans.append(runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merge_ranges(length), "row long, spans binary"))
+    hot = several.filter(F.col("contexts") > many)
+    if not hot.isEmpty():
+        # The same records once more, of the anchors with very many contexts only.
+        crowd = each.groupBy("anchor", "context").agg(F.min(F.struct("id", "row", "start", "windows", "reach")).alias("first")).select("anchor", "first.*").join(hot, "anchor")
+        packed = scratch.stage(crowd.groupBy("row").agg(F.collect_list(F.struct("anchor", "start", "windows", "reach", F.lit(True).alias("several"))).alias("firsts")).mapInArrow(_pack_firsts, "row long, starts binary, marks binary"))
+        windows = scratch.stage(texts.join(sized(packed.select("row", "marks"), "marks"), "row").mapInArrow(_window_hashes(length), "a long, b long, id long, row long, start int"))
+        first = scratch.stage(windows.groupBy("a", "b").agg(F.min(F.struct("id", "row", "start")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "b", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")))
+        again = windows.join(first, ["a", "b"]).filter("row != first_row or start != first_start").select("row", F.col("start").cast("long").alias("start"))
+        spans.append(again.mapInArrow(_single_spans(length), "row long, spans binary"))
 
     every = spans[0]
     for s in spans[1:]:
         every = every.unionByName(s)
-    by_row = scratch.stage(every.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")).mapInArrow(_union_spans, "row long, spans binary"))
-    small = broadcast_if_small(by_row, by_row.count(), 256)
+    joined = scratch.stage(every.groupBy("row").agg(F.collect_list("spans").alias("spans")).mapInArrow(_union_spans, "row long, spans binary"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.join(small, "row", "left").select("doc_id", "text", "spans").mapInArrow(_cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    flagged = source.select("row", "doc_id", "text").join(sized(joined, "spans"), "row", "left").join(broadcast_if_small(copies.withColumn("is_copy", F.lit(True)), n_copies, 48), "row", "left")
+    return flagged.select("doc_id", "text", "spans", F.coalesce("is_copy", F.lit(False)).alias("is_copy")).mapInArrow(_cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

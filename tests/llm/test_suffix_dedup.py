@@ -89,3 +89,10 @@ def test_merge_of_runs():
 def test_empty_table(documents):
     assert S.remove_repeats(documents([])).count() == 0
     assert [r.n_removed for r in S.remove_repeats(documents([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_copies_too_many_to_broadcast(documents, repeat_rows, monkeypatch):
+    """Whole copies are then looked at like all others."""
+    monkeypatch.setattr(S, "MAX_BROADCAST_BYTES", 0)
+    got = S.remove_repeats(documents(repeat_rows).coalesce(1)).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(b[1:] for b in brute(repeat_rows))
