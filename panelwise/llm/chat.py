@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from panelwise.llm.common import col
+from panelwise.llm.common import bound_batches, col
 
 #: The template: what opens and closes a turn of each role, whether its text counts for the loss, which role may
 #: follow which state, and the strings that texts must not contain. ``*`` is any other role; it is named in the opening.
@@ -105,6 +105,7 @@ def format_conversations(conversations: DataFrame, template: dict = TEMPLATE, co
     own. Null roles and texts are empty; rows with a null conv_id are one conversation. ``error`` says where a turn does
     not follow the order of roles; such turns are formatted all the same.
     """
+    bound_batches(conversations.sparkSession)
     turns = _sorted_turns(conversations, conv_id, turn, role, text)
     kind = turns.schema["conv_id"].dataType
     return turns.mapInArrow(_slices(_walk(template, to_arrow_type(kind))), f"conv_id {kind.simpleString()}, {SEGMENTS}")

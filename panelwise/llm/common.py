@@ -18,6 +18,18 @@ from panelwise.runtime import MAX_BROADCAST_BYTES, shared_folder
 SLICE_BYTES = 2 * 1024 * 1024
 
 
+#: Bytes of one batch handed to Python at most: texts are long, and a task holds a batch more than once.
+BATCH_BYTES = 8 * 1024 * 1024
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit on the bytes of a batch to ``BATCH_BYTES``, unless it is lower or was set in words (``16m``)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, "").removesuffix("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 class Scratch:
     """Tables written to the shared folder of the session, and dropped as soon as nothing reads them any more."""
 
@@ -25,7 +37,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
-        self.paths: dict[int, str] = {}
+        bound_batches(spark)
 
     def stage(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         """``df``, computed once and read back: cuts the lineage and fixes every value in it."""
@@ -33,7 +45,6 @@ class Scratch:
         self.count += 1
         df.write.parquet(path, compression=compression)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(back)] = path
         back._scratch = (self, path)
         return back
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import NO_LETTERS, WordHasher, broadcast_if_small, byte_views, col, fresh, slices
+from panelwise.llm.common import NO_LETTERS, WordHasher, bound_batches, broadcast_if_small, byte_views, col, fresh, slices
 
 TERM_BITS = 18
 #: Stems of so many bytes join the words.
@@ -58,13 +58,13 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs:
     """Logistic loss, AdaGrad on batches; only terms that go with one class more than chance would have it take part."""
     size = 1 << TERM_BITS
     flat = np.concatenate(sets) if len(sets) else np.zeros(0, np.int32)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets]).astype(np.int64)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
     mass = weights.sum()
     if not len(sets) or not mass:
         return {"known": np.zeros(0, np.int32), "w": np.zeros(0), "v": np.zeros((0, FACTORS)), "bias": 0.0}
     share = float((weights * labels).sum() / mass)
     seen = np.bincount(flat, minlength=size)
-    toxic = np.bincount(flat, labels[owner], size)
+    toxic = np.bincount(np.concatenate([flat[:0], *(s for s, y in zip(sets, labels) if y)]), minlength=size)
     expected = seen * labels.mean()
     z = (toxic - expected) / np.sqrt(np.maximum(expected * (1 - labels.mean()), 1e-9))
     known = np.flatnonzero((seen >= 4) & (np.abs(z) >= 4)).astype(np.int32)
@@ -107,6 +107,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     The sample is bounded, so it fits one task; the driver gets the model only. Without labels every text scores 0.5.
     """
+    bound_batches(docs.sparkSession)
     own = labels.select(col(label_id).alias("id"), col(label).cast("int").alias("y")).filter(F.col("id").isNotNull() & F.col("y").isNotNull())
     own = own.filter(~held_out(F.col("id"))).groupBy("id").agg((F.max("y") > 0).cast("int").alias("y"))
     counts = {r["y"]: r["n"] for r in own.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -145,6 +146,7 @@ def score(docs: DataFrame, model: dict, text: str = "text", out: str = "score")
 
     A column of the name ``out`` is replaced. Scores of identical texts are identical; an empty table stays empty.
     """
+    bound_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
