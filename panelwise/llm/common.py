@@ -25,7 +25,7 @@ BATCH_BYTES = 8 * 1024 * 1024
 def bound_batches(spark: SparkSession) -> None:
     """Lowers the session's limit on the bytes of a batch to ``BATCH_BYTES``, unless it is lower or was set in words (``16m``)."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(name, "").removesuffix("b")
+    now = (spark.conf.get(name) or "").removesuffix("b")
     if now.isdigit() and int(now) > BATCH_BYTES:
         spark.conf.set(name, str(BATCH_BYTES))
 
