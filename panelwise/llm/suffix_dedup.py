@@ -23,7 +23,8 @@ those that can matter are sorted, and this selection is exact:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ LENGTH = 100
 ANCHOR = 32
 TABLE_BITS = 1 << 28
 #: Suffixes of one run in a task, of a range, and contexts of an anchor beyond which its windows are grouped by hash.
-RUN, RANGE, MANY = 50_000, 50_000, 100_000
+RUN, RANGE, MANY = 50_000, 20_000, 100_000
 
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -49,7 +50,7 @@ def _code() -> np.ndarray:
 
 
 def pieces(texts: list[memoryview], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Some two megabytes at a time: the bytes, and for each text in them its number, begin and offset in the whole text.
+    """Up to two megabytes at a time: the bytes, and for each text in them its number, begin and offset in the whole text.
 
     A longer text comes in overlapping parts, such that each window lies in exactly one.
     """
@@ -64,7 +65,7 @@ def pieces(texts: list[memoryview], length: int) -> Iterator[tuple[np.ndarray, n
     for n, text in enumerate(texts):
         for at in range(0, max(len(text) - length + 1, 0), SLICE_BYTES):
             part = text[at : at + SLICE_BYTES + length - 1]
-            if held and total + len(part) > 2 * SLICE_BYTES:
+            if held and total + len(part) > SLICE_BYTES + length:
                 yield out()
                 held, total = [], 0
             held.append((n, part, at))
@@ -104,7 +105,8 @@ def anchors(data: np.ndarray, begins: np.ndarray, length: int, code: np.ndarray)
     stops = np.append(np.flatnonzero(change | ~valid), len(low))
     count = stops[np.searchsorted(stops, first, "right")] - first
     place = (_PLACE - (low[first] & _PLACE)).astype(np.int64)
-    return first, count, place, h[place]
+    # The smallest of many hashes is small; mixed once more, anchors spread evenly over the ranges.
+    return first, count, place, mix(h[place])
 
 
 def _spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code: np.ndarray, base: int) -> np.ndarray:
@@ -233,7 +235,7 @@ def front_code(strings: list[bytes]) -> tuple[list[int], list[bytes]]:
     return shared, [s[n:] for s, n in zip(strings, shared)]
 
 
-def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> Iterator[tuple[int, int, int]]:
+def merge_runs(runs: list[tuple[Sequence[int], list[bytes]]]) -> Iterator[tuple[int, int, int]]:
     """(run, place in it, bytes shared with the string before) of all strings of front-coded runs, in sorted order.
 
     A loser tree. ``agree[r]`` says how many bytes run r's string shares with the string that beat it last; all runs on
@@ -343,20 +345,17 @@ def _sorted_runs(length: int, parts: int):
     return run
 
 
-def repeated_windows(shared: np.ndarray, lefts: list[bytes], numbers: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_windows(shared: np.ndarray, padded: np.ndarray, numbers: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, start and end of all stretches of repeats among sorted suffixes.
 
     For a window that begins ``o`` bytes before its anchor, suffixes that share what it has on the right stand
-    together (``shared`` counts the hash's eight bytes, too). Those that have the same ``o`` bytes on the left as well hold the same
+    together (``shared`` counts the hash's eight bytes, too). ``padded`` holds the bytes to the left, backwards. Those that have the same ``o`` bytes on the left as well hold the same
     window; the earliest keeps it.
     """
-    n, span = len(lefts), length - ANCHOR
+    n, span = len(padded), length - ANCHOR
     number, row, place, least, most = numbers.T
     rank = np.empty(n, np.int64)
     rank[np.lexsort((place, row, number))] = np.arange(n)
-    padded = np.zeros((n, span), np.uint8)
-    for i, x in enumerate(lefts):
-        padded[i, : len(x)] = np.frombuffer(x, np.uint8)
     code = _code()
     left = np.zeros(n, np.uint64)
     marked = np.zeros((n, span + 2), bool)
@@ -377,18 +376,21 @@ def repeated_windows(shared: np.ndarray, lefts: list[bytes], numbers: np.ndarray
 
 def _merge_ranges(length: int):
     def one(rows: list[dict]) -> pa.RecordBatch:
-        runs, lefts, numbers = [], [], []
-        for r in rows:
-            runs.append((list(r["shared"]), _split(r["rests"], r["rest_sizes"])))
-            lefts.append(_split(r["lefts"], r["left_sizes"]))
-            numbers.append(np.frombuffer(r["numbers"], np.int64).reshape(-1, 5))
-        merged = list(merge_runs(runs))
-        first = np.cumsum([0] + [len(x) for x in numbers])
-        order = np.array([first[r] + i for r, i, _ in merged], np.int64)
-        shared = np.array([s for _, _, s in merged], np.int64)
+        runs = [(r["shared"], _split(r["rests"], r["rest_sizes"])) for r in rows]
+        first = np.cumsum([0] + [len(r["shared"]) for r in rows])
+        order, shared = array("q"), array("q")
+        for r, i, n in merge_runs(runs):
+            order.append(first[r] + i)
+            shared.append(n)
+        del runs
+        order, shared = np.frombuffer(order, np.int64), np.array(shared, np.int64)
         shared[:1] = 0
-        every = np.concatenate(numbers)[order]
-        row, start, end = repeated_windows(shared, [lefts[r][i] for r, i, _ in merged], every, length)
+        sizes = np.frombuffer(b"".join(r["left_sizes"] for r in rows), np.uint8).astype(np.int64)
+        lefts = np.zeros((len(sizes), length - ANCHOR), np.uint8)
+        at = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        lefts[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(at)) - at] = np.frombuffer(b"".join(r["lefts"] for r in rows), np.uint8)
+        numbers = np.frombuffer(b"".join(r["numbers"] for r in rows), np.int64).reshape(-1, 5)
+        row, start, end = repeated_windows(shared, lefts[order], numbers[order], length)
         order = np.argsort(row, kind="stable")
         row, start, end = row[order], start[order], end[order]
         cuts = np.flatnonzero(np.diff(row, prepend=-1))
@@ -495,6 +497,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     table = spark.sparkContext.broadcast(bits)
 
     found = scratch.stage(whole.select("id", "row", "text").mapInArrow(_contexts(length, table), "id long, row long, records binary"))
+    table.destroy()
     each = found.mapInArrow(_unpack, "anchor long, context long, id long, row long, start int, windows int, reach int")
     folded = scratch.stage(each.groupBy("anchor", "context").agg(F.min(F.struct("id", "row", "start", "windows", "reach")).alias("first")).select("anchor", "first.row", "first.start", "first.windows", "first.reach"))
     several = scratch.stage(folded.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1"))
