@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -105,9 +106,10 @@ def moments_by_fold(df: DataFrame, features: Sequence[str], label: str, fold: Co
 def row_order_folds(df: DataFrame, k: int, entity: str = "permno", date: str = "date") -> Column:
     """Fold of each row when the rows, ordered by (entity, date), are cut into ``k`` contiguous blocks.
 
-    The first ``n mod k`` blocks have one row more. Entities are whole numbers below 9e10.
+    The first ``n mod k`` blocks have one row more. Entities are whole numbers of any size.
     """
-    key = F.col(entity).cast("double") * F.lit(100_000.0) + (F.year(date) * 12 + F.month(date)).cast("double")
+    key = F.col(entity).cast("decimal(38,0)") * F.lit(Decimal(100_000)).cast("decimal(6,0)") + (F.year(date) * 12 + F.month(date)).cast("decimal(6,0)")
+    key = key.cast("decimal(38,0)")
 
     def ends(n: Column, m: Column) -> list[Column]:
         return [F.floor(n / F.lit(k)) * i + F.least(F.lit(i), F.pmod(n, F.lit(k))) for i in range(1, k)]
@@ -120,7 +122,7 @@ def row_order_folds(df: DataFrame, k: int, entity: str = "permno", date: str = "
     fold = F.lit(0)
     for last in found["stats"]:
         if last is not None:
-            fold = fold + (key > F.lit(last)).cast("int")
+            fold = fold + (key > F.lit(last).cast("decimal(38,0)")).cast("int")
     return fold
 
 

@@ -70,6 +70,8 @@ def lasso_alphas(m: Moments, n_alphas: int) -> np.ndarray:
 def choose_lasso(folds: Mapping[int, Moments], n_alphas: int) -> float:
     """The penalty with the smallest mean over folds of the held-out mean squared error."""
     every = sum_moments(folds)
+    if any((every - held).n < 1 or held.n < 1 for held in folds.values()):
+        raise ValueError("a fold leaves no rows to train on")
     grid, errors = lasso_alphas(every, n_alphas), np.zeros(n_alphas)
     for held in folds.values():
         train = every - held

@@ -113,13 +113,15 @@ def walk_forward(
 
             train = filled(staged.filter(in_training(F.col("_year"))), in_training)
             test = filled(staged.filter(F.col("_year") == year), lambda y: y == year)
+            if not train.limit(1).count():
+                raise ValueError(f"year {year} has no training rows")
             pre, prepared = fit_prepare(build_preprocessor(continuous, discrete, exact=exact_quantiles, impute=False), train)
             fitted = fit_variants(prepared, feature_names(pre), todo[year], label, parallelism)
             return score_variants(pre.transform(test.withColumn("ret", F.col(label).cast("double"))), fitted, keys)
 
         for frame in side_by_side(scored, [y for y, left in todo.items() if left], parallelism):
             if store:
-                storage.write_predictions(frame, store)
+                storage.store_predictions(frame, store)
             else:
                 frames.append(frame)
     if store:
@@ -129,10 +131,7 @@ def walk_forward(
 
 def finished(spark, store: str) -> set[tuple[str, int]]:
     """The (model, year) pairs a store already holds."""
-    if not storage.path_exists(spark, store):
-        return set()
-    pairs = spark.read.schema("permno long, model string, year int").parquet(store).select("model", "year").distinct()
-    return {(r["model"], r["year"]) for r in pairs.collect()}
+    return storage.finished_pairs(spark, store)
 
 
 def final_fit(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelwise.operators.portfolio import LONG_SHORT
 from panelwise.operators.series import long_short_series
-from panelwise.runtime import lookup_join
+from panelwise.runtime import lookup_join, only, pocket
 
 # The factor sets of the six specifications.
 SIX_SPECS: dict[str, tuple[str, ...]] = {
@@ -35,11 +35,15 @@ def factor_alphas(
 
     ``returns(model, bin, date, ret)`` are decimals, ``factors`` are percent and include ``RF``. The
     excess return of every portfolio, long-short included unless told otherwise, is regressed on each
-    factor set; months with a missing value in a regression are left out of that regression.
+    factor set; months with a missing value in a regression are left out of that regression. With as many months as
+    coefficients there is no t-statistic, with fewer no alpha either; such portfolios keep their row.
     """
     names = list(dict.fromkeys(f for s in specs.values() for f in s))
     percent = returns.select("model", "bin", "date", (F.col("ret") * 100).alias("_ret"))
-    joined = lookup_join(percent, factors.select("date", "RF", *names), ["date"], "left")
+    table, small = pocket(factors.select("date", "RF", *names))
+    if table.groupBy("date").count().filter("count > 1").limit(1).count():
+        raise ValueError("factors hold a date more than once")
+    joined = lookup_join(percent, table, ["date"], "left", pocketed=small)
     rf = F.col("RF") if subtract_rf_from_ls else F.when(F.col("bin") == LONG_SHORT, F.lit(0.0)).otherwise(F.col("RF"))
     choices = []
     for spec, used in specs.items():
@@ -83,10 +87,12 @@ def _solve(
             n = rows["n"].to_numpy(dtype=float)
             yy = rows["yy"].to_numpy(dtype=float)
             inverse = np.linalg.pinv(gram, hermitian=True)
+            rank = np.linalg.matrix_rank(gram, hermitian=True)
             coef = np.einsum("rij,rj->ri", inverse, xy)
             sse = yy - np.einsum("ri,ri->r", coef, xy)
             total = yy - xy[:, 0] ** 2 / n
-            free = n - len(keep)
+            free = n - rank
+            coef[n < len(keep)] = np.nan  # fewer months than coefficients: no regression
             with np.errstate(divide="ignore", invalid="ignore"):
                 error = np.sqrt(np.where(free > 0, sse / free, np.nan) * inverse[:, 0, 0])
                 out = rows[["model", "bin", "factor_model"]].assign(
@@ -120,4 +126,4 @@ def alpha_table(alphas: DataFrame, portfolios: Sequence[str] | None = None) -> D
         )),
     )
     grouped = rows.groupBy("factor_model", "metric")
-    return (grouped.pivot("portfolio", list(portfolios)) if portfolios else grouped.pivot("portfolio")).agg(F.first("v"))
+    return (grouped.pivot("portfolio", list(portfolios)) if portfolios else grouped.pivot("portfolio")).agg(only("v"))

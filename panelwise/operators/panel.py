@@ -112,6 +112,18 @@ def join_factors(panel: DataFrame, factors: DataFrame, lag_months: int = 1) -> D
     return lookup_join(panel, shift_period(factors, "date", lag_months), ["date"], "left")
 
 
+def join_row_counts(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """(side, rows): how many rows stand on either side of an inner join, and how many come out of it.
+
+    Counted per key first, so a key that repeats on both sides is multiplied, not expanded.
+    """
+    on = list(on)
+    a = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_a"))
+    b = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_b"))
+    sums = a.join(b, on, "full_outer").agg(F.sum("_a").alias("left"), F.sum("_b").alias("right"), F.sum(F.col("_a") * F.col("_b")).alias("joined"))
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.coalesce(F.col(s), F.lit(0)).alias("rows")) for s in ("left", "right", "joined")])))
+
+
 def merge_factors(a: DataFrame, b: DataFrame, on: str = "date", provenance: bool = False) -> DataFrame:
     """Full outer join of two factor tables; ``_merge`` tells where each month came from."""
     left, right = a.withColumn("_left", F.lit(True)), b.withColumn("_right", F.lit(True))

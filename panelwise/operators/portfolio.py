@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from panelwise.functions.columns import float_columns, nan_to_null, ratio, to_long
 from panelwise.operators.order_stats import GROUP_ROWS, group_sizes, order_statistics
-from panelwise.runtime import lookup_join, pocket
+from panelwise.runtime import col, lookup_join, only, pocket
 
 LONG_SHORT = "LS"
 
@@ -23,7 +23,7 @@ def predictions_long(wide: DataFrame, models: Sequence[str] | None = None, ids:
     """One row per (entity, month, model) from a table with ``pred_<model>`` columns."""
     models = [c[len("pred_"):] for c in wide.columns if c.startswith("pred_")] if models is None else models
     long = to_long(wide, list(ids), [f"pred_{m}" for m in models], "model", "pred")
-    return long.withColumn("model", F.substring("model", len("pred_") + 1, 1000))
+    return long.withColumn("model", F.substr("model", F.lit(len("pred_") + 1)))
 
 
 def assign_bins(
@@ -58,20 +58,16 @@ def assign_bins(
         return [F.floor(F.lit(b - 1) * (n + 1) / F.lit(nport)) for b in range(2, nport + 1)]
 
     found = order_statistics(predictions, by, pred, ranks, direct_rows, sizes=sizes)
-    cuts = found.select(*by, "ranks", F.col("stats").alias("_cuts"))
-    # A rank of 0 is exceeded by every value, a rank above m by none.
-    cuts = cuts.withColumn(
-        "_cuts",
-        F.transform(
-            F.arrays_zip(F.col("ranks").alias("r"), F.col("_cuts").alias("c")),
-            lambda z: F.when(z["r"] > 0, F.coalesce(z["c"], F.lit(float("inf")))),
-        ),
-    ).drop("ranks")
-    marked = lookup_join(predictions, cuts, list(by), "left")
-    reached = F.lit(1)
+    group, cuts = "_group", F.struct("m", "ranks", "stats").alias("_cuts")
+    found = found.select(F.struct(*[col(c) for c in by]).alias(group), cuts)
+    marked = lookup_join(predictions.withColumn(group, F.struct(*[col(c) for c in by])), found, [group], "left")
+    missing = F.raise_error(F.lit("a group has no cut values")).cast("int")
+    reached = F.when(F.col("_cuts").isNull(), missing).otherwise(F.lit(1))
     for i in range(nport - 1):
-        reached = reached + F.coalesce(F.col(pred) > F.get("_cuts", F.lit(i)), F.lit(True)).cast("int")
-    return marked.withColumn("bin", F.when(F.col(pred).isNotNull(), reached)).drop("_cuts")
+        # A rank of 0 is exceeded by every value, a rank above m by none.
+        rank, cut = F.get("_cuts.ranks", F.lit(i)), F.get("_cuts.stats", F.lit(i))
+        reached = reached + F.when(rank < 1, 1).when(rank > F.col("_cuts.m"), 0).otherwise((col(pred) > cut).cast("int"))
+    return marked.withColumn("bin", F.when(col(pred).isNotNull(), reached)).drop("_cuts", group)
 
 
 def bin_sizes(bins: DataFrame) -> DataFrame:
@@ -124,7 +120,7 @@ def returns_wide(returns: DataFrame, series: Sequence[tuple[str, str]] | None =
     names = [f"ret_{m}_bin{b}" for m, b in series] if series is not None else None
     grouped = keyed.groupBy("date")
     pivot = grouped.pivot("_series", names) if names is not None else grouped.pivot("_series")
-    return pivot.agg(F.first("ret"))
+    return pivot.agg(only("ret"))
 
 
 def returns_long(wide: DataFrame) -> DataFrame:

@@ -231,17 +231,12 @@ def alpha_sql(spec: str, source: str = "returns") -> list[str]:
         parts = ", ".join(f"{v} - x{j} * sum({v} * x{j}) over w / sum(x{j} * x{j}) over w as {v}" for v in left)
         steps.append(f"{tag}_{j} as (select model, bin, {parts} from {tag}_{j - 1} window w as (partition by model, bin))")
     steps.append(
-        f"{tag} as (select model, bin, '{spec}' as factor_model, alpha, alpha / nullif(sqrt(greatest(sse, 0) / nullif(n - {k + 1}, 0) / oo), 0) as t_stat, n from ("
-        f"select model, bin, count(*) as n, sum(o * o) as oo, sum(y * o) / sum(o * o) as alpha, sum(y * y) - sum(y * o) ^ 2 / sum(o * o) as sse from {tag}_{k} group by 1, 2 having count(*) > {k + 1}))"
+        f"{tag} as (select model, bin, '{spec}' as factor_model, alpha, case when n > {k + 1} then alpha / nullif(sqrt(greatest(sse, 0) / (n - {k + 1}) / oo), 0) end as t_stat, n from ("
+        f"select model, bin, count(*) as n, sum(o * o) as oo, case when count(*) > {k} then sum(y * o) / sum(o * o) end as alpha, sum(y * y) - sum(y * o) ^ 2 / sum(o * o) as sse from {tag}_{k} group by 1, 2))"
     )
     return steps
 
 
-def solvable(found):
-    """The regressions with more months than coefficients; the others have no t-statistic."""
-    return found.filter(F.col("t_stat").isNotNull())
-
-
 def _tag(spec: str) -> str:
     return "".join(c for c in spec if c.isalnum()).lower()
 
@@ -252,7 +247,7 @@ def _register_alpha(key: str, spec: str) -> None:
     @query(key, sql.statement([*sql.RETURNS, sql.FACTORS, *alpha_sql(spec)], select))
     def run(spark, sf_dir):
         found = alphas.factor_alphas(tables.portfolio_returns(spark, sf_dir), tables.factors(spark, sf_dir), {spec: alphas.SIX_SPECS[spec]})
-        return shown(solvable(found).select("model", "bin", "factor_model", "alpha", "t_stat", "n"), 6)
+        return shown(found.select("model", "bin", "factor_model", "alpha", "t_stat", "n"), 6)
 
 
 for _key, _spec in {"alpha_raw": "r^e", "alpha_capm": "CAPM", "alpha_ff3": "FF3", "alpha_ff4": "FF4", "alpha_ff5": "FF5", "alpha_ff6": "FF6"}.items():
@@ -265,13 +260,13 @@ _UNION = " union all ".join(f"select * from {_tag(s)}" for s in alphas.SIX_SPECS
 @query("alpha_models_ls", sql.statement([*_ALL, f"every as ({_UNION})"], f"select model, factor_model, {nums('alpha', 't_stat', digits=6)}, n from every where bin = 'LS'"))
 def alpha_models_ls(spark, sf_dir):
     found = alphas.ls_alphas(tables.portfolio_returns(spark, sf_dir), tables.factors(spark, sf_dir))
-    return shown(solvable(found).select("model", "factor_model", "alpha", "t_stat", "n"), 6)
+    return shown(found.select("model", "factor_model", "alpha", "t_stat", "n"), 6)
 
 
 @query("significant_alphas", sql.statement([*_ALL, f"every as ({_UNION})"], "select model, bin, factor_model, abs(t_stat) > 1.96 as significant from every"))
 def significant_alphas(spark, sf_dir):
     found = alphas.factor_alphas(tables.portfolio_returns(spark, sf_dir), tables.factors(spark, sf_dir))
-    return alphas.flag_significant(solvable(found)).select("model", "bin", "factor_model", "significant")
+    return alphas.flag_significant(found).select("model", "bin", "factor_model", "significant")
 
 
 @query(
@@ -288,7 +283,7 @@ def alpha_capm_beta(spark, sf_dir):
     return shown(found.select("model", "bin", "alpha", F.col("beta_mkt_excess").alias("beta"), "r2"), 6)
 
 
-_TABLE = [f"{m}_bin{b}" for m in ("Ridge", "LassoCV") for b in ("1", "5", "LS")]
+_TABLE = [f"{m}_bin{b}" for m in tables.MODEL_SIGNALS for b in ("1", "2", "3", "4", "5", "LS")]
 
 
 @query(

@@ -43,13 +43,18 @@ def period_sums(df: DataFrame, columns: Sequence[str], date: str = "date", by: s
     return pocket(df.groupBy(period_of(date, by).alias("_period")).agg(*sums))
 
 
-def fill_from_sums(df: DataFrame, columns: Sequence[str], sums: DataFrame, small: bool, date: str = "date", by: str = "year") -> DataFrame:
-    """Fill missing values with the mean of their period, else the mean over all periods of ``sums``, else 0."""
+def fill_from_sums(
+    df: DataFrame, columns: Sequence[str], sums: DataFrame, small: bool, date: str = "date", by: str = "year", max_constants: int | None = None
+) -> DataFrame:
+    """Fill missing values with the mean of their period, else the mean over all periods of ``sums``, else 0.
+
+    Up to ``max_constants`` means travel as constants inside the plan; more are joined. Both ways give the same.
+    """
     slots = range(len(columns))
     totals = sums.agg(*[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(f"_m{i}") for i in slots]).first()
     fallback = [0.0 if m is None else m for m in totals]
     if small:
-        filled = _fill_from_constants(df, columns, sums, fallback, date, by)
+        filled = _fill_from_constants(df, columns, sums, fallback, date, by, MAX_CONSTANTS if max_constants is None else max_constants)
         if filled is not None:
             return filled
     means = [F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col(f"_c{i}").cast("double")), F.lit(fallback[i])).alias(f"_f{i}") for i in slots]
@@ -59,7 +64,7 @@ def fill_from_sums(df: DataFrame, columns: Sequence[str], sums: DataFrame, small
 
 
 def _fill_from_constants(
-    df: DataFrame, columns: Sequence[str], sums: DataFrame, fallback: Sequence[float], date: str, by: str
+    df: DataFrame, columns: Sequence[str], sums: DataFrame, fallback: Sequence[float], date: str, by: str, most: int
 ) -> DataFrame | None:
     """The same fill with the means as constant arrays indexed by year or day, or nothing if there would be too many.
 
@@ -71,7 +76,7 @@ def _fill_from_constants(
     if by == "date" and known.filter(F.dayofmonth("_period") != ANCHOR_DAY).limit(1).count():
         return None
     rows = placed.orderBy("_at").collect()
-    if not rows or (rows[-1]["_at"] - rows[0]["_at"] + 1) * len(columns) > MAX_CONSTANTS:
+    if not rows or (rows[-1]["_at"] - rows[0]["_at"] + 1) * len(columns) > most:
         return None
     start = rows[0]["_at"]
     period = F.year(date) if by == "year" else F.when(F.dayofmonth(date) == ANCHOR_DAY, F.year(date) * 12 + F.month(date) - 1)

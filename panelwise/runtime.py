@@ -16,7 +16,6 @@ from pyspark.sql.window import Window
 
 # A side is broadcast only when its measured size stays below this.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,7 +53,7 @@ def stage_table(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
 
 def row_bytes(schema: T.StructType) -> int:
-    """A generous estimate of one row's size in memory."""
+    """An estimate of one row's size in memory, to bound what is fetched before its size is known."""
 
     def width(t: T.DataType) -> int:
         if isinstance(t, T.ArrayType):
@@ -75,7 +74,8 @@ def pocket(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     rows = max(limit // row_bytes(df.schema), 1)
     head = df.limit(rows + 1).toArrow()
-    if head.num_rows <= rows:
+    # The estimate bounds what is fetched; what counts are the bytes that came, and what a row costs besides.
+    if head.num_rows <= rows and head.nbytes + 32 * head.num_rows <= max(limit, 32):
         return df.sparkSession.createDataFrame(head, df.schema), True
     return stage_table(df), False
 
@@ -99,20 +99,16 @@ def lookup_join(
     """Join ``big`` (left / inner / semi / anti) with a lookup table whose size is measured first.
 
     If the lookup fits it is broadcast and ``big`` is not shuffled. Otherwise both sides are
-    shuffled on the keys plus a salt, so that a key holding a large share of ``big`` is spread over
-    ``SALTS`` tasks; the lookup is replicated once per salt. ``pocketed`` passes on the answer of an
-    earlier :func:`pocket` for the same lookup.
+    shuffled on the keys; the lookup is a staged table with unique keys, so adaptive execution can split a key that holds a
+    large share of ``big`` among tasks. ``pocketed`` passes on the answer of an earlier :func:`pocket` for
+    the same lookup.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join keeps the left side: {how} is not supported")
     fits = pocketed
     if fits is None:
         small, fits = pocket(small, max_bytes)
-    if fits:
-        return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(SALTS)))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return big.join(F.broadcast(small) if fits else small, on, how)
 
 
 def guard_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -128,6 +124,12 @@ def guard_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.withColumn("_nth", F.row_number().over(w)).filter(ok).drop("_nth")
 
 
+def only(name: str) -> Column:
+    """Aggregate for reshapes: the one value of a cell; the job fails if a cell has several rows."""
+    several = F.raise_error(F.lit(f"several rows for one cell of {name}"))
+    return F.when(F.count(F.lit(1)) <= 1, F.first(col(name))).otherwise(several)
+
+
 def key_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """The keys that occur more than once, with their row count ``n``."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

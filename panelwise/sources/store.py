@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.functions.columns import move_to_front
-from panelwise.runtime import guard_unique
+from panelwise.runtime import guard_unique, only, stage_table
 
 KEYS = ("permno", "date", "model")
 
@@ -29,17 +30,48 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     writer.partitionBy("model", "year").parquet(path)
 
 
+def store_predictions(new: DataFrame, path: str) -> None:
+    """Merge predictions into a store: new rows win, stored rows of the same models and years fill in.
+
+    Only the partitions that the new rows touch are read and written again.
+    """
+    spark = new.sparkSession
+    if not path_exists(spark, path):
+        write_predictions(new, path)
+        return
+    new = stage_table(new)
+    touched = new.select("model", F.year("date").alias("year")).distinct().collect()
+    if not touched:
+        return
+    stored = spark.read.schema("permno long, date date, ret double, pred double, model string, year int").parquet(path)
+    same = reduce(lambda a, b: a | b, [(F.col("model") == r["model"]) & (F.col("year") == r["year"]) for r in touched])
+    old = stored.filter(same).select("permno", "date", "ret", "model", "pred")
+    # The rows to be replaced are read before they are overwritten.
+    write_predictions(stage_table(upsert_predictions(new.select(old.columns), old)), path)
+
+
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.schema("permno long, date date, ret double, pred double, model string, year int").parquet(path)
     return stored.select("permno", "date", "ret", "model", "pred")
 
 
 def finished_models(spark: SparkSession, path: str) -> list[str]:
-    """Names of the models with stored predictions, read off the partition folders' column."""
+    """Names of the models with stored predictions."""
     if not path_exists(spark, path):
         return []
-    stored = spark.read.schema("permno long, model string, year int").parquet(path)
-    return sorted(r[0] for r in stored.select("model").distinct().collect())
+    return sorted({model for model, _ in finished_pairs(spark, path)})
+
+
+def finished_pairs(spark: SparkSession, path: str) -> set[tuple[str, int]]:
+    """The (model, year) pairs that have files in a store, from the names of its folders; no rows are read."""
+    if not path_exists(spark, path):
+        return set()
+    files = spark.read.schema("permno long, model string, year int").parquet(path).inputFiles()
+    found = set()
+    for f in files:
+        parts = dict(p.split("=", 1) for p in f.split("/") if "=" in p)
+        found.add((unquote(unquote(parts["model"])), int(parts["year"])))
+    return found
 
 
 def upsert_predictions(new: DataFrame, old: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -59,7 +91,7 @@ def upsert_predictions(new: DataFrame, old: DataFrame, keys: Sequence[str] = KEY
 
 def predictions_wide(predictions: DataFrame, models: Sequence[str]) -> DataFrame:
     """One row per (permno, date, ret), one column ``pred_<model>`` per model, for delivery."""
-    pivot = predictions.groupBy("permno", "date", "ret").pivot("model", list(models)).agg(F.first("pred"))
+    pivot = predictions.groupBy("permno", "date", "ret").pivot("model", list(models)).agg(only("pred"))
     named = pivot.withColumnsRenamed({m: f"pred_{m}" for m in models})
     return move_to_front(named, ["permno", "date", "ret"])
 

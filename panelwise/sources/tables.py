@@ -12,7 +12,7 @@ from panelwise.functions.columns import check_case_collisions, nan_to_null, to_l
 from panelwise.functions.dates import anchor_month
 from panelwise.operators.panel import merge_factors
 from panelwise.operators.portfolio import LONG_SHORT, predictions_long
-from panelwise.runtime import col
+from panelwise.runtime import col, only
 
 # Names and units of the monthly factor table (percent).
 FACTOR_NAMES = ("mkt_excess", "SMB", "HML", "RMW", "CMA", "RF", "Mom")
@@ -63,7 +63,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if is_csv(path):
         if schema is None:
             raise ValueError(f"{path}: a CSV needs a schema")
-        df = spark.read.csv(path, header=True, schema=schema, enforceSchema=False, nullValue="", dateFormat=date_format, mode="FAILFAST")
+        # The file may have more columns than are wanted, in any order: those are read as text and dropped.
+        header, wanted = csv_columns(spark, path), {f.name: f for f in schema.fields}
+        lacking = [c for c in wanted if c not in header]
+        if lacking:
+            raise ValueError(f"{path} lacks the columns {lacking}")
+        whole = T.StructType([wanted.get(c, T.StructField(c, T.StringType())) for c in header])
+        df = spark.read.csv(path, header=True, schema=whole, enforceSchema=False, nullValue="", dateFormat=date_format, mode="FAILFAST").select(*[col(c) for c in wanted])
     else:
         df = spark.read.parquet(path)
     return nan_to_null(df)
@@ -75,7 +81,7 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_returns(spark: SparkSession, path: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """``(permno, date, ret)``; further columns of a CSV must not exist."""
+    """``(permno, date, ret)``; other columns are passed over."""
     return read_table(spark, path, RETURNS, date_format).select("permno", "date", "ret")
 
 
@@ -118,7 +124,7 @@ def read_signal_doc(spark: SparkSession, path: str) -> DataFrame:
 
 def read_zoo(spark: SparkSession, path: str) -> DataFrame:
     """``(signalname, date, ret)`` of the long-short portfolios, in percent."""
-    zoo = read_table(spark, path, ZOO).filter(F.col("port") == LONG_SHORT)
+    zoo = read_table(spark, path, ZOO).select(*ZOO.names).filter(F.col("port") == LONG_SHORT)
     return anchor_month(zoo).drop("port")
 
 
@@ -127,7 +133,7 @@ def zoo_returns_wide(portfolios: DataFrame, signals: Sequence[str] | None = None
     ls = anchor_month(portfolios.filter(F.col("port") == LONG_SHORT))
     grouped = ls.groupBy("date")
     pivot = grouped.pivot("signalname", list(signals)) if signals else grouped.pivot("signalname")
-    return pivot.agg(F.first("ret"))
+    return pivot.agg(only("ret"))
 
 
 def read_wide(spark: SparkSession, path: str, whole: Sequence[str] = ("permno",)) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -50,6 +51,7 @@ def session(partitions: int = 8):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelwise-"))
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -1,5 +1,6 @@
 import math
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from panelwise import runtime
 from panelwise.operators import order_stats
 from panelwise.operators.order_stats import exact_quantiles, order_statistics
-from panelwise.operators.portfolio import assign_bins
+from panelwise.operators.portfolio import assign_bins, predictions_long
 
 
 @pytest.fixture(scope="module")
@@ -59,8 +60,8 @@ def test_a_bad_sketch_is_answered_without_brackets(skewed, monkeypatch):
     df, rows = skewed
     monkeypatch.setattr(order_stats, "ACCURACY", 1)
     missed = []
-    plain = order_stats._pick_directly
-    monkeypatch.setattr(order_stats, "_pick_directly", lambda *a: missed.append(1) or plain(*a))
+    plain = order_stats._pick_in_parts
+    monkeypatch.setattr(order_stats, "_pick_in_parts", lambda *a: missed.append(1) or plain(*a))
     got = exact_quantiles(df, ["g"], "v", [0.1, 0.7], direct_rows=0, grid=200)
     assert missed
     for r in got.collect():
@@ -117,3 +118,45 @@ def test_nothing_small_enough_to_broadcast(spark, monkeypatch, direct_rows):
     monkeypatch.setattr(runtime, "MAX_BROADCAST_BYTES", 500)
     got = {r["id"]: r["bin"] for r in assign_bins(df, 5, ["date"], window_rows=0, direct_rows=direct_rows).collect()}
     assert got == want
+
+
+BRANCHES = [(None, None), (0, None), (0, 0)]
+
+
+@pytest.mark.parametrize("window_rows,direct_rows", BRANCHES)
+def test_missing_group_keys_are_a_group(spark, window_rows, direct_rows):
+    df = spark.createDataFrame([(None if i % 2 else "d", "m" if i % 3 else None, i, float(i)) for i in range(60)], "date string, model string, id long, pred double")
+    got = {r["id"]: r["bin"] for r in assign_bins(df, 5, ["model", "date"], "pred", window_rows, direct_rows).collect()}
+    groups = {}
+    for i in range(60):
+        groups.setdefault((i % 2, i % 3 > 0), []).append((i, float(i)))
+    assert got == {i: b for p in groups.values() for i, b in expected_bins(p, 5).items()}
+
+
+@pytest.mark.parametrize("window_rows,direct_rows", BRANCHES)
+@pytest.mark.parametrize("kind,value", [("long", lambda i: 2**60 + i), ("decimal(38,10)", lambda i: Decimal(10**25 + i).scaleb(-10))])
+def test_values_keep_their_type(spark, window_rows, direct_rows, kind, value):
+    df = spark.createDataFrame([("d", i, value(i * 7 % 50)) for i in range(50)], f"date string, id long, pred {kind}")
+    got = {r["id"]: r["bin"] for r in assign_bins(df, 5, ["date"], "pred", window_rows, direct_rows).collect()}
+    assert got == expected_bins([(i, value(i * 7 % 50)) for i in range(50)], 5)
+
+
+@pytest.mark.parametrize("accuracy", [2500, 1])
+def test_brackets_shrink_until_a_task_can_sort_them(spark, monkeypatch, accuracy):
+    """No window sorts more than the given number of distinct values, with good sketches and with useless ones."""
+    monkeypatch.setattr(order_stats, "ACCURACY", accuracy)
+    seen = []
+    plain = order_stats._first_reaching
+    monkeypatch.setattr(order_stats, "_first_reaching", lambda counts, within, *a: seen.append(counts.filter("_w is not null").groupBy(*within).count().agg(F.max("count")).first()[0]) or plain(counts, within, *a))
+    df = spark.range(0, 200_000, 1, 8).select(F.lit("all").alias("g"), F.pmod(F.xxhash64("id"), F.lit(10**15)).alias("v"), "id")
+    rows = [r["v"] for r in df.select("v").collect()]
+    got = order_statistics(df, ["g"], "v", lambda n, m: [F.lit(1), F.lit(77_777), F.lit(77_778), m], direct_rows=0, segment_rows=300).first()
+    rows.sort()
+    assert list(got["stats"]) == [rows[0], rows[77_776], rows[77_777], rows[-1]]
+    assert seen and max(seen) <= 300
+
+
+def test_model_names_of_any_length(spark):
+    name = "x" * 1200
+    wide = spark.createDataFrame([(1, "d", 0.1, 1.0, 2.0)], f"permno long, date string, ret double, pred_{name} double, pred_{name}y double")
+    assert sorted(r["model"] for r in predictions_long(wide).collect()) == [name, name + "y"]
