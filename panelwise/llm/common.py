@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from panelwise.runtime import MAX_BROADCAST_BYTES, shared_folder
 
-# Bytes of text worked on at a time inside a task.
-SLICE_BYTES = 2 * 1024 * 1024
+# Bytes of text worked on at a time inside a task: its arrays of eight bytes a byte then fit a processor's cache.
+SLICE_BYTES = 512 * 1024
 
 
 #: Bytes of one batch handed to Python at most: texts are long, and a task holds a batch more than once.

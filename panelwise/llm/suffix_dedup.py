@@ -50,7 +50,7 @@ def _code() -> np.ndarray:
 
 
 def pieces(texts: list[memoryview], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Up to two megabytes at a time: the bytes, and for each text in them its number, begin and offset in the whole text.
+    """Up to half a megabyte at a time: the bytes, and for each text in them its number, begin and offset in the whole text.
 
     A longer text comes in overlapping parts, such that each window lies in exactly one.
     """
