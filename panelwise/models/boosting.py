@@ -38,8 +38,8 @@ class HoldOutFlag(Transformer, HasInputCols, DefaultParamsReadable, DefaultParam
         return df.withColumn(HELD, draw < F.lit(int(self.getOrDefault("share") * 1_000_000)))
 
 
-def boosted_trees(features: Sequence[str], label: str = "ret", validation: float = 0.0, validation_tol: float = 1e-7, **params) -> Estimator:
-    """Gradient-boosted trees; with ``validation`` > 0 growing stops once that share of rows no longer gains."""
+def boosted_trees(features: Sequence[str], label: str = "ret", validation: float = 0.1, validation_tol: float = 1e-7, **params) -> Estimator:
+    """Gradient-boosted trees; growing stops once the held-out share of rows no longer gains. ``validation=0`` grows all rounds."""
     settings = {**DEFAULTS, **params}
     stages = [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")]
     if validation:

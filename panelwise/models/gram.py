@@ -21,6 +21,10 @@ from panelwise.operators.order_stats import GUIDE_ROWS, order_statistics
 from panelwise.runtime import col, fewer_tasks
 
 
+# Cross products that tasks and the driver hold per fold, at most.
+MAX_MATRIX_BYTES = 128 * 1024 * 1024
+
+
 @dataclass(frozen=True)
 class Moments:
     """Cross products of (1, features, label) over some rows."""
@@ -75,6 +79,8 @@ def moments_by_fold(df: DataFrame, features: Sequence[str], label: str, fold: Co
     """Cross products per fold. Each task reduces its rows to one matrix per fold; matrix rows are added up in parallel."""
     features = list(features)
     size = len(features) + 2
+    if size * size * 8 > MAX_MATRIX_BYTES:
+        raise ValueError(f"{len(features)} features: their cross products exceed {MAX_MATRIX_BYTES} bytes")
     rows = df.select(
         (F.lit(0) if fold is None else fold).cast("int").alias("fold"),
         *[col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)],

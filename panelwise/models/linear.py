@@ -11,7 +11,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.models.gram import Moments, entity_folds, matrix_of, moments_by_fold, row_order_folds
@@ -67,18 +67,32 @@ def lasso_alphas(m: Moments, n_alphas: int) -> np.ndarray:
     return np.geomspace(top, top * LASSO_GRID_RATIO, n_alphas)
 
 
-def choose_lasso(folds: Mapping[int, Moments], n_alphas: int) -> float:
-    """The penalty with the smallest mean over folds of the held-out mean squared error."""
+def fold_errors(folds: Mapping[int, Moments], grid: np.ndarray, held: int) -> np.ndarray:
+    """Mean squared error on one fold of the fits to all others, along the penalties."""
+    train, coef, errors = sum_moments(folds) - folds[held], None, np.zeros(len(grid))
+    for i, alpha in enumerate(grid):
+        coef = solve_lasso(train, alpha, coef)
+        errors[i] = folds[held].squared_error(coef, train.intercept(coef)) / folds[held].n
+    return errors
+
+
+def choose_lasso(folds: Mapping[int, Moments], n_alphas: int, spark: SparkSession) -> float:
+    """The penalty with the smallest mean over folds of the held-out mean squared error; each fold's path is one task."""
     every = sum_moments(folds)
     if any((every - held).n < 1 or held.n < 1 for held in folds.values()):
         raise ValueError("a fold leaves no rows to train on")
-    grid, errors = lasso_alphas(every, n_alphas), np.zeros(n_alphas)
-    for held in folds.values():
-        train = every - held
-        coef = None
-        for i, alpha in enumerate(grid):
-            coef = solve_lasso(train, alpha, coef)
-            errors[i] += held.squared_error(coef, train.intercept(coef)) / held.n
+    grid, names = lasso_alphas(every, n_alphas), sorted(folds)
+    shared = spark.sparkContext.broadcast({f: folds[f].z for f in names})
+
+    def path(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {f: Moments(z) for f, z in shared.value.items()}
+        for batch in batches:
+            for n in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "errors": pa.array([fold_errors(known, grid, names[n]).tolist()], pa.list_(pa.float64()))})
+
+    found = spark.range(0, len(names), 1, len(names)).mapInArrow(path, "n long, errors array<double>").collect()
+    shared.destroy()
+    errors = np.array([r["errors"] for r in sorted(found, key=lambda r: r["n"])]).sum(axis=0)
     return float(grid[int(np.argmin(errors))])
 
 
@@ -173,7 +187,7 @@ class LinearFit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWri
             alpha = choices[int(np.argmin(errors))]
             coef = solve_ridge(m, alpha)
         else:
-            alpha = choose_lasso(folds, self.getOrDefault("nAlphas"))
+            alpha = choose_lasso(folds, self.getOrDefault("nAlphas"), df.sparkSession)
             coef = solve_lasso(m, alpha)
         return LinearFitModel(inputCols=self.getInputCols(), coefficients=coef.tolist(), intercept=m.intercept(coef), alpha=float(alpha))
 

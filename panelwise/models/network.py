@@ -1,9 +1,10 @@
 """A small feed-forward regressor trained data-parallel by averaging.
 
-Spark ML has no network for regression. Each epoch is one Spark job: every task starts from the
-shared weights, takes minibatch Adam steps over its own rows and hands back its weights; the
-row-weighted mean starts the next epoch (iterative parameter mixing). With a single partition this is
-plain minibatch Adam.
+Spark ML has no network for regression. The prepared rows are staged once and dealt into shards of ``shardRows``
+rows by a hash of their content. Each epoch is one Spark job: every shard starts from the shared weights and
+moments, takes minibatch Adam steps over its own rows, in a fixed order, and hands both back; the row-weighted mean starts
+the next epoch (iterative parameter mixing). Shards depend on the data only, so the result does not depend on the cluster.
+With a single shard this is plain minibatch Adam.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.models.gram import matrix_of
-from panelwise.runtime import col, fewer_tasks
+from panelwise.runtime import col, stage_table
 
 CHUNK = 4096
 # Adam's decay rates and the smallest gain that counts as progress.
@@ -85,6 +86,7 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
     validation = Param(Params._dummy(), "validation", "share of rows that only decide when to stop", TypeConverters.toFloat)
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
     labelCol = Param(Params._dummy(), "labelCol", "label", TypeConverters.toString)
+    shardRows = Param(Params._dummy(), "shardRows", "rows of one shard, about", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
@@ -100,11 +102,12 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         validation=0.1,
         seed=42,
         labelCol="ret",
+        shardRows=100_000,
     ):
         super().__init__()
         given = {k: v for k, v in self._input_kwargs.items() if v is not None}
         self._setDefault(
-            hidden=[256, 128, 64], alpha=0.001, batchSize=1000, learningRate=0.01, maxIter=100, patience=5, validation=0.1, seed=42, labelCol="ret"
+            hidden=[256, 128, 64], alpha=0.001, batchSize=1000, learningRate=0.01, maxIter=100, patience=5, validation=0.1, seed=42, labelCol="ret", shardRows=100_000
         )
         self._set(**given)
 
@@ -112,34 +115,48 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         names, hidden = self.getInputCols(), self.getOrDefault("hidden")
         sizes = [len(names), *hidden, 1]
         rows = df.select(*[col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(names)], col(self.getOrDefault("labelCol")).cast("double").alias("_y"))
-        # A row's own content decides whether it validates, so a lost task is redone with the same split.
-        draw = F.pmod(F.xxhash64(F.lit(self.getOrDefault("seed")), *rows.columns), F.lit(1_000_000)) / F.lit(1_000_000.0)
-        rows = rows.withColumn("_held", (draw < self.getOrDefault("validation")).cast("double"))
-        flat, best, best_flat, idle = start_weights(sizes, self.getOrDefault("seed")), -np.inf, None, 0
-        epochs = self.getOrDefault("maxIter")
+        # A row's own content decides whether it validates and where it goes, so a lost task is redone alike.
+        content = F.xxhash64(F.lit(self.getOrDefault("seed")), *rows.columns)
+        draw = F.pmod(content, F.lit(1_000_000)) / F.lit(1_000_000.0)
+        rows = stage_table(rows.withColumn("_held", (draw < self.getOrDefault("validation")).cast("double")).withColumn("_place", F.xxhash64(F.lit(1), content)))
+        shards = max(1, -(-rows.count() // self.getOrDefault("shardRows")))
+        values = [c for c in rows.columns if c != "_place"]
+        dealt = rows.repartition(shards, F.pmod("_place", F.lit(shards))).sortWithinPartitions("_place", *values).select(*values)
+        dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            best_flat = self._train(dealt, sizes)
+        finally:
+            dealt.unpersist()
+        return NetworkModel(inputCols=names, hidden=hidden, weights=best_flat.tolist())
+
+    def _train(self, rows: DataFrame, sizes: list[int]) -> np.ndarray:
+        """The weights that explain the held-out rows best."""
+        flat = start_weights(sizes, self.getOrDefault("seed"))
+        state, best, best_flat, idle = np.stack([flat, np.zeros_like(flat), np.zeros_like(flat)]), -np.inf, None, 0
+        step, epochs = 0, self.getOrDefault("maxIter")
         # One pass judges the weights an epoch starts from and takes the next epoch's steps.
         for epoch in range(epochs + 1):
-            after, score = self._epoch(rows, sizes, flat, epoch, epoch < epochs)
+            after, score, steps = self._epoch(rows, sizes, state, step, epoch, epoch < epochs)
             if epoch:
                 if score is None:
-                    best_flat = flat
+                    best_flat = state[0]
                 else:
                     idle = 0 if score > best + MIN_GAIN else idle + 1
                     if score > best:
-                        best, best_flat = score, flat
+                        best, best_flat = score, state[0]
                     if idle > self.getOrDefault("patience"):
                         break
-            flat = after
-        return NetworkModel(inputCols=names, hidden=hidden, weights=best_flat.tolist())
+            state, step = after, step + steps
+        return best_flat
 
-    def _epoch(self, rows: DataFrame, sizes: list[int], flat: np.ndarray, epoch: int, train: bool) -> tuple[np.ndarray, float | None]:
-        """The averaged weights after one epoch, and the share of variance that ``flat`` explains on the held-out rows."""
+    def _epoch(self, rows: DataFrame, sizes: list[int], state: np.ndarray, done: int, epoch: int, train: bool) -> tuple[np.ndarray, float | None, int]:
+        """Weights and moments averaged after one epoch, the share of variance that the weights before explain on the held-out rows, and the steps taken."""
         size, rate, penalty = self.getOrDefault("batchSize"), self.getOrDefault("learningRate"), self.getOrDefault("alpha")
         seed = self.getOrDefault("seed") + epoch
 
         def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rng, w, held = np.random.default_rng(seed), flat.copy(), np.zeros(4)
-            first, second, step, seen = np.zeros_like(w), np.zeros_like(w), 0, 0
+            rng, held = np.random.default_rng(seed), np.zeros(4)
+            flat, (w, first, second), step, seen = state[0], state.copy(), done, 0
             for batch in batches:
                 table = matrix_of(batch)
                 out, table = table[table[:, -1] > 0, :-1], table[table[:, -1] == 0, :-1]
@@ -158,21 +175,23 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
                     first = BETA1 * first + (1 - BETA1) * g
                     second = BETA2 * second + (1 - BETA2) * g * g
                     w -= rate * (first / (1 - BETA1**step)) / (np.sqrt(second / (1 - BETA2**step)) + EPSILON)
-            parts = [(-1, 0.0, held)] + [(s, float(seen), w[s : s + CHUNK] * seen) for s in range(0, len(w), CHUNK) if seen]
-            chunk, count, v = zip(*parts)
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunk, pa.int32()), "seen": pa.array(count), "v": pa.array(list(v), pa.list_(pa.float64()))})
-
-        parts = fewer_tasks(rows).mapInArrow(run_task, "chunk int, seen double, v array<double>")
-        added = parts.groupBy("chunk").agg(F.sum("seen").alias("seen"), Summarizer.sum(array_to_vector("v")).alias("v"))
-        after, score = flat.copy(), None
-        for r in added.select("chunk", "seen", vector_to_array("v").alias("v")).collect():
+            mixed = np.concatenate([w, first, second]) * seen
+            parts = [(-1, 0.0, 0, held)] + [(s, float(seen), step - done, mixed[s : s + CHUNK]) for s in range(0, len(mixed), CHUNK) if seen]
+            chunk, count, steps, v = zip(*parts)
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array(chunk, pa.int32()), "seen": pa.array(count), "steps": pa.array(steps, pa.int64()), "v": pa.array(list(v), pa.list_(pa.float64()))})
+
+        parts = rows.mapInArrow(run_task, "chunk int, seen double, steps long, v array<double>")
+        added = parts.groupBy("chunk").agg(F.sum("seen").alias("seen"), F.max("steps").alias("steps"), Summarizer.sum(array_to_vector("v")).alias("v"))
+        after, score, steps = state.reshape(-1).copy(), None, 0
+        for r in added.select("chunk", "seen", "steps", vector_to_array("v").alias("v")).collect():
             if r["chunk"] >= 0:
                 after[r["chunk"] : r["chunk"] + len(r["v"])] = np.array(r["v"]) / r["seen"]
+                steps = max(steps, r["steps"])
             elif r["v"][0]:
                 n, y, yy, ee = r["v"]
                 spread = yy - y * y / n
                 score = 1.0 - ee / spread if spread > 0 else 0.0
-        return after, score
+        return after.reshape(state.shape), score, steps
 
 
 class NetworkModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):

@@ -178,6 +178,105 @@ def walk_forward_lasso_cv(spark, sf_dir):
     return _forward(spark, sf_dir, [("LassoCV", "LassoCV", {})], _ONE)
 
 
+def _moments_sql(source: str, keys: str, name: str) -> str:
+    """Means, variances and covariances of three features and the return."""
+    pairs = ", ".join(f"covar_pop(x{i}, x{j}) as c{i}{j}" for i, j in ((1, 2), (1, 3), (2, 3)))
+    each = ", ".join(f"avg(x{i}) as m{i}, var_pop(x{i}) as v{i}, covar_pop(ret, x{i}) as r{i}" for i in (1, 2, 3))
+    return f"{name} as (select {keys}, avg(ret) as my, {pairs}, {each} from {source} group by {keys})"
+
+
+def _descent_sql(source: str, keys: str, name: str, sweeps: int = 400) -> str:
+    """Coordinate descent on three features: ``source`` has the moments and a penalty ``a`` per row of ``keys``."""
+    same = ", ".join(f"s.{k}" for k in keys.split(", "))
+    on = " and ".join(f"s.{k} = d.{k}" for k in keys.split(", "))
+    step1 = f"select d.k, {same}, s.a, s.r2, s.r3, s.v2, s.v3, s.c12, s.c13, s.c23, d.b2, d.b3, {_soft('(s.r1 - d.b2 * s.c12 - d.b3 * s.c13)', 's.a', 's.v1')} as n1 from {name} d join {source} s on {on} where d.k < {sweeps}"
+    step2 = f"select *, {_soft('(r2 - n1 * c12 - b3 * c23)', 'a', 'v2')} as n2 from ({step1})"
+    return f"{name} as (select {keys}, 0 as k, 0.0e0 as b1, 0.0e0 as b2, 0.0e0 as b3 from {source} union all select {keys}, k + 1, n1, n2, {_soft('(r3 - n1 * c13 - n2 * c23)', 'a', 'v3')} from ({step2}))"
+
+
+def _recursive(parts: Sequence[str], select: str) -> str:
+    return sql.statement(list(parts), select).replace("with ", "with recursive ", 1)
+
+
+_LIGHT = 0.01
+_LINE = "m.my + b1 * (x1 - m1) + b2 * (x2 - m2) + b3 * (x3 - m3)"
+
+
+@query(
+    "walk_forward_lasso_three",
+    _recursive(
+        [*prepared_sql(_THREE), _moments_sql("(select * from ready where train)", "y", "moment3"), f"light as (select *, {_LIGHT}e0 as a from moment3)", _descent_sql("light", "y", "descent"),
+         f"predicted as (select permno, date, ret, {_LINE} as pred from ready r join moment3 m on m.y = r.y join descent d on d.y = r.y and d.k = 400 where not train)"],
+        f"select permno, {day('date')}, {nums('ret', 'pred', digits=6)}, 'Lasso' as model from predicted",
+    ),
+)
+def walk_forward_lasso_three(spark, sf_dir):
+    """A penalty that leaves several coefficients in place."""
+    return _forward(spark, sf_dir, [("Lasso", "Lasso", {"alpha": _LIGHT})])
+
+
+@query(
+    "walk_forward_lasso_cv_three",
+    _recursive(
+        [*prepared_sql(_THREE),
+         "folded as (select *, ntile(5) over (partition by y order by permno, date) as k from ready where train)",
+         _moments_sql("(select * from ready where train)", "y", "moment3"),
+         "grid as (select y, i, greatest(abs(r1), abs(r2), abs(r3)) * pow(1e-3, i / 49.0e0) as a from moment3 cross join (select unnest(range(50)) as i))",
+         _moments_sql("(select f.*, h.h from folded f join (select unnest([1, 2, 3, 4, 5]) as h) h on f.k <> h.h)", "y, h", "fold_moment"),
+         "fold_grid as (select f.*, g.i, g.a from fold_moment f join grid g on g.y = f.y)",
+         _descent_sql("fold_grid", "y, h, i", "fold_descent"),
+         f"fold_error as (select d.y, d.i, d.h, avg((ret - ({_LINE})) ^ 2) as e from fold_descent d join fold_moment m on m.y = d.y and m.h = d.h "
+         "join folded f on f.y = d.y and f.k = d.h where d.k = 400 group by 1, 2, 3)",
+         "chosen as (select y, i from (select y, i, avg(e) as e from fold_error group by 1, 2) qualify row_number() over (partition by y order by e, i) = 1)",
+         "best as (select m.*, g.a from moment3 m join chosen c on c.y = m.y join grid g on g.y = m.y and g.i = c.i)",
+         _descent_sql("best", "y", "descent"),
+         f"predicted as (select permno, date, ret, {_LINE} as pred from ready r join moment3 m on m.y = r.y join descent d on d.y = r.y and d.k = 400 where not train)"],
+        f"select permno, {day('date')}, {nums('ret', 'pred', digits=6)}, 'LassoCV' as model from predicted",
+    ),
+)
+def walk_forward_lasso_cv_three(spark, sf_dir):
+    return _forward(spark, sf_dir, [("LassoCV", "LassoCV", {})])
+
+
+@query(
+    "walk_forward_stump",
+    sql.statement(
+        [sql.PANEL, f"windows as (select unnest([{', '.join(map(str, YEARS))}]) as y)",
+         "train_rows as (select w.y, p.sig_step as x, p.ret from panel p join windows w on year(p.date) < w.y)",
+         "cuts as (select distinct y, x as c from train_rows)",
+         "gains as (select t.y, c.c, sum(ret) filter (x <= c) ^ 2 / count(*) filter (x <= c) + sum(ret) filter (x > c) ^ 2 / count(*) filter (x > c) as gain "
+         "from train_rows t join cuts c on c.y = t.y group by 1, 2 having count(*) filter (x > c) >= 20 and count(*) filter (x <= c) >= 20)",
+         "best as (select y, c from gains qualify row_number() over (partition by y order by gain desc, c) = 1)",
+         "leaves as (select t.y, b.c, avg(ret) filter (x <= c) as low, avg(ret) filter (x > c) as high from train_rows t join best b on b.y = t.y group by 1, 2)"],
+        f"select permno, {day('date')}, {num('ret', digits=6)}, 'stump' as model, {num('case when sig_step <= c then low else high end', 'pred', 6)} from panel p join leaves l on l.y = year(p.date)",
+    ),
+)
+def walk_forward_stump(spark, sf_dir):
+    """One tree of one split: its threshold and leaf means have an exact answer."""
+    return _forward(spark, sf_dir, [("stump", "hgbr", {"maxIter": 1, "maxDepth": 1, "validation": 0.0})], ("sig_step",))
+
+
+def _quality(predicted):
+    """Rows, finite predictions, and whether they miss by less than twice the spread of the returns, per model."""
+    ratio = F.sum((F.col("ret") - F.col("pred")) ** 2) / F.sum(F.col("ret") ** 2)
+    return predicted.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs("pred") < 1e9).alias("finite"), (ratio < 2).alias("sane"))
+
+
+def _quality_sql(models: Sequence[str]) -> str:
+    each = " union all ".join(f"select '{m}' as model, count(*) as n, count(*) as finite, true as sane from panel where year(date) in ({', '.join(map(str, YEARS))})" for m in models)
+    return sql.statement([sql.PANEL], each)
+
+
+@query("network_quality", _quality_sql([name for name, _ in expand_grid("mlp")]))
+def network_quality(spark, sf_dir):
+    return _quality(walk_forward_mlp(spark, sf_dir))
+
+
+@query("trees_quality", _quality_sql(["hgbr"]))
+def trees_quality(spark, sf_dir):
+    return _quality(walk_forward_gbt(spark, sf_dir))
+
+
 def _full_panel(spark, sf_dir):
     return join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir))
 
@@ -237,14 +336,15 @@ def walk_forward_lasso_cv_all(spark, sf_dir):
 
 @query("walk_forward_gbt")
 def walk_forward_gbt(spark, sf_dir):
-    variants = [("hgbr", "hgbr", {"maxIter": 10})]
-    return shown(walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS[-1:], variants), 6)
+    """Up to 100 rounds, stopped early by a held-out tenth of the rows."""
+    return shown(walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS, [("hgbr", "hgbr", {})]), 6)
 
 
 @query("walk_forward_mlp")
 def walk_forward_mlp(spark, sf_dir):
-    variants = [(name, "mlp", {**params, "maxIter": 5}) for name, params in expand_grid("mlp")]
-    return shown(walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS[-1:], variants), 6)
+    """Up to 100 epochs of the three networks, stopped early."""
+    variants = [(name, "mlp", params) for name, params in expand_grid("mlp")]
+    return shown(walk_forward(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, YEARS, variants), 6)
 
 
 _CHAIN = [
@@ -293,5 +393,5 @@ def coef_ranking(spark, sf_dir):
 
 @query("importance_ranking")
 def importance_ranking(spark, sf_dir):
-    model = final_fit(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, 2001, [("hgbr", "hgbr", {"maxIter": 10})])["hgbr"]
+    model = final_fit(_full_panel(spark, sf_dir), _CONTINUOUS, _DISCRETE, 2001, [("hgbr", "hgbr", {})])["hgbr"]
     return shown(importances(model), 6)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date as Date
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from panelwise.operators.order_stats import exact_quantiles
@@ -13,7 +14,7 @@ from panelwise.plans import oracle_parts as sql
 from panelwise.plans import tables
 from panelwise.plans.registry import day, num, nums, query, shown
 from panelwise.prep.pipeline import build_preprocessor, column_routes, feature_names, fit_prepare, route_columns
-from panelwise.prep.stages import CrossSectionalImputer, ModeImputer, OneHot, PopScaler, Winsorizer
+from panelwise.prep.stages import CrossSectionalImputer, ModeImputer, OneHot, PopScaler, Winsorizer, one_hot_vector
 from panelwise.runtime import stage_table
 
 _SIGNALS = ["sig_qty", "sig_tax", "sig_price", "sig_rare"]
@@ -151,3 +152,16 @@ def routed_columns(spark, sf_dir):
     p = stage_table(join_factors(tables.panel(spark, sf_dir), tables.factors(spark, sf_dir)))
     fitted, _ = fit_prepare(build_preprocessor(*route_columns(p, _doc(spark, sf_dir))), _train(p))
     return column_routes(fitted)
+
+
+@query(
+    "one_hot_vector",
+    "with seen as (select p_type as t from part where p_size <= 25 group by 1), ordered as (select t, row_number() over (order by t) - 1 as i from seen) "
+    "select p_partkey, cast(o.i as int) as hot from part p left join ordered o on o.t = p.p_type",
+)
+def one_hot_sparse(spark, sf_dir):
+    """Levels learned from small parts; the place of each part's level, none for levels only large parts have."""
+    part = tables.table(spark, sf_dir, "part")
+    coded = one_hot_vector(["p_type"], "hot").fit(part.filter("p_size <= 25")).transform(part)
+    values = vector_to_array("hot")
+    return coded.select("p_partkey", F.nullif(F.array_position(values, 1.0).cast("int"), F.lit(0)).alias("at")).select("p_partkey", (F.col("at") - 1).alias("hot"))

@@ -8,7 +8,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -270,7 +271,7 @@ class OneHot(_Stage, Estimator):
         names, found = self.getInputCols(), {}
         rows = _value_counts(df, names).select("_column", "_order").limit(MAX_LEVELS + 1).collect()
         if len(rows) > MAX_LEVELS:
-            raise ValueError(f"more than {MAX_LEVELS} levels in discrete columns {names}")
+            raise ValueError(f"more than {MAX_LEVELS} levels in discrete columns {names}: use one_hot_vector, which has no such bound")
         for r in sorted(rows):
             found.setdefault(r["_column"], []).append(r["_order"]["text"])
         columns = [c for c in names for _ in found.get(c, [])]
@@ -278,6 +279,21 @@ class OneHot(_Stage, Estimator):
         return OneHotModel(inputCols=columns, levels=levels)
 
 
+def one_hot_vector(columns: Sequence[str], output: str) -> Pipeline:
+    """One sparse vector instead of one column per level, for columns of very many levels.
+
+    Levels stand in order of their text, column after column; a level unseen in training, or a missing value, gives zeros.
+    """
+    indexed, coded = [f"_{c}_index" for c in columns], [f"_{c}_hot" for c in columns]
+    stages = [
+        StringIndexer(inputCols=list(columns), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=indexed, outputCols=coded, dropLast=True),  # the last is the index of what training has not seen
+        VectorAssembler(inputCols=coded, outputCol=output),
+        SQLTransformer(statement="SELECT * EXCEPT (" + ", ".join(f"`{c}`" for c in [*indexed, *coded]) + ") FROM __THIS__"),
+    ]
+    return Pipeline(stages=stages)
+
+
 class OneHotModel(_Stage, Model):
     """``inputCols`` and ``levels`` run in parallel, one entry per output column."""
 

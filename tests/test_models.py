@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from panelwise.models.gram import entity_folds, moments_by_fold, row_order_folds
+from panelwise.models.gram import Moments, entity_folds, moments_by_fold, row_order_folds
 from panelwise.models.interpret import importances
 from panelwise.models.linear import LinearFit, choose_lasso, lasso_alphas, solve_lasso, sum_moments
 from panelwise.models.network import NetworkRegressor, forward, gradient, layer_slices, start_weights
@@ -119,9 +119,9 @@ def test_lasso_cv_by_brute_force(data):
                 if _ > 50 and _ % 50 == 0:
                     break
             errors[i] += np.mean((y[block] - y[train].mean() - (x[block] - x[train].mean(0)) @ w) ** 2)
-    assert choose_lasso(folds, 50) == pytest.approx(grid[int(np.argmin(errors))])
+    assert choose_lasso(folds, 50, df.sparkSession) == pytest.approx(grid[int(np.argmin(errors))])
     model = LinearFit(inputCols=NAMES, kind="lasso_cv").fit(df)
-    assert np.allclose(weights(model)[0], solve_lasso(every, choose_lasso(folds, 50)))
+    assert np.allclose(weights(model)[0], solve_lasso(every, choose_lasso(folds, 50, df.sparkSession)))
 
 
 def test_no_signal_gives_the_mean(spark):
@@ -181,3 +181,24 @@ def test_grids_and_names():
     assert len(default_variants()) == 9
     with pytest.raises(ValueError, match="same name"):
         expand_grid("Ridge", {"alpha": [1.0, 2.0]})
+
+
+def test_network_does_not_depend_on_the_cluster(data):
+    """The same weights, however the rows are dealt out when they come."""
+    df, *_ = data
+    fits = [NetworkRegressor(inputCols=NAMES, hidden=[4], maxIter=2, shardRows=50).fit(df.repartition(n)).getOrDefault("weights") for n in (2, 8)]
+    assert np.allclose(*fits, rtol=0, atol=1e-12)
+
+
+def test_folds_of_large_ids(spark):
+    """Ids that a double cannot tell apart."""
+    rows = [(10**17 + i // 5, f"2000-{i % 5 + 1:02d}-28", float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "permno long, date string, x double").withColumn("date", F.col("date").cast("date"))
+    folds = df.select("x", row_order_folds(df, 5).alias("fold")).collect()
+    assert {r["x"]: r["fold"] for r in folds} == {float(i): i // 10 for i in range(50)}
+
+
+def test_an_empty_fold_is_an_error(spark):
+    m = Moments(np.eye(3) * 10)
+    with pytest.raises(ValueError, match="no rows"):
+        choose_lasso({0: m}, 5, spark)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwise.prep import stages
 from panelwise.prep.pipeline import build_preprocessor, column_routes, feature_names, fit_prepare, route_columns
-from panelwise.prep.stages import CrossSectionalImputer, ModeImputer, OneHot, PopScaler, Winsorizer
+from panelwise.prep.stages import CrossSectionalImputer, ModeImputer, OneHot, PopScaler, Winsorizer, one_hot_vector
 
 
 def column(df, name, order="id"):
@@ -105,3 +105,12 @@ def test_pipeline_learns_from_training_only_and_survives_saving(spark, frame, tm
     later = train.withColumn("x", F.col("x") * 100).withColumn("k", F.lit("new"))
     out = fitted.transform(later).select(names).collect()
     assert all(r["k_p"] == r["k_q"] == 0 for r in out)
+
+
+def test_one_hot_vector_of_many_levels(spark):
+    """20 000 levels; unseen and missing ones give zeros."""
+    train = spark.range(20_000).select(F.format_string("v%05d", "id").alias("a"), F.lit("x").alias("b"))
+    model = one_hot_vector(["a", "b"], "hot").fit(train)
+    rows = spark.createDataFrame([("v00007", "x"), ("v19999", None), ("new", "y")], "a string, b string")
+    got = [(r["hot"].size, sorted(r["hot"].indices.tolist())) for r in model.transform(rows).collect()]
+    assert got == [(20_001, [7, 20_000]), (20_001, [19_999]), (20_001, [])]
