@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelwise.operators.portfolio import LONG_SHORT
 from panelwise.operators.series import long_short_series
-from panelwise.runtime import lookup_join, only, pocket
+from panelwise.runtime import lookup_join, only, pocket, repeats
 
 # The factor sets of the six specifications.
 SIX_SPECS: dict[str, tuple[str, ...]] = {
@@ -41,7 +41,7 @@ def factor_alphas(
     names = list(dict.fromkeys(f for s in specs.values() for f in s))
     percent = returns.select("model", "bin", "date", (F.col("ret") * 100).alias("_ret"))
     table, small = pocket(factors.select("date", "RF", *names))
-    if table.groupBy("date").count().filter("count > 1").limit(1).count():
+    if repeats(table, "date"):
         raise ValueError("factors hold a date more than once")
     joined = lookup_join(percent, table, ["date"], "left", pocketed=small)
     rf = F.col("RF") if subtract_rf_from_ls else F.when(F.col("bin") == LONG_SHORT, F.lit(0.0)).otherwise(F.col("RF"))

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from panelwise.functions.columns import by_position, check_case_collisions, move_to_front, nan_to_null
 from panelwise.functions.dates import anchor_month, shift_period, yyyymm_anchor
-from panelwise.runtime import col, guard_unique, key_duplicates, lookup_join
+from panelwise.runtime import col, guard_unique, lookup_join, pocket, repeats
 
 HOLDOUT_DATE = Date(2020, 12, 28)
 
@@ -107,9 +107,10 @@ def join_factors(panel: DataFrame, factors: DataFrame, lag_months: int = 1) -> D
     ``lag_months=1`` gives a return last month's factors. ``-1`` relabels the following month's
     factors as this month's, which looks ahead; it is kept only to reproduce such results.
     """
-    if key_duplicates(factors, ["date"]).limit(1).count():
+    table, small = pocket(shift_period(factors, "date", lag_months))
+    if repeats(table, "date"):
         raise ValueError("duplicate key (date) in factors")
-    return lookup_join(panel, shift_period(factors, "date", lag_months), ["date"], "left")
+    return lookup_join(panel, table, ["date"], "left", pocketed=small)
 
 
 def join_row_counts(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

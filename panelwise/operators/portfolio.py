@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from panelwise.functions.columns import float_columns, nan_to_null, ratio, to_long
 from panelwise.operators.order_stats import GROUP_ROWS, group_sizes, order_statistics
-from panelwise.runtime import col, lookup_join, only, pocket
+from panelwise.runtime import col, largest_of, lookup_join, only, pocket
 
 LONG_SHORT = "LS"
 
@@ -45,8 +45,7 @@ def assign_bins(
     """
     predictions = nan_to_null(predictions, [pred]) if pred in float_columns(predictions) else predictions
     sizes = group_sizes(predictions, by, pred)
-    largest = sizes[0].agg(F.max("n")).first()[0] or 0
-    if largest <= (GROUP_ROWS if window_rows is None else window_rows):
+    if largest_of(sizes[0], "n") <= (GROUP_ROWS if window_rows is None else window_rows):
         group = Window.partitionBy(*by)
         rank = F.rank().over(group.orderBy(F.col(pred).asc_nulls_last()))
         spread = F.ceil(rank * F.lit(nport) / (F.count(F.lit(1)).over(group) + 1))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,10 +77,28 @@ def pocket(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool
     head = df.limit(rows + 1).toArrow()
     # The estimate bounds what is fetched; what counts are the bytes that came, and what a row costs besides.
     if head.num_rows <= rows and head.nbytes + 32 * head.num_rows <= max(limit, 32):
-        return df.sparkSession.createDataFrame(head, df.schema), True
+        table = df.sparkSession.createDataFrame(head, df.schema)
+        table._fetched = head
+        return table, True
     return stage_table(df), False
 
 
+def largest_of(table: DataFrame, name: str) -> int:
+    """The largest value of a column of a pocketed table, without a job if its rows are at hand; 0 if there are none."""
+    head = getattr(table, "_fetched", None)
+    if head is not None:
+        return pc.max(head.column(name)).as_py() or 0
+    return table.agg(F.max(col(name))).first()[0] or 0
+
+
+def repeats(table: DataFrame, key: str) -> bool:
+    """Does a pocketed table hold a value of ``key`` more than once?"""
+    head = getattr(table, "_fetched", None)
+    if head is not None:
+        return pc.count_distinct(head.column(key), mode="all").as_py() < head.num_rows
+    return key_duplicates(table, [key]).limit(1).count() > 0
+
+
 def fewer_tasks(df: DataFrame, at_least: int = 2000) -> DataFrame:
     """Let a task read several splits where every task hands back a whole matrix, so that fewer matrices are shuffled.
 
