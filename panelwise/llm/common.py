@@ -78,7 +78,11 @@ def col(name: str):
 
 
 def byte_views(column: pa.Array) -> list[memoryview]:
-    """The UTF-8 bytes of each text of an Arrow string column; null counts as empty."""
+    """The UTF-8 bytes of each text of an Arrow string column; null counts as empty.
+
+    Called once a batch, so Arrow's pool here gives back what earlier batches and tasks of the worker left in it.
+    """
+    pa.default_memory_pool().release_unused()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
