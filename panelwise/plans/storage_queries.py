@@ -127,9 +127,10 @@ def coef_ranking_saved(spark, sf_dir):
     "display_text",
     sql.statement(
         sql.STATS,
-        f"select model, bin, {day('date')}, case when std is null then '-' else printf('(%.3f)', std) end as std_text, printf('%.2f%%', ret * 100) as ret_text from stats",
+        f"select model, bin, {day('date')}, case when std is null then '-' else printf('(%.7f)', std) end as std_text, printf('%.7f%%', ret * 100) as ret_text from stats",
     ),
 )
 def display_text(spark, sf_dir):
+    """With seven digits, so that no value lies half way between two texts (there the engines round differently)."""
     found = tables.stats(spark, sf_dir)
-    return shown(found.select("model", "bin", "date", files.number_text(F.col("std"), 3, brackets=True).alias("std_text"), files.percent_text(F.col("ret")).alias("ret_text")))
+    return shown(found.select("model", "bin", "date", files.number_text(F.col("std"), 7, brackets=True).alias("std_text"), files.percent_text(F.col("ret"), 7).alias("ret_text")))
