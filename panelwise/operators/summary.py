@@ -30,25 +30,20 @@ def default_models(predictions: DataFrame, n: int = 5) -> DataFrame:
     return predictions.select("model").distinct().orderBy("model").limit(n)
 
 
+def _named(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    """A row per column, by position, to hang aggregates on; a table without rows has its columns, too."""
+    return F.broadcast(df.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"position int, {schema}"))
+
+
 def column_moments(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(column, mean, std, min, max)`` per column from one aggregate."""
+    """``(column, count, mean, std, min, max)`` per column, from (position, value) pairs, so hundreds of columns stay in compiled code."""
     names = numeric_columns(df) if columns is None else list(columns)
-    one = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.count(col(c)).alias("count"),
-                    F.avg(col(c)).alias("mean"),
-                    F.stddev_samp(col(c)).alias("std"),
-                    F.min(col(c)).cast("double").alias("min"),
-                    F.max(col(c)).cast("double").alias("max"),
-                )
-                for c in names
-            ]
-        ).alias("_rows")
+    values = by_position(df, [col(c).cast("double") for c in names])
+    moments = values.groupBy("position").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
     )
-    return one.select(F.inline("_rows"))
+    joined = _named(df, [(c,) for c in names], "column string").join(moments, "position", "left")
+    return joined.select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "max")
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str] | None = None, direct_rows: int | None = None) -> DataFrame:
@@ -64,12 +59,7 @@ def describe_columns(df: DataFrame, columns: Sequence[str] | None = None, direct
 
 def column_info(df: DataFrame) -> DataFrame:
     """``(column, type, present)``: declared type and number of non-missing values."""
-    one = df.agg(
-        F.array(
-            *[
-                F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.count(col(f.name)).alias("present"))
-                for f in df.schema.fields
-            ]
-        ).alias("_rows")
-    )
-    return one.select(F.inline("_rows"))
+    fields = df.schema.fields
+    present = by_position(df, [col(f.name).isNotNull().cast("int") for f in fields]).groupBy("position").agg(F.sum("value").alias("present"))
+    joined = _named(df, [(f.name, f.dataType.simpleString()) for f in fields], "column string, type string").join(present, "position", "left")
+    return joined.select("column", "type", F.coalesce("present", F.lit(0)).alias("present"))
