@@ -203,11 +203,12 @@ class LinearFitModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWr
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def score(self) -> Column:
-        total = F.lit(self.getOrDefault("intercept"))
-        for c, w in zip(self.getInputCols(), self.getOrDefault("coefficients")):
-            if w != 0.0:
-                total = total + col(c) * F.lit(w)
-        return total
+        terms = [F.lit(self.getOrDefault("intercept"))]
+        terms += [col(c) * F.lit(w) for c, w in zip(self.getInputCols(), self.getOrDefault("coefficients")) if w != 0.0]
+        # Added up in pairs, so that the expression is as deep as the logarithm of the number of features.
+        while len(terms) > 1:
+            terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + ([terms[-1]] if len(terms) % 2 else [])
+        return terms[0]
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", self.score())

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.models.gram import matrix_of
-from panelwise.runtime import col, stage_table
+from panelwise.runtime import col, drop_staged, stage_table
 
 CHUNK = 4096
 # Adam's decay rates and the smallest gain that counts as progress.
@@ -127,6 +127,7 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
             best_flat = self._train(dealt, sizes)
         finally:
             dealt.unpersist()
+            drop_staged(rows)
         return NetworkModel(inputCols=names, hidden=hidden, weights=best_flat.tolist())
 
     def _train(self, rows: DataFrame, sizes: list[int]) -> np.ndarray:

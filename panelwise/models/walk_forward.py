@@ -17,7 +17,7 @@ from panelwise.models.linear import LinearFit
 from panelwise.models.registry import build_model, default_variants
 from panelwise.prep.pipeline import build_preprocessor, feature_names, fit_prepare
 from panelwise.prep.stages import fill_from_sums, period_sums
-from panelwise.runtime import col, stage_table
+from panelwise.runtime import col, drop_staged, stage_table
 from panelwise.sources import store as storage
 
 Variant = tuple[str, str, dict]
@@ -124,6 +124,8 @@ def walk_forward(
                 storage.store_predictions(frame, store)
             else:
                 frames.append(frame)
+        if store:
+            drop_staged(staged)  # the predictions are written; without a store they still read it
     if store:
         return storage.read_predictions(spark, store)
     return reduce(DataFrame.unionByName, frames)

@@ -50,7 +50,16 @@ def stage_table(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     else:
         # Even out the files: few per folder, and a folder holding much of the data is split over many tasks.
         df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
-    return spark.read.parquet(path)
+    staged = spark.read.parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read any more."""
+    for t in tables:
+        where = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._staged_at)
+        where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def row_bytes(schema: T.StructType) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.functions.columns import move_to_front
-from panelwise.runtime import guard_unique, only, stage_table
+from panelwise.runtime import drop_staged, guard_unique, only, stage_table
 
 KEYS = ("permno", "date", "model")
 
@@ -42,12 +42,15 @@ def store_predictions(new: DataFrame, path: str) -> None:
     new = stage_table(new)
     touched = new.select("model", F.year("date").alias("year")).distinct().collect()
     if not touched:
+        drop_staged(new)
         return
     stored = spark.read.schema("permno long, date date, ret double, pred double, model string, year int").parquet(path)
     same = reduce(lambda a, b: a | b, [(F.col("model") == r["model"]) & (F.col("year") == r["year"]) for r in touched])
     old = stored.filter(same).select("permno", "date", "ret", "model", "pred")
     # The rows to be replaced are read before they are overwritten.
-    write_predictions(stage_table(upsert_predictions(new.select(old.columns), old)), path)
+    merged = stage_table(upsert_predictions(new.select(old.columns), old))
+    write_predictions(merged, path)
+    drop_staged(new, merged)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -68,3 +68,12 @@ def test_guards_add_no_shuffle(spark):
         assert plan.count("Exchange") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staged_tables_can_be_dropped(spark):
+    staged = runtime.stage_table(spark.range(10))
+    path = staged._staged_at
+    assert staged.count() == 10 and runtime.shared_folder(spark) in path
+    runtime.drop_staged(staged)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path)
