@@ -88,7 +88,29 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
-@query("op3_suffix_dedup")
+@query(
+    "op3_suffix_dedup",
+    r"""
+    with bytes as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+    windows as (select doc_id, i, md5(substr(h, 2 * i + 1, 200)) as k from (select doc_id, h, unnest(range(greatest(length(h) // 2 - 99, 0))) as i from bytes)),
+    again as (select doc_id, i from windows qualify row_number() over (partition by k order by doc_id, i) > 1),
+    marked as (select doc_id, i, coalesce(i > lag(i) over w + 100, true) as fresh from again window w as (partition by doc_id order by i)),
+    numbered as (select doc_id, i, count(*) filter (fresh) over (partition by doc_id order by i) as s from marked),
+    spans as (select doc_id, s, min(i) as a, max(i) + 100 as e from numbered group by doc_id, s),
+    pieces as (
+        select b.doc_id, b.h, s.s, s.a, s.e, lag(s.e, 1, 0) over (partition by s.doc_id order by s.s) as before, lead(s.a) over (partition by s.doc_id order by s.s) is null as is_last
+        from spans s join bytes b on b.doc_id = s.doc_id
+    ),
+    cut as (
+        select doc_id, sum(e - a) as n_removed, count(*) as n_spans,
+            string_agg(substr(h, 2 * before + 1, 2 * (a - before)) || case when is_last then substr(h, 2 * e + 1) else '' end, '' order by s) as kept
+        from pieces group by doc_id
+    )
+    select b.doc_id, length(b.h) // 2 as n_bytes, cast(coalesce(c.n_removed, 0) as bigint) as n_removed, coalesce(c.n_spans, 0) as n_spans,
+        sha256(unhex(coalesce(c.kept, b.h))) as kept_sha256
+    from bytes b left join cut c on c.doc_id = b.doc_id
+    """,
+)
 def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
