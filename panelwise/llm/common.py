@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.runtime import MAX_BROADCAST_BYTES, shared_folder
+from panelwise.runtime import MAX_BROADCAST_BYTES, col, shared_folder
 
 # Bytes of text worked on at a time inside a task: its arrays of eight bytes a byte then fit a processor's cache.
 SLICE_BYTES = 512 * 1024
@@ -73,10 +73,6 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def col(name: str):
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def byte_views(column: pa.Array) -> list[memoryview]:
     """The UTF-8 bytes of each text of an Arrow string column; null counts as empty.
 
