@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -19,7 +20,7 @@ SLICE_BYTES = 512 * 1024
 
 
 #: Bytes of one batch handed to Python at most: texts are long, and a task holds a batch more than once.
-BATCH_BYTES = 8 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -76,9 +77,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def byte_views(column: pa.Array) -> list[memoryview]:
     """The UTF-8 bytes of each text of an Arrow string column; null counts as empty.
 
-    Called once a batch, so Arrow's pool here gives back what earlier batches and tasks of the worker left in it.
+    Called once a batch, so the worker gives back here what earlier batches and tasks left in Arrow's pool and in the
+    allocator's free lists.
     """
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if len(column) == 0:
