@@ -24,6 +24,9 @@ TERM_BITS = 18
 #: Stems of so many bytes join the words.
 STEMS = [4, 5, 6, 8]
 FACTORS = 8
+#: Labelled texts that must hold a term for it to take part.
+LEAST_SEEN = 4
+LEAST_STEPS = 700
 #: Labelled rows of each class to fit on, at most.
 MAX_ROWS = 8000
 THRESHOLD = 0.3
@@ -54,50 +57,56 @@ def _margins(bounds: np.ndarray, flat: np.ndarray, bias: float, w: np.ndarray, v
     return bias + np.bincount(owner, w[flat], n) + 0.5 * ((sums * sums).sum(1) - squares), sums
 
 
-def fit(sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4) -> dict:
-    """Logistic loss, AdaGrad on batches; only terms that go with one class more than chance would have it take part."""
+def fit(sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4, penalty: float = 0.0125) -> dict:
+    """Logistic loss, AdaGrad on batches, over all terms that ``LEAST_SEEN`` texts hold, whatever each says alone.
+
+    Own weights are drawn to 0 by ``penalty``, as strongly as by so many texts, factors by ``decay`` and by AdaGrad sums that
+    start high: the factors of rare terms hardly move, which in texts of thousands of terms would otherwise outweigh all
+    else. Small samples are passed over more often, for ``LEAST_STEPS`` batches in all.
+    """
     size = 1 << TERM_BITS
-    flat = np.concatenate(sets) if len(sets) else np.zeros(0, np.int32)
-    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
     mass = weights.sum()
     if not len(sets) or not mass:
         return {"known": np.zeros(0, np.int32), "w": np.zeros(0), "v": np.zeros((0, FACTORS)), "bias": 0.0}
     share = float((weights * labels).sum() / mass)
-    seen = np.bincount(flat, minlength=size)
-    toxic = np.bincount(np.concatenate([flat[:0], *(s for s, y in zip(sets, labels) if y)]), minlength=size)
-    expected = seen * labels.mean()
-    z = (toxic - expected) / np.sqrt(np.maximum(expected * (1 - labels.mean()), 1e-9))
-    known = np.flatnonzero((seen >= 4) & (np.abs(z) >= 4)).astype(np.int32)
+    seen = np.zeros(size, np.int64)
+    for s in sets:
+        seen[s] += 1
+    known = np.flatnonzero(seen >= LEAST_SEEN).astype(np.int32)
     place = np.full(size, -1, np.int32)
     place[known] = np.arange(len(known))
-    keep = place[flat] >= 0
-    flat, owner = place[flat[keep]], owner[keep]
-    starts = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(sets)))))
+    own = [p[p >= 0] for p in (place[s] for s in sets)]
+    starts = np.concatenate(([0], np.cumsum([len(p) for p in own])))
+    flat = np.concatenate(own)
+    del own
 
     random = np.random.default_rng(5)
     w, v = np.zeros(len(known)), random.normal(0, 0.01, (len(known), FACTORS))
     bias = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
-    w_sum, v_sum, b_sum = np.full(len(known), 1e-3), np.full((len(known), FACTORS), 1e-3), 1e-3
+    w_sum, v_sum, b_sum = np.full(len(known), 1e-3), np.full((len(known), FACTORS), 3.0), 1e-3
     scale = weights / weights.mean()
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-LEAST_STEPS // -(-len(sets) // 256)))):
         order = random.permutation(len(sets))
         for first in range(0, len(order), 256):
             rows = order[first : first + 256]
             counts = starts[rows + 1] - starts[rows]
             bounds = np.concatenate(([0], np.cumsum(counts)))
-            ids = flat[np.repeat(starts[rows] - bounds[:-1], counts) + np.arange(bounds[-1])]
-            margin, sums = _margins(bounds, ids, bias, w, v)
+            # Only the batch's own terms are touched.
+            local, ids = np.unique(flat[np.repeat(starts[rows] - bounds[:-1], counts) + np.arange(bounds[-1])], return_inverse=True)
+            margin, sums = _margins(bounds, ids, bias, w[local], v[local])
             gap = scale[rows] * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[rows]) / len(rows)
             each = np.repeat(np.arange(len(rows)), counts)
-            dw = np.bincount(ids, gap[each], len(known)) + decay * w
-            pull = gap[each, None] * (sums[each] - v[ids])
-            dv = np.stack([np.bincount(ids, pull[:, f], len(known)) for f in range(FACTORS)], 1) + decay * v
+            pull = np.bincount(ids, gap[each], len(local))
+            dw = pull + decay * w[local]
+            dv = np.stack([np.bincount(ids, (gap * sums[:, f])[each], len(local)) for f in range(FACTORS)], 1) + (decay - pull[:, None]) * v[local]
             db = gap.sum()
-            w_sum += dw * dw
-            v_sum += dv * dv
+            w_sum[local] += dw * dw
+            v_sum[local] += dv * dv
             b_sum += db * db
-            w -= rate * dw / np.sqrt(w_sum)
-            v -= rate * 0.3 * dv / np.sqrt(v_sum)
+            step = rate / np.sqrt(w_sum[local])
+            moved = w[local] - step * dw
+            w[local] = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty / len(sets) ** 0.5, 0)
+            v[local] -= rate * 0.3 * dv / np.sqrt(v_sum[local])
             bias -= rate * db / b_sum**0.5
     return {"known": known, "w": w, "v": v, "bias": bias}
 

@@ -80,6 +80,41 @@ def test_pairs_are_learned():
     assert ((margin > 0) == labels).mean() > 0.95
 
 
+def margins_of(model, sets):
+    place = {t: i for i, t in enumerate(model["known"].tolist())}
+    flat = [np.array([place[t] for t in s if t in place], int) for s in sets]
+    return T._margins(np.concatenate(([0], np.cumsum([len(f) for f in flat]))), np.concatenate(flat), model["bias"], model["w"], model["v"])[0]
+
+
+def test_pairs_are_learned_by_fit_as_it_is():
+    """As above, and nothing is replaced: each of the terms alone says nothing of the label."""
+    r = np.random.default_rng(4)
+    bits = r.integers(0, 2, (2000, 2))
+    sets = [np.unique([10 + a, 20 + b, *r.integers(100, 130, 3).tolist()]).astype(np.int32) for a, b in bits.tolist()]
+    labels = (bits[:, 0] == bits[:, 1]).astype(float)
+    model = T.fit(sets, labels, np.ones(len(sets)), epochs=60, rate=0.3)
+    assert ((margins_of(model, sets) > 0) == labels).mean() > 0.95
+
+
+def test_an_insult_and_a_mention_are_toxic_only_together():
+    """Either of both goes with toxic texts exactly as often as any word does."""
+    r = np.random.default_rng(6)
+    sets, labels, kinds = [], [], []
+    for kind in r.choice(4, 4000, p=[0.09, 0.21, 0.21, 0.49]).tolist():
+        own = set(r.integers(100, 2000, 30).tolist())
+        own |= {10} if kind == 0 or kind == 1 else set()
+        own |= {11} if kind == 0 or kind == 2 else set()
+        other = kind == 3 and r.random() < 0.43
+        own |= {12} if other else set()
+        sets.append(np.array(sorted(own), np.int32))
+        labels.append(float(kind == 0 or other))
+        kinds.append(kind)
+    labels, kinds = np.array(labels), np.array(kinds)
+    model = T.fit(sets[:3000], labels[:3000], np.ones(3000), epochs=60, rate=0.3)
+    found = margins_of(model, sets[3000:]) >= np.log(T.THRESHOLD / (1 - T.THRESHOLD))
+    assert found[kinds[3000:] == 0].mean() > 0.8 and (found == labels[3000:]).mean() > 0.9
+
+
 def test_no_labels_and_empty_tables(spark, documents):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     docs = documents([(1, "some words"), (2, None)])
