@@ -3,7 +3,8 @@
 The rules find e-mail addresses, IP numbers, cards and phones. What stands around the found ones seeds the rest:
 
 1. Contexts are lexical patterns: the word before, the two words before, or the word before and the one after. Every
-   found entity and every other identifier-like token (with digits or an ``@``) is an instance of its patterns.
+   found entity and every other identifier-like token (with digits or an ``@``; groups of digits that single blanks part
+   are one) is an instance of its patterns.
 2. Spark scores the graph of patterns and instances in rounds. A pattern is trusted for a kind as far as its distinct
    instances are of that kind; an instance belongs to a kind as far as the best pattern it occurs in is trusted.
 3. Patterns that are trusted enough, by enough different instances, claim the identifier-like tokens they stand
@@ -38,6 +39,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TOKEN = re.compile(r"\S+")
+DIGITS = re.compile(r"\+?[0-9][0-9().\[\]-]*+")
 EDGES = "()[]{}<>\"'.,;:!?*#&%$=|"
 NOT_WORD = re.compile(r"[\W_]+")
 
@@ -92,19 +94,50 @@ def contexts(text: str, start: int, end: int) -> list[str]:
 
 
 def likely_tokens(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
-    """Identifier-like tokens outside the spans taken: at least six characters between punctuation, with a digit or an ``@``."""
+    """Identifier-like tokens outside the spans taken: at least six characters between punctuation, with a digit or an ``@``.
+
+    Tokens of digits, dots, hyphens and brackets that single blanks part are one, as in ``(555) 123-4567``.
+    """
     spans = sorted((a, b) for a, b, _ in taken)
     n = 0
+    run: list[int] = []  # start and end of the digits so far, and where their last token ends
     for m in TOKEN.finditer(text):
         token = m[0]
-        if len(token) < 6 or not (DIGIT.search(token) or "@" in token):
+        if not (DIGIT.search(token) or "@" in token):
             continue
         start = m.start() + len(token) - len(token.lstrip(EDGES))
         end = m.start() + len(token.rstrip(EDGES))
         while n < len(spans) and spans[n][1] <= m.start():
             n += 1
-        if end - start >= 6 and not any(a < end and start < b for a, b in spans[n : n + 8]):
-            yield start, end
+        if any(a < end and start < b for a, b in spans[n : n + 8]):
+            continue
+        if not DIGITS.fullmatch(text, start, end):
+            if end - start >= 6:
+                if run:
+                    yield from _whole(text, *run[:2])
+                    run = []
+                yield start, end
+            continue
+        if run and m.start() == run[2] + 1 and text[run[2]] == " " and not text[run[1] : run[2]].strip(")]") and not text[m.start() : start].strip("(["):
+            run[1:] = end, m.end()
+        else:
+            if run:
+                yield from _whole(text, *run[:2])
+            run = [start, end, m.end()]
+    if run:
+        yield from _whole(text, *run[:2])
+
+
+def _whole(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """A run of digits, if it is long enough, with the brackets at its ends whose partners it holds."""
+    for left, right in ("()", "[]"):
+        more = text.count(right, start, end) - text.count(left, start, end)
+        if more > 0 and text[start - 1 : start] == left:
+            start -= 1
+        elif more < 0 and text[end : end + 1] == right:
+            end += 1
+    if end - start >= 6:
+        yield start, end
 
 
 def _number(text: str) -> int:

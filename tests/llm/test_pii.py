@@ -76,6 +76,29 @@ def test_learned_spans_stand_in_order(documents, contact_rows):
     assert r.base == "email:5:12,email:44:51" and r.spans == "email:5:12,phone:31:40,email:44:51"
 
 
+def test_runs_of_digits_are_one_token():
+    found = lambda text: [text[a:b] for a, b in I.likely_tokens(text, I.base_spans(text))]
+    assert found("call (555) 123-4567, or ring 555 123 4567.") == ["(555) 123-4567", "555 123 4567"]
+    assert found("card 4111 1111 1111 1112 (or [555] 123.4567)") == ["4111 1111 1111 1112", "[555] 123.4567"]
+    assert found("(555)123-4567 555 (1234) 12 34 x 123456, 234567  345678") == ["(555)123-4567 555 (1234) 12 34", "123456", "234567", "345678"]
+    assert found("4111 1111 1111 1111 and ab123cd 99 a@b 12:30:45 1 2") == ["ab123cd", "12:30:45"]
+    assert found("no12") == found("12 34") == found("") == []
+    assert len(found("1 " * 200_000)) == 1
+
+
+def test_contexts_find_digits_with_blanks(documents, words):
+    r = random.Random(5)
+    w = lambda: " ".join(r.choice(words) for _ in range(8))
+    rows = [(i, f"{w()} please call +1 (555) 010-{1000 + i} or {w()}") for i in range(40)]
+    rows += [(100 + i, f"{w()} pay by card 4111 1111 1111 {x} or {w()}") for i, x in enumerate(y for y in range(1000, 2000) if luhn(f"411111111111{y}"))]
+    asked = {2000: ("call", "phone", "(555) 123-4567"), 2001: ("call", "phone", "555 123 4567"), 2002: ("card", "card", "4111 1111 1111 1112")}
+    rows += [(i, f"{w()} {'please' if a == 'call' else 'pay by'} {a} {t} or {w()}") for i, (a, _, t) in asked.items()]
+    texts = dict(rows)
+    for got in I.find_personal_data(documents(rows)).filter("doc_id >= 2000").collect():
+        kind, a, b = got.spans.split(":")
+        assert (kind, texts[got.doc_id][int(a) : int(b)]) == asked[got.doc_id][1:]
+
+
 def test_empty_table(documents):
     assert I.find_personal_data(documents([])).count() == 0
     assert [tuple(r) for r in I.find_personal_data(documents([(1, None)])).collect()] == [(1, 0, 0, 0, 0, "", "")]
