@@ -79,5 +79,23 @@ def test_a_seed_is_followed_by_its_neighbour():
     assert windows[0] == [0, 4] and windows[1] == [1, 3]
 
 
+def test_all_terms_of_a_seed_count():
+    """Only its least telling one of 60 terms leads to the neighbour."""
+    seed = [*range(2, 62)]
+    docs = [np.array(x + [1], np.uint16) for x in (seed, [100], [101], [61, 102])]
+    idf = np.ones(200, np.float32)
+    idf[61] = 0.1
+    assert P.Index(docs, idf, 17.0).neighbours(0, np.array([False, True, True, True])) == [3]
+
+
+def test_a_seed_is_asked_for_until_it_has_no_neighbour():
+    """100 short documents share a term with the first one; each also has one in common with another document in between."""
+    docs = [np.array([5, 1], np.uint16)]
+    for i in range(100):
+        docs += [np.array([5, 100 + i, 1], np.uint16), np.array([100 + i, 1], np.uint16)]
+    pieces = P.pack(docs, np.ones(300, np.float32), 2.0, 302)
+    assert [d for d, _, _, sequence, _ in pieces if sequence == 0] == [0, *range(1, 200, 2)]
+
+
 def test_empty_table(documents):
     assert P.pack_documents(documents([]), tokenizer_path()).count() == 0
