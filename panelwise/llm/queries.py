@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import toxicity
+from panelwise.llm import merkle, toxicity
 from panelwise.llm.chat import format_conversations, read_back
 from panelwise.llm.decontaminate import contamination
 from panelwise.llm.exact_dedup import exact_groups
@@ -199,3 +199,55 @@ def html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def personal_data_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query(
+    "op11_merkle",
+    r"""
+    with recursive
+    leaves as materialized (
+        select doc_id, dense_rank() over (order by lang nulls first) - 1 as g, row_number() over (partition by lang order by doc_id nulls first) - 1 as pos, count(*) over (partition by lang) as n,
+            sha256(concat(i, s, l, c, t)) as leaf, case when crc % 7 = 0 then sha256(concat(i, s, l, d, t)) else sha256(concat(i, s, l, c, t)) end as now
+        from (
+            select *, coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') as i, coalesce(strlen(source) || ':' || source, '-') as s, coalesce(strlen(lang) || ':' || lang, '-') as l,
+                coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as c, coalesce(strlen(cast(n_chars + 1 as varchar)) || ':' || (n_chars + 1), '-') as d,
+                coalesce(strlen(text) || ':' || text, '-') as t,
+                xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+                    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)), 4294967295) as crc
+            from documents
+        )
+    ),
+    nodes(g, lvl, pos, n, h) as (
+        select g, 0, pos, n, leaf from leaves
+        union all
+        select g, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' order by pos)) from nodes where n > 1 group by g, lvl, pos // 2, n
+    ),
+    subroots as materialized (select g, h, count(*) over () as n from nodes where n = 1),
+    tops(lvl, pos, n, h) as (
+        select 0, g, n, h from subroots
+        union all
+        select lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' order by pos)) from tops where n > 1 group by lvl, pos // 2, n
+    ),
+    climb(doc_id, leaf, g, lvl, pos, n, h, proof) as (
+        select doc_id, leaf, g, 0, pos, n, now, '' from leaves
+        union all
+        select c.doc_id, c.leaf, c.g, c.lvl + 1, c.pos // 2, (c.n + 1) // 2,
+            sha256(case when c.pos % 2 = 1 then concat(s.h, c.h) else concat(c.h, s.h) end), concat(c.proof, s.h)
+        from climb c left join nodes s on s.g = c.g and s.lvl = c.lvl and s.pos = xor(c.pos, 1) where c.n > 1
+    ),
+    above(doc_id, leaf, g, lvl, pos, n, h, proof) as (
+        select c.doc_id, c.leaf, c.g, 0, c.g, s.n, c.h, c.proof from climb c join subroots s on s.g = c.g where c.n = 1
+        union all
+        select c.doc_id, c.leaf, c.g, c.lvl + 1, c.pos // 2, (c.n + 1) // 2,
+            sha256(case when c.pos % 2 = 1 then concat(s.h, c.h) else concat(c.h, s.h) end), concat(c.proof, s.h)
+        from above c left join tops s on s.lvl = c.lvl and s.pos = xor(c.pos, 1) where c.n > 1
+    )
+    select a.doc_id, a.leaf, s.h as subroot, r.h as root, sha256(a.proof) as proof_sha256, a.h as folded_root, a.h = r.h as verified
+    from above a join subroots s on s.g = a.g join tops r on r.n = 1 where a.n = 1
+    """,
+)
+def merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    checked = merkle.verify(merkle.build(docs, changed={"n_chars": F.col("n_chars") + 1}, where=tampered))
+    return checked.select("doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
