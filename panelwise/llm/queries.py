@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import merkle, toxicity
+from panelwise.llm import bpe, merkle, toxicity
 from panelwise.llm.chat import format_conversations, read_back
 from panelwise.llm.decontaminate import contamination
 from panelwise.llm.exact_dedup import exact_groups
@@ -251,3 +251,13 @@ def merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     checked = merkle.verify(merkle.build(docs, changed={"n_chars": F.col("n_chars") + 1}, where=tampered))
     return checked.select("doc_id", "leaf", "subroot", "root", F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+@query("op12_bpe")
+def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    using = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, *using), *using)
+    return both.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
