@@ -15,6 +15,7 @@ from panelwise.llm.html_extract import extract_text
 from panelwise.llm.near_dedup import near_groups
 from panelwise.llm.packing import pack_documents
 from panelwise.llm.pii import KINDS, find_personal_data
+from panelwise.llm.runs import find_runs
 from panelwise.llm.suffix_dedup import remove_repeats
 from panelwise.llm.url_filter import judge_urls
 
@@ -261,3 +262,26 @@ def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     both = bpe.decode(bpe.encode(docs, *using), *using)
     return both.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def replanted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in a tenth of the documents, chosen by their ids, the words from some place on repeat a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w")).withColumn("n", F.size("w"))
+    begun = chosen.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    sized = begun.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    tail = F.expr("transform(sequence(a, n - 1), i -> w[a + (i - a) % p])")
+    return sized.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_runs")
+def runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(replanted(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # The first of the runs with the greatest exponent, which is compared without rounding.
+    best = F.expr("aggregate(runs, get(runs, 0), (b, r) -> if(r.length * b.period > b.length * r.period, r, b))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
