@@ -109,22 +109,25 @@ def moments_by_fold(df: DataFrame, features: Sequence[str], label: str, fold: Co
     return {f: Moments(z) for f, z in out.items()}
 
 
-def row_order_folds(df: DataFrame, k: int, entity: str = "permno", date: str = "date") -> Column:
-    """Fold of each row when the rows, ordered by (entity, date), are cut into ``k`` contiguous blocks.
-
-    The first ``n mod k`` blocks have one row more. Entities are whole numbers of any size.
-    """
+def row_order_key(entity: str = "permno", date: str = "date") -> Column:
+    """A whole number that orders rows by (entity, date). Entities are whole numbers of any size."""
     key = F.col(entity).cast("decimal(38,0)") * F.lit(Decimal(100_000)).cast("decimal(6,0)") + (F.year(date) * 12 + F.month(date)).cast("decimal(6,0)")
-    key = key.cast("decimal(38,0)")
+    return key.cast("decimal(38,0)")
+
 
-    def ends(n: Column, m: Column) -> list[Column]:
-        return [F.floor(n / F.lit(k)) * i + F.least(F.lit(i), F.pmod(n, F.lit(k))) for i in range(1, k)]
+def fold_ends(n: Column, k: int) -> list[Column]:
+    """Ranks of the last rows of all blocks but the last, when ``n`` rows are cut into ``k`` blocks; the first ``n mod k`` have one row more."""
+    return [F.floor(n / F.lit(k)) * i + F.least(F.lit(i), F.pmod(n, F.lit(k))) for i in range(1, k)]
 
+
+def row_order_folds(df: DataFrame, k: int, entity: str = "permno", date: str = "date") -> Column:
+    """Fold of each row when the rows, ordered by (entity, date), are cut into ``k`` contiguous blocks."""
+    key = row_order_key(entity, date)
     keys, n = df.select(F.lit(0).alias("_all"), key.alias("_key")), df.count()
     sizes = df.sparkSession.createDataFrame([(0, n, n)], "_all int, n long, m long"), True
     share = GUIDE_ROWS / max(n, 1)
     guide = keys.sample(share, seed=1) if share < 0.5 else None
-    found = order_statistics(keys, ["_all"], "_key", ends, sizes=sizes, guide=guide).first()
+    found = order_statistics(keys, ["_all"], "_key", lambda n, m: fold_ends(n, k), sizes=sizes, guide=guide).first()
     fold = F.lit(0)
     for last in found["stats"]:
         if last is not None:

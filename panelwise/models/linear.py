@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -104,30 +105,49 @@ def sum_moments(folds: Mapping[int, Moments]) -> Moments:
     return total
 
 
-def leave_one_out_errors(df: DataFrame, features: Sequence[str], label: str, m: Moments, alphas: Sequence[float]) -> list[float]:
-    """Mean squared leave-one-out error of ridge for each penalty, in one pass and without refits."""
+@dataclass(frozen=True)
+class LooTerms:
+    """What the leave-one-out errors of ridge need besides the rows."""
+
+    alphas: list[float]
+    n: float
+    centre: np.ndarray
+    vectors: np.ndarray
+    weights: np.ndarray
+    coefs: np.ndarray
+    intercepts: np.ndarray
+
+
+def loo_terms(m: Moments, alphas: Sequence[float]) -> LooTerms:
     values, vectors = np.linalg.eigh(m.xx)
     values = np.clip(values, 0.0, None)
     fits = [solve_ridge(m, a) for a in alphas]
-    coefs, intercepts = np.array(fits), np.array([m.intercept(c) for c in fits])
-    weights = np.array([1.0 / (values + a) for a in alphas])
-    centre, n = m.mean_x, m.n
+    return LooTerms(list(alphas), m.n, m.mean_x, vectors, np.array([1.0 / (values + a) for a in alphas]), np.array(fits), np.array([m.intercept(c) for c in fits]))
+
+
+def loo_sums(terms: LooTerms, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sums over some rows of the squared leave-one-out errors, per penalty."""
+    turned = ((x - terms.centre) @ terms.vectors) ** 2
+    leverage = 1.0 / terms.n + turned @ terms.weights.T
+    residual = y[:, None] - x @ terms.coefs.T - terms.intercepts
+    return ((residual / (1.0 - leverage)) ** 2).sum(axis=0)
+
+
+def leave_one_out_errors(df: DataFrame, features: Sequence[str], label: str, m: Moments, alphas: Sequence[float]) -> list[float]:
+    """Mean squared leave-one-out error of ridge for each penalty, in one pass and without refits."""
+    terms = loo_terms(m, alphas)
 
     def reduce_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(alphas))
         for batch in batches:
             table = matrix_of(batch)
-            x, y = table[:, :-1], table[:, -1]
-            turned = ((x - centre) @ vectors) ** 2
-            leverage = 1.0 / n + turned @ weights.T
-            residual = y[:, None] - x @ coefs.T - intercepts
-            total += ((residual / (1.0 - leverage)) ** 2).sum(axis=0)
+            total += loo_sums(terms, table[:, :-1], table[:, -1])
         yield pa.RecordBatch.from_pydict({"a": pa.array(range(len(alphas)), pa.int32()), "sse": pa.array(total)})
 
     rows = df.select(*[col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)], col(label).cast("double").alias("_y"))
     summed = rows.mapInArrow(reduce_task, "a int, sse double").groupBy("a").agg(F.sum("sse").alias("sse")).collect()
     found = {r["a"]: r["sse"] for r in summed}
-    return [found.get(i, 0.0) / n for i in range(len(alphas))]
+    return [found.get(i, 0.0) / m.n for i in range(len(alphas))]
 
 
 class LinearFit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -171,8 +191,8 @@ class LinearFit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWri
     def _fit(self, df: DataFrame) -> LinearFitModel:
         return self.fit_moments(df, self.moments(df))
 
-    def fit_moments(self, df: DataFrame, folds: Mapping[int, Moments]) -> LinearFitModel:
-        """Solve from cross products already at hand; ``df`` is read again only by ``ridge_cv``."""
+    def fit_moments(self, df: DataFrame, folds: Mapping[int, Moments], loo: Mapping[tuple[float, ...], list[float]] | None = None) -> LinearFitModel:
+        """Solve from cross products already at hand; ``df`` is read again only by ``ridge_cv``, unless its errors are given by penalties."""
         kind, m = self.getOrDefault("kind"), sum_moments(folds)
         alpha = self.getOrDefault("alpha")
         if kind == "ols":
@@ -183,7 +203,8 @@ class LinearFit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWri
             coef = solve_lasso(m, alpha)
         elif kind == "ridge_cv":
             choices = self.getOrDefault("alphas")
-            errors = leave_one_out_errors(df, self.getInputCols(), self.getOrDefault("labelCol"), m, choices)
+            known = (loo or {}).get(tuple(choices))
+            errors = known or leave_one_out_errors(df, self.getInputCols(), self.getOrDefault("labelCol"), m, choices)
             alpha = choices[int(np.argmin(errors))]
             coef = solve_ridge(m, alpha)
         else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.functions.columns import narrow_floats
-from panelwise.models.linear import LinearFit
+from panelwise.models.linear import LASSO_FOLDS, LinearFit
 from panelwise.models.registry import build_model, default_variants
+from panelwise.models.shared import Design, Fit, shared_leave_one_out, shared_moments, shared_scales, window_row_folds
 from panelwise.prep.pipeline import build_preprocessor, feature_names, fit_prepare
-from panelwise.prep.stages import fill_from_sums, period_sums
+from panelwise.prep.stages import period_sums
+from panelwise.prep.windows import Window, YearMeans, fill_rest, filled_by_period, learn_windows
 from panelwise.runtime import col, drop_staged, stage_table
 from panelwise.sources import store as storage
 
@@ -35,22 +37,41 @@ def side_by_side(work: Callable[[T], R], items: Sequence[T], parallelism: int) -
 
 
 def fit_variants(
-    train: DataFrame, features: Sequence[str], variants: Iterable[Variant], label: str = "ret", parallelism: int = 1
+    train: DataFrame, features: Sequence[str], variants: Iterable[Variant], label: str = "ret", parallelism: int = 1, shared: Fit | None = None
 ) -> list[tuple[str, Model]]:
-    """Fit every variant on one prepared training frame; linear models share one pass over it."""
+    """Fit every variant on one prepared training frame; linear models share one pass over it, or none if its cross products are given."""
     estimators: list[tuple[str, Estimator]] = [(v, build_model(name, features, label, **params)) for v, name, params in variants]
     linear = [e for _, e in estimators if isinstance(e, LinearFit)]
-    shared = None
-    if linear:
+    moments = None if shared is None else shared.folds
+    if linear and shared is None:
         folded = [e for e in linear if e.getOrDefault("kind") == "lasso_cv"]
-        shared = (folded or linear)[0].moments(train, bool(folded))
+        moments = (folded or linear)[0].moments(train, bool(folded))
 
     def fit(estimator: Estimator) -> Model:
-        return estimator.fit_moments(train, shared) if isinstance(estimator, LinearFit) else estimator.fit(train)
+        if isinstance(estimator, LinearFit):
+            return estimator.fit_moments(train, moments, shared and shared.loo)
+        return estimator.fit(train)
 
     return list(zip([v for v, _ in estimators], side_by_side(fit, [e for _, e in estimators], parallelism)))
 
 
+def shared_fits(filled: DataFrame, windows: Sequence[Window], todo: Mapping[int, Sequence[Variant]], continuous: Sequence[str], discrete: Sequence[str], label: str) -> list[Fit]:
+    """Means, scales and, as far as linear models ask for them, the cross products and leave-one-out errors of all windows."""
+    design = Design(windows, list(continuous), list(discrete), label)
+    linear = {w.year: [e for e in (build_model(name, ["x"], label, **params) for _, name, params in todo[w.year]) if isinstance(e, LinearFit)] for w in windows}
+    if not any(linear.values()):
+        return shared_scales(filled, design)
+    folded = next((e for own in linear.values() for e in own if e.getOrDefault("kind") == "lasso_cv"), None)
+    if folded is None:
+        fits = shared_moments(filled, design)
+    elif folded.getOrDefault("foldBy") == "entity":
+        fits = shared_moments(filled, design, [folded.fold_column(filled)] * len(windows), LASSO_FOLDS)
+    else:
+        fits = shared_moments(filled, design, window_row_folds(filled, windows, LASSO_FOLDS, folded.getOrDefault("entityCol"), folded.getOrDefault("dateCol")), LASSO_FOLDS)
+    shared_leave_one_out(filled, design, fits, [[tuple(e.getOrDefault("alphas")) for e in linear[w.year] if e.getOrDefault("kind") == "ridge_cv"] for w in windows])
+    return fits
+
+
 def score_variants(test: DataFrame, fitted: Sequence[tuple[str, Model]], keys: Sequence[str]) -> DataFrame:
     """``(keys, model, pred)``: all linear models in one pass over the frame, the others one by one."""
     plain = [(v, m) for v, m in fitted if hasattr(m, "score")]
@@ -81,11 +102,12 @@ def walk_forward(
 ) -> DataFrame:
     """Out-of-sample predictions ``(permno, date, ret, model, pred)``.
 
-    For each year the preprocessing is fitted once on the years before (all of them, or the last
-    ``window_years``) and shared by all variants. The panel is staged once, laid out by year, so a
-    window reads only its own folders. With ``store`` every finished (model, year) is written there and,
-    unless ``skip_done`` is off, not fitted again by a later run. Windows do not depend on each other;
-    ``parallelism`` of them are fitted at the same time. ``single_precision`` rounds the panel's doubles first.
+    Each year is predicted by what the years before teach (all of them, or the last ``window_years``). The panel is
+    staged once, laid out by year. Preprocessing and linear models of all windows are learned in the same scans: summaries
+    of each year are merged into every later window, and one scan adds each row to the cross products of all its windows.
+    Other models read their window's folders. With ``store`` every finished (model, year) is written there and,
+    unless ``skip_done`` is off, not fitted again by a later run. ``parallelism`` windows are fitted
+    at the same time. ``single_precision`` rounds the panel's doubles first.
     """
     variants = default_variants() if variants is None else list(variants)
     spark = panel.sparkSession
@@ -100,26 +122,21 @@ def walk_forward(
         staged = stage_table(laid_out.filter(F.col("_year") <= max(years)), "_year")
         # Filling by period learns nothing from other periods, so one pass over the panel serves all windows.
         sums, small = period_sums(staged, continuous, "date", impute_by) if continuous else (None, False)
-        year_of = F.col("_period") if impute_by == "year" else F.year("_period")
-
-        def filled(rows: DataFrame, which) -> DataFrame:
-            return fill_from_sums(rows, continuous, sums.filter(which(year_of)), small, "date", impute_by) if continuous else rows
-
-        def scored(year: int) -> DataFrame:
-            first = -10_000 if window_years is None else year - window_years
-
-            def in_training(y):
-                return (y >= first) & (y < year)
-
-            train = filled(staged.filter(in_training(F.col("_year"))), in_training)
-            test = filled(staged.filter(F.col("_year") == year), lambda y: y == year)
-            if not train.limit(1).count():
-                raise ValueError(f"year {year} has no training rows")
-            pre, prepared = fit_prepare(build_preprocessor(continuous, discrete, exact=exact_quantiles, impute=False), train)
-            fitted = fit_variants(prepared, feature_names(pre), todo[year], label, parallelism)
+        means = YearMeans(sums, len(continuous), impute_by)
+        filled = filled_by_period(staged, continuous, sums, small, "date", impute_by) if continuous else staged
+        windows = [Window(y, None if window_years is None else y - window_years) for y, left in todo.items() if left]
+        learn_windows(filled, windows, continuous, discrete, means, exact=exact_quantiles)
+        fits = shared_fits(filled, windows, todo, continuous, discrete, label)
+
+        def scored(place: int) -> DataFrame:
+            window, fit = windows[place], fits[place]
+            pre = window.stages(continuous, discrete, fit.means, fit.scales)
+            train = fill_rest(filled.filter(F.col("_year").isin([int(y) for y in window.years])), continuous, window.fallback)
+            test = fill_rest(filled.filter(F.col("_year") == window.year), continuous, means.over([window.year]))
+            fitted = fit_variants(pre.transform(train), feature_names(pre), todo[window.year], label, parallelism, fit)
             return score_variants(pre.transform(test.withColumn("ret", F.col(label).cast("double"))), fitted, keys)
 
-        for frame in side_by_side(scored, [y for y, left in todo.items() if left], parallelism):
+        for frame in side_by_side(scored, range(len(windows)), parallelism):
             if store:
                 storage.store_predictions(frame, store)
             else:

@@ -149,13 +149,13 @@ def _pick_in_brackets(narrow: DataFrame, cells: DataFrame, small: bool, slots: r
     # Values outside every bracket share one NULL row per segment, below the segment's kept values.
     kept = present.select(GROUP, seg.alias("_seg"), F.when(inside, F.col("_v")).alias("_w"))
     counts = stage_table(kept.groupBy(GROUP, "_seg", "_w").agg(F.count(F.lit(1)).alias("_c")))
-    return _pick_in_segments(counts, cells, small, slots, limit)
+    return pick_in_segments(counts, cells, small, slots, limit)
 
 
 def _pick_in_parts(narrow: DataFrame, cells: DataFrame, small: bool, slots: range, limit: int) -> DataFrame:
     """Without brackets: all values are one segment, to be cut until it is small."""
     present = narrow.filter(F.col("_v").isNotNull()).select(GROUP, F.lit(0).cast("long").alias("_seg"), F.col("_v").alias("_w"))
-    return _pick_in_segments(stage_table(present.groupBy(GROUP, "_seg", "_w").agg(F.count(F.lit(1)).alias("_c"))), cells, small, slots, limit)
+    return pick_in_segments(stage_table(present.groupBy(GROUP, "_seg", "_w").agg(F.count(F.lit(1)).alias("_c"))), cells, small, slots, limit)
 
 
 def _offsets(sizes: DataFrame, *order: str) -> DataFrame:
@@ -164,7 +164,7 @@ def _offsets(sizes: DataFrame, *order: str) -> DataFrame:
     return sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
 
 
-def _pick_in_segments(counts: DataFrame, cells: DataFrame, small: bool, slots: range, limit: int) -> DataFrame:
+def pick_in_segments(counts: DataFrame, cells: DataFrame, small: bool, slots: range, limit: int) -> DataFrame:
     """From distinct values with their counts, by segment; a NULL value stands for values below those that were kept."""
     last = None
     while True:

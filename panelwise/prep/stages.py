@@ -45,27 +45,36 @@ def period_sums(df: DataFrame, columns: Sequence[str], date: str = "date", by: s
 
 
 def fill_from_sums(
-    df: DataFrame, columns: Sequence[str], sums: DataFrame, small: bool, date: str = "date", by: str = "year", max_constants: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    sums: DataFrame,
+    small: bool,
+    date: str = "date",
+    by: str = "year",
+    max_constants: int | None = None,
+    fallback: Sequence[float | None] | None = None,
 ) -> DataFrame:
     """Fill missing values with the mean of their period, else the mean over all periods of ``sums``, else 0.
 
-    Up to ``max_constants`` means travel as constants inside the plan; more are joined. Both ways give the same.
+    ``fallback`` gives other values for periods without any, None to leave them missing. Up to ``max_constants`` means travel
+    as constants inside the plan; more are joined. Both ways give the same.
     """
     slots = range(len(columns))
-    totals = sums.agg(*[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(f"_m{i}") for i in slots]).first()
-    fallback = [0.0 if m is None else m for m in totals]
+    if fallback is None:
+        totals = sums.agg(*[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}").cast("double")).alias(f"_m{i}") for i in slots]).first()
+        fallback = [0.0 if m is None else m for m in totals]
     if small:
         filled = _fill_from_constants(df, columns, sums, fallback, date, by, MAX_CONSTANTS if max_constants is None else max_constants)
         if filled is not None:
             return filled
-    means = [F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col(f"_c{i}").cast("double")), F.lit(fallback[i])).alias(f"_f{i}") for i in slots]
+    means = [F.coalesce(F.try_divide(F.col(f"_s{i}"), F.col(f"_c{i}").cast("double")), F.lit(fallback[i]).cast("double")).alias(f"_f{i}") for i in slots]
     joined = lookup_join(df.withColumn("_period", period_of(date, by)), sums.select("_period", *means), ["_period"], "left", pocketed=small)
     filled = joined.withColumns({c: F.coalesce(col(c), F.col(f"_f{i}")) for i, c in enumerate(columns)})
     return filled.select(*[col(c) for c in df.columns])
 
 
 def _fill_from_constants(
-    df: DataFrame, columns: Sequence[str], sums: DataFrame, fallback: Sequence[float], date: str, by: str, most: int
+    df: DataFrame, columns: Sequence[str], sums: DataFrame, fallback: Sequence[float | None], date: str, by: str, most: int
 ) -> DataFrame | None:
     """The same fill with the means as constant arrays indexed by year or day, or nothing if there would be too many.
 
@@ -83,12 +92,12 @@ def _fill_from_constants(
     period = F.year(date) if by == "year" else F.when(F.dayofmonth(date) == ANCHOR_DAY, F.year(date) * 12 + F.month(date) - 1)
     fills = {}
     for i, c in enumerate(columns):
-        means = [fallback[i]] * (rows[-1]["_at"] - start + 1)
+        means = [float("nan") if fallback[i] is None else fallback[i]] * (rows[-1]["_at"] - start + 1)
         for r in rows:
             if r[f"_c{i}"]:
                 means[r["_at"] - start] = r[f"_s{i}"] / r[f"_c{i}"]
-        constants = F.split(F.lit(",".join(map(repr, means))), ",").cast("array<double>")
-        fills[c] = F.coalesce(col(c), F.get(constants, period - F.lit(start)))
+        constants = F.split(F.lit(",".join(map(repr, means)).replace("nan", "NaN")), ",").cast("array<double>")
+        fills[c] = F.coalesce(col(c), F.nanvl(F.get(constants, period - F.lit(start)), F.lit(None)))
     return df.withColumns(fills)
 
 
@@ -212,16 +221,21 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
-def _value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``(column, value, n, order)``: values as text, with an order that is numeric for numeric columns.
+def plain_values(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Discrete columns as text."""
+    return [(col(c) if _is_text(df, c) else col(c).cast("double").cast("string")).alias(c) for c in names]
+
+
+def value_counts(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``(by, _column, _value, _n, _order)``: values as text, with an order that is numeric for numeric columns.
 
     Equal values are counted before the shuffle, so a frequent value is harmless.
     """
-    plain = df.select(*[(col(c) if _is_text(df, c) else col(c).cast("double").cast("string")).alias(c) for c in names])
-    known = to_long(plain, [], names, "_column", "_value").filter(F.col("_value").isNotNull())
+    plain = df.select(*[col(c) for c in by], *plain_values(df, names))
+    known = to_long(plain, by, names, "_column", "_value").filter(F.col("_value").isNotNull())
     numeric = F.col("_column").isin([c for c in names if not _is_text(df, c)])
     number = F.when(numeric, F.col("_value").cast("double")).otherwise(F.lit(0.0))
-    counts = known.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = known.groupBy(*by, "_column", "_value").agg(F.count(F.lit(1)).alias("_n"))
     return counts.withColumn("_order", F.struct(number.alias("number"), F.col("_value").alias("text")))
 
 
@@ -240,7 +254,7 @@ class ModeImputer(_Stage, Estimator):
     def _fit(self, df: DataFrame) -> ModeImputerModel:
         names = self.getInputCols()
         first = F.min_by("_value", F.struct((-F.col("_n")).alias("rarity"), "_order"))
-        modes = _value_counts(df, names).groupBy("_column").agg(first.alias("_mode"))
+        modes = value_counts(df, names).groupBy("_column").agg(first.alias("_mode"))
         found = {r["_column"]: r["_mode"] for r in modes.collect()}
         kept = [c for c in names if c in found]
         return ModeImputerModel(inputCols=kept, modes=[found[c] for c in kept])
@@ -269,7 +283,7 @@ class OneHot(_Stage, Estimator):
 
     def _fit(self, df: DataFrame) -> OneHotModel:
         names, found = self.getInputCols(), {}
-        rows = _value_counts(df, names).select("_column", "_order").limit(MAX_LEVELS + 1).collect()
+        rows = value_counts(df, names).select("_column", "_order").limit(MAX_LEVELS + 1).collect()
         if len(rows) > MAX_LEVELS:
             raise ValueError(f"more than {MAX_LEVELS} levels in discrete columns {names}: use one_hot_vector, which has no such bound")
         for r in sorted(rows):
