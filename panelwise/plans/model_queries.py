@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from panelwise.models.interpret import coefficients, importances
 from panelwise.models.registry import expand_grid
+from panelwise.models.shared import Design, shared_scales
 from panelwise.models.walk_forward import final_fit, walk_forward
 from panelwise.operators import portfolio, series
 from panelwise.operators.panel import join_factors
 from panelwise.plans import oracle_parts as sql
 from panelwise.plans import tables
 from panelwise.plans.registry import day, num, nums, query, shown
+from panelwise.prep.stages import period_sums
+from panelwise.prep.windows import Window, YearMeans, filled_by_period, learn_windows
 from panelwise.runtime import stage_table
 
 YEARS = (1999, 2000, 2001)
@@ -124,6 +127,35 @@ def walk_forward_ridge(spark, sf_dir):
     return _forward(spark, sf_dir, [("Ridge", "Ridge", {})])
 
 
+_BOUNDS = sql.statement(
+    prepared_sql(_THREE),
+    " union all ".join(f"select y as year, '{c}' as signal, {num(f'lo{i}', 'low', 7)}, {num(f'hi{i}', 'high', 7)}, {num(f'm{i}', 'mean', 7)}, {num(f'd{i}', 'spread', 7)} from bounds join moments using (y)" for i, c in enumerate(_THREE, 1)),
+)
+
+
+def _bounds(spark, sf_dir, **options):
+    """Bounds, means and spreads of every window, from summaries of the years."""
+    staged = stage_table(tables.panel(spark, sf_dir).select("date", "ret", *_THREE, F.year("date").alias("_year")), "_year")
+    sums, small = period_sums(staged, _THREE)
+    windows = [Window(y) for y in YEARS]
+    filled = filled_by_period(staged, _THREE, sums, small, "date", "year")
+    learn_windows(filled, windows, _THREE, (), YearMeans(sums, len(_THREE), "year"), **options)
+    fits = shared_scales(filled, Design(windows, list(_THREE), [], "ret"))
+    rows = [(w.year, c, *map(float, x)) for w, fit in zip(windows, fits) for c, *x in zip(_THREE, w.lows, w.highs, fit.means, fit.scales)]
+    return shown(spark.createDataFrame(rows, "year int, signal string, low double, high double, mean double, spread double"), 7)
+
+
+@query("window_bounds", _BOUNDS)
+def window_bounds(spark, sf_dir):
+    return _bounds(spark, sf_dir)
+
+
+@query("window_bounds_sketched", _BOUNDS)
+def window_bounds_sketched(spark, sf_dir):
+    """The way taken for large panels: merged sketches of the years place the brackets of all windows, counts make them exact."""
+    return _bounds(spark, sf_dir, direct_pairs=0)
+
+
 _ONE = ("sig_tax",)
 _FIT = "fit as (select y, avg(ret) as my, avg(x1) as mx, covar_pop(ret, x1) as c, var_pop(x1) as v, count(*) as n from ready where train group by y)"
 

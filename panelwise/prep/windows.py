@@ -97,7 +97,7 @@ def fill_rest(rows: DataFrame, columns: Sequence[str], values: np.ndarray) -> Da
 
 
 def learn_windows(
-    filled: DataFrame, windows: Sequence[Window], continuous: Sequence[str], discrete: Sequence[str], means: YearMeans, lower: float = 0.0025, upper: float = 0.9975, exact: bool = True
+    filled: DataFrame, windows: Sequence[Window], continuous: Sequence[str], discrete: Sequence[str], means: YearMeans, lower: float = 0.0025, upper: float = 0.9975, exact: bool = True, direct_pairs: int | None = None
 ) -> None:
     """Completes ``windows`` from ``filled(_year, continuous, discrete)``, whose gaps are filled by period."""
     counts = {r[YEAR]: r["n"] for r in filled.groupBy(YEAR).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -109,7 +109,7 @@ def learn_windows(
             raise ValueError(f"year {w.year} has no training rows")
     rows = filled.filter(F.col(YEAR).isin(sorted({y for w in windows for y in w.years})))
     if continuous:
-        bounds = window_quantiles(rows, windows, continuous, [lower, upper], exact)
+        bounds = window_quantiles(rows, windows, continuous, [lower, upper], exact, direct_pairs)
         for w, b in zip(windows, bounds):
             w.lows, w.highs = b[:, 0], b[:, 1]
     if discrete:
@@ -146,29 +146,25 @@ def window_quantiles(
     pairs = len(names) * sum(w.rows for w in windows)
     if not exact:
         return _from_sketches(_merged_sketches(values, members, sizes, FINE_K), windows, len(names), probs)
-    places = None
-    if pairs > (DIRECT_PAIRS if direct_pairs is None else direct_pairs):
-        places = _places(_merged_sketches(values, members, sizes, SKETCH_K), windows, len(names), probs)
-        counts = _near_places(rows, names, places)
-    else:
-        one = F.count(F.lit(1)).alias("c")
-        counts = values.groupBy("position", YEAR, "value").agg(one).select("position", YEAR, F.lit(0).alias("cell"), "value", F.col("value").isNull().alias("gap"), "c")
+    if pairs <= (DIRECT_PAIRS if direct_pairs is None else direct_pairs):
+        return _directly(values, windows, len(names), probs)
+    places = _places(_merged_sketches(values, members, sizes, SKETCH_K), windows, len(names), probs)
+    counts = _near_places(rows, names, places)
     counts = stage_table(counts)
     gaps = {(r["w"], r["position"]): r["c"] for r in counts.filter("gap").join(members, YEAR).groupBy("w", "position").agg(F.sum("c").alias("c")).collect()}
     merged = counts.filter("not gap").join(members, YEAR)
     group = F.struct("w", "position").alias(GROUP)
-    if places is not None:
-        ranges = [(i, j, places.ranges[i][j]) for i in range(len(windows)) for j in range(len(names))]
-        near = F.broadcast(spark.createDataFrame(ranges, "w int, position int, ranges array<struct<a:int,b:int>>"))
-        inside = F.exists("ranges", lambda r: (F.col("cell") >= r["a"]) & (F.col("cell") <= r["b"]))
-        merged = merged.join(near, ["w", "position"]).withColumn("value", F.when(inside, F.col("value")))
+    ranges = [(i, j, places.ranges[i][j]) for i in range(len(windows)) for j in range(len(names))]
+    near = F.broadcast(spark.createDataFrame(ranges, "w int, position int, ranges array<struct<a:int,b:int>>"))
+    inside = F.exists("ranges", lambda r: (F.col("cell") >= r["a"]) & (F.col("cell") <= r["b"]))
+    merged = merged.join(near, ["w", "position"]).withColumn("value", F.when(inside, F.col("value")))
     merged = merged.groupBy(group, F.col("cell").cast("long").alias("_seg"), F.col("value").alias("_w")).agg(F.sum("c").alias("_c"))
     if gaps:
         copies = []
         for (i, j), c in gaps.items():
             v = float(windows[i].fallback[j])
-            cell = 0 if places is None else int(places.cells(j, np.array([v]))[0])
-            kept = places is None or any(a <= cell <= b for a, b in places.ranges[i][j])
+            cell = int(places.cells(j, np.array([v]))[0])
+            kept = any(a <= cell <= b for a, b in places.ranges[i][j])
             copies.append(((i, j), cell, v if kept else None, c))
         merged = merged.unionByName(spark.createDataFrame(copies, f"{GROUP} struct<w:int,position:int>, _seg long, _w double, _c long"))
     ranks = []
@@ -197,6 +193,38 @@ def window_quantiles(
     return out
 
 
+def _directly(values: DataFrame, windows: Sequence[Window], columns: int, probs: Sequence[float]) -> np.ndarray:
+    """All distinct values of a column in one group: their number is below ``DIRECT_PAIRS``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        j = table.column("position")[0].as_py()
+        year, value, c = (table.column(x).to_numpy() for x in (YEAR, "value", "c"))
+        gap = table.column("value").combine_chunks().is_null().to_numpy(zero_copy_only=False)
+        order = np.argsort(value[~gap], kind="stable")
+        sorted_year, sorted_value, sorted_c = (x[~gap][order] for x in (year, value, c))
+        found = []
+        for w in windows:
+            own = np.isin(sorted_year, w.years)
+            v, n = sorted_value[own], sorted_c[own]
+            gaps = int(c[gap & np.isin(year, w.years)].sum())
+            if gaps:
+                at = np.searchsorted(v, w.fallback[j])
+                v, n = np.insert(v, at, w.fallback[j]), np.insert(n, at, gaps)
+            upto, q = np.cumsum(n), []
+            for p in probs:
+                spot = (w.rows - 1) * p
+                low, high = (v[np.searchsorted(upto, r)] for r in (int(spot) + 1, min(int(spot) + 2, w.rows)))
+                q.append(float(low + (high - low) * (spot - int(spot))))
+            found.append(q)
+        return pa.table({"position": pa.array([j], pa.int32()), "q": pa.array([found], pa.list_(pa.list_(pa.float64())))})
+
+    counts = values.groupBy("position", YEAR, "value").agg(F.count(F.lit(1)).alias("c"))
+    out = np.zeros((len(windows), columns, len(probs)))
+    for r in counts.groupBy("position").applyInArrow(run, "position int, q array<array<double>>").collect():
+        out[:, r["position"]] = r["q"]
+    return out
+
+
 def _merged_sketches(values: DataFrame, members: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
     """One sketch per year and column from one scan, merged into (w, position, sketch, m, n): m values in the sketch, n rows of the window."""
     present = values.filter(F.col("value").isNotNull())
