@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.models.linear import LinearFitModel
+from panelwise.models.trees import LeafwiseModel
 
 
 def _table(pairs: list[tuple[str, float]], value: str) -> DataFrame:
@@ -28,7 +29,7 @@ def importances(model: PipelineModel, n: int | None = 20) -> DataFrame:
     last = model.stages[-1]
     if not hasattr(last, "featureImportances"):
         raise ValueError(f"{type(last).__name__} has no feature importances")
-    names = model.stages[-2].getInputCols()
+    names = (last if isinstance(last, LeafwiseModel) else model.stages[-2]).getInputCols()
     ranked = _table(list(zip(names, [float(v) for v in last.featureImportances.toArray()])), "importance")
     ranked = ranked.orderBy(F.col("importance").desc(), "feature")
     return ranked if n is None else ranked.limit(n)

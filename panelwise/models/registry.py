@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from itertools import product
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Pipeline
 
 from panelwise.models.boosting import boosted_trees
 from panelwise.models.linear import LinearFit
 from panelwise.models.network import NetworkRegressor
+from panelwise.models.trees import LeafwiseTrees
 
 Factory = Callable[..., Estimator]
 
@@ -25,6 +26,10 @@ def _network(features: Sequence[str], label: str = "ret", **params) -> Estimator
     return NetworkRegressor(inputCols=list(features), labelCol=label, **params)
 
 
+def _trees(features: Sequence[str], label: str = "ret", **params) -> Estimator:
+    return Pipeline(stages=[LeafwiseTrees(inputCols=list(features), labelCol=label, **params)])
+
+
 # Model names and the layer sizes tried for the network.
 MODEL_REGISTRY: dict[str, Factory] = {
     "OLS": _linear("ols"),
@@ -32,9 +37,11 @@ MODEL_REGISTRY: dict[str, Factory] = {
     "Ridge": _linear("ridge"),
     "LassoCV": _linear("lasso_cv"),
     "RidgeCV": _linear("ridge_cv"),
-    "hgbr": boosted_trees,
+    "hgbr": _trees,
     "mlp": _network,
 }
+#: Models that can be asked for by name, but are no default variants: trees grown level by level.
+OTHER_MODELS: dict[str, Factory] = {"gbt": boosted_trees}
 PARAM_GRIDS: dict[str, dict[str, list]] = {"mlp": {"hidden": [(64, 32), (32, 16, 8), (128, 64, 32)]}}
 
 
@@ -56,7 +63,7 @@ def expand_grid(name: str, grid: Mapping[str, Sequence] | None = None) -> list[t
 
 
 def build_model(name: str, features: Sequence[str], label: str = "ret", **params) -> Estimator:
-    return MODEL_REGISTRY[name](features, label, **params)
+    return (MODEL_REGISTRY.get(name) or OTHER_MODELS[name])(features, label, **params)
 
 
 def default_variants() -> list[tuple[str, str, dict]]:

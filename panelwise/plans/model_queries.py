@@ -14,6 +14,7 @@ from panelwise.models.interpret import coefficients, importances
 from panelwise.models.registry import expand_grid
 from panelwise.models.shared import Design, shared_scales
 from panelwise.models.walk_forward import final_fit, walk_forward
+from panelwise.models.trees import LeafwiseTrees
 from panelwise.operators import portfolio, series
 from panelwise.operators.panel import join_factors
 from panelwise.plans import oracle_parts as sql
@@ -285,7 +286,55 @@ def walk_forward_lasso_cv_three(spark, sf_dir):
 )
 def walk_forward_stump(spark, sf_dir):
     """One tree of one split: its threshold and leaf means have an exact answer."""
-    return _forward(spark, sf_dir, [("stump", "hgbr", {"maxIter": 1, "maxDepth": 1, "validation": 0.0})], ("sig_step",))
+    return _forward(spark, sf_dir, [("stump", "hgbr", {"maxIter": 1, "maxDepth": 1, "learningRate": 1.0, "validation": 0.0})], ("sig_step",))
+
+
+_TREE_X = {"n_items": "cast(n_items as double)", "sig_step": "sig_step", "disc_line": "disc_line", "sig_rare": "floor(sig_rare)"}
+_TREES = {"maxIter": 2, "learningRate": 0.5, "maxLeaves": 4, "validation": 0.0}
+
+
+def _leafwise_sql() -> list[str]:
+    """Best-first growth step by step: every split of every leaf, on either side for missing values; the best one is made."""
+    xs = range(1, 1 + len(_TREE_X))
+    parts = [
+        "f0 as (select permno, date, ret, year(date) < 2001 as train, " + ", ".join(f"{e} as x{i}" for i, e in zip(xs, _TREE_X.values())) + ", avg(ret) filter (year(date) < 2001) over () as f from panel)",
+        "cuts as (select j, v, coalesce((v + lead(v) over (partition by j order by v)) / 2, 'infinity'::double) as cut from ("
+        + " union ".join(f"select {i} as j, x{i} as v from f0 where train and x{i} is not null" for i in xs)
+        + "))",
+    ]
+    for r in range(1, _TREES["maxIter"] + 1):
+        parts.append(f"r{r}s0 as (select *, f - ret as g, 0 as leaf from f{r - 1})")
+        for s in range(1, _TREES["maxLeaves"]):
+            rows, now = f"r{r}s{s - 1}", f"r{r}s{s}"
+            long = " union all ".join(f"select leaf, {i} as j, x{i} as v, g from {rows} where train" for i in xs)
+            parts += [
+                f"{now}_bins as (select leaf, j, v, sum(g) as g, count(*) as n from ({long}) group by 1, 2, 3)",
+                f"{now}_run as (select leaf, j, v, sum(g) filter (v is not null) over w as gl, sum(n) filter (v is not null) over w as nl, "
+                "coalesce(sum(g) filter (v is null) over a, 0) as mg, coalesce(sum(n) filter (v is null) over a, 0) as mn, sum(g) over a as tg, sum(n) over a as tn "
+                f"from {now}_bins window a as (partition by leaf, j), w as (partition by leaf, j order by v nulls last rows unbounded preceding))",
+                f"{now}_side as (select leaf, j, v, gl, nl, tg, tn, mn = 0 and nl * 2 > tn as gap_left from {now}_run where v is not null "
+                f"union all select leaf, j, v, gl + mg, nl + mn, tg, tn, true from {now}_run where v is not null and mn > 0)",
+                f"{now}_best as (select b.leaf, b.j, c.cut, b.gap_left from {now}_side b join cuts c on c.j = b.j and c.v = b.v where nl >= 20 and tn - nl >= 20 "
+                "order by gl * gl / nl + (tg - gl) * (tg - gl) / (tn - nl) - tg * tg / tn desc limit 1)",
+                f"{now} as (select r.* exclude (leaf), case when r.leaf <> b.leaf then r.leaf when case b.j "
+                + " ".join(f"when {i} then case when x{i} is null then gap_left else x{i} <= cut end" for i in xs)
+                + f" end then {2 * s - 1} else {2 * s} end as leaf from {rows} r cross join {now}_best b)",
+            ]
+        last = f"r{r}s{_TREES['maxLeaves'] - 1}"
+        parts.append(f"f{r} as (select r.permno, r.date, r.ret, r.train, " + ", ".join(f"r.x{i}" for i in xs) + f", r.f - {_TREES['learningRate']}e0 * avg(g) filter (train) over (partition by leaf) as f from {last} r)")
+    return parts
+
+
+@query(
+    "leafwise_trees",
+    sql.statement([sql.PANEL, *_leafwise_sql()], f"select permno, {day('date')}, {num('ret', digits=6)}, {num('f', 'pred', 6)} from f{_TREES['maxIter']} where not train"),
+)
+def leafwise_trees(spark, sf_dir):
+    """Two rounds of trees of four leaves on features with missing values: an exact answer, from which leaf is split first to which side missing values take."""
+    panel = tables.panel(spark, sf_dir).select("permno", "date", "ret", "n_items", "sig_step", "disc_line", F.floor("sig_rare").cast("double").alias("sig_rare"))
+    staged = stage_table(panel.withColumn("_year", F.year("date")))
+    model = LeafwiseTrees(inputCols=list(_TREE_X), **_TREES).fit(staged.filter("_year < 2001"))
+    return shown(model.transform(staged.filter("_year >= 2001")).select("permno", "date", "ret", F.col("prediction").alias("pred")), 6)
 
 
 def _quality(predicted):
