@@ -11,18 +11,20 @@ it chooses is known, so the tree is exactly the one that splitting one leaf at a
 
 Gains that differ by rounding only count as equal, and the first feature, bin and direction wins, so the same rows give the same trees
 however they are dealt out. Predictions of finished trees are added to the rows every ``KEEP`` rounds, into a
-staged table; in between a task applies the few trees since.
+staged table; in between a task applies the few trees since, or goes on from what its worker process remembers.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, keyword_only
+from pyspark import StorageLevel, TaskContext, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -32,6 +34,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwise.functions.columns import by_position
 from panelwise.models.gram import matrix_of
@@ -49,6 +52,8 @@ PASS_BYTES = 128 * 1024 * 1024
 EQUAL = 1e-9
 SKETCH_K = 4096
 
+SUMS = T.StructType([T.StructField("node", T.IntegerType()), T.StructField("f", T.IntegerType()), T.StructField("v", T.ArrayType(T.DoubleType()))])
+
 
 @dataclass
 class Tree:
@@ -67,11 +72,11 @@ class Tree:
             own.append(empty)
         return len(self.left) - 1
 
-    def leaves_of(self, bins: np.ndarray) -> np.ndarray:
-        """The node at which each row ends."""
+    def leaves_of(self, bins: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """The node at which each row ends, starting from where it is, if ``at`` says so."""
         feature, cut, missing, left, right = (np.array(x) for x in (self.feature, self.cut, self.missing_left, self.left, self.right))
-        at = np.zeros(len(bins), np.int64)
-        moving = np.arange(len(bins)) if left[0] >= 0 else np.zeros(0, np.int64)
+        at = np.zeros(len(bins), np.int64) if at is None else at.copy()
+        moving = np.flatnonzero(left[at] >= 0)
         while len(moving):
             node = at[moving]
             own = bins[moving, feature[node]]
@@ -122,12 +127,58 @@ def best_split(hist: np.ndarray, least: int, penalty: float) -> Split | None:
     return Split(float(gains[f, b, d]), f, b, goes_left, float(left_g[f, b]), float(left_n[f, b]))
 
 
-def _bins_of(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    column = batch.column("bins")
-    if not width or not len(column):
-        return np.zeros((len(column), width), np.uint8)
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(len(column), width)
+#: Rows are kept in blocks, one per batch that came: bins (one row per feature), labels, which rows are held out, predictions.
+BLOCK = "n long, total double, low double, high double, bins binary, y binary, held binary, f binary"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for bins, y, held, f in zip(*(batch.column(c) for c in ("bins", "y", "held", "f"))):
+            y = np.frombuffer(y.as_buffer())
+            yield np.frombuffer(bins.as_buffer(), np.uint8).reshape(width, len(y)).T, y, np.frombuffer(held.as_buffer(), bool), np.frombuffer(f.as_buffer())
+
+
+def _block(bins: np.ndarray, y: np.ndarray, held: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+    own = y[~held]
+    numbers = [len(own), float(own.sum()), float(own.min(initial=np.inf)), float(own.max(initial=-np.inf))]
+    parts = [np.ascontiguousarray(bins.T), y, held, f]
+    arrays = [pa.array([numbers[0]], pa.int64()), *[pa.array([x], pa.float64()) for x in numbers[1:]], *[pa.array([x.tobytes()], pa.binary()) for x in parts]]
+    return pa.RecordBatch.from_arrays(arrays, names=["n", "total", "low", "high", "bins", "y", "held", "f"])
+
+
+class _Places:
+    """Where the rows of a task stand: predictions after so many trees, and the node of the tree that is growing.
+
+    A worker process remembers this for a few tasks and goes on from there; one that has not seen a task before works
+    it out from the trees. Both give the same numbers, as trees are added one after the other in either case.
+    """
+
+    known: OrderedDict[tuple[str, int], list] = OrderedDict()
+    MOST = 8
+
+    def __init__(self, fit: str, part: int, trees: Sequence[Tree], tree: Tree):
+        self.key, self.trees, self.tree = (fit, part), trees, tree
+        self.before = _Places.known.pop(self.key, [])
+        self.now: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def next(self, bins: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Predictions and nodes of the next batch of the task."""
+        done, f, at = self.before[len(self.now)] if len(self.now) < len(self.before) else (0, start, None)
+        if done != len(self.trees) or at is None or len(f) != len(bins) or at.max(initial=0) >= len(self.tree.left):
+            if done > len(self.trees) or len(f) != len(bins):
+                done, f = 0, start
+            for t in self.trees[done:]:
+                f = f + np.array(t.value)[t.leaves_of(bins)]
+            at = None
+        # A tree that starts anew has one node; rows further down belong to the tree before.
+        at = self.tree.leaves_of(bins, at if at is not None and len(self.tree.left) > 1 else None)
+        self.now.append((len(self.trees), f, at))
+        return f, at
+
+    def remember(self) -> None:
+        _Places.known[self.key] = self.now
+        while len(_Places.known) > self.MOST:
+            _Places.known.popitem(last=False)
 
 
 def find_cuts(rows: DataFrame, width: int, max_bins: int) -> list[np.ndarray]:
@@ -218,15 +269,15 @@ class LeafwiseTrees(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
         def bin_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 table = matrix_of(batch)
-                bins = to_bins(table[:, :width], cuts)
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in bins], pa.binary()), pa.array(table[:, width]), pa.array(table[:, width + 1])], names=["bins", "y", "held"])
+                if len(table):
+                    yield _block(to_bins(table[:, :width], cuts), table[:, width], table[:, width + 1] > 0, np.zeros(len(table)))
 
-        binned = stage_table(rows.mapInArrow(bin_rows, "bins binary, y double, held double"))
-        trained = binned.filter("held = 0").agg(F.avg("y"), F.count(F.lit(1)), F.stddev_pop("y")).first()
-        base = trained[0] or 0.0
-        grower = _Grower(self, binned.withColumn("f", F.lit(float(base))), width, trained[1])
+        binned = stage_table(rows.mapInArrow(bin_rows, BLOCK))
+        n, total, low, high = binned.agg(F.sum("n"), F.sum("total"), F.min("low"), F.max("high")).first()
+        base = total / n if n else 0.0
+        grower = _Grower(self, binned, width, n or 0, base)
         try:
-            trees = grower.boost() if trained[1] and (trained[2] or 0.0) > 0 else []
+            trees = grower.boost() if n and high > low else []
         finally:
             grower.close()
         flat = [[i, t.feature[k], t.left[k], t.right[k], int(t.missing_left[k]), t.cut[k]] for i, t in enumerate(trees) for k in range(len(t.left))]
@@ -242,61 +293,61 @@ class LeafwiseTrees(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
 class _Grower:
     """The rows of one fit, and how trees are grown on them."""
 
-    def __init__(self, settings: LeafwiseTrees, rows: DataFrame, width: int, n: int):
-        self.get, self.width, self.n = settings.getOrDefault, width, n
-        self.staged: list[DataFrame] = []
+    def __init__(self, settings: LeafwiseTrees, rows: DataFrame, width: int, n: int, base: float):
+        self.get, self.width, self.n, self.base = settings.getOrDefault, width, n, base
         self._hold(rows)
 
     def _hold(self, rows: DataFrame) -> None:
         self.tasks = max(1, self.n // TASK_ROWS)
-        self.rows = rows.coalesce(self.tasks).persist(StorageLevel.MEMORY_AND_DISK)
-        self.since: list[Tree] = []
+        self.rows = rows.select("bins", "y", "held", "f").coalesce(self.tasks).persist(StorageLevel.MEMORY_AND_DISK)
+        self.name = uuid.uuid4().hex
+        self.staged, self.since = rows, []
 
     def close(self) -> None:
         self.rows.unpersist()
-        drop_staged(*self.staged)
+        drop_staged(self.staged)
 
     def _keep(self) -> None:
         """Writes the predictions of the trees since the last time into the rows."""
         trees, width = self.since, self.width
 
         def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                bins = _bins_of(batch, width)
-                f = batch.column("f").to_numpy() + sum(np.array(t.value)[t.leaves_of(bins)] for t in trees)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(f)], names=["bins", "y", "held", "f"])
+            for bins, y, held, f in _blocks(batches, width):
+                for t in trees:
+                    f = f + np.array(t.value)[t.leaves_of(bins)]
+                yield _block(bins, y, held, f)
 
-        kept = stage_table(self.rows.mapInArrow(apply, "bins binary, y double, held double, f double"))
+        kept = stage_table(self.rows.mapInArrow(apply, BLOCK))
         self.close()
-        self.staged = [kept]
         self._hold(kept)
 
     def _pass(self, tree: Tree, nodes: Sequence[int]) -> tuple[dict[int, np.ndarray], tuple[float, float]]:
         """Histograms of some nodes of a tree, and rows and squared error of the held-out rows."""
-        trees, width, wanted = list(self.since), self.width, {k: i for i, k in enumerate(nodes)}
+        trees, width, wanted, name, base = list(self.since), self.width, {k: i for i, k in enumerate(nodes)}, self.name, self.base
 
         def sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums, held = np.zeros((len(wanted), width, 2, BINS)), np.zeros(2)
             place_of = np.full(len(tree.left), -1)
             for k, i in wanted.items():
                 place_of[k] = i
-            for batch in batches:
-                bins, out = _bins_of(batch, width), batch.column("held").to_numpy() > 0
-                f = batch.column("f").to_numpy() + sum((np.array(t.value)[t.leaves_of(bins)] for t in trees), 0.0)
-                g = f - batch.column("y").to_numpy()
+            places = _Places(name, TaskContext.get().partitionId(), trees, tree)
+            for bins, y, out, start in _blocks(batches, width):
+                f, at = places.next(bins, start)
+                g = base + f - y
                 held += [out.sum(), (g[out] ** 2).sum()]
-                bins, g = bins[~out], g[~out]
-                place = place_of[tree.leaves_of(bins)]
-                own = np.flatnonzero(place >= 0)
+                place = place_of[at]
+                own = np.flatnonzero((place >= 0) & ~out)
+                place, g, bins = place[own] * BINS, g[own], bins[own]
                 for j in range(width):
-                    cell = place[own] * BINS + bins[own, j]
-                    sums[:, j, 0] += np.bincount(cell, g[own], len(wanted) * BINS).reshape(-1, BINS)
+                    cell = place + bins[:, j]
+                    sums[:, j, 0] += np.bincount(cell, g, len(wanted) * BINS).reshape(-1, BINS)
                     sums[:, j, 1] += np.bincount(cell, None, len(wanted) * BINS).reshape(-1, BINS)
+            places.remember()
             keys = [(i, j) for i in range(len(wanted)) for j in range(width)] + [(-1, 0)]
             values = [*sums.reshape(-1, 2 * BINS), held]
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in keys], pa.int32()), pa.array([j for _, j in keys], pa.int32()), pa.array(values, pa.list_(pa.float64()))], names=["node", "f", "v"])
 
-        made = self.rows.mapInArrow(sum_rows, "node int, f int, v array<double>")
+        made = self.rows.mapInArrow(sum_rows, SUMS)
         if self.tasks * len(nodes) * width * BINS * 16 > DIRECT_BYTES:
             made = made.groupBy("node", "f").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v"))
         table = made.toArrow()
