@@ -1,27 +1,35 @@
-"""A small feed-forward regressor trained data-parallel by averaging.
+"""A small feed-forward regressor, trained data-parallel in one of two ways.
 
-Spark ML has no network for regression. The prepared rows are staged once and dealt into shards of ``shardRows``
-rows by a hash of their content. Each epoch is one Spark job: every shard starts from the shared weights and
+Spark ML has no network for regression. The prepared rows are staged once.
+
+``mode="averaged"`` deals them into shards of ``shardRows`` rows by a hash of their content. Each epoch is one Spark job: every shard starts from the shared weights and
 moments, takes minibatch Adam steps over its own rows, in a fixed order, and hands both back; the row-weighted mean starts
 the next epoch (iterative parameter mixing). Shards depend on the data only, so the result does not depend on the cluster.
 With a single shard this is plain minibatch Adam.
+
+``mode="synchronous"`` is plain minibatch Adam over all tasks: a row's content says which batch of an epoch it belongs to, each task
+sums the gradient over its rows of the batch, the sums are exchanged, and every task takes the same step. An epoch is one barrier
+stage, through which rows stream in the order of their batches, sorted by Spark; a lost executor costs the epoch, not the fit. Every
+step sends the weights' size from every task to every other and takes about a second (Spark's barrier looks once a second whether all have come), so
+this is for dozens of tasks and large batches; the averaged way exchanges once an epoch.
 """
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel, keyword_only
+from pyspark import BarrierTaskContext, StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.models.gram import matrix_of
@@ -76,6 +84,11 @@ def gradient(flat: np.ndarray, sizes: Sequence[int], x: np.ndarray, y: np.ndarra
     return grad
 
 
+def batch_of(place: Column, seed: int, batches: int) -> Column:
+    """The batch of a row in one epoch, by a hash of its content: batches of about the same size, others in every epoch."""
+    return F.pmod(F.xxhash64(place, F.lit(seed)), F.lit(batches))
+
+
 class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     hidden = Param(Params._dummy(), "hidden", "hidden layer sizes", TypeConverters.toListInt)
     alpha = Param(Params._dummy(), "alpha", "weight penalty", TypeConverters.toFloat)
@@ -87,6 +100,8 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
     labelCol = Param(Params._dummy(), "labelCol", "label", TypeConverters.toString)
     shardRows = Param(Params._dummy(), "shardRows", "rows of one shard, about", TypeConverters.toInt)
+    mode = Param(Params._dummy(), "mode", "'averaged' or 'synchronous'", TypeConverters.toString)
+    tasks = Param(Params._dummy(), "tasks", "tasks of the synchronous way, which must all run at a time", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
@@ -103,13 +118,17 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         seed=42,
         labelCol="ret",
         shardRows=100_000,
+        mode="averaged",
+        tasks=4,
     ):
         super().__init__()
         given = {k: v for k, v in self._input_kwargs.items() if v is not None}
         self._setDefault(
-            hidden=[256, 128, 64], alpha=0.001, batchSize=1000, learningRate=0.01, maxIter=100, patience=5, validation=0.1, seed=42, labelCol="ret", shardRows=100_000
+            hidden=[256, 128, 64], alpha=0.001, batchSize=1000, learningRate=0.01, maxIter=100, patience=5, validation=0.1, seed=42, labelCol="ret", shardRows=100_000, mode="averaged", tasks=4
         )
         self._set(**given)
+        if self.getOrDefault("mode") not in ("averaged", "synchronous"):
+            raise ValueError("mode must be 'averaged' or 'synchronous'")
 
     def _fit(self, df: DataFrame) -> NetworkModel:
         names, hidden = self.getInputCols(), self.getOrDefault("hidden")
@@ -119,9 +138,13 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         content = F.xxhash64(F.lit(self.getOrDefault("seed")), *rows.columns)
         draw = F.pmod(content, F.lit(1_000_000)) / F.lit(1_000_000.0)
         rows = stage_table(rows.withColumn("_held", (draw < self.getOrDefault("validation")).cast("double")).withColumn("_place", F.xxhash64(F.lit(1), content)))
-        shards = max(1, -(-rows.count() // self.getOrDefault("shardRows")))
-        values = [c for c in rows.columns if c != "_place"]
-        dealt = rows.repartition(shards, F.pmod("_place", F.lit(shards))).sortWithinPartitions("_place", *values).select(*values)
+        n, values = rows.count(), [c for c in rows.columns if c != "_place"]
+        together = self.getOrDefault("mode") == "synchronous"
+        shards = self.getOrDefault("tasks") if together else max(1, -(-n // self.getOrDefault("shardRows")))
+        dealt = rows.repartition(shards, F.pmod("_place", F.lit(shards)))
+        self._batches = max(1, -(-n // self.getOrDefault("batchSize")))
+        if not together:
+            dealt = dealt.sortWithinPartitions("_place", *values).select(*values)
         dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             best_flat = self._train(dealt, sizes)
@@ -137,7 +160,8 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         step, epochs = 0, self.getOrDefault("maxIter")
         # One pass judges the weights an epoch starts from and takes the next epoch's steps.
         for epoch in range(epochs + 1):
-            after, score, steps = self._epoch(rows, sizes, state, step, epoch, epoch < epochs)
+            one = self._epoch if self.getOrDefault("mode") == "averaged" else self._epoch_together
+            after, score, steps = one(rows, sizes, state, step, epoch, epoch < epochs)
             if epoch:
                 if score is None:
                     best_flat = state[0]
@@ -195,6 +219,65 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         return after.reshape(state.shape), score, steps
 
 
+    def _epoch_together(self, rows: DataFrame, sizes: list[int], state: np.ndarray, done: int, epoch: int, train: bool) -> tuple[np.ndarray, float | None, int]:
+        """The same as :meth:`_epoch`, with one step per batch that all tasks take together."""
+        rate, penalty, tasks, batches = self.getOrDefault("learningRate"), self.getOrDefault("alpha"), self.getOrDefault("tasks"), self._batches
+        # Held-out rows come first, as batch -1.
+        batch = F.when(F.col("_held") > 0, F.lit(-1)).otherwise(batch_of(F.col("_place"), self.getOrDefault("seed") + epoch, batches))
+        values = [c for c in rows.columns if c not in ("_place", "_held")]
+        ordered = rows.select(batch.cast("double").alias("_batch"), "_place", *values).sortWithinPartitions("_batch", "_place", *values).drop("_place")
+        weights = np.concatenate([np.r_[np.ones(w.stop - w.start), np.zeros(b.stop - b.start)] for w, b, _, _ in layer_slices(sizes)])
+
+        def run_task(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            context = BarrierTaskContext.get()
+            w, first, second = state.copy()
+            held, sums, step = np.zeros(4), np.zeros(1 + len(w)), done
+
+            def together(own: np.ndarray) -> np.ndarray:
+                """The sum over all tasks, added up in the same order everywhere."""
+                if tasks == 1:
+                    return own
+                return sum(np.frombuffer(base64.b64decode(m)) for m in context.allGather(base64.b64encode(own.tobytes()).decode()))
+
+            def take_step() -> None:
+                nonlocal w, first, second, sums, step
+                total = together(sums)
+                sums = np.zeros_like(sums)
+                if total[0]:
+                    g = total[1:] / total[0] + penalty * weights * w / total[0]
+                    step += 1
+                    first = BETA1 * first + (1 - BETA1) * g
+                    second = BETA2 * second + (1 - BETA2) * g * g
+                    w = w - rate * (first / (1 - BETA1**step)) / (np.sqrt(second / (1 - BETA2**step)) + EPSILON)
+
+            now = 0
+            for one in batches_in:
+                table = matrix_of(one)
+                for b in np.unique(table[:, 0]).astype(int):
+                    part = table[table[:, 0] == b, 1:]
+                    x, y = part[:, :-1], part[:, -1]
+                    if b < 0:
+                        e = y - forward(state[0], sizes, x)[-1][:, 0]
+                        held += [len(y), y.sum(), (y * y).sum(), (e * e).sum()]
+                    elif train:
+                        while now < b:
+                            take_step()
+                            now += 1
+                        sums += np.r_[len(y), gradient(w, sizes, x, y, 0.0) * len(y)]
+            while train and now < batches:
+                take_step()
+                now += 1
+            held = together(held)
+            if context.partitionId() == 0:
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([w, first, second]).tobytes()], pa.binary()), pa.array([held.tolist()], pa.list_(pa.float64())), pa.array([step - done], pa.int64())], names=["state", "held", "steps"])
+
+        r = ordered.mapInArrow(run_task, "state binary, held array<double>, steps long", barrier=True).collect()[0]
+        n, y, yy, ee = r["held"]
+        spread = yy - y * y / n if n else 0.0
+        score = None if not n else 1.0 - ee / spread if spread > 0 else 0.0
+        return np.frombuffer(r["state"]).reshape(state.shape).copy(), score, r["steps"]
+
+
 class NetworkModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     hidden = Param(Params._dummy(), "hidden", "hidden layer sizes", TypeConverters.toListInt)
     weights = Param(Params._dummy(), "weights", "all weights in one vector", TypeConverters.toListFloat)

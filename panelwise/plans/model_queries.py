@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import functions as F
 
 from panelwise.models.interpret import coefficients, importances
+from panelwise.models.network import NetworkRegressor, start_weights
 from panelwise.models.registry import expand_grid
 from panelwise.models.shared import Design, shared_scales
 from panelwise.models.walk_forward import final_fit, walk_forward
@@ -337,6 +338,45 @@ def leafwise_trees(spark, sf_dir):
     return shown(model.transform(staged.filter("_year >= 2001")).select("permno", "date", "ret", F.col("prediction").alias("pred")), 6)
 
 
+_NET = {"hidden": [2], "maxIter": 4, "batchSize": 10_000_000, "learningRate": 0.05, "alpha": 0.5, "validation": 0.0, "seed": 3}
+_NET_X = {"qty": "(sig_qty - 25e0) / 10", "items": "(n_items - 10e0) / 5"}
+
+
+def _network_sql() -> list[str]:
+    """One layer of rectified units, trained by Adam on all rows: activations, gradients and steps written out."""
+    inputs, units, rate, penalty = len(_NET_X), _NET["hidden"][0], _NET["learningRate"], _NET["alpha"]
+    start = start_weights([inputs, units, 1], _NET["seed"]).tolist()
+    at_w = [[i * units + u for u in range(units)] for i in range(inputs)]
+    at_b = [inputs * units + u for u in range(units)]
+    at_v, at_c = [inputs * units + units + u for u in range(units)], inputs * units + 2 * units
+    rows = "select permno, date, ret, year(date) < 2001 as train, " + ", ".join(f"{e} as x{i}" for i, e in enumerate(_NET_X.values())) + " from panel"
+    parts = [f"net_rows as ({rows})", "s0 as (select " + ", ".join(f"{v!r}::double as p{k}, 0.0e0 as m{k}, 0.0e0 as v{k}" for k, v in enumerate(start)) + ")"]
+    unit = [" + ".join([*[f"x{i} * p{at_w[i][u]}" for i in range(inputs)], f"p{at_b[u]}"]) for u in range(units)]
+    for t in range(1, _NET["maxIter"] + 1):
+        hidden = ", ".join(f"greatest({z}, 0) as h{u}" for u, z in enumerate(unit))
+        delta = " + ".join([*[f"h{u} * p{at_v[u]}" for u in range(units)], f"p{at_c} - ret"])
+        grads = {at_c: "avg(d)"} | {k: f"avg(d * h{u})" for u, k in enumerate(at_v)}
+        grads |= {k: f"avg(case when h{u} > 0 then d * p{at_v[u]} else 0 end)" for u, k in enumerate(at_b)}
+        grads |= {at_w[i][u]: f"avg(case when h{u} > 0 then d * p{at_v[u]} * x{i} else 0 end)" for i in range(inputs) for u in range(units)}
+        shrunk = {*at_v, *(k for row in at_w for k in row)}
+        parts += [
+            f"a{t} as (select *, {delta} as d from (select r.*, s.*, {hidden} from net_rows r cross join s{t - 1} s where train))",
+            f"g{t} as (select " + ", ".join(f"{e}{f' + {penalty}e0 * any_value(p{k}) / count(*)' if k in shrunk else ''} as g{k}" for k, e in sorted(grads.items())) + f" from a{t})",
+            f"n{t} as (select " + ", ".join(f"p{k}, 0.9e0 * m{k} + 0.1e0 * g{k} as m{k}, 0.999e0 * v{k} + 0.001e0 * g{k} * g{k} as v{k}" for k in range(len(start))) + f" from s{t - 1} cross join g{t})",
+            f"s{t} as (select " + ", ".join(f"p{k} - {rate}e0 * (m{k} / (1 - pow(0.9e0, {t}))) / (sqrt(v{k} / (1 - pow(0.999e0, {t}))) + 1e-8) as p{k}, m{k}, v{k}" for k in range(len(start))) + f" from n{t})",
+        ]
+    out = " + ".join([*[f"greatest({z}, 0) * p{at_v[u]}" for u, z in enumerate(unit)], f"p{at_c}"])
+    return [*parts, f"predicted as (select permno, date, ret, {out} as pred from net_rows cross join s{_NET['maxIter']} where not train)"]
+
+
+@query("network_steps", sql.statement([sql.PANEL, *_network_sql()], f"select permno, {day('date')}, {nums('ret', 'pred', digits=6)} from predicted"))
+def network_steps(spark, sf_dir):
+    """Four synchronous steps of a small network over three tasks; what every weight must be can be written out in SQL."""
+    rows = stage_table(tables.panel(spark, sf_dir).select("permno", "date", "ret", *[F.expr(e).alias(c) for c, e in _NET_X.items()]))
+    model = NetworkRegressor(inputCols=list(_NET_X), mode="synchronous", tasks=3, **_NET).fit(rows.filter(F.year("date") < 2001))
+    return shown(model.transform(rows.filter(F.year("date") >= 2001)).select("permno", "date", "ret", F.col("prediction").alias("pred")), 6)
+
+
 def _quality(predicted):
     """Rows, finite predictions, and whether they miss by less than twice the spread of the returns, per model."""
     ratio = F.sum((F.col("ret") - F.col("pred")) ** 2) / F.sum(F.col("ret") ** 2)

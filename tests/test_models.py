@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelwise.models.gram import Moments, entity_folds, moments_by_fold, row_order_folds
 from panelwise.models.interpret import importances
 from panelwise.models.linear import LinearFit, choose_lasso, lasso_alphas, solve_lasso, sum_moments
-from panelwise.models.network import NetworkRegressor, forward, gradient, layer_slices, start_weights
+from panelwise.models.network import NetworkRegressor, batch_of, forward, gradient, layer_slices, start_weights
 from panelwise.models.registry import build_model, default_variants, expand_grid
 
 NAMES = ["a", "b", "c", "d"]
@@ -190,6 +190,46 @@ def test_network_does_not_depend_on_the_cluster(data):
     assert np.allclose(*fits, rtol=0, atol=1e-12)
 
 
+def plain_adam(rows, sizes, seed, epochs, batches, rate, penalty):
+    """Minibatch Adam in plain numpy; ``rows`` has (batch per epoch..., x..., y)."""
+    w = start_weights(sizes, seed)
+    first, second, step = np.zeros_like(w), np.zeros_like(w), 0
+    for e in range(epochs):
+        for b in range(batches):
+            own = rows[rows[:, e] == b]
+            if len(own):
+                step += 1
+                g = gradient(w, sizes, own[:, epochs:-1], own[:, -1], penalty)
+                first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
+                w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    return w
+
+
+def test_synchronous_steps_are_plain_minibatch_adam(data):
+    """The same weights for 1, 2 and 8 tasks and for plain numpy."""
+    df, x, y = data
+    epochs, batches = 2, 3  # 403 rows in batches of about 150
+    fits = [NetworkRegressor(inputCols=NAMES, hidden=[6, 3], maxIter=epochs, batchSize=150, validation=0.0, mode="synchronous", tasks=n).fit(df.repartition(n)).getOrDefault("weights") for n in (1, 2, 8)]
+    named = df.select(*[F.col(c).alias(f"_x{i}") for i, c in enumerate(NAMES)], F.col("ret").alias("_y"))
+    place = F.xxhash64(F.lit(1), F.xxhash64(F.lit(42), *named.columns))
+    dealt = named.select(*[batch_of(place, 42 + e, batches).cast("double").alias(f"b{e}") for e in range(epochs)], *named.columns)
+    want = plain_adam(np.array(dealt.collect()), [4, 6, 3, 1], 42, epochs, batches, 0.01, 0.001)
+    for got in fits:
+        assert np.allclose(got, want, rtol=0, atol=1e-9)
+
+
+def test_synchronous_training_stops_and_learns(spark):
+    rng = np.random.default_rng(1)
+    x = rng.uniform(-2, 2, size=(1500, 2))
+    y = np.abs(x[:, 0]) * 2 + x[:, 1] + rng.normal(size=1500) * 0.1
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, ret double")
+    model = NetworkRegressor(inputCols=["a", "b"], hidden=[16], maxIter=12, batchSize=50, learningRate=0.03, mode="synchronous", tasks=1).fit(df)
+    mse = model.transform(df).agg(F.avg((F.col("prediction") - F.col("ret")) ** 2)).first()[0]
+    assert 1 - mse / y.var() > 0.8
+    with pytest.raises(ValueError, match="mode"):
+        NetworkRegressor(inputCols=["a"], mode="other")
+
+
 def test_folds_of_large_ids(spark):
     """Ids that a double cannot tell apart."""
     rows = [(10**17 + i // 5, f"2000-{i % 5 + 1:02d}-28", float(i)) for i in range(50)]
