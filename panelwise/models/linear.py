@@ -213,6 +213,14 @@ class LinearFit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWri
         return LinearFitModel(inputCols=self.getInputCols(), coefficients=coef.tolist(), intercept=m.intercept(coef), alpha=float(alpha))
 
 
+def dot(intercept: float, names: Sequence[str], weights: Sequence[float]) -> Column:
+    """The intercept and the weighted columns, added up in pairs, so that the expression is as deep as the logarithm of their number."""
+    terms = [F.lit(intercept), *[col(c) * F.lit(w) for c, w in zip(names, weights) if w != 0.0]]
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + ([terms[-1]] if len(terms) % 2 else [])
+    return terms[0]
+
+
 class LinearFitModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     coefficients = Param(Params._dummy(), "coefficients", "coefficients", TypeConverters.toListFloat)
     intercept = Param(Params._dummy(), "intercept", "intercept", TypeConverters.toFloat)
@@ -224,12 +232,7 @@ class LinearFitModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWr
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def score(self) -> Column:
-        terms = [F.lit(self.getOrDefault("intercept"))]
-        terms += [col(c) * F.lit(w) for c, w in zip(self.getInputCols(), self.getOrDefault("coefficients")) if w != 0.0]
-        # Added up in pairs, so that the expression is as deep as the logarithm of the number of features.
-        while len(terms) > 1:
-            terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + ([terms[-1]] if len(terms) % 2 else [])
-        return terms[0]
+        return dot(self.getOrDefault("intercept"), self.getInputCols(), self.getOrDefault("coefficients"))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn("prediction", self.score())

@@ -8,6 +8,7 @@ from itertools import product
 from pyspark.ml import Estimator, Pipeline
 
 from panelwise.models.boosting import boosted_trees
+from panelwise.models.levels import LevelFit
 from panelwise.models.linear import LinearFit
 from panelwise.models.network import NetworkRegressor
 from panelwise.models.trees import LeafwiseTrees
@@ -40,8 +41,12 @@ MODEL_REGISTRY: dict[str, Factory] = {
     "hgbr": _trees,
     "mlp": _network,
 }
-#: Models that can be asked for by name, but are no default variants: trees grown level by level.
-OTHER_MODELS: dict[str, Factory] = {"gbt": boosted_trees}
+def _levels(features: Sequence[str], label: str = "ret", **params) -> Estimator:
+    return LevelFit(inputCols=list(features), labelCol=label, **params)
+
+
+#: Models that can be asked for by name, but are no default variants: trees grown level by level, linear models with a column of any number of levels.
+OTHER_MODELS: dict[str, Factory] = {"gbt": boosted_trees, "levels": _levels}
 PARAM_GRIDS: dict[str, dict[str, list]] = {"mlp": {"hidden": [(64, 32), (32, 16, 8), (128, 64, 32)]}}
 
 
@@ -66,6 +71,15 @@ def build_model(name: str, features: Sequence[str], label: str = "ret", **params
     return (MODEL_REGISTRY.get(name) or OTHER_MODELS[name])(features, label, **params)
 
 
+def with_levels(variants: Sequence[tuple[str, str, dict]], level: str) -> list[tuple[str, str, dict]]:
+    """The variants with their linear models given the levels of a column, too. The lasso cannot do without a column per level."""
+    kinds = {"OLS": "ols", "Ridge": "ridge", "RidgeCV": "ridge_cv"}
+    refused = [v for v, name, _ in variants if name in ("Lasso", "LassoCV")]
+    if refused:
+        raise ValueError(f"{refused}: the lasso takes discrete columns one-hot encoded only")
+    return [(v, "levels", {"kind": kinds[name], "levelCol": level, **params}) if name in kinds else (v, name, params) for v, name, params in variants]
+
+
 def default_variants() -> list[tuple[str, str, dict]]:
     """``(variant, model, parameters)`` of all nine default variants."""
     return [(variant, name, params) for name in MODEL_REGISTRY for variant, params in expand_grid(name)]

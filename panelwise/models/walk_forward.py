@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from panelwise.functions.columns import narrow_floats
 from panelwise.models.linear import LASSO_FOLDS, LinearFit
-from panelwise.models.registry import build_model, default_variants
+from panelwise.models.registry import build_model, default_variants, with_levels
 from panelwise.models.shared import Design, Fit, shared_leave_one_out, shared_moments, shared_scales, window_row_folds
 from panelwise.prep.pipeline import build_preprocessor, feature_names, fit_prepare
-from panelwise.prep.stages import period_sums
+from panelwise.prep.stages import ModeImputer, period_sums
 from panelwise.prep.windows import Window, YearMeans, fill_rest, filled_by_period, learn_windows
 from panelwise.runtime import col, drop_staged, stage_table
 from panelwise.sources import store as storage
@@ -99,6 +99,7 @@ def walk_forward(
     exact_quantiles: bool = True,
     parallelism: int = 4,
     single_precision: bool = False,
+    level: str | None = None,
 ) -> DataFrame:
     """Out-of-sample predictions ``(permno, date, ret, model, pred)``.
 
@@ -107,16 +108,18 @@ def walk_forward(
     of each year are merged into every later window, and one scan adds each row to the cross products of all its windows.
     Other models read their window's folders. With ``store`` every finished (model, year) is written there and,
     unless ``skip_done`` is off, not fitted again by a later run. ``parallelism`` windows are fitted
-    at the same time. ``single_precision`` rounds the panel's doubles first.
+    at the same time. ``single_precision`` rounds the panel's doubles first. ``level`` names one more discrete column, of any
+    number of levels, for the linear models other than the lasso; the others do not see it.
     """
     variants = default_variants() if variants is None else list(variants)
+    variants = variants if level is None else with_levels(variants, level)
     spark = panel.sparkSession
     keys = ["permno", "date", "ret"]
     done = finished(spark, store) if store and skip_done else set()
     todo = {y: [v for v in variants if (v[0], y) not in done] for y in years}
     frames = []
     if any(todo.values()):
-        wanted = list(dict.fromkeys(["permno", "date", label, *continuous, *discrete]))
+        wanted = list(dict.fromkeys(["permno", "date", label, *continuous, *discrete, *([level] if level else [])]))
         laid_out = panel.filter(col(label).isNotNull()).select(*[col(c) for c in wanted], F.year("date").alias("_year"))
         laid_out = narrow_floats(laid_out) if single_precision else laid_out
         staged = stage_table(laid_out.filter(F.col("_year") <= max(years)), "_year")
@@ -133,6 +136,8 @@ def walk_forward(
             pre = window.stages(continuous, discrete, fit.means, fit.scales)
             train = fill_rest(filled.filter(F.col("_year").isin([int(y) for y in window.years])), continuous, window.fallback)
             test = fill_rest(filled.filter(F.col("_year") == window.year), continuous, means.over([window.year]))
+            if level:
+                pre = PipelineModel(stages=[*pre.stages, ModeImputer(inputCols=[level]).fit(train)])
             fitted = fit_variants(pre.transform(train), feature_names(pre), todo[window.year], label, parallelism, fit)
             return score_variants(pre.transform(test.withColumn("ret", F.col(label).cast("double"))), fitted, keys)
 
