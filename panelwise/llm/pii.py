@@ -2,10 +2,12 @@
 
 The rules find e-mail addresses, IP numbers, cards and phones. What stands around the found ones seeds the rest:
 
-1. Contexts are lexical patterns: the word before, the two words before, or the word before and the one after. Every
+1. Contexts are lexical patterns: the word before, the two words before, the word before and the one after; and where marks stand
+   between word and entity, as in ``key = "..."``, the word with these marks, and the marks with the entity's shape. Every
    found entity and every other identifier-like token (with digits or an ``@``; groups of digits that single blanks part
-   are one) is an instance of its patterns.
-2. Spark scores the graph of patterns and instances in rounds. A pattern is trusted for a kind as far as its distinct
+   are one) is an instance of its patterns. Long hexadecimal tokens seed a kind of their own, ``secret``: no rule reports
+   them, so they are reported only where a pattern is trusted for them.
+2. Spark scores the graph of patterns and instances in rounds, until no further pattern is trusted. A pattern is trusted for a kind as far as its distinct
    instances are of that kind; an instance belongs to a kind as far as the best pattern it occurs in is trusted.
 3. Patterns that are trusted enough, by enough different instances, claim the identifier-like tokens they stand
    around, in all documents. Claims never remove or overlap what the rules found.
@@ -27,8 +29,12 @@ from panelwise.llm.common import Scratch, broadcast_if_small, col
 
 #: Kinds in their order.
 KINDS = ["email", "ip", "card", "phone"]
+#: The kinds of learned spans: those of the rules, and what only seeds know.
+LEARNED = [*KINDS, "secret"]
 #: What a pattern needs to claim tokens: the share of its instances that are of the kind, and how many of them.
-TRUST, SUPPORT, ROUNDS = 0.9, 8, 2
+TRUST, SUPPORT = 0.9, 8
+#: Rounds of scoring at most.
+ROUNDS = 20
 #: Characters on either side in which context words are looked for.
 REACH = 80
 
@@ -42,6 +48,10 @@ TOKEN = re.compile(r"\S+")
 DIGITS = re.compile(r"\+?[0-9][0-9().\[\]-]*+")
 EDGES = "()[]{}<>\"'.,;:!?*#&%$=|"
 NOT_WORD = re.compile(r"[\W_]+")
+#: What seeds the kind ``secret``.
+HEX = re.compile(r"(?=[0-9a-f]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{24,}", re.I)
+MARKS = re.compile(r"[^\w\s]*(?:\s[^\w\s]*)*\Z")
+RUNS = re.compile(r"0+|a+")
 
 
 def luhn(digits: str) -> bool:
@@ -69,7 +79,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all rule matches, by start, then kind; in code points."""
     found = [(a, b, 0) for a, b in _emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        found += [(*m.span(), 1) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+        found += [(*m.span(), 1) for m in IP.finditer(text) if all(len(p) <= 3 and int(p or 0) <= 255 for p in (g.lstrip("0") for g in m.groups()))]
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 12 <= len(digits) <= 19 and luhn(digits):
@@ -83,14 +93,27 @@ def _word(token: str) -> str:
     return DIGIT.sub("0", NOT_WORD.sub("", token.lower()))
 
 
+def shape(token: str) -> str:
+    """Letters as ``a``, digits as ``0``, runs of either as one with its length; hexadecimal tokens by their length alone."""
+    if HEX.fullmatch(token):
+        return f"hex{len(token)}"
+    plain = "".join("0" if c.isdigit() else "a" if c.isalpha() else c for c in token[:REACH])
+    return RUNS.sub(lambda m: f"{m[0][0]}{len(m[0])}", plain)
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
     """The patterns around a span; a missing word is empty, and a pattern without a word before is none."""
-    before = [w for w in map(_word, text[max(0, start - REACH) : start].split()) if w][-2:]
+    ahead = text[max(0, start - REACH) : start]
+    before = [w for w in map(_word, ahead.split()) if w][-2:]
     after = [w for w in map(_word, text[end : end + REACH].split()) if w][:1]
     if not before:
         return []
     one = f"{before[-1]} _"
-    return [one, *([f"{before[0]} {one}"] if len(before) == 2 else []), *([f"{one} {after[0]}"] if after else [])]
+    found = [one, *([f"{before[0]} {one}"] if len(before) == 2 else []), *([f"{one} {after[0]}"] if after else [])]
+    marks = "".join(MARKS.search(ahead)[0].split())
+    if marks:
+        found += [f"{before[-1]}{marks}_", f"{marks}_{shape(text[start:end])}"]
+    return found
 
 
 def likely_tokens(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
@@ -98,7 +121,12 @@ def likely_tokens(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tupl
 
     Tokens of digits, dots, hyphens and brackets that single blanks part are one, as in ``(555) 123-4567``.
     """
-    spans = sorted((a, b) for a, b, _ in taken)
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted((a, b) for a, b, _ in taken):
+        if spans and a <= spans[-1][1]:
+            spans[-1] = spans[-1][0], max(b, spans[-1][1])
+        else:
+            spans.append((a, b))
     n = 0
     run: list[int] = []  # start and end of the digits so far, and where their last token ends
     for m in TOKEN.finditer(text):
@@ -109,7 +137,10 @@ def likely_tokens(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tupl
         end = m.start() + len(token.rstrip(EDGES))
         while n < len(spans) and spans[n][1] <= m.start():
             n += 1
-        if any(a < end and start < b for a, b in spans[n : n + 8]):
+        k = n
+        while k < len(spans) and spans[k][1] <= start:
+            k += 1
+        if k < len(spans) and spans[k][0] < end:
             continue
         if not DIGITS.fullmatch(text, start, end):
             if end - start >= 6:
@@ -148,11 +179,11 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
 
-MARK = "array<struct<start:long,end:long,kind:string,instance:long,patterns:array<long>>>"
+MARK = "array<struct<start:long,end:long,rule:boolean,kind:string,instance:long,patterns:array<long>>>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    mark = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))]))
+    mark = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("rule", pa.bool_()), ("kind", pa.string()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))]))
     for whole in batches:
         for begin in range(0, len(whole), 256):
             batch = whole.slice(begin, 256)
@@ -164,11 +195,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 base.append(joined(spans))
                 own = []
                 if spans or "@" in text or DIGIT.search(text):
-                    others = [(a, b, None) for a, b in likely_tokens(text, spans)]
-                    for a, b, k in [*spans, *others]:
+                    others = [(a, b, "secret" if HEX.fullmatch(text, a, b) else None) for a, b in likely_tokens(text, spans)]
+                    for n, (a, b, k) in enumerate([*spans, *others]):
                         patterns = [_number(p) for p in contexts(text, a, b)]
                         if patterns:
-                            own.append({"start": a, "end": b, "kind": k, "instance": _number(text[a:b].lower()), "patterns": patterns})
+                            own.append({"start": a, "end": b, "rule": n < len(spans), "kind": k, "instance": _number(text[a:b].lower()), "patterns": patterns})
                 marks.append(own)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in counts], pa.array(base, pa.string()), pa.array(marks, mark)], names=["doc_id", *[f"n_{k}" for k in KINDS], "base", "marks"])
 
@@ -176,28 +207,31 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def trusted_patterns(edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS, trust: float = TRUST, support: int = SUPPORT) -> DataFrame:
     """(pattern, kind, score) of the patterns to act on, from edges (pattern, instance, kind or null), one per distinct pair.
 
-    Instances that the rules know belong to their kind with weight 1, in every round. The others start at 0 and get
-    the best score of their patterns.
+    Instances that rules or seeds know belong to their kind with weight 1, in every round. The others start at 0 and get
+    the best score of the trusted patterns they occur in. Rounds end when no further pattern is trusted.
     """
-    total = edges.groupBy("pattern").agg(F.count_distinct("instance").alias("total"))
+    total = scratch.stage(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("total")))
     known = edges.filter("kind is not null").select("pattern", "instance", "kind", F.lit(1.0).alias("weight"))
     open_edges = edges.filter("kind is null").select("pattern", "instance")
-    believed = known
-    scores = None
-    for n in range(rounds):
+    believed, trusted, before = known, None, -1
+    for _ in range(rounds):
         held = believed.groupBy("pattern", "kind").agg(F.sum("weight").alias("held"), F.count(F.lit(1)).alias("n"))
-        scores = scratch.stage(held.join(total, "pattern").select("pattern", "kind", "n", (F.col("held") / (F.col("total") + 1)).alias("score")))
-        if n + 1 < rounds:
-            best = open_edges.join(scores.filter("score > 0.5"), "pattern").groupBy("instance", "kind").agg(F.max("score").alias("weight"))
-            believed = known.unionByName(open_edges.join(scratch.stage(best), "instance").select("pattern", "instance", "kind", "weight"))
-    return scores.filter((F.col("score") >= trust) & (F.col("n") >= support)).select("pattern", "kind", "score")
+        scored = held.join(total, "pattern").select("pattern", "kind", "n", (F.col("held") / F.col("total")).alias("score"))
+        trusted = scratch.stage(scored.filter((F.col("score") >= trust) & (F.col("n") >= support)).select("pattern", "kind", "score"))
+        now = trusted.count()
+        if now == before:
+            break
+        before = now
+        best = open_edges.join(trusted, "pattern").groupBy("instance", "kind").agg(F.max("score").alias("weight"))
+        believed = known.unionByName(open_edges.join(scratch.stage(best), "instance").select("pattern", "instance", "kind", "weight"))
+    return trusted
 
 
 def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS, trust: float = TRUST, support: int = SUPPORT) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone (rule matches), base, spans.
 
     ``base`` holds the rule matches as ``kind:start:end`` (code points, end exclusive), by start, then kind, parted by
-    commas; ``spans`` those and the learned ones. Null and empty texts have none. Repeated rows are documents of
+    commas; ``spans`` those and the learned ones, whose kind may also be ``secret``, the last in order. Null and empty texts have none. Repeated rows are documents of
     their own. Learned spans carry the kind of the pattern with the best score, ties by the order of kinds.
     """
     scratch = Scratch(docs.sparkSession, "personal")
@@ -208,13 +242,14 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     edges = scratch.stage(marks.select(F.explode("patterns").alias("pattern"), "instance", "kind").groupBy("pattern", "instance").agg(F.min("kind").alias("kind")))
     patterns = scratch.stage(trusted_patterns(edges, scratch, rounds, trust, support))
 
-    rank = F.struct(F.col("score"), *[(F.col("kind") == k).alias(k) for k in KINDS], F.col("kind"))
-    open_marks = marks.filter("kind is null").select("row", "start", "end", F.explode("patterns").alias("pattern"))
+    rank = F.struct(F.col("score"), *[(F.col("kind") == k).alias(k) for k in LEARNED], F.col("kind"))
+    open_marks = marks.filter("not rule").select("row", "start", "end", F.explode("patterns").alias("pattern"))
     claims = open_marks.join(broadcast_if_small(patterns, patterns.count(), 64), "pattern").groupBy("row", "start", "end").agg(F.max(rank).alias("best"))
     by_row = scratch.stage(claims.groupBy("row").agg(F.collect_list(F.struct("start", "end", F.col("best.kind").alias("kind"))).alias("more")))
-    spans = scanned.select("row", "doc_id", *[f"n_{k}" for k in KINDS], "base").join(broadcast_if_small(by_row, by_row.count(), 512), "row", "left")
+    claimed, n_rows = by_row.agg(F.coalesce(F.sum(F.size("more")), F.lit(0)), F.count(F.lit(1))).first()
+    spans = scanned.select("row", "doc_id", *[f"n_{k}" for k in KINDS], "base").join(broadcast_if_small(by_row, claimed + n_rows, 64), "row", "left")
     base = F.when(F.col("base") == "", F.array().cast("array<string>")).otherwise(F.split("base", ","))
-    parsed = F.transform(base, lambda s: F.struct(F.split_part(s, F.lit(":"), F.lit(2)).cast("long").alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), F.split_part(s, F.lit(":"), F.lit(1))).alias("rank"), F.split_part(s, F.lit(":"), F.lit(3)).cast("long").alias("end"), F.split_part(s, F.lit(":"), F.lit(1)).alias("kind")))
-    learned = F.transform("more", lambda m: F.struct(m["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), m["kind"]).alias("rank"), m["end"].alias("end"), m["kind"].alias("kind")))
+    parsed = F.transform(base, lambda s: F.struct(F.split_part(s, F.lit(":"), F.lit(2)).cast("long").alias("start"), F.array_position(F.array(*map(F.lit, LEARNED)), F.split_part(s, F.lit(":"), F.lit(1))).alias("rank"), F.split_part(s, F.lit(":"), F.lit(3)).cast("long").alias("end"), F.split_part(s, F.lit(":"), F.lit(1)).alias("kind")))
+    learned = F.transform("more", lambda m: F.struct(m["start"].alias("start"), F.array_position(F.array(*map(F.lit, LEARNED)), m["kind"]).alias("rank"), m["end"].alias("end"), m["kind"].alias("kind")))
     everything = F.array_join(F.transform(F.array_sort(F.concat(parsed, learned)), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return spans.select("doc_id", *[f"n_{k}" for k in KINDS], "base", F.when(F.col("more").isNull(), F.col("base")).otherwise(everything).alias("spans"))

@@ -4,6 +4,7 @@ import re
 import pytest
 
 from panelwise.llm import pii as I
+from panelwise.llm import queries as Q
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -99,6 +100,99 @@ def test_contexts_find_digits_with_blanks(documents, words):
         assert (kind, texts[got.doc_id][int(a) : int(b)]) == asked[got.doc_id][1:]
 
 
+def test_long_numbers_in_addresses():
+    for text, want in (("0" * 5000 + "1.2.3.4", "ip:0:5007"), ("9" * 5000 + ".1.2.3", ""), ("1.2.3." + "0" * 5000, "ip:0:5006")):
+        assert I.joined(I.base_spans(text)) == want
+
+
+def test_many_spans_before_a_token():
+    text = "1.1.1.1," * 20 + "ab12345"
+    spans = I.base_spans(text)
+    assert len(spans) == 20 and list(I.likely_tokens(text, spans)) == []
+    apart = text.replace(",ab", ", ab")
+    assert [apart[a:b] for a, b in I.likely_tokens(apart, spans)] == ["ab12345"]
+
+
+def plain_scores(rows, rounds=I.ROUNDS):
+    """The graph of patterns and instances in dictionaries: what each document's learned spans must be."""
+    edges, marks = {}, []
+    for n, (_, text) in enumerate(rows):
+        text = text or ""
+        base = I.base_spans(text)
+        others = [(a, b, "secret" if re.fullmatch("[0-9a-fA-F]{24,}", text[a:b]) and re.search("[a-fA-F]", text[a:b]) and re.search("[0-9]", text[a:b]) else None) for a, b in I.likely_tokens(text, base)]
+        for a, b, k in [*base, *others]:
+            for p in I.contexts(text, a, b):
+                old = edges.get((p, text[a:b].lower()))
+                edges[p, text[a:b].lower()] = min((x for x in (old, k) if x), default=None)
+        marks += [(n, a, b, text[a:b].lower(), I.contexts(text, a, b)) for a, b, _ in others]
+    belief, trusted, of = {}, None, {}
+    for (p, i), k in edges.items():
+        of.setdefault(p, []).append((i, k))
+    for _ in range(rounds):
+        score = {}
+        for p, own in of.items():
+            for kind in I.LEARNED:
+                held = [1.0 if k == kind else belief.get((i, kind), 0.0) if k is None else 0.0 for i, k in own]
+                if sum(h > 0 for h in held) >= I.SUPPORT and sum(held) / len(own) >= I.TRUST:
+                    score[p, kind] = sum(held) / len(own)
+        if trusted is not None and len(score) == len(trusted):
+            break
+        trusted = score
+        belief = {}
+        for (p, i), k in edges.items():
+            for kind in I.LEARNED:
+                if k is None and (p, kind) in score:
+                    belief[i, kind] = max(belief.get((i, kind), 0.0), score[p, kind])
+    learned = {}
+    for n, a, b, _, patterns in marks:
+        best = max(((trusted[p, k], -I.LEARNED.index(k), k) for p in patterns for k in I.LEARNED if (p, k) in trusted), default=None)
+        if best:
+            learned.setdefault(n, []).append((a, b, best[2]))
+    return ["" if n not in learned else I.joined(sorted(learned[n])) for n in range(len(rows))]
+
+
+@pytest.fixture(scope="module")
+def secret_rows(words):
+    """Keys in quotes, most of them hexadecimal; numbers of the same look elsewhere; a second context that only the first one's finds lead to."""
+    r = random.Random(12)
+    w = lambda: " ".join(r.choice(words[:300]) for _ in range(6))
+    key = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    odd = [f"zq{n}-Key{n * 7}" for n in range(30)]
+    rows = [(n, f'{w()} token = "{key()}" {w()}') for n in range(800)]
+    rows += [(1200 + n, f'{w()} token = "{x}" {w()}') for n, x in enumerate(odd)]
+    rows += [(1300 + n, f"{w()} login with <{x}> {w()}") for n, x in enumerate(odd)]
+    rows += [(1400, f"{w()} login with <new77key> {w()}"), (1401, f"{w()} number {key()} {w()}"), (1402, f'{w()} page = "12345678" {w()}'), (1403, f'TOKEN = "{key().upper()}"!! {w()}')]
+    return rows
+
+
+def test_learned_spans_against_plain_scores(documents, secret_rows, contact_rows):
+    rows = [(n, t) for n, (_, t) in enumerate([*secret_rows, *contact_rows])]
+    want = plain_scores(rows)
+    got = {r.doc_id: r for r in I.find_personal_data(documents(rows)).collect()}
+    for n, text in rows:
+        base = [x for x in got[n].base.split(",") if x]
+        assert sorted(x for x in got[n].spans.split(",") if x not in base and x) == sorted(x for x in want[n].split(",") if x), text[:200]
+
+
+def test_bootstrapping_reaches_further_in_each_round(documents, secret_rows):
+    """Hexadecimal seeds make ``token = "_"`` trusted, its other tokens make ``login with <_>`` trusted, which finds a token nobody knew."""
+    found = lambda **o: {r.doc_id: r.spans for r in I.find_personal_data(documents(secret_rows), **o).collect()}
+    texts, all_rounds, one = dict(secret_rows), found(), found(rounds=1)
+    free = {n for n, t in secret_rows if not I.base_spans(t)}  # a few keys hold twelve digits that make a card
+    assert len(free) > 800 and all(all_rounds[n].startswith("secret:") for n in free & {*range(800), *range(1200, 1230), *range(1300, 1330), 1400, 1403})
+    _, a, b = all_rounds[1400].split(":")
+    assert texts[1400][int(a) : int(b)] == "new77key" and one[1400] == "" and all_rounds[1401] == all_rounds[1402] == ""
+
+
+def test_keys_of_the_given_documents_are_found(spark):
+    rows = Q.QUERIES["op4_personal_data"](spark, "/root/testdata/sf0.01").collect()
+    texts = {r.doc_id: r.text or "" for r in Q.table(spark, "/root/testdata/sf0.01", "documents").collect()}
+    keys = [i for i, t in texts.items() if re.search('token = "[0-9a-f]{40}"', t)]
+    spans = {r.doc_id: r.spans for r in rows}
+    assert len(keys) > 8 and all("secret:" in spans[i] or I.base_spans(texts[i]) for i in keys)
+    assert all(re.search("token", texts[i], re.I) for i, s in spans.items() if "secret:" in s)
+
+
 def test_empty_table(documents):
     assert I.find_personal_data(documents([])).count() == 0
     assert [tuple(r) for r in I.find_personal_data(documents([(1, None)])).collect()] == [(1, 0, 0, 0, 0, "", "")]
