@@ -9,7 +9,8 @@ A document is contaminated when disjoint runs of at least ``least`` words, each
 3. The remaining pairs are tiled: running Karp-Rabin hashes find the longest matches of words not yet taken,
    longest first, until no match of ``least`` words is left.
 
-Words are runs of letters and digits, A-Z as a-z. Equal texts are judged once. The benchmark is joined, not collected;
+Words are runs of letters and digits, A-Z as a-z; punctuation, blanks and symbols of all scripts part them, so a passage is also found with
+other quotes and dashes. Equal texts are judged once. The benchmark is joined, not collected;
 it is broadcast only if its seeds are few enough.
 """
 
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.llm.common import NO_LETTERS, PLACE, Scratch, WordHasher, broadcast_if_small, byte_views, col, fresh, shingles, slices
@@ -30,6 +31,11 @@ COVERAGE = 0.6
 SIEVE_BITS = 1 << 24
 
 
+def parted(text: Column) -> Column:
+    """The text with a blank for what parts words beyond ASCII, which the hasher knows itself."""
+    return F.regexp_replace(text, "[\\p{P}\\p{Z}\\p{S}&&[^\\x00-\\x7F]]+", " ")
+
+
 def _runs(words: np.ndarray, length: int) -> np.ndarray:
     """Karp-Rabin hashes of all runs of ``length`` words, each from its neighbour's by prefix sums."""
     n = len(words) - length + 1
@@ -150,7 +156,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     ``least`` words, or null, are not searched for. Items with the same id are searched for separately.
     """
     scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
-    items = scratch.stage(benchmark.select(F.monotonically_increasing_id().alias("item"), col(item_id).alias("item_id"), F.coalesce(col(item_text).cast("string"), F.lit("")).alias("text")))
+    items = scratch.stage(benchmark.select(F.monotonically_increasing_id().alias("item"), col(item_id).alias("item_id"), parted(F.coalesce(col(item_text).cast("string"), F.lit(""))).alias("text")))
     seeds = scratch.stage(items.select("item", "text").mapInArrow(_item_seeds(least), "item long, words int, place int, seed long"))
     # Two bits per seed, gathered by position: the table's size is fixed, whatever the benchmark's.
     spots = seeds.select(F.explode(F.array(F.col("seed").bitwiseAND(F.lit(SIEVE_BITS - 1)), F.shiftrightunsigned("seed", 32).bitwiseAND(F.lit(SIEVE_BITS - 1)))).alias("spot"))
@@ -160,7 +166,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, text: str = "text"
         sieve[row["block"] * 4096 : (row["block"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
 
     plain = F.coalesce(col(text).cast("string"), F.lit(""))
-    source = docs.select(F.unhex(F.md5(plain)).alias("text_key"), plain.alias("text"))
+    source = docs.select(F.unhex(F.md5(plain)).alias("text_key"), parted(plain).alias("text"))
     count = seeds.count()
     hits = source.mapInArrow(_seeds(least, sieve), "text_key binary, seed long").join(broadcast_if_small(seeds, count, 48), "seed")
     covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + (least - 1))))))

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -76,3 +77,41 @@ def test_long_words_and_texts_hash_alike():
     text = ("word, " * 900_000 + "x" * 3_000_000 + " Word").encode()
     found, _ = h.words([memoryview(text)])
     assert len(found) == 900_002 and len(set(found.tolist())) == 2 and found[0] == found[-1]
+
+
+def test_typographic_marks_part_words(spark, documents, words):
+    r = random.Random(17)
+    own = [r.choice(words) for _ in range(20)]
+    quoted = " ".join(("“" if n % 4 == 0 else "") + w + ("” —" if n % 4 == 3 else "") for n, w in enumerate(own))
+    rows = [(1, quoted), (2, "…".join(own)), (3, "　".join(own)), (4, "\xa0«".join(own)), (5, "é".join(own))]
+    bench = spark.createDataFrame([(7, " ".join(own)), (8, "„".join(reversed(own)))], "item_id long, text string")
+    rows.append((6, " ".join(reversed(own))))
+    got = {x.doc_id: (x.contaminated, x.item_id) for x in D.contamination(documents(rows), bench).collect()}
+    assert got == {1: (True, 7), 2: (True, 7), 3: (True, 7), 4: (True, 7), 5: (False, None), 6: (True, 8)}
+
+
+def test_query_against_every_pair(spark, documents, items, odd_rows, words):
+    """The whole result against tiling every document with every item, without seeds."""
+    r = random.Random(23)
+    rows = list(odd_rows)
+    for n in range(250):
+        w = [r.choice(words) for _ in range(r.randint(0, 80))]
+        for _ in range(r.randint(0, 4)):
+            own = r.choice(items[:30])[1].split()
+            at = r.randrange(len(own))
+            w[r.randrange(len(w) + 1) : 0] = own[at : at + r.randint(3, 40)]
+        rows.append((5000 + n, r.choice([" ", ", ", "—"]).join(w)))
+    split = lambda t: [x for x in re.sub(r"[^a-z0-9]+", " ", re.sub("—", " ", (t or "").lower())).split()]
+    number = {w: i for i, w in enumerate(words)}
+    coded = lambda t: np.array([number.get(x, len(number) + hash(x) % 10**6) for x in split(t)], np.uint64)
+    bench = [(i, coded(t)) for i, t in items if len(split(t)) >= 5]
+    want = []
+    for i, t in rows:
+        doc = coded(t)
+        shares = [(D.tile(item, doc, 5) / len(item), n) for n, item in bench]
+        found = [(s, n) for s, n in shares if s >= 0.6]
+        best = min(((-s, n) for s, n in found), default=None)
+        want.append((i, bool(found), len(found), best and best[1], best and round(-best[0], 9)))
+    got = D.contamination(documents(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(((x.doc_id, x.contaminated, x.n_items, x.item_id, x.coverage and round(x.coverage, 9)) for x in got), key=str) == sorted(want, key=str)
+    assert sum(x.contaminated for x in got) > 30
