@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import NO_LETTERS, WordHasher, bound_batches, broadcast_if_small, byte_views, col, fresh, slices
+from panelwise.llm.common import NO_LETTERS, SLICE_BYTES, WordHasher, bound_batches, broadcast_if_small, byte_views, col, fresh, slices
 
 TERM_BITS = 18
 #: Stems of so many bytes join the words.
@@ -38,9 +38,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def terms(texts: list[memoryview], hasher: WordHasher) -> list[np.ndarray]:
-    """The sorted distinct term numbers of each text."""
+    """The sorted distinct term numbers of each text; a long text is worked through in parts that end between words."""
     out = []
     for first, last in slices([len(t) for t in texts]):
+        if len(texts[first]) > 2 * SLICE_BYTES:
+            parts = [terms([memoryview(p)], hasher)[0] for p in hasher._cut(np.frombuffer(texts[first], np.uint8))]
+            out.append(np.unique(np.concatenate(parts)))
+            continue
         found, at = hasher.stems(texts[first:last], STEMS)
         found = (found & np.uint64((1 << TERM_BITS) - 1)).astype(np.int32)
         out += [np.unique(found[a:b]) for a, b in zip(at.tolist(), at.tolist()[1:])]
@@ -57,7 +61,7 @@ def _margins(bounds: np.ndarray, flat: np.ndarray, bias: float, w: np.ndarray, v
     return bias + np.bincount(owner, w[flat], n) + 0.5 * ((sums * sums).sum(1) - squares), sums
 
 
-def fit(sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4, penalty: float = 0.0125) -> dict:
+def fit(sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, epochs: int = 12, rate: float = 0.2, decay: float = 1e-4, penalty: float = 0.0125) -> dict:
     """Logistic loss, AdaGrad on batches, over all terms that ``LEAST_SEEN`` texts hold, whatever each says alone.
 
     Own weights are drawn to 0 by ``penalty``, as strongly as by so many texts, factors by ``decay`` and by AdaGrad sums that

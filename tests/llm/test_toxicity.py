@@ -70,7 +70,7 @@ def test_pairs_are_learned():
     labels = np.array(labels)
     old, T.np.abs = T.np.abs, lambda x: np.full_like(x, 9.0) if isinstance(x, np.ndarray) and len(x) == 1 << T.TERM_BITS else old(x)
     try:
-        model = T.fit(sets, labels, np.ones(len(sets)), epochs=60, rate=0.3)
+        model = T.fit(sets, labels, np.ones(len(sets)))
     finally:
         T.np.abs = old
     place = {t: i for i, t in enumerate(model["known"].tolist())}
@@ -92,8 +92,9 @@ def test_pairs_are_learned_by_fit_as_it_is():
     bits = r.integers(0, 2, (2000, 2))
     sets = [np.unique([10 + a, 20 + b, *r.integers(100, 130, 3).tolist()]).astype(np.int32) for a, b in bits.tolist()]
     labels = (bits[:, 0] == bits[:, 1]).astype(float)
-    model = T.fit(sets, labels, np.ones(len(sets)), epochs=60, rate=0.3)
+    model = T.fit(sets, labels, np.ones(len(sets)))
     assert ((margins_of(model, sets) > 0) == labels).mean() > 0.95
+    assert ((margins_of(model | {"v": np.zeros_like(model["v"])}, sets) > 0) == labels).mean() < 0.6  # no additive weights can
 
 
 def test_an_insult_and_a_mention_are_toxic_only_together():
@@ -110,11 +111,29 @@ def test_an_insult_and_a_mention_are_toxic_only_together():
         labels.append(float(kind == 0 or other))
         kinds.append(kind)
     labels, kinds = np.array(labels), np.array(kinds)
-    model = T.fit(sets[:3000], labels[:3000], np.ones(3000), epochs=60, rate=0.3)
+    model = T.fit(sets[:3000], labels[:3000], np.ones(3000))
     found = margins_of(model, sets[3000:]) >= np.log(T.THRESHOLD / (1 - T.THRESHOLD))
     assert found[kinds[3000:] == 0].mean() > 0.8 and (found == labels[3000:]).mean() > 0.9
 
 
+def test_margins_are_the_sum_over_all_pairs():
+    r = np.random.default_rng(2)
+    w, v = r.normal(size=50), r.normal(size=(50, T.FACTORS))
+    sets = [np.sort(r.choice(50, n, replace=False)) for n in (0, 1, 2, 17, 50)]
+    got, _ = T._margins(np.concatenate(([0], np.cumsum([len(s) for s in sets]))), np.concatenate(sets), 0.7, w, v)
+    for m, s in zip(got, sets):
+        assert m == pytest.approx(0.7 + w[s].sum() + sum(v[i] @ v[j] for n, i in enumerate(s) for j in s[:n]))
+
+
+def test_long_texts_in_parts(words):
+    r = random.Random(1)
+    text = " ".join(r.choice(words) for _ in range(400_000)).encode()
+    hasher = WordHasher(NO_LETTERS)
+    (got,) = T.terms([memoryview(text)], hasher)
+    whole, _ = hasher.stems([memoryview(text)], T.STEMS)
+    assert np.array_equal(got, np.unique((whole & np.uint64((1 << T.TERM_BITS) - 1)).astype(np.int32)))
+
+
 def test_no_labels_and_empty_tables(spark, documents):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     docs = documents([(1, "some words"), (2, None)])
