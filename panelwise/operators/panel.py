@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date as Date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -125,6 +125,32 @@ def join_row_counts(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Dat
     return sums.select(F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.coalesce(F.col(s), F.lit(0)).alias("rows")) for s in ("left", "right", "joined")])))
 
 
+class JoinCounts:
+    """Rows on both sides of a join and in its result, counted while the join runs for its own sake.
+
+    Known once an action on the result has ended. Tasks that are run again after an executor was lost are counted again; where the
+    numbers must be exact whatever happens, :func:`join_row_counts` counts by itself.
+    """
+
+    def __init__(self, left: Observation, right: Observation, joined: Observation):
+        self._parts = {"left": left, "right": right, "joined": joined}
+
+    def get(self) -> dict[str, int]:
+        return {side: part.get["rows"] for side, part in self._parts.items()}
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(side, rows)"""
+        return spark.createDataFrame(list(self.get().items()), "side string, rows long")
+
+
+def counted_join(left: DataFrame, right: DataFrame, join: Callable[[DataFrame, DataFrame], DataFrame]) -> tuple[DataFrame, JoinCounts]:
+    """What ``join`` makes of the two tables, and its row counts: no pass, no shuffle and no sort of their own."""
+    parts = [Observation(), Observation(), Observation()]
+    rows = F.count(F.lit(1)).alias("rows")
+    joined = join(left.observe(parts[0], rows), right.observe(parts[1], rows)).observe(parts[2], rows)
+    return joined, JoinCounts(*parts)
+
+
 def merge_factors(a: DataFrame, b: DataFrame, on: str = "date", provenance: bool = False) -> DataFrame:
     """Full outer join of two factor tables; ``_merge`` tells where each month came from."""
     left, right = a.withColumn("_left", F.lit(True)), b.withColumn("_right", F.lit(True))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelwise.functions.columns import to_long
-from panelwise.operators import panel, portfolio
+from panelwise.operators import panel, portfolio, summary
 from panelwise.operators.order_stats import exact_quantiles
 from panelwise.operators.panel import shift_period
 from panelwise.plans import oracle_parts as sql
@@ -13,7 +13,8 @@ from panelwise.plans import tables
 from panelwise.plans.prep_queries import _SIGNALS, imputed_sql
 from panelwise.plans.registry import ORACLES, day, nums, query, shown
 from panelwise.prep.stages import fill_from_sums, period_sums
-from panelwise.runtime import lookup_join, stage_table
+from panelwise.runtime import drop_staged, lookup_join, stage_table
+from panelwise.sources.bucketed import entity_joins, write_bucketed
 
 _GAPS = """gaps as (
   select permno, case when permno % 17 = 0 then null else date end as date, model,
@@ -87,3 +88,48 @@ def impute_by_join(spark, sf_dir):
 )
 def join_row_counts(spark, sf_dir):
     return panel.join_row_counts(tables.returns(spark, sf_dir), panel.lag_signals(tables.raw_signals(spark, sf_dir)), ["permno", "date"])
+
+
+@query("join_row_counts_observed", ORACLES["join_row_counts"])
+def join_row_counts_observed(spark, sf_dir):
+    """Counted by the join itself while its result is staged."""
+    joined, counts = panel.counted_join(tables.returns(spark, sf_dir), panel.lag_signals(tables.raw_signals(spark, sf_dir)), panel.join_signals)
+    drop_staged(stage_table(joined))
+    return counts.table(spark)
+
+
+@query("signals_shift_join_bucketed", ORACLES["signals_shift_join"])
+def signals_shift_join_bucketed(spark, sf_dir):
+    """Both sides stored by entity: the join itself shuffles and sorts nothing."""
+    entity_joins(spark)
+    returns = write_bucketed(tables.returns(spark, sf_dir), buckets=8)
+    signals = write_bucketed(panel.lag_signals(tables.raw_signals(spark, sf_dir)), buckets=8)
+    return shown(panel.join_signals(returns, signals))
+
+
+@query("calendar_lag_bucketed", ORACLES["calendar_lag"])
+def calendar_lag_bucketed(spark, sf_dir):
+    stored = write_bucketed(tables.panel(spark, sf_dir, "l_partkey").select("permno", "date", "ret"), buckets=8)
+    rows = portfolio.previous_in_entity(stored, ["permno"], "date", "ret", "previous_row")
+    return shown(portfolio.previous_in_entity(rows, ["permno"], "date", "ret", "previous_month", calendar=True).drop("ret"))
+
+
+@query("describe_brackets", ORACLES["describe_predictions"])
+def describe_brackets(spark, sf_dir):
+    """Quartiles through brackets, moments through pairs."""
+    from panelwise.plans.panel_queries import _DESCRIBED
+
+    return shown(summary.describe_columns(stage_table(tables.panel(spark, sf_dir).select(*_DESCRIBED)), _DESCRIBED, direct_rows=0), 7)
+
+
+@query(
+    "entities_from_sketches",
+    sql.statement([sql.PART_PANEL], "select year(date) as year, count(distinct permno) as entities, true as close from part_panel group by 1"),
+)
+def entities_from_sketches(spark, sf_dir):
+    """Sketches per month answer for years: within the stated error of the exact count beside them."""
+    p = stage_table(tables.panel(spark, sf_dir, "l_partkey").select("permno", "date"))
+    stored = stage_table(summary.entity_sketches(p, F.col("date"), "date"))
+    about = summary.entities_from_sketches(stored, F.year("date"), "year").withColumnRenamed("entities", "about")
+    both = summary.entities_per(p, F.year("date"), "year").join(about, "year")
+    return both.select("year", "entities", (F.abs(F.col("about") - F.col("entities")) <= F.lit(summary.HLL_ERROR) * F.col("entities")).alias("close"))

@@ -62,6 +62,53 @@ def drop_staged(*tables: DataFrame) -> None:
         where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+class Memo:
+    """Results by what computes them: the same plan over the same files is computed once, and read from a staged table afterwards.
+
+    Two frames are the same if their canonical plans are (``sameSemantics``) and every file they read has the size and the time of change
+    it had. A frame that reads no files is never remembered, as nothing tells when it changes. Every ``get`` must be followed by a
+    ``release`` in the end: the table is deleted with its last user, and so is one whose files have changed.
+    """
+
+    def __init__(self) -> None:
+        self.entries: list[dict] = []
+
+    @staticmethod
+    def _files(df: DataFrame) -> tuple[tuple[str, int, int], ...]:
+        spark = df.sparkSession
+        found = []
+        for name in sorted(df.inputFiles()):
+            where = spark._jvm.org.apache.hadoop.fs.Path(name)
+            status = where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where)
+            found.append((name, status.getLen(), status.getModificationTime()))
+        return tuple(found)
+
+    def get(self, df: DataFrame) -> DataFrame:
+        """``df``, computed at most once."""
+        files, key = self._files(df), df.semanticHash()
+        for entry in self.entries:
+            if entry["key"] == key and entry["frame"].sameSemantics(df) and not entry["stale"]:
+                if entry["files"] == files:
+                    entry["users"] += 1
+                    return entry["staged"]
+                entry["stale"] = True
+        if not files:
+            return df
+        entry = {"key": key, "frame": df, "files": files, "staged": stage_table(df), "users": 1, "stale": False}
+        self.entries = [e for e in self.entries if not (e["stale"] and e["users"] == 0)] + [entry]
+        return entry["staged"]
+
+    def release(self, staged: DataFrame) -> None:
+        """One user less; without any the table is deleted."""
+        for entry in self.entries:
+            if entry["staged"] is staged:
+                entry["users"] -= 1
+                if entry["users"] == 0:
+                    self.entries.remove(entry)
+                    drop_staged(staged)
+                return
+
+
 def row_bytes(schema: T.StructType) -> int:
     """An estimate of one row's size in memory, to bound what is fetched before its size is known."""
 
