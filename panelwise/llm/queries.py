@@ -275,7 +275,36 @@ def replanted(docs: DataFrame) -> DataFrame:
     return sized.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")).otherwise(F.col("text")).alias("text"))
 
 
-@query("op13_runs")
+@query(
+    "op13_runs",
+    r"""
+    with split as (
+        select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+            xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, k: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)), 4294967295) as h
+        from documents
+    ),
+    begun as (select doc_id, w, len(w) as n, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a, 3 + (h // 10) % 8 as d from split),
+    planted as (select doc_id, case when a is null then w else list_transform(range(n), lambda i: case when i < a then w[i + 1] else w[a + (i - a) % (1 + (n - a) // d) + 1] end) end as w from begun),
+    words as materialized (select doc_id, unnest(w) as w, unnest(range(len(w))) as i from planted),
+    triples as (
+        select doc_id, i, md5(concat_ws(chr(1), w, lead(w) over v, lead(w, 2) over v)) as t from words
+        window v as (partition by doc_id order by i) qualify lead(w, 2) over v is not null
+    ),
+    again as materialized (select doc_id, i, t from triples qualify count(*) over (partition by doc_id, t) > 2),
+    pairs as (select a.doc_id, b.i - a.i as q, a.i from again a join again b on a.doc_id = b.doc_id and a.t = b.t and a.i < b.i),
+    parts as (select doc_id, q, i - row_number() over (partition by doc_id, q order by i) as part, i from pairs),
+    -- Words q apart are equal in count + 2 places.
+    stretches as (select doc_id, min(i) as start, count(*) + 2 + q as length, q from parts group by doc_id, q, part having count(*) + 2 + q >= greatest(6, 4 * q)),
+    runs as materialized (select doc_id, start, length, min(q) as period from stretches group by all),
+    summed as (select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from runs group by doc_id),
+    best as (select * from runs qualify row_number() over (partition by doc_id order by cast(length as double) / period desc, start, period) = 1),
+    dropped as (select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+    kept as (select w.doc_id, string_agg(w.w, ' ' order by w.i) as text from words w anti join dropped d on d.doc_id = w.doc_id and d.i = w.i group by w.doc_id)
+    select s.doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(k.text, '')) as collapsed_sha256
+    from split s left join summed u on u.doc_id = s.doc_id left join best b on b.doc_id = s.doc_id left join kept k on k.doc_id = s.doc_id
+    """,
+)
 def runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_runs(replanted(table(spark, sf_dir, "documents").select("doc_id", "text")))
     # The first of the runs with the greatest exponent, which is compared without rounding.
