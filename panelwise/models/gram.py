@@ -101,7 +101,7 @@ def moments_by_fold(df: DataFrame, features: Sequence[str], label: str, fold: Co
                 {"fold": pa.array([f] * size, pa.int32()), "i": pa.array(range(size), pa.int32()), "v": pa.array(list(z), pa.list_(pa.float64()))}
             )
 
-    partial = fewer_tasks(rows).mapInArrow(reduce_task, "fold int, i int, v array<double>")
+    partial = fewer_tasks(rows, size * size * 8).mapInArrow(reduce_task, "fold int, i int, v array<double>")
     added = partial.groupBy("fold", "i").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
     out: dict[int, np.ndarray] = {}
     for r in added.select("fold", "i", vector_to_array("v").alias("v")).collect():

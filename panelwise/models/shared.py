@@ -146,7 +146,7 @@ def shared_moments(filled: DataFrame, design: Design, fold: Sequence[Column] | N
             for (w, f), z in sums.items():
                 yield _matrix_rows(w, f, z)
 
-        partial = fewer_tasks(design.rows(filled, scan, *folds)).mapInArrow(reduce_task, MATRIX)
+        partial = fewer_tasks(design.rows(filled, scan, *folds), size * size * 8 * len(scan) * n_folds).mapInArrow(reduce_task, MATRIX)
         added = partial.groupBy("w", "fold", "i").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
         found: dict[int, dict[int, np.ndarray]] = {w: {} for w in scan}
         for r in added.select("w", "fold", "i", vector_to_array("v").alias("v")).collect():

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from panelwise.models.interpret import coefficients, importances
@@ -298,6 +299,7 @@ def _leafwise_sql() -> list[str]:
     """Best-first growth step by step: every split of every leaf, on either side for missing values; the best one is made."""
     xs = range(1, 1 + len(_TREE_X))
     parts = [
+        "features as (" + " union all ".join(f"select {i} as j, '{c}' as feature" for i, c in zip(xs, _TREE_X)) + ")",
         "f0 as (select permno, date, ret, year(date) < 2001 as train, " + ", ".join(f"{e} as x{i}" for i, e in zip(xs, _TREE_X.values())) + ", avg(ret) filter (year(date) < 2001) over () as f from panel)",
         "cuts as (select j, v, coalesce((v + lead(v) over (partition by j order by v)) / 2, 'infinity'::double) as cut from ("
         + " union ".join(f"select {i} as j, x{i} as v from f0 where train and x{i} is not null" for i in xs)
@@ -315,8 +317,8 @@ def _leafwise_sql() -> list[str]:
                 f"from {now}_bins window a as (partition by leaf, j), w as (partition by leaf, j order by v nulls last rows unbounded preceding))",
                 f"{now}_side as (select leaf, j, v, gl, nl, tg, tn, mn = 0 and nl * 2 > tn as gap_left from {now}_run where v is not null "
                 f"union all select leaf, j, v, gl + mg, nl + mn, tg, tn, true from {now}_run where v is not null and mn > 0)",
-                f"{now}_best as (select b.leaf, b.j, c.cut, b.gap_left from {now}_side b join cuts c on c.j = b.j and c.v = b.v where nl >= 20 and tn - nl >= 20 "
-                "order by gl * gl / nl + (tg - gl) * (tg - gl) / (tn - nl) - tg * tg / tn desc limit 1)",
+                f"{now}_best as (select b.leaf, b.j, c.cut, b.gap_left, gl * gl / nl + (tg - gl) * (tg - gl) / (tn - nl) - tg * tg / tn as gain "
+                f"from {now}_side b join cuts c on c.j = b.j and c.v = b.v where nl >= 20 and tn - nl >= 20 order by gain desc limit 1)",
                 f"{now} as (select r.* exclude (leaf), case when r.leaf <> b.leaf then r.leaf when case b.j "
                 + " ".join(f"when {i} then case when x{i} is null then gap_left else x{i} <= cut end" for i in xs)
                 + f" end then {2 * s - 1} else {2 * s} end as leaf from {rows} r cross join {now}_best b)",
@@ -332,10 +334,27 @@ def _leafwise_sql() -> list[str]:
 )
 def leafwise_trees(spark, sf_dir):
     """Two rounds of trees of four leaves on features with missing values: an exact answer, from which leaf is split first to which side missing values take."""
+    model, staged = _leafwise(spark, sf_dir)
+    return shown(model.transform(staged.filter("_year >= 2001")).select("permno", "date", "ret", F.col("prediction").alias("pred")), 6)
+
+
+@query(
+    "leafwise_importance",
+    sql.statement(
+        [sql.PANEL, *_leafwise_sql(),
+         "gains as (" + " union all ".join(f"select j, gain from r{r}s{s}_best" for r in range(1, _TREES["maxIter"] + 1) for s in range(1, _TREES["maxLeaves"])) + ")"],
+        f"select feature, {num('coalesce(sum(gain), 0) / (select sum(gain) from gains)', 'importance', 7)} from features left join gains using (j) group by feature",
+    ),
+)
+def leafwise_importance(spark, sf_dir):
+    """Each feature's share of all gains of these trees."""
+    return shown(importances(PipelineModel(stages=[_leafwise(spark, sf_dir)[0]])), 7)
+
+
+def _leafwise(spark, sf_dir):
     panel = tables.panel(spark, sf_dir).select("permno", "date", "ret", "n_items", "sig_step", "disc_line", F.floor("sig_rare").cast("double").alias("sig_rare"))
     staged = stage_table(panel.withColumn("_year", F.year("date")))
-    model = LeafwiseTrees(inputCols=list(_TREE_X), **_TREES).fit(staged.filter("_year < 2001"))
-    return shown(model.transform(staged.filter("_year >= 2001")).select("permno", "date", "ret", F.col("prediction").alias("pred")), 6)
+    return LeafwiseTrees(inputCols=list(_TREE_X), **_TREES).fit(staged.filter("_year < 2001")), staged
 
 
 _NET = {"hidden": [2], "maxIter": 4, "batchSize": 10_000_000, "learningRate": 0.05, "alpha": 0.5, "validation": 0.0, "seed": 3}

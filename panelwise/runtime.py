@@ -155,12 +155,17 @@ def repeats(table: DataFrame, key: str) -> bool:
     return key_duplicates(table, [key]).limit(1).count() > 0
 
 
-def fewer_tasks(df: DataFrame, at_least: int = 2000) -> DataFrame:
-    """Let a task read several splits where every task hands back a whole matrix, so that fewer matrices are shuffled.
+#: What tasks may hand back for one sum of matrices, all together.
+MATRICES_BYTES = 64 * 1024**3
 
-    Four tasks per core known now, but never fewer than ``at_least``: executors may still be joining.
+
+def fewer_tasks(df: DataFrame, bytes_each: int) -> DataFrame:
+    """Let a task read several splits where every task hands back ``bytes_each`` of matrices, so that fewer matrices are shuffled.
+
+    As many tasks as ``MATRICES_BYTES`` allow, but never fewer than 2000 or four per core known now: executors may still be joining.
     """
-    return df.coalesce(max(4 * df.sparkSession.sparkContext.defaultParallelism, at_least))
+    allowed = min(MATRICES_BYTES // max(bytes_each, 1), 1_000_000)
+    return df.coalesce(max(4 * df.sparkSession.sparkContext.defaultParallelism, 2000, allowed))
 
 
 def lookup_join(
