@@ -327,10 +327,11 @@ def predicted_rows_only(spark, sf_dir):
     "prediction_upsert",
     sql.statement(
         [sql.PANEL, sql.PREDICTIONS,
-         "old as (select * from predictions where date < date '2001-01-01')",
-         "new as (select permno, date, ret, model, pred * 2 as pred from predictions where model = 'LassoCV' and date >= date '2000-01-01')"],
-        f"select coalesce(n.permno, o.permno) as permno, strftime(coalesce(n.date, o.date), '%Y-%m-%d') as date, coalesce(n.model, o.model) as model, "
-        f"{num('coalesce(n.ret, o.ret)', 'ret')}, {num('coalesce(n.pred, o.pred)', 'pred')} from new n full outer join old o on n.permno = o.permno and n.date = o.date and n.model = o.model",
+         "every as materialized (select * from predictions)",
+         "new as (select permno, date, model, ret, pred * 2 as pred from every where model = 'LassoCV' and date >= date '2000-01-01')",
+         "merged as (select permno, date, model, ret, pred from every o where date < date '2001-01-01' "
+         "and not exists (select 1 from new n where n.permno = o.permno and n.date = o.date and n.model = o.model) union all select * from new)"],
+        f"select permno, {day('date')}, model, {nums('ret', 'pred')} from merged",
     ),
 )
 def prediction_upsert(spark, sf_dir):
