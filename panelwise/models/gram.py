@@ -71,6 +71,11 @@ class Moments:
         return float(max(w @ self.z @ w, 0.0))
 
 
+def too_wide(features: int) -> bool:
+    """Are there more features than a matrix of their cross products may have?"""
+    return (features + 2) ** 2 * 8 > MAX_MATRIX_BYTES
+
+
 def matrix_of(batch: pa.RecordBatch) -> np.ndarray:
     return np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
 
@@ -79,7 +84,7 @@ def moments_by_fold(df: DataFrame, features: Sequence[str], label: str, fold: Co
     """Cross products per fold. Each task reduces its rows to one matrix per fold; matrix rows are added up in parallel."""
     features = list(features)
     size = len(features) + 2
-    if size * size * 8 > MAX_MATRIX_BYTES:
+    if too_wide(len(features)):
         raise ValueError(f"{len(features)} features: their cross products exceed {MAX_MATRIX_BYTES} bytes")
     rows = df.select(
         (F.lit(0) if fold is None else fold).cast("int").alias("fold"),

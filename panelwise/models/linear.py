@@ -15,7 +15,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.models.gram import Moments, entity_folds, matrix_of, moments_by_fold, row_order_folds
+from panelwise.models.gram import Moments, entity_folds, matrix_of, moments_by_fold, row_order_folds, too_wide
+from panelwise.models.screened import solve_screened
 from panelwise.runtime import col
 
 KINDS = ("ols", "ridge", "lasso", "ridge_cv", "lasso_cv")
@@ -189,6 +190,10 @@ class LinearFit(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWri
         return moments_by_fold(df, self.getInputCols(), self.getOrDefault("labelCol"), fold)
 
     def _fit(self, df: DataFrame) -> LinearFitModel:
+        names, alpha = self.getInputCols(), self.getOrDefault("alpha")
+        if self.getOrDefault("kind") == "lasso" and too_wide(len(names)):
+            coef, intercept = solve_screened(df, names, self.getOrDefault("labelCol"), alpha, solve_lasso)
+            return LinearFitModel(inputCols=names, coefficients=coef.tolist(), intercept=float(intercept), alpha=float(alpha))
         return self.fit_moments(df, self.moments(df))
 
     def fit_moments(self, df: DataFrame, folds: Mapping[int, Moments], loo: Mapping[tuple[float, ...], list[float]] | None = None) -> LinearFitModel:

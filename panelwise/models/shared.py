@@ -129,7 +129,7 @@ def _scans(windows: int, bytes_each: int) -> list[range]:
 def shared_moments(filled: DataFrame, design: Design, fold: Sequence[Column] | None = None, n_folds: int = 1) -> list[Fit]:
     """The cross products of all windows, scaled, by fold; ``fold`` has one column per window."""
     size = design.size
-    if size * size * 8 > gram.MAX_MATRIX_BYTES:
+    if gram.too_wide(size - 2):
         raise ValueError(f"{size - 2} features: their cross products exceed {gram.MAX_MATRIX_BYTES} bytes")
     fits = []
     for scan in _scans(len(design.windows), size * size * 8 * n_folds):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwise.functions.columns import narrow_floats
+from panelwise.models.gram import too_wide
 from panelwise.models.linear import LASSO_FOLDS, LinearFit
 from panelwise.models.registry import build_model, default_variants, with_levels
 from panelwise.models.shared import Design, Fit, shared_leave_one_out, shared_moments, shared_scales, window_row_folds
@@ -43,12 +44,12 @@ def fit_variants(
     estimators: list[tuple[str, Estimator]] = [(v, build_model(name, features, label, **params)) for v, name, params in variants]
     linear = [e for _, e in estimators if isinstance(e, LinearFit)]
     moments = None if shared is None else shared.folds
-    if linear and shared is None:
+    if linear and not moments and not too_wide(len(features)):
         folded = [e for e in linear if e.getOrDefault("kind") == "lasso_cv"]
         moments = (folded or linear)[0].moments(train, bool(folded))
 
     def fit(estimator: Estimator) -> Model:
-        if isinstance(estimator, LinearFit):
+        if isinstance(estimator, LinearFit) and moments:
             return estimator.fit_moments(train, moments, shared and shared.loo)
         return estimator.fit(train)
 
@@ -59,7 +60,7 @@ def shared_fits(filled: DataFrame, windows: Sequence[Window], todo: Mapping[int,
     """Means, scales and, as far as linear models ask for them, the cross products and leave-one-out errors of all windows."""
     design = Design(windows, list(continuous), list(discrete), label)
     linear = {w.year: [e for e in (build_model(name, ["x"], label, **params) for _, name, params in todo[w.year]) if isinstance(e, LinearFit)] for w in windows}
-    if not any(linear.values()):
+    if not any(linear.values()) or too_wide(design.size - 2):
         return shared_scales(filled, design)
     folded = next((e for own in linear.values() for e in own if e.getOrDefault("kind") == "lasso_cv"), None)
     if folded is None:

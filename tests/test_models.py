@@ -242,3 +242,43 @@ def test_an_empty_fold_is_an_error(spark):
     m = Moments(np.eye(3) * 10)
     with pytest.raises(ValueError, match="no rows"):
         choose_lasso({0: m}, 5, spark)
+
+
+def test_lasso_on_more_features_than_a_matrix_holds(spark, monkeypatch):
+    """1000 features, a few of which matter: the coefficients of coordinate descent on all."""
+    import pandas as pd
+
+    from panelwise.models import gram, screened
+
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(250, 1000))
+    x[:, 1] = x[:, 0] + 0.05 * x[:, 1]
+    y = 2.0 + x[:, [0, 17, 800]] @ [1.5, -2.0, 1.0] + rng.normal(size=250) * 0.5
+    names = [f"f{i}" for i in range(1000)]
+    df = spark.createDataFrame(pd.DataFrame(np.column_stack([x, y]), columns=[*names, "ret"])).repartition(3)
+    monkeypatch.setattr(screened, "ROUND", 40)
+    monkeypatch.setattr(gram, "MAX_MATRIX_BYTES", 500 * 500 * 8)
+    for alpha in (0.25, 0.6):
+        z = np.column_stack([np.ones(250), x, y])
+        m = Moments(z.T @ z)
+        want = solve_lasso(m, alpha)
+        coef, icpt = weights(LinearFit(inputCols=names, kind="lasso", alpha=alpha).fit(df))
+        assert np.allclose(coef, want, atol=1e-6) and icpt == pytest.approx(m.intercept(want), abs=1e-6)
+        assert 3 <= np.count_nonzero(coef) < 200
+    with pytest.raises(ValueError, match="cross products exceed"):
+        LinearFit(inputCols=names, kind="ridge").fit(df)
+
+
+def test_wide_panels_walk_forward_by_the_lasso(spark, monkeypatch):
+    """With a small bound on matrices the walk-forward run goes the screened way: the same predictions."""
+    from panelwise.models import gram, walk_forward as wf
+
+    rng = np.random.default_rng(5)
+    rows = [(p, date(2000 + y, m, 28), *map(float, v), float(v[0] - v[2] + rng.normal() * 0.1)) for y in range(3) for m in range(1, 13) for p in range(5) for v in [rng.normal(size=6)]]
+    names = [f"f{i}" for i in range(6)]
+    panel = spark.createDataFrame(rows, "permno long, date date, " + ", ".join(f"{c} double" for c in names) + ", ret double")
+    run = lambda: {(r["permno"], r["date"]): r["pred"] for r in wf.walk_forward(panel, names, (), [2002], [("Lasso", "Lasso", {"alpha": 0.1})]).collect()}
+    plain = run()
+    monkeypatch.setattr(gram, "MAX_MATRIX_BYTES", 7 * 7 * 8)
+    wide = run()
+    assert plain.keys() == wide.keys() and all(plain[k] == pytest.approx(wide[k], abs=1e-8) for k in plain)

@@ -140,6 +140,11 @@ def test_predictions_as_of_windows_alone(panel, by):
     assert n == len(found) == 2 * 180 * len(variants)
 
 
+def test_levels_alone_are_enough(panel):
+    got = wf.walk_forward(panel, (), ["k", "d"], [2003], [("Ridge", "Ridge", {}), ("hgbr", "hgbr", {"maxIter": 2})])
+    assert got.count() == 2 * 180 and got.filter("pred is null").count() == 0
+
+
 def test_a_window_without_rows_is_an_error(panel):
     with pytest.raises(ValueError, match="no training rows"):
         wf.walk_forward(panel, NAMES, (), [2000], [("OLS", "OLS", {})])
