@@ -99,3 +99,50 @@ def test_a_seed_is_asked_for_until_it_has_no_neighbour():
 
 def test_empty_table(documents):
     assert P.pack_documents(documents([]), tokenizer_path()).count() == 0
+
+
+def test_long_words_and_texts(tokenizer, words):
+    r = random.Random(3)
+    long = " ".join(r.choice(words) + r.choice(["", ",", "'s", " é́", "12"]) for _ in range(250_000))
+    texts = ["x" * 5000 + " y", "a.1" * 3000, "don't" * 2000, long, "", "ß" * 4097 + " z", "中" * 2000 + " <|EndOfText|>", "<|endoftext|>" * 3 + "a"]
+    assert len(long) > 2 * P.SLICE_BYTES
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        encoder = P.Encoder(f.read(), 1)
+    got = encoder.encode([memoryview(t.encode()) for t in texts])
+    for g, t in zip(got, texts):
+        assert np.array_equal(np.frombuffer(g, np.uint16), [*tokenizer.encode(t, add_special_tokens=False).ids, 1])
+
+
+def test_all_two_byte_characters(tokenizer):
+    texts = [f"{a}{chr(c)}{b} {chr(c)}." for c in range(0x80, 0x800) for a, b in (("", ""), ("e", "e"), ("é", "3"))]
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        encoder = P.Encoder(f.read(), 1)
+    for t, got in zip(texts, encoder.encode([memoryview(t.encode()) for t in texts])):
+        assert np.frombuffer(got, np.uint16).tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 1], t
+
+
+def test_forgetting_used_documents_changes_nothing():
+    r = np.random.default_rng(5)
+    docs = [np.append(r.integers(0, 50, r.integers(1, 40)), 1).astype(np.uint16) for _ in range(60)]
+    idf = r.random(60).astype(np.float32)
+    free = np.ones(60, bool)
+    short = P.Index(docs, idf, 17.0)
+    for used in r.permutation(60)[:50].tolist():
+        free[used] = False
+        short.forget(free)
+        seed = int(r.integers(60))
+        assert short.neighbours(seed, free) == P.Index(docs, idf, 17.0).neighbours(seed, free)
+
+
+def test_related_documents_far_apart_share_a_window(documents):
+    """Copies with a few changes at both ends of a table of some ten shards; in order of rows they would never meet."""
+    r = random.Random(9)
+    vocabulary = ["".join(r.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(3000)]
+    rows = [" ".join(r.choice(vocabulary) for _ in range(60)) for _ in range(300)]
+    near = [" ".join(r.choice(vocabulary) if r.random() < 0.05 else w for w in t.split()) for t in rows[:20]]
+    texts = [*enumerate(rows), *enumerate(near, 1000)]
+    got = P.pack_documents(documents(texts), tokenizer_path(), window=2048, shard_tokens=7_000).toPandas()
+    where = got.groupby("doc_id").sequence_id.agg(set)
+    together = sum(bool(where[i] & where[1000 + i]) for i in range(20))
+    shards = got.length.sum() / 7_000
+    assert shards > 8 and together >= 14
