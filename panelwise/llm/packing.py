@@ -2,10 +2,10 @@
 
 1. Documents are tokenised once and staged with their ids. Each task adds the document frequencies of its tokens; they are summed
    over all documents. The vocabulary bounds that table, so its broadcast is bounded, too.
-2. Documents are brought into an order in which related ones stand together: by the nearest of ``CENTROIDS`` directions (of
-   sketches of their weighted terms), then by three of their terms, chosen by weighted minimal hashes, so that copies agree in
-   all three. Directions and the weights used for this are learned from a sample of some ``SAMPLE`` documents, chosen by hash,
-   whose distinct ids come to the driver. The sample decides about neighbourhood only; every document is indexed and packed.
+2. Documents are brought into an order in which related ones stand together: by the sides of ``DIRECTIONS`` principal directions they
+   are on, then by three of their terms, chosen by weighted minimal hashes, so that copies agree in all three. Weights
+   are the document frequencies of 1. The directions are those of a second scan over all documents: each is folded into ``SKETCH`` numbers
+   (terms are added up with hashed signs), and tasks add up the products of these. The driver sees one matrix of that size.
 3. In this order they are dealt out in shards with about ``SHARD_TOKENS`` ids each. A task
    builds a BM25 index of each shard (with the corpus-wide frequencies and mean length) and packs it: the next unused
    document is the seed of a window; the index returns its best unused neighbours by all of its tokens, which fill the
@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +42,10 @@ END_ID = 1
 SHARD_TOKENS = 2_000_000
 #: The usual constants of BM25.
 K1, B = 1.2, 0.75
-#: Documents the order of documents is learned from (about), its directions, and the length of the sketches they are found in.
-SAMPLE, CENTROIDS, SKETCH = 2000, 16, 64
+#: Directions that documents are ordered by, and the length of the sketches they are found in.
+DIRECTIONS, SKETCH = 3, 128
+#: Parts of a sketch's length: its numbers are rounded to these, so that sums do not depend on how rows are dealt to tasks.
+STEPS = 4096
 #: Words whose ids a worker remembers before it forgets some; for memory only, without effect on results.
 REMEMBERED = 100_000
 #: Longer words are left to the tokenizer itself.
@@ -241,61 +245,83 @@ def cut_at_blanks(text: bytes) -> list[bytes]:
     return parts
 
 
-def learn_order(sample: list[np.ndarray], vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """What :func:`order_key` needs to bring documents with common terms together, from the distinct ids of sampled documents:
-    directions, a sketch per term, and numbers per term, the least of which chooses one (the likelier the more it tells)."""
-    n = len(sample)
-    df = np.bincount(np.concatenate(sample), minlength=vocabulary) if n else np.zeros(vocabulary)
-    idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    uniform = np.stack([((mix(numbered(vocabulary, 31 + i)) >> np.uint64(11)) + np.uint64(1)).astype(np.float64) / 2**53 for i in range(3)])
-    hashes = (-np.log(uniform) / np.maximum(idf, 1e-6)).astype(np.float32)
-    sketches = np.random.default_rng(17).standard_normal((vocabulary, SKETCH), np.float32) * idf.astype(np.float32)[:, None]
-    if not n:
-        return np.zeros((1, SKETCH), np.float32), sketches, hashes
-    points = np.stack([sketches[t].sum(0) for t in sample])
-    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-9)
-    centres = points[:CENTROIDS].copy()
-    for _ in range(10):
-        nearest = np.argmax(points @ centres.T, 1)
-        for c in range(len(centres)):
-            if (nearest == c).any():
-                centres[c] = points[nearest == c].mean(0)
-        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
-    # Similar directions stand together, too.
-    main = np.linalg.svd(centres - centres.mean(0), full_matrices=False)[2][0]
-    return centres[np.argsort(centres @ main, kind="stable")], sketches, hashes
-
-
-def order_key(order: tuple[np.ndarray, np.ndarray, np.ndarray], terms: np.ndarray) -> int:
-    """The nearest direction, then three terms."""
-    directions, sketches, hashes = order
-    out = int(np.argmax(directions @ sketches[terms].sum(0)))
-    for h in hashes:
-        out = out << 18 | int(terms[np.argmin(h[terms])]) & 0x3FFFF
-    return out
-
-
-def _distinct_ids(definition: str, end: int):
+class Order:
+    """What brings documents with common terms together: weights of terms, directions of documents, and ranks of terms, the least of which chooses one."""
+
+    def __init__(self, idf: np.ndarray):
+        hashed = numbered(len(idf), 7)
+        self.place = (hashed % np.uint64(SKETCH)).astype(np.int64)
+        self.weight = np.where(hashed >> np.uint64(40) & np.uint64(1), 1.0, -1.0) * idf
+        #: Numbers per term, the likelier to be small the more it tells, as ranks, and the terms in this order.
+        uniform = [((mix(numbered(len(idf), 31 + i)) >> np.uint64(11)) + np.uint64(1)).astype(np.float64) / 2**53 for i in range(3)]
+        self.chosen = [np.argsort(-np.log(u) / np.maximum(idf, 1e-6), kind="stable") for u in uniform]
+        self.ranks = [np.argsort(c).astype(np.int32) for c in self.chosen]
+        self.directions, self.centre = np.zeros((SKETCH, 0)), np.zeros(0)
+
+    def sketches(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """One sketch per document, of length ``STEPS``, in whole numbers; documents have one id at least."""
+        owner = np.repeat(np.arange(len(sizes)) * SKETCH, sizes)
+        out = np.bincount(owner + self.place[ids], self.weight[ids], len(sizes) * SKETCH).reshape(-1, SKETCH)
+        return np.rint(out * (STEPS / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)))
+
+    def learn(self, n: int, total: np.ndarray, products: np.ndarray) -> None:
+        """The directions in which sketches differ most, from the sums of all sketches and of their products."""
+        mean = total / max(n, 1)
+        directions = np.linalg.eigh(products / max(n, 1) - np.outer(mean, mean))[1][:, : -DIRECTIONS - 1 : -1]
+        self.directions, self.centre = directions, mean @ directions
+
+    def keys(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Per document the sides it is on, then three terms."""
+        sides = self.sketches(ids, sizes) @ self.directions > self.centre
+        out = sides @ (1 << np.arange(DIRECTIONS)[::-1])
+        begins = np.cumsum(sizes) - sizes
+        for rank, chosen in zip(self.ranks, self.chosen):
+            out = out << 18 | chosen[np.minimum.reduceat(rank[ids], begins)] & 0x3FFFF
+        return out
+
+
+def _documents(column: pa.Array, dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The ids of some documents at a time, one after the other, and how many each has."""
+    sizes = pc.binary_length(column).to_numpy().astype(np.int64)
+    for first, last in slices(sizes.tolist(), SLICE_BYTES):
+        for at in range(first, last, 1000):
+            to = min(at + 1000, last)
+            yield np.frombuffer(b"".join(x.as_buffer() for x in column.slice(at, to - at)), dtype), sizes[at:to] // np.dtype(dtype).itemsize
+
+
+def _products(order, dtype):
+    """Numbered rows of a matrix: the sums of products of sketches, their sums, and the number of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((SKETCH + 2, SKETCH))
+        for batch in batches:
+            for ids, sizes in _documents(batch.column("ids"), dtype):
+                x = order.value.sketches(ids, sizes)
+                out[:SKETCH] += x.T @ x
+                out[SKETCH] += x.sum(0)
+                out[SKETCH + 1, 0] += len(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SKETCH + 2), pa.int32()), pa.array(list(out), pa.list_(pa.float64()))], names=["i", "v"])
+
+    return run
+
+
+def _keyed(order, dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_in_process(("encoder", hash(definition), end), lambda: Encoder(definition, end))
-        seen: set[bytes] = set()
         for batch in batches:
-            # Repeated rows are in the sample together; they count once.
-            new = {distinct(np.frombuffer(ids, encoder.dtype)).tobytes() for ids in encoder.encode(byte_views(batch.column("text")))} - seen
-            seen |= new
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.binary())], names=["ids"])
+            keys = [np.zeros(0, np.int64), *(order.value.keys(*some) for some in _documents(batch.column("ids"), dtype))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(keys)), batch.column("place"), batch.column("ids")], names=["doc_id", "key", "place", "ids"])
 
     return run
 
 
-def _tokenise(definition: str, end: int, order):
+def _tokenise(definition: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_in_process(("encoder", hash(definition), end), lambda: Encoder(definition, end))
         counts, place = None, TaskContext.get().partitionId() << 33
         for batch in batches:
             views = byte_views(batch.column("text"))
             for first, last in slices([len(v) for v in views], 4 * SLICE_BYTES):
-                ids, keys = encoder.encode(views[first:last]), []
+                ids = encoder.encode(views[first:last])
                 for one in ids:
                     own = distinct(np.frombuffer(one, encoder.dtype))
                     if counts is None or own[-1] >= len(counts):
@@ -303,13 +329,11 @@ def _tokenise(definition: str, end: int, order):
                         grown[: 0 if counts is None else len(counts)] = 0 if counts is None else counts
                         counts = grown
                     counts[own] += 1
-                    keys.append(order_key(order.value, own))
                 n = last - first
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, n), pa.array(keys, pa.int64()), pa.array(np.arange(place, place + n)), pa.array(ids, pa.binary()), pa.nulls(n, pa.binary())], names=["doc_id", "key", "place", "ids", "frequencies"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, n), pa.array(np.arange(place, place + n)), pa.array(ids, pa.binary()), pa.nulls(n, pa.binary())], names=["doc_id", "place", "ids", "frequencies"])
                 place += n
         if counts is not None:
-            nothing = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, batch.column("doc_id").type), nothing, nothing, pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["doc_id", "key", "place", "ids", "frequencies"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, batch.column("doc_id").type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["doc_id", "place", "ids", "frequencies"])
 
     return run
 
@@ -493,9 +517,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
     kind = source.schema["doc_id"].dataType.simpleString()
     encoder = Encoder(definition, end_id)
     dtype = encoder.dtype
-    order = spark.sparkContext.broadcast(_learn_order(source, definition, end_id, encoder))
-    staged = scratch.stage(source.mapInArrow(_tokenise(definition, end_id, order), f"doc_id {kind}, key long, place long, ids binary, frequencies binary"))
-    rows = staged.filter("ids is not null").select("doc_id", "key", "place", "ids")
+    staged = scratch.stage(source.mapInArrow(_tokenise(definition, end_id), f"doc_id {kind}, place long, ids binary, frequencies binary"))
+    rows = staged.filter("ids is not null").select("doc_id", "place", "ids")
     n, total = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("ids").cast("long"))).first()
     frequencies = staged.filter("frequencies is not null").select("frequencies").mapInArrow(_sums, "token int, n long").groupBy("token").agg(F.sum("n").alias("n")).toArrow()
     token, df = frequencies.column("token").to_numpy(), frequencies.column("n").to_numpy()
@@ -503,15 +526,18 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
     known[token] = df
     idf = np.log1p((n - known + 0.5) / (known + 0.5)).astype(np.float32)
     statistics = spark.sparkContext.broadcast((idf, (total or 0) / np.dtype(dtype).itemsize / max(n, 1)))
-    near = rows.repartitionByRange("key", "place").sortWithinPartitions("key", "place").select("doc_id", "ids")
+    order = spark.sparkContext.broadcast(_learn_order(rows, idf, dtype))
+    keyed = rows.mapInArrow(_keyed(order, dtype), f"doc_id {kind}, key long, place long, ids binary")
+    near = keyed.repartitionByRange("key", "place").sortWithinPartitions("key", "place").select("doc_id", "ids")
     return near.mapInArrow(_pack_shards(statistics, window, dtype, shard_tokens), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
-def _learn_order(source: DataFrame, definition: str, end_id: int, encoder: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order of documents from some ``SAMPLE`` of them, whichever have the least hashes; at most a vocabulary of ids of each is collected."""
-    share = min(1.0, SAMPLE / max(source.count(), 1))
-    hashed = F.xxhash64("doc_id", "text")
-    sample = source.filter(F.pmod(hashed, F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
-    found = sample.mapInArrow(_distinct_ids(definition, end_id), "ids binary").toArrow().column("ids").to_pylist()
-    # A text that fills the sample by its copies is one document there.
-    return learn_order([np.frombuffer(x, encoder.dtype) for x in sorted(set(found))], max(encoder.vocabulary, end_id + 1))
+def _learn_order(rows: DataFrame, idf: np.ndarray, dtype) -> Order:
+    """The order of documents, from one scan over all of them."""
+    order = Order(idf.astype(np.float64))
+    parts = rows.select("ids").mapInArrow(_products(rows.sparkSession.sparkContext.broadcast(order), dtype), "i int, v array<double>")
+    sums = np.zeros((SKETCH + 2, SKETCH))
+    for r in parts.groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).collect():
+        sums[r["i"]] = r["v"]
+    order.learn(int(sums[-1, 0]), sums[SKETCH], sums[:SKETCH])
+    return order

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelwise.llm import packing as P
@@ -134,6 +135,29 @@ def test_forgetting_used_documents_changes_nothing():
         assert short.neighbours(seed, free) == P.Index(docs, idf, 17.0).neighbours(seed, free)
 
 
+def test_the_order_is_learned_from_all_documents():
+    """Sums over all documents, however they are dealt to tasks, and the directions that plain numpy finds in all sketches."""
+    r = np.random.default_rng(6)
+    topics = [r.integers(2 + 300 * t, 302 + 300 * t, 300) for t in range(4)]
+    docs = [np.append(r.choice(topics[i % 4], r.integers(1, 60)), 1).astype(np.uint16) for i in range(3000)]
+    order = P.Order(r.random(1300))
+    sums = []
+    for parts in (1, 7):
+        tasks = [docs[i::parts] for i in range(parts)]
+        run = P._products(type("Held", (), {"value": order}), np.uint16)
+        made = [next(run(iter([pa.RecordBatch.from_pydict({"ids": pa.array([d.tobytes() for d in t], pa.binary())})]))) for t in tasks]
+        sums.append(sum(np.array(m.column("v").to_pylist()) for m in made))
+    assert (sums[0] == sums[1]).all() and sums[0][-1, 0] == len(docs)
+    x = np.concatenate([order.sketches(d, np.array([len(d)])) for d in docs])
+    order.learn(len(docs), sums[0][P.SKETCH], sums[0][: P.SKETCH])
+    want = np.linalg.svd(x - x.mean(0), full_matrices=False)[2][: P.DIRECTIONS].T
+    assert np.allclose(np.abs((want * order.directions).sum(0)), 1)
+    keys = order.keys(np.concatenate(docs), np.array([len(d) for d in docs]))
+    assert keys.tolist() == [int(order.keys(d, np.array([len(d)]))[0]) for d in docs]
+    for d, key in zip(docs[:200], keys.tolist()):
+        assert [key >> 36 & 0x3FFFF, key >> 18 & 0x3FFFF, key & 0x3FFFF] == [min(set(d.tolist()), key=lambda t: rank[t]) for rank in order.ranks]
+
+
 def test_related_documents_far_apart_share_a_window(documents):
     """Copies with a few changes at both ends of a table of some ten shards; in order of rows they would never meet."""
     r = random.Random(9)
