@@ -1,14 +1,16 @@
 """Main text of web pages by differencing neighbouring URLs of a host.
 
 1. A task reads each page's markup into lines (blocks of text). Markup that names its purpose (menus, forms, scripts, classes such
-   as ``cookie`` or ``comments``) is left out. Lines inside ``<article>`` or ``<main>`` are the article, by the page's own word.
-2. All other lines are differenced: pages are ordered by URL path within their host, each page is paired with the one
+   as ``cookie`` or ``comments``) is left out. Lines inside ``<article>`` or ``<main>`` are numbered by that element.
+2. The lines of all pages are differenced: pages are ordered by URL path within their host, each page is paired with the one
    before and the one after, the two lists of lines are aligned by their longest common subsequence, and shared lines are
    deleted. What pages of a site share is the site's; what one page has alone is its text. A neighbour that shares
    more than four fifths of a page's characters is a copy of it and says nothing about the site.
-3. A page's text is its article's lines, or, if it marks no article, the lines that differencing left.
+3. A check puts back what is the page's although others share it (:func:`kept_lines`): where a line of a marked article is left, the article
+   is the page's own, and all of its lines are its text; articles that quote the same passage would lose it otherwise. A marked
+   article that differencing deletes whole is the site's (a teaser on every page), as long as it leaves more text outside.
+   On a page without an article the text is what differencing left.
 
-The article itself is not differenced: articles that quote the same passage, or are copies, would lose it.
 Only addresses and 64-bit line hashes are sorted and joined; hosts of any size are split among tasks, and
 what stands at the border of two tasks is paired by a table of one row per task.
 """
@@ -70,10 +72,18 @@ def _left_out(tag: str, more: str, in_article: bool) -> bool:
 
 def page_lines(page: str) -> list[tuple[str, bool]]:
     """The lines of a page that its markup does not leave out, and whether each is part of an article."""
-    lines: list[tuple[str, bool]] = []
+    return [(text, article != 0) for text, article in numbered_lines(page)]
+
+
+def numbered_lines(page: str) -> list[tuple[str, int]]:
+    """The lines of a page that its markup does not leave out, and the number of the article each is part of.
+
+    That is the outermost ``<article>``, or the ``<main>`` around lines that are in none (numbered below zero); 0 is outside of both.
+    """
+    lines: list[tuple[str, int]] = []
     held: list[str] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # tag, left out, in article
-    out = article = False
+    open_tags: list[tuple[str, bool, int]] = []  # tag, left out, article
+    out, article, articles = False, 0, 0
     opened: dict[str, int] = {}  # how often each tag is open
 
     def flush() -> None:
@@ -83,8 +93,8 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
             if text:
                 lines.append((text, article))
 
-    def push(tag: str, leaves: bool, in_article: bool) -> None:
-        open_tags.append((tag, leaves, in_article))
+    def push(tag: str, leaves: bool, number: int) -> None:
+        open_tags.append((tag, leaves, number))
         opened[tag] = opened.get(tag, 0) + 1
 
     def close(depth: int) -> None:
@@ -92,7 +102,7 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
         for name, _, _ in open_tags[depth:]:
             opened[name] -= 1
         del open_tags[depth:]
-        _, out, article = open_tags[-1] if open_tags else ("", False, False)
+        _, out, article = open_tags[-1] if open_tags else ("", False, 0)
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -129,10 +139,14 @@ def page_lines(page: str) -> list[tuple[str, bool]]:
             close(len(open_tags) - 1)  # a paragraph ends where the next block begins
         if tag == "li" and open_tags and open_tags[-1][0] == "li":
             close(len(open_tags) - 1)
-        leaves = out or _left_out(tag, m["more"], article)
+        leaves = out or _left_out(tag, m["more"], article != 0)
         # Inside a left-out element every element counts, so that an inner end tag does not end the outer one.
         if is_block and tag not in ("p", "li", "hr") or leaves:
-            push(tag, leaves, article or tag in ("article", "main"))
+            number = article
+            if tag == "article" and article <= 0 or tag == "main" and not article:
+                articles += 1
+                number = articles if tag == "article" else -articles
+            push(tag, leaves, number)
             _, out, article = open_tags[-1]
     if out and open_tags[-1][0] == "head" and page[at:].strip():
         close(len(open_tags) - 1)
@@ -175,17 +189,27 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return [*range(first), *reversed(middle), *range(len(a) - last, len(a))]
 
 
+def kept_lines(articles: list[int], sizes: list[int], shared: list[set[int]]) -> list[int]:
+    """Places of the lines that are a page's text, by its lines' articles and sizes and the lines that each neighbour shares."""
+    cut = set().union(*shared)
+    if not any(articles):
+        return [i for i in range(len(articles)) if i not in cut]
+    # One neighbour may quote an article; what all of them have whole is the site's.
+    common = set.intersection(*shared) if shared else cut
+    own = {a for i, a in enumerate(articles) if a and i not in common}
+    loose = [i for i, a in enumerate(articles) if not a and i not in cut]
+    if not own and sum(sizes[i] for i in loose) > sum(n for n, a in zip(sizes, articles) if a):
+        return loose
+    return [i for i, a in enumerate(articles) if a and (a in own or not own)]
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for begin in range(0, len(whole), 500):
             batch = whole.slice(begin, 500)
-            texts, rest = [], []
-            for page in batch.column("html").to_pylist():
-                lines = page_lines(page)
-                article = [t for t, inside in lines if inside]
-                texts.append("\n\n".join(article) if article else None)
-                rest.append([t for t, inside in lines if not inside])
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), batch.column("path"), pa.array(texts, pa.string()), pa.array(rest, pa.list_(pa.string()))], names=["page_id", "url", "host", "path", "article", "lines"])
+            found = [numbered_lines(page) for page in batch.column("html").to_pylist()]
+            lines, articles = ([[line[i] for line in page] for page in found] for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host", "path")), pa.array(lines, pa.list_(pa.string())), pa.array(articles, pa.list_(pa.int32()))], names=["page_id", "url", "host", "path", "lines", "articles"])
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,17 +234,18 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of a page's text, for pages where they are not those that stay without neighbours."""
     for batch in batches:
-        cuts = []
-        for own, sizes, *others in zip(*(batch.column(c).to_pylist() for c in ("hashes", "sizes", "before_hashes", "after_hashes"))):
-            cut: set[int] = set()
-            for other in others:
-                found = common_lines(own, other or [])
-                if 5 * sum(sizes[i] for i in found) <= 4 * sum(sizes):
-                    cut.update(found)
-            cuts.append(sorted(cut))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(cuts, pa.list_(pa.int32()))], names=["row", "cuts"])
+        rows, kept = [], []
+        for row, own, sizes, articles, *others in zip(*(batch.column(c).to_pylist() for c in ("row", "hashes", "sizes", "articles", "before_hashes", "after_hashes"))):
+            found = [common_lines(own, other) for other in others if other]
+            shared = [set(x) for x in found if 5 * sum(sizes[i] for i in x) <= 4 * sum(sizes)]
+            keep = kept_lines(articles, sizes, shared)
+            if keep != kept_lines(articles, sizes, []):
+                rows.append(row)
+                kept.append(keep)
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(kept, pa.list_(pa.int32()))], names=["row", "kept"])
 
 
 def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -232,25 +257,25 @@ def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     scratch = Scratch(pages.sparkSession, "html")
     kinds = dict(pages.select(col(page_id).alias("page_id"), col(url).alias("url")).dtypes)
     source = pages.select(col(page_id).alias("page_id"), col(url).alias("url"), url_host(col(url)).alias("host"), url_path(col(url)).alias("path"), F.coalesce(col(html).cast("string"), F.lit("")).alias("html"))
-    parsed = source.mapInArrow(_parse, f"page_id {kinds['page_id']}, url {kinds['url']}, host string, path string, article string, lines array<string>")
+    parsed = source.mapInArrow(_parse, f"page_id {kinds['page_id']}, url {kinds['url']}, host string, path string, lines array<string>, articles array<int>")
     parsed = scratch.stage(parsed.withColumn("row", F.monotonically_increasing_id()))
-    # Lines that no article holds are differenced.
-    loose = parsed.filter("size(lines) > 0").select("row", "host", "path", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.char_length(x)).alias("sizes"), F.col("article").isNotNull().alias("has_article"))
-    loose = scratch.stage(loose)
-    n = max(1, min(loose.count(), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    found = scratch.stage(loose.select("host", "path", "row").repartitionByRange(n, "host", "path", "row").sortWithinPartitions("host", "path", "row").mapInArrow(_neighbours, "row long, before long, task long, first_host string, last_host string"))
+    hashed = parsed.filter("size(lines) > 0").select("row", "host", "path", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.char_length(x)).alias("sizes"), "articles")
+    hashed = scratch.stage(hashed)
+    n = max(1, min(hashed.count(), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    found = scratch.stage(hashed.select("host", "path", "row").repartitionByRange(n, "host", "path", "row").sortWithinPartitions("host", "path", "row").mapInArrow(_neighbours, "row long, before long, task long, first_host string, last_host string"))
     inside = found.filter("task is null").select("row", "before")
     edges = found.filter("task is not null")
     by_task = Window.orderBy("task")
     across = edges.select("row", F.lag("before").over(by_task).alias("before"), "first_host", F.lag("last_host").over(by_task).alias("host")).filter("first_host = host").select("row", "before")
     pairs = scratch.stage(inside.unionByName(across))
 
-    hashes = loose.select(F.col("row").alias("other"), F.col("hashes"))
+    hashes = hashed.select(F.col("row").alias("other"), F.col("hashes"))
     before = pairs.join(hashes.withColumnRenamed("hashes", "before_hashes"), F.col("before") == F.col("other")).select("row", "before_hashes")
     after = pairs.withColumnRenamed("row", "next").withColumnRenamed("before", "row").join(hashes.withColumnRenamed("hashes", "after_hashes"), F.col("next") == F.col("other")).select("row", "after_hashes")
-    open_pages = loose.filter("not has_article").select("row", "hashes", "sizes")
-    cuts = scratch.stage(open_pages.join(before, "row", "left").join(after, "row", "left").mapInArrow(_shared, "row long, cuts array<int>").filter("size(cuts) > 0"))
-    joined = parsed.join(broadcast_if_small(cuts, cuts.count(), 512), "row", "left")
-    left = F.filter("lines", lambda x, i: F.col("cuts").isNull() | ~F.array_contains(F.col("cuts"), i))
-    text = F.coalesce("article", F.array_join(left, "\n\n"))
+    differenced = hashed.select("row", "hashes", "sizes", "articles").join(before, "row", "left").join(after, "row", "left")
+    kept = scratch.stage(differenced.mapInArrow(_kept, "row long, kept array<int>"))
+    joined = parsed.join(broadcast_if_small(kept, kept.count(), 512), "row", "left")
+    marked = F.exists("articles", lambda a: a != 0)
+    alone = F.filter("lines", lambda x, i: ~marked | (F.get("articles", i) != 0))
+    text = F.when(F.col("kept").isNull(), F.array_join(alone, "\n\n")).otherwise(F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n\n"))
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
