@@ -34,9 +34,11 @@ KINDS = ("ols", "ridge", "ridge_cv")
 
 def level_sums(df: DataFrame, features: Sequence[str], label: str, level: str) -> DataFrame:
     """(level, u): per level the sums of 1, the features and the label, as an array."""
-    row = F.array(F.lit(1.0), *[col(c).cast("double") for c in features], col(label).cast("double"))
+    row = [F.lit(1.0), *[col(c).cast("double") for c in features], col(label).cast("double")]
     known = df.filter(col(level).isNotNull())
-    return known.groupBy(col(level).alias("level")).agg(vector_to_array(Summarizer.sum(array_to_vector(row))).alias("u"))
+    # One plain sum per column: there can be as many levels as rows, and each vector that is summed would be an object of its own.
+    sums = known.groupBy(col(level).alias("level")).agg(*[F.sum(x).alias(f"u{i}") for i, x in enumerate(row)])
+    return sums.select("level", F.array(*[f"u{i}" for i in range(len(row))]).alias("u"))
 
 
 def eliminated(levels: DataFrame, size: int, alphas: Sequence[float]) -> np.ndarray:

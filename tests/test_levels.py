@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from panelwise.models import walk_forward as wf
-from panelwise.models.levels import LevelFit
+from panelwise.models.levels import LevelFit, level_sums
 from panelwise.runtime import MAX_BROADCAST_BYTES
 
 
@@ -80,3 +80,12 @@ def test_many_levels_walk_forward(spark):
     assert {r["model"]: r["n"] for r in off} == {"Ridge": 20_000, "OLS": 20_000} and all(r["off"] < 1e-3 for r in off)
     with pytest.raises(ValueError, match="lasso"):
         wf.walk_forward(panel, ["a"], (), [2002], [("Lasso", "Lasso", {})], level="k")
+
+
+def test_sums_of_levels_are_plain_numbers(spark):
+    """No level has an aggregate object of its own: with as many levels as rows these made up most of a fit."""
+    rows = [(float(i), 2.0 * i, f"l{i % 7}") for i in range(50)] + [(1.0, 1.0, None)]
+    sums = level_sums(spark.createDataFrame(rows, "x double, ret double, level string"), ["x"], "ret", "level")
+    assert "ObjectHashAggregate" not in sums._jdf.queryExecution().toString()
+    want = {f"l{k}": [len(own), sum(own), 2 * sum(own)] for k in range(7) for own in [range(k, 50, 7)]}
+    assert {r.level: r.u for r in sums.collect()} == want
