@@ -10,8 +10,9 @@ histogram of the smaller child of each is summed; the larger one's is the differ
 it chooses is known, so the tree is exactly the one that splitting one leaf at a time gives, after as many passes as the tree is deep.
 
 Gains that differ by rounding only count as equal, and the first feature, bin and direction wins, so the same rows give the same trees
-however they are dealt out. Predictions of finished trees are added to the rows every ``KEEP`` rounds, into a
-staged table; in between a task applies the few trees since, or goes on from what its worker process remembers.
+however they are dealt out. Predictions are kept with the rows: the first pass of a round adds the tree before to them and
+caches the result, so that no pass goes through finished trees again. Every ``KEEP`` rounds the rows are written into a
+staged table, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -42,9 +43,10 @@ from panelwise.runtime import col, drop_staged, stage_table
 
 MISSING = 255
 BINS = 256
-#: Rounds after which the predictions so far are written into the rows, and rows of a task at least.
+#: Rounds after which the rows are staged, rows of a task at least, and rows of a task at most if there are four tasks per core.
 KEEP = 20
 TASK_ROWS = 50_000
+MOST_TASK_ROWS = 1_000_000
 #: Bytes of histograms that tasks hand to the driver unsummed, and that one pass makes at most.
 DIRECT_BYTES = 32 * 1024 * 1024
 PASS_BYTES = 128 * 1024 * 1024
@@ -76,10 +78,11 @@ class Tree:
         """The node at which each row ends, starting from where it is, if ``at`` says so."""
         feature, cut, missing, left, right = (np.array(x) for x in (self.feature, self.cut, self.missing_left, self.left, self.right))
         at = np.zeros(len(bins), np.int64) if at is None else at.copy()
+        flat, first = np.ascontiguousarray(bins.T).reshape(-1), feature * len(bins)
         moving = np.flatnonzero(left[at] >= 0)
         while len(moving):
             node = at[moving]
-            own = bins[moving, feature[node]]
+            own = flat[first[node] + moving]
             goes_left = np.where(own == MISSING, missing[node], own <= cut[node])
             at[moving] = np.where(goes_left, left[node], right[node])
             moving = moving[left[at[moving]] >= 0]
@@ -147,33 +150,27 @@ def _block(bins: np.ndarray, y: np.ndarray, held: np.ndarray, f: np.ndarray) ->
 
 
 class _Places:
-    """Where the rows of a task stand: predictions after so many trees, and the node of the tree that is growing.
+    """At which node of the tree that is growing the rows of a task stand.
 
-    A worker process remembers this for a few tasks and goes on from there; one that has not seen a task before works
-    it out from the trees. Both give the same numbers, as trees are added one after the other in either case.
+    A worker process remembers this for a few tasks and goes on from there; one that has not seen a task before starts at the root.
     """
 
     known: OrderedDict[tuple[str, int], list] = OrderedDict()
     MOST = 8
 
-    def __init__(self, fit: str, part: int, trees: Sequence[Tree], tree: Tree):
-        self.key, self.trees, self.tree = (fit, part), trees, tree
+    def __init__(self, growing: str, part: int, tree: Tree):
+        self.key, self.tree = (growing, part), tree
         self.before = _Places.known.pop(self.key, [])
-        self.now: list[tuple[int, np.ndarray, np.ndarray]] = []
-
-    def next(self, bins: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Predictions and nodes of the next batch of the task."""
-        done, f, at = self.before[len(self.now)] if len(self.now) < len(self.before) else (0, start, None)
-        if done != len(self.trees) or at is None or len(f) != len(bins) or at.max(initial=0) >= len(self.tree.left):
-            if done > len(self.trees) or len(f) != len(bins):
-                done, f = 0, start
-            for t in self.trees[done:]:
-                f = f + np.array(t.value)[t.leaves_of(bins)]
+        self.now: list[np.ndarray] = []
+
+    def next(self, bins: np.ndarray) -> np.ndarray:
+        """The nodes of the next batch of the task."""
+        at = self.before[len(self.now)] if len(self.now) < len(self.before) else None
+        if at is not None and (len(at) != len(bins) or at.max(initial=0) >= len(self.tree.left)):
             at = None
-        # A tree that starts anew has one node; rows further down belong to the tree before.
-        at = self.tree.leaves_of(bins, at if at is not None and len(self.tree.left) > 1 else None)
-        self.now.append((len(self.trees), f, at))
-        return f, at
+        at = self.tree.leaves_of(bins, at).astype(np.int32)
+        self.now.append(at)
+        return at
 
     def remember(self) -> None:
         _Places.known[self.key] = self.now
@@ -298,48 +295,55 @@ class _Grower:
         self._hold(rows)
 
     def _hold(self, rows: DataFrame) -> None:
-        self.tasks = max(1, self.n // TASK_ROWS)
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        self.tasks = max(1, min(self.n // TASK_ROWS, max(4 * cores, self.n // MOST_TASK_ROWS)))
         self.rows = rows.select("bins", "y", "held", "f").coalesce(self.tasks).persist(StorageLevel.MEMORY_AND_DISK)
         self.name = uuid.uuid4().hex
-        self.staged, self.since = rows, []
+        self.staged, self.since, self.older = rows, 0, []
 
     def close(self) -> None:
-        self.rows.unpersist()
+        for held in [*self.older, self.rows]:
+            held.unpersist()
         drop_staged(self.staged)
 
-    def _keep(self) -> None:
-        """Writes the predictions of the trees since the last time into the rows."""
-        trees, width = self.since, self.width
+    def _add(self, tree: Tree) -> None:
+        """Adds a finished tree to the predictions: with the next pass over the rows, or into a staged table."""
+        width = self.width
 
         def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            value = np.array(tree.value)
             for bins, y, held, f in _blocks(batches, width):
-                for t in trees:
-                    f = f + np.array(t.value)[t.leaves_of(bins)]
-                yield _block(bins, y, held, f)
-
-        kept = stage_table(self.rows.mapInArrow(apply, BLOCK))
-        self.close()
-        self._hold(kept)
+                yield _block(bins, y, held, f + value[tree.leaves_of(bins)])
+
+        added = self.rows.mapInArrow(apply, BLOCK)
+        self.since += 1
+        if self.since == KEEP:
+            kept = stage_table(added)
+            self.close()
+            self._hold(kept)
+        else:
+            self.older.append(self.rows)
+            self.rows = added.select("bins", "y", "held", "f").persist(StorageLevel.MEMORY_AND_DISK)
+            self.name = uuid.uuid4().hex
 
     def _pass(self, tree: Tree, nodes: Sequence[int]) -> tuple[dict[int, np.ndarray], tuple[float, float]]:
         """Histograms of some nodes of a tree, and rows and squared error of the held-out rows."""
-        trees, width, wanted, name, base = list(self.since), self.width, {k: i for i, k in enumerate(nodes)}, self.name, self.base
+        width, wanted, name, base = self.width, {k: i for i, k in enumerate(nodes)}, self.name, self.base
 
         def sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums, held = np.zeros((len(wanted), width, 2, BINS)), np.zeros(2)
             place_of = np.full(len(tree.left), -1)
             for k, i in wanted.items():
                 place_of[k] = i
-            places = _Places(name, TaskContext.get().partitionId(), trees, tree)
-            for bins, y, out, start in _blocks(batches, width):
-                f, at = places.next(bins, start)
+            places = _Places(name, TaskContext.get().partitionId(), tree)
+            for bins, y, out, f in _blocks(batches, width):
                 g = base + f - y
                 held += [out.sum(), (g[out] ** 2).sum()]
-                place = place_of[at]
+                place = place_of[places.next(bins)]
                 own = np.flatnonzero((place >= 0) & ~out)
-                place, g, bins = place[own] * BINS, g[own], bins[own]
+                place, g = place[own] * BINS, g[own]
                 for j in range(width):
-                    cell = place + bins[:, j]
+                    cell = place + bins[own, j]
                     sums[:, j, 0] += np.bincount(cell, g, len(wanted) * BINS).reshape(-1, BINS)
                     sums[:, j, 1] += np.bincount(cell, None, len(wanted) * BINS).reshape(-1, BINS)
             places.remember()
@@ -351,6 +355,9 @@ class _Grower:
         if self.tasks * len(nodes) * width * BINS * 16 > DIRECT_BYTES:
             made = made.groupBy("node", "f").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v"))
         table = made.toArrow()
+        # This pass has cached the rows with the tree before; those without it have served.
+        while self.older:
+            self.older.pop().unpersist()
         hist, held = np.zeros((len(nodes), width, 2 * BINS)), np.zeros(2)
         for i, j, v in zip(table.column("node").to_pylist(), table.column("f").to_pylist(), table.column("v")):
             own = v.values.to_numpy()
@@ -379,9 +386,7 @@ class _Grower:
             if tree is None:
                 return done[: best[1]] if n else done
             done.append(tree)
-            self.since.append(tree)
-            if len(self.since) == KEEP:
-                self._keep()
+            self._add(tree)
 
     def _grow(self, root: np.ndarray) -> Tree | None:
         least, penalty, rate, depth = self.get("minRows"), self.get("penalty"), self.get("learningRate"), self.get("maxDepth")

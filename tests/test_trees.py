@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelwise.models import trees as T
 from panelwise.models.trees import LeafwiseModel, LeafwiseTrees
@@ -122,3 +123,35 @@ def test_nothing_to_split(spark):
     assert model.getNumTrees == 0 and predictions(model, df)[0] == pytest.approx(14.5)
     with pytest.raises(ValueError, match="maxBins"):
         LeafwiseTrees(inputCols=["a"], maxBins=300)
+
+
+def test_passes_apply_no_finished_tree_again(data, monkeypatch):
+    """Rows come to each pass with the predictions of all trees before; the caches that served are dropped."""
+    df, x, y = data
+    grown, seen = [], []
+    plain = T._Grower._pass
+
+    def watched(self, tree, nodes):
+        if nodes == [0]:
+            parts = [np.frombuffer(r["f"]) for r in self.rows.collect()]
+            seen.append(sum(p.sum() for p in parts))
+            grown.append(self)
+        out = plain(self, tree, nodes)
+        assert not self.older
+        return out
+
+    monkeypatch.setattr(T._Grower, "_pass", watched)
+    model = LeafwiseTrees(inputCols=NAMES, maxIter=3, learningRate=0.5, validation=0.0).fit(df)
+    assert len(seen) == 4 and seen[0] == 0
+    assert seen[-1] == pytest.approx((predictions(model, df)[~np.isnan(y)] - model.getOrDefault("base")).sum(), abs=1e-6)
+
+
+def test_tasks_grow_with_the_rows(data, monkeypatch):
+    """Beyond four tasks a core, tasks get more rows instead of becoming more, up to a bound."""
+    df, _, _ = data
+    staged = df.select(*[F.lit(b"").alias(c) for c in ("bins", "y", "held", "f")]).limit(1)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    for n, tasks in ((10, 1), (100_000, 2), (T.TASK_ROWS * 5 * cores, 4 * cores), (T.MOST_TASK_ROWS * 6 * cores, 6 * cores)):
+        grower = T._Grower(LeafwiseTrees(inputCols=NAMES), staged, 1, n, 0.0)
+        assert grower.tasks == tasks
+        grower.rows.unpersist()
