@@ -5,7 +5,7 @@ Spark ML has no network for regression. The prepared rows are staged once.
 ``mode="averaged"`` deals them into shards of ``shardRows`` rows by a hash of their content. Each epoch is one Spark job: every shard starts from the shared weights and
 moments, takes minibatch Adam steps over its own rows, in a fixed order, and hands both back; the row-weighted mean starts
 the next epoch (iterative parameter mixing). Shards depend on the data only, so the result does not depend on the cluster.
-With a single shard this is plain minibatch Adam.
+With a single shard this is plain minibatch Adam. The rows of a shard are cached as blocks of bytes, one per batch that came, so that an epoch does not turn columns into rows again.
 
 ``mode="synchronous"`` is plain minibatch Adam over all tasks: a row's content says which batch of an epoch it belongs to, each task
 sums the gradient over its rows of the batch, the sums are exchanged, and every task takes the same step. An epoch is one barrier
@@ -64,8 +64,9 @@ def forward(flat: np.ndarray, sizes: Sequence[int], x: np.ndarray) -> list[np.nd
     layers = layer_slices(sizes)
     acts = [x]
     for i, (w, b, rows, cols) in enumerate(layers):
-        z = acts[-1] @ flat[w].reshape(rows, cols) + flat[b]
-        acts.append(z if i == len(layers) - 1 else np.maximum(z, 0.0))
+        z = acts[-1] @ flat[w].reshape(rows, cols)
+        z += flat[b]
+        acts.append(z if i == len(layers) - 1 else np.maximum(z, 0.0, out=z))
     return acts
 
 
@@ -80,10 +81,18 @@ def gradient(flat: np.ndarray, sizes: Sequence[int], x: np.ndarray, y: np.ndarra
         grad[w] = (acts[i].T @ delta + penalty * weights / len(y)).ravel()
         grad[b] = delta.sum(axis=0)
         if i:
-            delta = (delta @ weights.T) * (acts[i] > 0)
+            delta = delta @ weights.T
+            delta *= acts[i] > 0
     return grad
 
 
+def as_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each batch as the bytes of one matrix."""
+    for batch in batches:
+        if len(batch):
+            yield pa.RecordBatch.from_arrays([pa.array([matrix_of(batch).tobytes()], pa.binary())], names=["rows"])
+
+
 def batch_of(place: Column, seed: int, batches: int) -> Column:
     """The batch of a row in one epoch, by a hash of its content: batches of about the same size, others in every epoch."""
     return F.pmod(F.xxhash64(place, F.lit(seed)), F.lit(batches))
@@ -144,7 +153,7 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         dealt = rows.repartition(shards, F.pmod("_place", F.lit(shards)))
         self._batches = max(1, -(-n // self.getOrDefault("batchSize")))
         if not together:
-            dealt = dealt.sortWithinPartitions("_place", *values).select(*values)
+            dealt = dealt.sortWithinPartitions("_place", *values).select(*values).mapInArrow(as_blocks, "rows binary")
         dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             best_flat = self._train(dealt, sizes)
@@ -182,8 +191,8 @@ class NetworkRegressor(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         def run_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rng, held = np.random.default_rng(seed), np.zeros(4)
             flat, (w, first, second), step, seen = state[0], state.copy(), done, 0
-            for batch in batches:
-                table = matrix_of(batch)
+            for block in (x for batch in batches for x in batch.column(0)):
+                table = np.frombuffer(block.as_buffer()).reshape(-1, sizes[0] + 2)
                 out, table = table[table[:, -1] > 0, :-1], table[table[:, -1] == 0, :-1]
                 if len(out):
                     y = out[:, -1]

@@ -282,3 +282,39 @@ def test_wide_panels_walk_forward_by_the_lasso(spark, monkeypatch):
     monkeypatch.setattr(gram, "MAX_MATRIX_BYTES", 7 * 7 * 8)
     wide = run()
     assert plain.keys() == wide.keys() and all(plain[k] == pytest.approx(wide[k], abs=1e-8) for k in plain)
+
+
+def test_network_rows_are_cached_as_blocks(spark):
+    """Epochs read matrices: the same weights as plain minibatch Adam over the batches that Spark hands to a task."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(700, 3))
+    rows = [(*map(float, r), float(r.sum())) for r in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, ret double").repartition(3)
+    seen = []
+
+    class Watched(NetworkRegressor):
+        def _train(self, rows, sizes):
+            seen.append((rows.columns, [np.frombuffer(r[0]).reshape(-1, 5) for r in rows.collect()]))
+            return super()._train(rows, sizes)
+
+    settings = {"inputCols": ["a", "b", "c"], "hidden": [4], "maxIter": 2, "batchSize": 100, "validation": 0.0}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "300")
+    try:
+        got = Watched(**settings).fit(df).getOrDefault("weights")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    columns, blocks = seen[0]
+    assert columns == ["rows"] and [len(b) for b in blocks] == [300, 300, 100]
+    w = start_weights([3, 4, 1], 42)
+    first, second, step = np.zeros_like(w), np.zeros_like(w), 0
+    for epoch in range(2):
+        draw = np.random.default_rng(42 + epoch)
+        for block in blocks:
+            table = draw.permutation(block[:, :-1])
+            for at in range(0, len(table), 100):
+                g = gradient(w, [3, 4, 1], table[at : at + 100, :-1], table[at : at + 100, -1], 0.001)
+                step += 1
+                first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
+                w = w - 0.01 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    assert np.allclose(got, w, atol=1e-9)
