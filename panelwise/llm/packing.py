@@ -46,10 +46,12 @@ K1, B = 1.2, 0.75
 DIRECTIONS, SKETCH = 3, 128
 #: Parts of a sketch's length: its numbers are rounded to these, so that sums do not depend on how rows are dealt to tasks.
 STEPS = 4096
-#: Words whose ids a worker remembers before it forgets some; for memory only, without effect on results.
+#: Odd words whose ids a worker remembers before it forgets some; for memory only, without effect on results.
 REMEMBERED = 100_000
 #: Longer words are left to the tokenizer itself.
 LONG_WORD = 4096
+#: Places for pieces whose ids a worker remembers (a power of two), and the bytes of such a piece at most (two numbers); for speed only.
+SLOTS, SHORT = 1 << 18, 16
 
 
 def byte_letters() -> dict[int, int]:
@@ -100,12 +102,86 @@ def odd_pairs() -> np.ndarray:
     return odd
 
 
+class Pieces:
+    """The ids of pieces, most of them remembered: the library sees a short piece only when its place holds another one.
+
+    A short piece is two whole numbers, its bytes (none is zero), so it is compared in full. Its hash is its place in a table; what
+    stands there gives way to another piece unless it was asked for since the last one that wanted the place. All of this is
+    done by arrays, for all pieces of some texts at once.
+    """
+
+    #: What is left of eight bytes by the number of those that belong to the piece.
+    MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+    def __init__(self, merges, vocabulary: int, dtype):
+        self.merges = merges
+        self.closes = np.zeros(vocabulary, bool)
+        self.closes[[i for token, i in merges._mergeable_ranks.items() if token[-1:] == b"\n" and token != b"\n"]] = True
+        # An empty place is taken for no piece, since none has zeros.
+        self.low, self.high = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64)
+        self.sizes, self.asked = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, bool)
+        #: A piece that wants each place.
+        self.wanted = np.zeros(SLOTS, np.int32)
+        #: As many ids for each place as a piece can have; behind them those that the library gave last.
+        self.ids = np.zeros(SLOTS * SHORT, dtype)
+
+    def encode(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces of ``data`` from ``begins`` to ``ends``, at which a line feed stands, and how many each has."""
+        eight = np.ndarray(len(data) + 8, "<u8", np.concatenate((data, np.zeros(SHORT, np.uint8))), strides=(1,))
+        length = ends - begins
+        low = eight[begins] & self.MASKS[np.minimum(length, 8)]
+        high = eight[begins + np.minimum(length, 8)] & self.MASKS[np.clip(length - 8, 0, 8)]
+        place = (mix(low ^ mix(high)) & np.uint64(SLOTS - 1)).astype(np.intp)
+        known = (self.low[place] == low) & (self.high[place] == high) & (length <= SHORT)
+        self.asked[place[known]] = True
+        starts, sizes = place * SHORT, self.sizes[place]
+        # Of equal pieces one goes to the library, unless another piece wants their place.
+        short = np.flatnonzero(~known & (length <= SHORT))
+        self.wanted[place[short]] = short
+        first = self.wanted[place[short]]
+        again = (first != short) & (low[first] == low[short]) & (high[first] == high[short])
+        new = ~known
+        new[short[again]] = False
+        new = np.flatnonzero(new)
+        if len(new):
+            starts[new], sizes[new] = self._learn(data, begins[new], ends[new])
+            starts[short[again]], sizes[short[again]] = starts[first[again]], sizes[first[again]]
+        out = self.ids[spread(starts, sizes)]
+        comes = short[first == short]
+        kept = self.asked[place[comes]]
+        self.asked[place[comes]] = False
+        comes = comes[~kept]
+        own = place[comes]
+        self.low[own], self.high[own], self.sizes[own] = low[comes], high[comes], sizes[comes]
+        self.ids[spread(own * SHORT, sizes[comes])] = self.ids[spread(starts[comes], sizes[comes])]
+        return out, sizes
+
+    def _learn(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids that the library gives for some pieces begin in ``self.ids``, and how many each has."""
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[begins] = 1
+        edge[ends + 1] -= 1
+        ids = self.merges.encode_to_numpy(data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)].tobytes().decode())
+        last = SLOTS * SHORT
+        if len(self.ids) < last + len(ids):
+            self.ids = np.concatenate((self.ids[:last], np.zeros(len(ids), self.ids.dtype)))
+        self.ids[last : last + len(ids)] = ids
+        behind = np.flatnonzero(self.closes[ids]) + 1
+        return last + np.concatenate(([0], behind[:-1])), np.diff(behind, prepend=0)
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places from each start on, as many as its size says."""
+    behind = np.cumsum(sizes)
+    return np.repeat(starts - behind + sizes, sizes) + np.arange(behind[-1] if len(behind) else 0)
+
+
 class Encoder:
     """Token ids of many texts at once, as the tokenizers library gives them for each alone.
 
     That is exact for byte-level tokenizers that drop white space, never join across it, take lower case, and part letters, single
     digits and runs of other characters. Whether the given one does is tried out first; if not, texts are tokenised whole.
-    Words of ASCII and plain letters are cut into pieces by arrays and go through :func:`ranked_merges`. Words with
+    Words of ASCII and plain letters are cut into pieces by arrays and go through :func:`ranked_merges`, most only once. Words with
     anything else (apostrophes begin suffixes of their own) go through the tokenizer, each distinct one once.
     """
 
@@ -128,11 +204,10 @@ class Encoder:
         self.end = np.array([end], self.dtype).tobytes()
         self.marks = [s.encode().lower() for s in self.special]
         self.known: dict[bytes, np.ndarray] = {}
-        self.merges = ranked_merges(definition) if self.special else None
-        self.by_word = self.merges is not None
+        merges = ranked_merges(definition) if self.special else None
+        self.by_word = merges is not None
         if self.by_word:
-            self.closes = np.zeros(self.vocabulary, bool)
-            self.closes[[i for token, i in self.merges._mergeable_ranks.items() if token[-1:] == b"\n" and token != b"\n"]] = True
+            self.pieces = Pieces(merges, self.vocabulary, self.dtype)
             probe = [memoryview(self.PROBE.encode())]
             self.by_word = self.encode(probe) == self._whole(probe)
 
@@ -188,10 +263,11 @@ class Encoder:
         left, right = kind[:-1], kind[1:]
         cuts = np.flatnonzero((left != 0) & (right != 0) & ((left != right) | (right == 2))) + 1
         pieces = np.insert(data, cuts, 10)
-        begins = np.flatnonzero((pieces != 10) & (np.concatenate(([10], pieces[:-1])) == 10))
-        ids = self.merges.encode_to_numpy(pieces.tobytes().decode()).astype(self.dtype)
+        edges = np.flatnonzero(np.diff(pieces != 10, prepend=False))
+        begins, ends = edges[::2], edges[1::2]
+        ids, sizes = self.pieces.encode(pieces, begins, ends)
         # The token behind the last one of each piece; as many as pieces.
-        after = np.concatenate(([0], np.flatnonzero(self.closes[ids]) + 1))
+        after = np.concatenate(([0], np.cumsum(sizes)))
 
         def token(place: np.ndarray) -> np.ndarray:
             """Where the tokens of what begins at these bytes begin."""
@@ -260,8 +336,9 @@ class Order:
 
     def sketches(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """One sketch per document, of length ``STEPS``, in whole numbers; documents have one id at least."""
+        at = ids.astype(np.intp)
         owner = np.repeat(np.arange(len(sizes)) * SKETCH, sizes)
-        out = np.bincount(owner + self.place[ids], self.weight[ids], len(sizes) * SKETCH).reshape(-1, SKETCH)
+        out = np.bincount(owner + self.place[at], self.weight[at], len(sizes) * SKETCH).reshape(-1, SKETCH)
         return np.rint(out * (STEPS / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)))
 
     def learn(self, n: int, total: np.ndarray, products: np.ndarray) -> None:
@@ -283,7 +360,7 @@ class Order:
 def _documents(column: pa.Array, dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The ids of some documents at a time, one after the other, and how many each has."""
     sizes = pc.binary_length(column).to_numpy().astype(np.int64)
-    for first, last in slices(sizes.tolist(), SLICE_BYTES):
+    for first, last in slices(sizes.tolist(), SLICE_BYTES // 2):
         for at in range(first, last, 1000):
             to = min(at + 1000, last)
             yield np.frombuffer(b"".join(x.as_buffer() for x in column.slice(at, to - at)), dtype), sizes[at:to] // np.dtype(dtype).itemsize
@@ -390,7 +467,7 @@ class Index:
     def forget(self, free: np.ndarray) -> None:
         """Leaves out the documents that are not free."""
         keep = free[self.held]
-        self.held, self.rows = self.held[keep], self.rows[:, keep]
+        self.held, self.rows = self.held[keep], np.compress(keep, self.rows, axis=1)  # rows stay contiguous
         stays = keep[self.docs]
         self.first = np.concatenate(([0], np.cumsum(stays)))[self.first]
         self.docs, self.weight = (np.cumsum(keep) - 1)[self.docs[stays]], self.weight[stays]
@@ -400,10 +477,10 @@ class Index:
         terms = self.query[seed]
         row = self.row[terms]
         score = self.rows[row[row >= 0]].sum(0)
-        rest = terms[row < 0]
+        rest = terms[row < 0].astype(np.intp)
         if len(rest):
-            spans = [slice(a, b) for a, b in zip(self.first[rest].tolist(), self.first[rest + 1].tolist())]
-            score = score + np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), len(score))
+            at = spread(self.first[rest], self.first[rest + 1] - self.first[rest])
+            score = score + np.bincount(self.docs[at], self.weight[at], len(score))
         score[~free[self.held]] = 0
         best = np.flatnonzero(score > 0)
         if len(best) > most:

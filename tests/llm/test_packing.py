@@ -98,6 +98,43 @@ def test_a_seed_is_asked_for_until_it_has_no_neighbour():
     assert [d for d, _, _, sequence, _ in pieces if sequence == 0] == [0, *range(1, 200, 2)]
 
 
+def test_equal_pieces_are_tokenised_once(words):
+    """The library sees each distinct piece, not each piece."""
+    r = random.Random(4)
+    texts = [memoryview(" ".join(r.choice(words) for _ in range(2000)).encode()) for _ in range(20)]
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        encoder = P.Encoder(f.read(), 1)
+    holder = getattr(encoder, "pieces", encoder)
+    library, seen = holder.merges, []
+    holder.merges = type("Seen", (), {"encode_to_numpy": lambda self, text: seen.append(len(text)) or library.encode_to_numpy(text)})()
+    first = encoder.encode(texts)
+    assert sum(seen) < 0.5 * sum(map(len, texts))
+    seen.clear()
+    assert encoder.encode(texts) == first and sum(seen) < 0.05 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("slots", [1, 8, 256])
+def test_pieces_that_want_one_place(tokenizer, words, monkeypatch, slots):
+    monkeypatch.setattr(P, "SLOTS", slots)
+    r = random.Random(5)
+    edge = [c * n for c in "ab,é" for n in range(1, 20)] + ["a", "aa", "x" * 16, "x" * 17, "y" * 15 + "z", "é" * 8, "é" * 7 + "ab", "!" * 16, "!" * 17]
+    texts = [" ".join(r.choice(edge + words) + r.choice(["", ",", "12", "'s"]) for _ in range(r.choice([0, 1, 30, 300]))) for _ in range(60)]
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        encoder = P.Encoder(f.read(), 1)
+    want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    for n in (1, 7, 60):
+        got = [x for i in range(0, len(texts), n) for x in encoder.encode([memoryview(t.encode()) for t in texts[i : i + n]])]
+        assert [np.frombuffer(x, np.uint16).tolist() for x in got] == want
+
+
+def test_rows_of_weights_stay_contiguous():
+    """Rows that are spread over memory take twice the time to add up."""
+    docs = [np.array([5, 6, 7 + i, 1], np.uint16) for i in range(20)]
+    index = P.Index(docs, np.ones(40, np.float32), 3.0)
+    index.forget(np.arange(20) % 3 > 0)
+    assert len(index.rows) == 2 and index.rows.flags.c_contiguous
+
+
 def test_empty_table(documents):
     assert P.pack_documents(documents([]), tokenizer_path()).count() == 0
 
